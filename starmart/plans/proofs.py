@@ -1,0 +1,863 @@
+"""Proof queries: every operator run on the driver's tables, each with a DuckDB oracle.
+
+``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name]`` (SQL over the tables as
+views).  Column names are aliased identically on both sides.  Money sums use exact decimals
+and floating statistics are rounded on both sides, so the two engines agree value by value.
+Queries that write (round trips, refreshes) write under the shared checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import tables as TB
+from ..functions.dates import calendar_parts, sas_date, sas_day_number, year_month
+from ..functions.text import part, split_place
+from ..operators import aggregate as AG
+from ..operators.clean import col, dedupe, project, require
+from ..operators.lookup import enrich, orphans, resolve, small
+from ..operators.quality import check_tables
+from ..session import scratch_path
+from ..sources import labels as LB
+from ..sources.arrivals import read_arrivals
+from ..sources.delimited import read_delimited, write_delimited
+from ..sources.driver import TABLES, table
+from ..sources.parquet import read_table, write_table
+from ..streaming.refresh import refresh_from_landing
+from . import adapters as AD
+from . import analytics as AN
+from . import pipeline as PL
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLE: dict[str, str] = {}
+
+#: nation and region have a fixed number of rows in the test schema
+CODE_ROWS = 10_000
+
+
+def query(name: str, sql: str | None = None):
+    def deco(fn: QueryFn) -> QueryFn:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql.strip()
+        return fn
+    return deco
+
+
+# --------------------------------------------------------------------- SQL helpers
+
+def _sql_mean_half_up(s: str, c: str, out: str) -> str:
+    """Exact SQL for Spark's ``avg(decimal(10,0))`` -> decimal(14,4) -> ``out`` (both HALF_UP),
+    from an integer sum ``s`` and count ``c``."""
+    m4 = (f"(case when {s} >= 0 then ({s} * 20000 + {c}) // (2 * {c}) "
+          f"else -((-{s} * 20000 + {c}) // (2 * {c})) end)")
+    m2 = f"(case when {m4} >= 0 then ({m4} + 50) // 100 else -((-{m4} + 50) // 100) end)"
+    return f"case when {c} = 0 then null else try_cast(cast({m2} as double) / 100 as {out}) end"
+
+
+_SUM_INT = "cast(sum(cast({v} as decimal(10,0))) as hugeint)"
+_CNT = "count(cast({v} as decimal(10,0)))"
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return table(spark, sf, name)
+
+
+def _money(c: str) -> F.Column:
+    return F.sum(col(c).cast("decimal(18,2)")).cast("decimal(38,2)")
+
+
+# ===================================================================== A1 A2: decimal means
+
+@query("mean_decimal", f"""
+with g as (
+  select cast(year(ts) as integer) as year, cast(month(ts) as integer) as month, event_type,
+         {_SUM_INT.format(v='value')} as s, {_CNT.format(v='value')} as c
+  from events group by all)
+select year, month, event_type, {_sql_mean_half_up('s', 'c', 'decimal(6,2)')} as avg_value from g
+""")
+def mean_decimal(spark, sf):
+    ev = _t(spark, sf, "events").select(F.col("ts").cast("string").alias("dt"), "event_type", "value")
+    keyed = require(ev.withColumns(year_month("dt")), ["year", "month"])
+    return AG.mean_by(keyed, ["year", "month", "event_type"], "value", out="decimal(6,2)",
+                      alias="avg_value")
+
+
+@query("mean_decimal_by_country", f"""
+with g as (
+  select n_name, {_SUM_INT.format(v='s_acctbal')} as s, {_CNT.format(v='s_acctbal')} as c
+  from supplier join nation on s_nationkey = n_nationkey group by all)
+select n_name, {_sql_mean_half_up('s', 'c', 'decimal(10,2)')} as avg_acctbal from g
+""")
+def mean_decimal_by_country(spark, sf):
+    nation = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    s = resolve(_t(spark, sf, "supplier"), nation, "s_nationkey", max_dim_rows=CODE_ROWS)
+    return AG.mean_by(s, ["n_name"], "s_acctbal", out="decimal(10,2)", alias="avg_acctbal")
+
+
+# ===================================================================== E1 E2 E3: dates
+
+_DATE_TEXT_SQL = ("case when o_orderstatus = 'P' then strftime(o_orderdate, '%d.%m.%Y') "
+                  "else strftime(o_orderdate, '%Y-%m-%d') end")
+
+
+@query("date_parts", f"""
+select cast(year(try_cast({_DATE_TEXT_SQL} as date)) as integer) as year,
+       cast(month(try_cast({_DATE_TEXT_SQL} as date)) as integer) as month,
+       count(*) as n_orders
+from orders group by all
+""")
+def date_parts(spark, sf):
+    o = _t(spark, sf, "orders")
+    text = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "dd.MM.yyyy")) \
+            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    d = o.select(text.alias("dt")).withColumns(year_month("dt"))
+    return AG.count_by(d, ["year", "month"], alias="n_orders")
+
+
+@query("date_dim", """
+select d as arrival_date, cast(day(d) as integer) as day, cast(week(d) as integer) as week,
+       cast(month(d) as integer) as month, cast(year(d) as integer) as year,
+       cast(quarter(d) as integer) as quarter
+from (select distinct cast(o_orderdate as date) as d from orders)
+""")
+def date_dim(spark, sf):
+    o = _t(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("arrival_date"))
+    return PL.date_table(o)
+
+
+@query("sas_date", """
+select o_orderkey,
+       date '1960-01-01' + cast(floor(cast(date_diff('day', date '1960-01-01', cast(o_orderdate as date)) as double)
+             + (o_totalprice - floor(o_totalprice))) as integer) as arrival_date
+from orders
+""")
+def sas_date_query(spark, sf):
+    o = _t(spark, sf, "orders")
+    day_number = sas_day_number("o_orderdate").cast("double") \
+        + (F.col("o_totalprice") - F.floor("o_totalprice"))
+    return o.select("o_orderkey", sas_date(day_number).alias("arrival_date"))
+
+
+# ===================================================================== F1-F8: filters
+
+@query("filter_eq", "select event_id, user_id, value from events where event_type = 'purchase'")
+def filter_eq(spark, sf):
+    return (_t(spark, sf, "events").filter(F.col("event_type") == "purchase")
+            .select("event_id", "user_id", "value"))
+
+
+@query("filter_ne", "select event_id, event_type from events where event_type <> 'click'")
+def filter_ne(spark, sf):
+    return (_t(spark, sf, "events").filter(F.col("event_type") != "click")
+            .select("event_id", "event_type"))
+
+
+@query("filter_code", """
+select l_orderkey, l_linenumber, l_quantity from lineitem where l_quantity = 2.0
+""")
+def filter_code(spark, sf):
+    return (_t(spark, sf, "lineitem").filter(F.col("l_quantity") == F.lit(2.0))
+            .select("l_orderkey", "l_linenumber", "l_quantity"))
+
+
+def _docs_labels(spark, sf) -> DataFrame:
+    docs = _t(spark, sf, "documents").select("doc_id", "lang", "source")
+    return docs.join(_t(spark, sf, "labels"), "doc_id", "left")
+
+
+@query("require_columns", """
+select d.doc_id, d.lang, l.quality, l.toxic
+from documents d left join labels l on d.doc_id = l.doc_id
+where l.quality is not null and l.toxic is not null
+""")
+def require_columns(spark, sf):
+    j = _docs_labels(spark, sf).select("doc_id", "lang", "quality", "toxic")
+    return require(j, ["quality", "toxic"])
+
+
+@query("require_all", """
+select d.doc_id, d.lang, d.source, l.quality, l.toxic
+from documents d left join labels l on d.doc_id = l.doc_id
+where d.doc_id is not null and d.lang is not null and d.source is not null
+  and l.quality is not null and l.toxic is not null
+""")
+def require_all(spark, sf):
+    return require(_docs_labels(spark, sf))
+
+
+# ===================================================================== P1-P10: projections
+
+@query("typed_projection", """
+select try_cast(o_orderkey as integer) as order_id, try_cast(o_custkey as integer) as customer_id,
+       o_orderstatus as status, try_cast(o_totalprice as decimal(12,2)) as total_price,
+       try_cast(trunc(o_totalprice) as integer) as total_whole,
+       cast(o_orderdate as date) as order_date
+from orders
+""")
+def typed_projection(spark, sf):
+    from pyspark.sql import types as T
+    schema = T.StructType([
+        T.StructField("order_id", T.IntegerType()),
+        T.StructField("customer_id", T.IntegerType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("total_price", T.DecimalType(12, 2)),
+        T.StructField("total_whole", T.IntegerType()),
+        T.StructField("order_date", T.DateType()),
+    ])
+    return project(_t(spark, sf, "orders"), schema, {
+        "order_id": "o_orderkey", "customer_id": "o_custkey", "status": "o_orderstatus",
+        "total_price": "o_totalprice", "total_whole": "o_totalprice", "order_date": "o_orderdate",
+    })
+
+
+@query("cast_safe", """
+select p_partkey,
+       try_cast(string_split(p_brand, '#')[2] as integer) as brand_no,
+       try_cast(p_name as integer) as name_no,
+       try_cast(cast(p_size as varchar) as integer) as size_no,
+       try_cast(cast(p_size as varchar) || 'x' as integer) as size_bad
+from part
+""")
+def cast_safe(spark, sf):
+    p = _t(spark, sf, "part")
+    return p.select(
+        "p_partkey",
+        part("p_brand", "#", 1).try_cast("int").alias("brand_no"),
+        F.col("p_name").try_cast("int").alias("name_no"),
+        F.col("p_size").cast("string").try_cast("int").alias("size_no"),
+        F.concat(F.col("p_size").cast("string"), F.lit("x")).try_cast("int").alias("size_bad"),
+    )
+
+
+_PRICE_TEXT_SQL = ("cast(cast(p_retailprice as decimal(12,2)) as varchar) "
+                   "|| cast(p_size % 10 as varchar)")
+
+
+@query("cast_decimal", f"""
+select p_partkey, {_PRICE_TEXT_SQL} as price_text,
+       try_cast({_PRICE_TEXT_SQL} as decimal(6,2)) as price_6_2,
+       try_cast({_PRICE_TEXT_SQL} as decimal(4,1)) as price_4_1,
+       try_cast({_PRICE_TEXT_SQL} as decimal(10,0)) as price_whole
+from part
+""")
+def cast_decimal(spark, sf):
+    p = _t(spark, sf, "part")
+    text = F.concat(F.col("p_retailprice").cast("decimal(12,2)").cast("string"),
+                    (F.col("p_size") % 10).cast("string"))
+    return p.select("p_partkey", text.alias("price_text")).select(
+        "p_partkey", "price_text",
+        F.col("price_text").try_cast("decimal(6,2)").alias("price_6_2"),
+        F.col("price_text").try_cast("decimal(4,1)").alias("price_4_1"),
+        F.col("price_text").try_cast("decimal(10,0)").alias("price_whole"),
+    )
+
+
+# ===================================================================== A3: pivot
+
+@query("pivot_first", """
+select o_custkey,
+       min(o_totalprice) filter (where o_orderstatus = 'F') as "F",
+       min(o_totalprice) filter (where o_orderstatus = 'O') as "O",
+       min(o_totalprice) filter (where o_orderstatus = 'P') as "P"
+from orders group by o_custkey
+""")
+def pivot_first(spark, sf):
+    return AG.pivot_first(_t(spark, sf, "orders"), ["o_custkey"], "o_orderstatus",
+                          ["F", "O", "P"], "o_totalprice")
+
+
+# ===================================================================== E4-E7: split
+
+_PLACE_SQL = """case when p_size <= 10 then upper(p_name)
+            when p_size <= 25 then upper(p_name) || ', ' || substring(p_type, 1, 2)
+            when p_size <= 40 then upper(p_name) || ', ' || p_type
+            else upper(p_name) || ', ' || p_brand || ', ' || substring(p_type, 1, 2) end"""
+
+
+@query("split_place", f"""
+with p as (select p_partkey, p_brand, {_PLACE_SQL} as label from part),
+q as (select *, regexp_extract(label, ',([^,]*)$', 1) as last_piece from p)
+select p_partkey, label,
+       string_split(label, ',')[1] as ref_city,
+       substring(replace(string_split(label, ',')[2], ' ', ''), 1, 2) as ref_state,
+       case when contains(label, ',') then regexp_extract(label, '^(.*),[^,]*$', 1) end as strict_city,
+       case when contains(label, ',')
+             and regexp_extract(last_piece, '^\\s*([A-Z]{{2}})([^A-Za-z]|$)', 1) <> ''
+            then regexp_extract(last_piece, '^\\s*([A-Z]{{2}})([^A-Za-z]|$)', 1) end as strict_state,
+       string_split(p_brand, '#')[1] as brand_0,
+       string_split(p_brand, '#')[2] as brand_1,
+       string_split(p_brand, '#')[3] as brand_2
+from q
+""")
+def split_place_query(spark, sf):
+    p = _t(spark, sf, "part")
+    size = F.col("p_size")
+    name = F.upper("p_name")
+    label = (F.when(size <= 10, name)
+              .when(size <= 25, F.concat(name, F.lit(", "), F.substring("p_type", 1, 2)))
+              .when(size <= 40, F.concat(name, F.lit(", "), F.col("p_type")))
+              .otherwise(F.concat(name, F.lit(", "), F.col("p_brand"), F.lit(", "),
+                                  F.substring("p_type", 1, 2))))
+    p = p.select("p_partkey", "p_brand", label.alias("label"))
+    ref = split_place("label", "reference")
+    strict = split_place("label", "strict")
+    return p.select(
+        "p_partkey", "label",
+        ref["city"].alias("ref_city"), ref["state_code"].alias("ref_state"),
+        strict["city"].alias("strict_city"), strict["state_code"].alias("strict_state"),
+        *[part("p_brand", "#", i).alias(f"brand_{i}") for i in range(3)],
+    )
+
+
+# ===================================================================== J1-J3: joins
+
+@query("lookup_inner", """
+select c_custkey, c_name, n_name, r_name
+from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+""")
+def lookup_inner(spark, sf):
+    nation = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name",
+                                             F.col("n_regionkey").alias("r_regionkey"))
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    j = enrich(c, [(nation, "c_nationkey", CODE_ROWS),
+                   (_t(spark, sf, "region"), "r_regionkey", CODE_ROWS)], how="inner")
+    return j.select("c_custkey", "c_name", "n_name", "r_name")
+
+
+@query("star_enrich", """
+select l_orderkey, l_linenumber, cast(o_orderdate as date) as order_date, c_name, n_name
+from lineitem
+left join orders on l_orderkey = o_orderkey
+left join customer on o_custkey = c_custkey
+left join nation on c_nationkey = n_nationkey
+""")
+def star_enrich(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
+                                       F.col("o_orderdate").cast("date").alias("order_date"))
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name",
+                                         "c_nationkey")
+    n = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    # orders and customers grow with the data: shuffle joins (AQE may still broadcast);
+    # the nation code list passes the size check and is broadcast
+    j = enrich(li, [(o, "l_orderkey", None), (c, "o_custkey", None), (n, "c_nationkey", CODE_ROWS)])
+    return j.select("l_orderkey", "l_linenumber", "order_date", "c_name", "n_name")
+
+
+@query("orphan_keys", """
+select doc_id, lang from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)
+""")
+def orphan_keys(spark, sf):
+    docs = _t(spark, sf, "documents").select("doc_id", "lang")
+    return orphans(docs, _t(spark, sf, "labels"), "doc_id")
+
+
+# ===================================================================== O1-O3: order, dedupe
+
+@query("dedupe_by_key", """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+from orders
+qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1
+""")
+def dedupe_by_key(spark, sf):
+    return dedupe(_t(spark, sf, "orders"), ["o_custkey"],
+                  order=[("o_orderdate", False), ("o_orderkey", True)])
+
+
+@query("distinct_keys", "select distinct o_orderstatus, o_orderpriority from orders")
+def distinct_keys(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderstatus", "o_orderpriority")
+    return dedupe(o, ["o_orderstatus", "o_orderpriority"])
+
+
+@query("top_k", """
+select o_orderkey, o_custkey, o_totalprice from orders
+order by o_totalprice desc, o_orderkey limit 10
+""")
+def top_k(spark, sf):
+    return (_t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+            .orderBy(F.desc("o_totalprice"), F.asc("o_orderkey")).limit(10))
+
+
+# ===================================================================== A4-A8: counts, profiles
+
+@query("distinct_count", """
+select event_type, count(*) as n_events, count(distinct user_id) as n_users from events group by all
+""")
+def distinct_count(spark, sf):
+    ev = _t(spark, sf, "events")
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"),
+                                        F.count_distinct("user_id").alias("n_users"))
+
+
+@query("group_count", """
+select l_returnflag, l_linestatus, count(*) as n from lineitem group by all
+""")
+def group_count(spark, sf):
+    return AG.count_by(_t(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"])
+
+
+_PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _profile_sql(quantiles: bool) -> str:
+    parts = []
+    for c in _PROFILE_COLS:
+        x = f"(case when {c} = 0 then 0.0 else {c} end)"
+        q = ""
+        if quantiles:
+            q = (f", quantile_disc({x}, 0.25) as p25, quantile_disc({x}, 0.5) as p50, "
+                 f"quantile_disc({x}, 0.75) as p75")
+        parts.append(
+            f"select '{c}' as \"column\", count({x}) as count, round(avg({x}), 6) as mean, "
+            f"round(stddev_samp({x}), 6) as stddev, min({x}) as min, max({x}) as max{q} "
+            f"from lineitem")
+    return "\nunion all\n".join(parts)
+
+
+@query("profile_numeric", _profile_sql(False))
+def profile_numeric(spark, sf):
+    return AG.profile(_t(spark, sf, "lineitem"), _PROFILE_COLS, digits=6)
+
+
+@query("profile_quartiles", _profile_sql(True))
+def profile_quartiles(spark, sf):
+    return AG.profile(_t(spark, sf, "lineitem"), _PROFILE_COLS, quantiles=[0.25, 0.5, 0.75],
+                      digits=6)
+
+
+def _quality_sql() -> str:
+    parts = []
+    for name, key in TB.DRIVER_KEYS.items():
+        any_null = " or ".join(f"{k} is null" for k in key)
+        all_set = " and ".join(f"{k} is not null" for k in key)
+        keys = ", ".join(key)
+        parts.append(
+            f"select '{name}' as \"table\", count(*) as rows, "
+            f"count(*) filter (where {any_null}) as null_keys, "
+            f"count(*) filter (where {all_set}) - (select count(*) from (select distinct {keys} "
+            f"from {name} where {all_set})) as duplicate_keys from {name}")
+    body = "\nunion all\n".join(parts)
+    return (f"select *, rows > 0 and null_keys = 0 and duplicate_keys = 0 as ok "
+            f"from ({body})")
+
+
+@query("quality_report", _quality_sql())
+def quality_report(spark, sf):
+    return check_tables({n: (_t(spark, sf, n), k) for n, k in TB.DRIVER_KEYS.items()})
+
+
+# ===================================================================== S2-S9: sources, sinks
+
+def _orders_by_month_sql(where: str = "") -> str:
+    return (f"select cast(year(o_orderdate) as integer) as year, "
+            f"cast(month(o_orderdate) as integer) as month, count(*) as n, "
+            f"cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total "
+            f"from orders {where} group by all")
+
+
+def _orders_by_month(df: DataFrame) -> DataFrame:
+    return df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"),
+                                           _money("o_totalprice").alias("total"))
+
+
+def _with_month(orders: DataFrame) -> DataFrame:
+    return orders.withColumns({"year": F.year("o_orderdate").cast("int"),
+                               "month": F.month("o_orderdate").cast("int")})
+
+
+@query("parquet_roundtrip", """
+select l_returnflag, l_linestatus, count(*) as n, cast(sum(l_quantity) as bigint) as qty,
+       cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(38,2)) as price
+from lineitem group by all
+""")
+def parquet_roundtrip(spark, sf):
+    path = scratch_path(spark, "parquet")
+    write_table(_t(spark, sf, "lineitem"), path)
+    back = read_table(spark, path)
+    return back.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("qty"),
+        _money("l_extendedprice").alias("price"))
+
+
+@query("partitioned_roundtrip", _orders_by_month_sql())
+def partitioned_roundtrip(spark, sf):
+    path = scratch_path(spark, "partitioned")
+    write_table(_with_month(_t(spark, sf, "orders")), path, partition_by=["year", "month"])
+    return _orders_by_month(read_table(spark, path))
+
+
+_ORDERS_TEXT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                "o_orderpriority"]
+
+
+@query("csv_roundtrip", """
+select o_orderstatus, count(*) as n,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total,
+       min(cast(o_orderdate as date)) as first_date, max(o_orderkey) as last_key
+from orders group by all
+""")
+def csv_roundtrip(spark, sf):
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "csv")
+    write_delimited(_t(spark, sf, "orders").select(*_ORDERS_TEXT), path, sep=",")
+    text = read_delimited(spark, path, T.StructType([T.StructField(c, T.StringType())
+                                                     for c in _ORDERS_TEXT]), sep=",")
+    return text.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"),
+        _money("o_totalprice").alias("total"),
+        F.min(F.col("o_orderdate").try_cast("date")).alias("first_date"),
+        F.max(F.col("o_orderkey").try_cast("bigint")).alias("last_key"))
+
+
+_CUSTOMER_TEXT = {"c_custkey": "Customer Key", "c_name": "Customer Name",
+                  "c_nationkey": "Nation Key", "c_acctbal": "Account Balance",
+                  "c_mktsegment": "Market Segment"}
+
+
+@query("csv_semicolon_roundtrip", """
+select c_mktsegment as market_segment, count(*) as n,
+       cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(38,2)) as balance,
+       count(distinct c_nationkey) as nations
+from customer group by all
+""")
+def csv_semicolon_roundtrip(spark, sf):
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "csv-semicolon")
+    cust = _t(spark, sf, "customer").select(*[F.col(k).alias(v) for k, v in _CUSTOMER_TEXT.items()])
+    write_delimited(cust, path, sep=";")
+    schema = T.StructType([T.StructField(v, T.StringType()) for v in _CUSTOMER_TEXT.values()])
+    text = read_delimited(spark, path, schema, sep=";")
+    return text.groupBy(col("Market Segment").alias("market_segment")).agg(
+        F.count(F.lit(1)).alias("n"),
+        _money("Account Balance").alias("balance"),
+        F.count_distinct(col("Nation Key").try_cast("int")).alias("nations"))
+
+
+@query("typed_scan", """
+select case l_returnflag when 'A' then 1.0 when 'N' then 2.0 when 'R' then 3.0 end as i94visa,
+       cast(l_linenumber as double) as i94mode, count(*) as n,
+       cast(sum(l_quantity) as bigint) as age_sum
+from lineitem group by all
+""")
+def typed_scan(spark, sf):
+    path = scratch_path(spark, "arrivals")
+    write_table(AD.arrivals_from_lineitem(_t(spark, sf, "lineitem")), path)
+    a = read_arrivals(spark, path)
+    return a.groupBy("i94visa", "i94mode").agg(F.count(F.lit(1)).alias("n"),
+                                              F.sum("i94bir").cast("bigint").alias("age_sum"))
+
+
+#: the month restated by the refresh proofs (fixed parameter of the proof)
+REFRESH_YEAR, REFRESH_MONTH = 1998, 8
+
+
+@query("incremental_overwrite", f"""
+with t as (
+  select * from orders
+  where not (year(o_orderdate) = {REFRESH_YEAR} and month(o_orderdate) = {REFRESH_MONTH})
+  union all
+  select * from orders
+  where year(o_orderdate) = {REFRESH_YEAR} and month(o_orderdate) = {REFRESH_MONTH}
+    and o_orderstatus = 'F')
+select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month,
+       count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total
+from t group by all
+""")
+def incremental_overwrite(spark, sf):
+    """Full load, then a restatement of one month (only its F orders) with dynamic overwrite:
+    that month is replaced, every other month stays as loaded."""
+    path = scratch_path(spark, "incremental")
+    orders = _with_month(_t(spark, sf, "orders"))
+    write_table(orders, path, partition_by=["year", "month"])
+    month = orders.filter((F.col("year") == REFRESH_YEAR) & (F.col("month") == REFRESH_MONTH))
+    write_table(month.filter(F.col("o_orderstatus") == "F"), path,
+                partition_by=["year", "month"], dynamic=True)
+    return _orders_by_month(read_table(spark, path))
+
+
+@query("incremental_stream", _orders_by_month_sql())
+def incremental_stream(spark, sf):
+    """Monthly drops land as Parquet; a Structured Streaming job (available-now trigger)
+    folds them into the month-partitioned table with dynamic overwrite per micro-batch."""
+    landing = scratch_path(spark, "landing")
+    target = scratch_path(spark, "refreshed")
+    checkpoint = scratch_path(spark, "refresh-ckpt")
+    orders = _with_month(_t(spark, sf, "orders"))
+    write_table(orders, landing, partition_by=["year", "month"])
+    refresh_from_landing(spark, landing, orders.schema, target, checkpoint, ["year", "month"])
+    return _orders_by_month(read_table(spark, target))
+
+
+# ===================================================================== C1-C4: the table builds
+
+_TEMP_HOME = "NATION_1"
+_TEMP_SQL = """
+with raw as (
+  select cast(e.ts as date) as d, e.value, e.event_type as city, n.n_name as country
+  from events e join customer c on e.user_id = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey)
+"""
+
+
+@query("temperature_dim", _TEMP_SQL + f"""
+, g as (select cast(year(d) as integer) as year, cast(month(d) as integer) as month, city,
+          {_SUM_INT.format(v='value')} as s, {_CNT.format(v='value')} as c
+        from raw where country = '{_TEMP_HOME}' group by all)
+select year, month, city, {_sql_mean_half_up('s', 'c', 'decimal(6,2)')} as average_temperature from g
+""")
+def temperature_dim(spark, sf):
+    raw = AD.temperature_raw(_t(spark, sf, "events"), _t(spark, sf, "customer"),
+                             _t(spark, sf, "nation"))
+    city, _ = PL.temperature_tables(raw, home=_TEMP_HOME, out="decimal(6,2)")
+    return city
+
+
+@query("temperature_dim_country", _TEMP_SQL + f"""
+, g as (select cast(year(d) as integer) as year, cast(month(d) as integer) as month, country,
+          {_SUM_INT.format(v='value')} as s, {_CNT.format(v='value')} as c
+        from raw where country <> '{_TEMP_HOME}' group by all)
+select year, month, country, {_sql_mean_half_up('s', 'c', 'decimal(6,2)')} as average_temperature
+from g
+""")
+def temperature_dim_country(spark, sf):
+    raw = AD.temperature_raw(_t(spark, sf, "events"), _t(spark, sf, "customer"),
+                             _t(spark, sf, "nation"))
+    _, country = PL.temperature_tables(raw, home=_TEMP_HOME, out="decimal(6,2)")
+    return country
+
+
+_RACE_SQL = "case o_orderstatus " + " ".join(
+    f"when '{k}' then '{v}'" for k, v in AD.STATUS_RACE.items()) + " end"
+
+_DEMO_SQL = f"""
+with counts as (select o_custkey, o_orderstatus, count(*) as cnt from orders group by all),
+raw as (
+  select c.c_name as city, n.n_name as state,
+         cast((case when o_orderstatus = 'P' then c.c_nationkey + 30 else c.c_nationkey + 20 end) as varchar)
+           || '.' || lpad(cast(c.c_custkey % 100 as varchar), 2, '0') as median_age_text,
+         c.c_custkey * 3 + 100 as male, c.c_custkey * 2 + 50 as female, c.c_custkey * 5 + 150 as total,
+         c.c_nationkey * 10 as veterans, c.c_custkey % 97 as foreign_born,
+         cast(c.c_nationkey % 4 + 1 as varchar) || '.' || lpad(cast(c.c_custkey % 1000 as varchar), 3, '0') as hh_text,
+         'N' || cast(c.c_nationkey as varchar) as state_code,
+         {_RACE_SQL} as race, cnt
+  from customer c join nation n on c.c_nationkey = n.n_nationkey join counts k on k.o_custkey = c.c_custkey),
+wide as (
+  select state, state_code, city,
+         try_cast(median_age_text as decimal(4,1)) as median_age,
+         cast(male as integer) as male_population, cast(female as integer) as female_population,
+         cast(total as integer) as total_population, cast(veterans as integer) as number_of_veterans,
+         cast(foreign_born as integer) as number_of_foregn_born,
+         try_cast(hh_text as decimal(4,2)) as avarage_household_size,
+         min(cnt) filter (where race = 'American Indian and Alaska Native') as american_indian_alaska_native,
+         min(cnt) filter (where race = 'Asian') as asian,
+         min(cnt) filter (where race = 'Black or African-American') as black_or_africanamerican,
+         min(cnt) filter (where race = 'Hispanic or Latino') as hispanic_or_latino,
+         min(cnt) filter (where race = 'White') as white
+  from raw
+  group by city, state, median_age_text, male, female, total, veterans, foreign_born, hh_text, state_code)
+select state, state_code, city, median_age, male_population, female_population, total_population,
+       number_of_veterans, number_of_foregn_born, avarage_household_size,
+       cast(american_indian_alaska_native as integer) as american_indian_alaska_native,
+       cast(asian as integer) as asian, cast(black_or_africanamerican as integer) as black_or_africanamerican,
+       cast(hispanic_or_latino as integer) as hispanic_or_latino, cast(white as integer) as white
+from wide
+qualify row_number() over (partition by state, city order by
+  state_code nulls last, median_age nulls last, male_population nulls last,
+  female_population nulls last, total_population nulls last, number_of_veterans nulls last,
+  number_of_foregn_born nulls last, avarage_household_size nulls last,
+  american_indian_alaska_native nulls last, asian nulls last, black_or_africanamerican nulls last,
+  hispanic_or_latino nulls last, white nulls last) = 1
+"""
+
+
+@query("demographic_dim", _DEMO_SQL)
+def demographic_dim(spark, sf):
+    raw = AD.demographics_raw(_t(spark, sf, "customer"), _t(spark, sf, "nation"),
+                              _t(spark, sf, "orders"))
+    return PL.demographic_table(raw)
+
+
+def _code_tables(spark, sf, mode: str):
+    path = scratch_path(spark, "labels")
+    AD.write_label_files(path, _t(spark, sf, "customer"), _t(spark, sf, "nation"),
+                         _t(spark, sf, "region"), _t(spark, sf, "orders"))
+    return PL.code_tables(LB.read_formats(spark, path), place_mode=mode)
+
+
+_PORTS_SQL = """
+with states as (select upper(substring(r_name, 1, 2)) as state_code, r_name as state from region),
+ports as (
+  select 'P' || cast(c_custkey as varchar) as port_code,
+         case when c_mktsegment = 'BUILDING' then c_name
+              when c_mktsegment = 'AUTOMOBILE' then upper(c_mktsegment) || ', ' || c_name || ', ' || upper(substring(r_name, 1, 2))
+              when c_mktsegment = 'FURNITURE' then c_name || ', ' || r_name
+              else c_name || ', ' || upper(substring(r_name, 1, 2)) || ' #' || c_mktsegment end as port
+  from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)
+"""
+
+
+@query("place_dim", _PORTS_SQL + """
+, split as (select port_code, string_split(port, ',')[1] as city,
+                   substring(replace(string_split(port, ',')[2], ' ', ''), 1, 2) as state_code
+            from ports)
+select port_code, city, state_code, state from split join states using (state_code)
+""")
+def place_dim(spark, sf):
+    return _code_tables(spark, sf, "reference")[1]
+
+
+@query("place_dim_strict", _PORTS_SQL + """
+, split as (
+  select port_code,
+         case when contains(port, ',') then regexp_extract(port, '^(.*),[^,]*$', 1) end as city,
+         case when contains(port, ',') and regexp_extract(regexp_extract(port, ',([^,]*)$', 1),
+                   '^\\s*([A-Z]{2})([^A-Za-z]|$)', 1) <> ''
+              then regexp_extract(regexp_extract(port, ',([^,]*)$', 1), '^\\s*([A-Z]{2})([^A-Za-z]|$)', 1)
+         end as state_code
+  from ports)
+select port_code, city, state_code, state from split join states using (state_code)
+""")
+def place_dim_strict(spark, sf):
+    return _code_tables(spark, sf, "strict")[1]
+
+
+@query("country_codes", """
+select n_nationkey as country_code, n_name as country from nation
+""")
+def country_codes(spark, sf):
+    return _code_tables(spark, sf, "reference")[0]
+
+
+@query("travel_modes", """
+select distinct cast(substring(o_orderpriority, 1, 1) as integer) as travel_mode_code,
+       substring(o_orderpriority, 3) as travel_mode
+from orders
+""")
+def travel_modes(spark, sf):
+    return _code_tables(spark, sf, "reference")[2]
+
+
+_ARRIVALS_SQL = """
+with a as (
+  select cast(l_orderkey * 8 + l_linenumber as double) as cicid,
+         l_shipdate, l_returnflag, l_linestatus, l_suppkey, l_partkey, l_linenumber, l_quantity,
+         date '1960-01-01' + cast(floor(cast(date_diff('day', date '1960-01-01', cast(l_shipdate as date)) as double)
+             + l_discount) as integer) as arrival_date
+  from lineitem where l_returnflag = 'N')
+"""
+
+
+@query("fact_build", _ARRIVALS_SQL + """
+select cast(cicid as bigint) as cicid, cast(year(l_shipdate) as integer) as arrival_year,
+       cast(month(l_shipdate) as integer) as arrival_month, arrival_date,
+       l_returnflag || l_linestatus as arrival_port_code,
+       cast(l_suppkey as integer) as visitor_birth_country,
+       cast(l_partkey as integer) as visitor_residence_country,
+       cast(trunc(l_quantity) as integer) as visitor_age, l_linestatus as visitor_gender,
+       cast(l_linenumber as integer) as travel_mode_code,
+       'C' || cast(l_suppkey % 10 as varchar) as travel_airline,
+       'B' || cast(l_linenumber as varchar) as travel_visa_type
+from a
+qualify row_number() over (partition by cicid order by
+  arrival_year nulls last, arrival_month nulls last, arrival_date nulls last,
+  arrival_port_code nulls last, visitor_birth_country nulls last,
+  visitor_residence_country nulls last, visitor_age nulls last, visitor_gender nulls last,
+  travel_mode_code nulls last, travel_airline nulls last, travel_visa_type nulls last) = 1
+""")
+def fact_build(spark, sf):
+    arrivals = AD.arrivals_from_lineitem(_t(spark, sf, "lineitem"))
+    return PL.arrival_tables(arrivals)[1]
+
+
+@query("arrival_dates", _ARRIVALS_SQL + """
+select d as arrival_date, cast(day(d) as integer) as day, cast(week(d) as integer) as week,
+       cast(month(d) as integer) as month, cast(year(d) as integer) as year,
+       cast(quarter(d) as integer) as quarter
+from (select distinct arrival_date as d from a)
+""")
+def arrival_dates(spark, sf):
+    arrivals = AD.arrivals_from_lineitem(_t(spark, sf, "lineitem"))
+    return PL.arrival_tables(arrivals)[0]
+
+
+# ===================================================================== G1-G4: analyses
+
+_ORDERS_CUST_SQL = """
+from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+"""
+
+
+def _orders_customers(spark, sf) -> DataFrame:
+    o = _t(spark, sf, "orders")
+    c = _t(spark, sf, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    n = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return enrich(o, [(c, "o_custkey", None), (n, "c_nationkey", CODE_ROWS)], how="inner")
+
+
+@query("corr_by_group", f"""
+select n_name, count(*) filter (where o_totalprice is not null and c_acctbal is not null) as n_pairs,
+       round(corr(o_totalprice, c_acctbal), 6) as corr
+{_ORDERS_CUST_SQL} group by n_name
+""")
+def corr_by_group(spark, sf):
+    return AN.corr_by(_orders_customers(spark, sf), ["n_name"], "o_totalprice", "c_acctbal")
+
+
+_BAL_EDGES = [0, 2500, 5000, 7500]
+_BAL_BANDS = ["below_0", "from_0", "from_2500", "from_5000", "from_7500"]
+
+
+@query("profile_by_place", f"""
+with t as (select n_name, o_orderpriority,
+             case when c_acctbal is null then 'unknown' when c_acctbal < 0 then 'below_0'
+                  when c_acctbal < 2500 then 'from_0' when c_acctbal < 5000 then 'from_2500'
+                  when c_acctbal < 7500 then 'from_5000' else 'from_7500' end as band
+           {_ORDERS_CUST_SQL}),
+c as (select n_name, count(*) as orders,
+        {', '.join(f"count(*) filter (where band = '{b}') as {b}" for b in _BAL_BANDS + ['unknown'])}
+      from t group by n_name),
+p as (select n_name, o_orderpriority as top_o_orderpriority, count(*) as top_o_orderpriority_n
+      from t where o_orderpriority is not null group by n_name, o_orderpriority
+      qualify row_number() over (partition by n_name order by count(*) desc, o_orderpriority) = 1)
+select c.*, p.top_o_orderpriority, p.top_o_orderpriority_n from c left join p using (n_name)
+""")
+def profile_by_place(spark, sf):
+    t = _orders_customers(spark, sf).withColumn(
+        "band", AN.band(F.col("c_acctbal"), _BAL_EDGES, _BAL_BANDS))
+    return AN.profile_by(t, ["n_name"], "band", _BAL_BANDS + ["unknown"], "o_orderpriority",
+                         total_alias="orders")
+
+
+@query("trend_weekly", """
+select cast(isoyear(o_orderdate) as integer) as year, cast(week(o_orderdate) as integer) as week,
+       count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total
+from orders group by all
+""")
+def trend_weekly(spark, sf):
+    return AN.trend(_t(spark, sf, "orders"), "o_orderdate", "week", "o_totalprice")
+
+
+@query("trend_quarterly", """
+select cast(year(o_orderdate) as integer) as year, cast(quarter(o_orderdate) as integer) as quarter,
+       count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total
+from orders group by all
+""")
+def trend_quarterly(spark, sf):
+    return AN.trend(_t(spark, sf, "orders"), "o_orderdate", "quarter", "o_totalprice")
+
+
+@query("trend_rollup", """
+select year, quarter, month, count(*) as n,
+       cast(grouping_id(year, quarter, month) as integer) as level,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total
+from (select cast(year(o_orderdate) as integer) as year, cast(quarter(o_orderdate) as integer) as quarter,
+             cast(month(o_orderdate) as integer) as month, o_totalprice from orders)
+group by rollup (year, quarter, month)
+""")
+def trend_rollup(spark, sf):
+    return AN.trend_rollup(_t(spark, sf, "orders"), "o_orderdate", "o_totalprice")
