@@ -24,7 +24,8 @@ def sas_date(day_number: str | Column) -> Column:
     A fraction keeps the day it starts in (floor), so -0.5 is 1959-12-31.  Null, NaN or an
     out-of-range number gives null.
     """
-    days = F.floor(_c(day_number)).try_cast("int")
+    x = _c(day_number).cast("double")
+    days = F.when(~F.isnan(x), F.floor(x)).try_cast("int")  # floor(NaN) would be 0
     return F.date_add(F.lit(SAS_EPOCH).cast("date"), days)
 
 

@@ -223,4 +223,12 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, home: str = HOME_CO
 
 
 def read_star(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(p) for name, p in paths.items()}
+    """Read written tables back with their declared schemas (partition columns last), so an
+    empty table still has its columns."""
+    out = {}
+    for name, p in paths.items():
+        schema, _, parts = TB.STAR[name]
+        fields = [f for f in schema.fields if f.name not in parts] + \
+                 [schema[c] for c in parts]
+        out[name] = spark.read.schema(T.StructType(fields)).parquet(p)
+    return out

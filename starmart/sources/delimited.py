@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.clean import col
+
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
                    header: bool = True) -> DataFrame:
-    """Read comma- or semicolon-separated text with a declared schema (never inferred).
+    """Read comma- or semicolon-separated text and return exactly the declared columns.
 
-    With ``header`` the first line is skipped and columns are matched by position to
-    ``schema``; names with blanks (``Median Age``) stay as written.  Malformed rows keep
-    nulls (``PERMISSIVE``); typing is left to :func:`starmart.operators.clean.project`.
+    With ``header`` the columns are matched **by name** (files may hold more columns, in any
+    order; names with blanks such as ``Median Age`` stay as written) and every value is read as
+    text, then cast to the declared type.  Without a header the schema applies by position.
+    Nothing is inferred from the data; malformed rows keep nulls (``PERMISSIVE``), and typing
+    beyond text is left to :func:`starmart.operators.clean.project` (``try_cast``).  The CSV
+    reader prunes the columns that are not selected.
     """
-    return (spark.read.schema(schema)
-            .option("header", header)
-            .option("sep", sep)
-            .option("mode", "PERMISSIVE")
-            .option("enforceSchema", True)
-            .csv(path))
+    reader = spark.read.option("sep", sep).option("mode", "PERMISSIVE")
+    if not header:
+        return reader.schema(schema).option("header", False).csv(path)
+    text = reader.option("header", True).option("inferSchema", False).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in text.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return text.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
