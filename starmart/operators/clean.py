@@ -88,17 +88,25 @@ def dedupe(df: DataFrame, keys: Sequence[str],
     lead_asc = order[0][1] if order else True
     spec = order + [(c, lead_asc) for c in rest]
     types = {f.name: f.dataType for f in df.schema.fields}
-    fields = []
+    fields, source = [], {}
     for i, (name, asc) in enumerate(spec):
         c = col(name)
         # nulls last in both directions: min prefers isNull=false, max prefers isNotNull=true
         flag = c.isNull() if lead_asc else c.isNotNull()
-        key = c if asc == lead_asc else _descending_key(c, types[name])
+        if asc == lead_asc:
+            key = c
+            source[name] = f"_k{i}"          # the sort key is the value itself
+        else:
+            key = _descending_key(c, types[name])
         fields += [flag.alias(f"_n{i}"), key.alias(f"_k{i}")]
-    payload = F.struct(*[col(c).alias(c) for c in others]).alias("_row")
-    best = F.struct(*fields, payload)
+    # only transformed columns travel a second time, as raw values
+    extra = [c for c in others if c not in source]
+    for j, name in enumerate(extra):
+        fields.append(col(name).alias(f"_v{j}"))
+        source[name] = f"_v{j}"
+    best = F.struct(*fields)
     agg = F.min(best) if lead_asc else F.max(best)
     picked = df.groupBy(*[col(k) for k in keys]).agg(agg.alias("_best"))
     return picked.select(*[col(k) for k in keys],
-                         *[F.col("_best._row").getField(c).alias(c) for c in others]
+                         *[F.col("_best").getField(source[c]).alias(c) for c in others]
                          ).select(*[col(c) for c in df.columns])

@@ -8,16 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: default bound for broadcasting a dimension; code lists hold hundreds of rows
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 100_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops each task after ``max_rows + 1`` rows, so the check
-    costs little even when the answer is no.
+    A constant column limited to ``max_rows + 1`` rows is collected: Spark answers a collected
+    limit incrementally (one partition first, then more only if needed), so a large table
+    costs about one partition read, the scan reads no column data, and the driver receives at
+    most ``max_rows + 1`` one-integer rows.  (``limit(n).count()`` would instead let every
+    partition read up to ``n`` rows.)
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    probe = df.select(F.lit(1).alias("_one")).limit(max_rows + 1)
+    return len(probe.collect()) <= max_rows
 
 
 def small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

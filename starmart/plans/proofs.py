@@ -861,3 +861,55 @@ group by rollup (year, quarter, month)
 """)
 def trend_rollup(spark, sf):
     return AN.trend_rollup(_t(spark, sf, "orders"), "o_orderdate", "o_totalprice")
+
+
+@query("trend_monthly", """
+select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month,
+       count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total
+from orders group by all
+""")
+def trend_monthly(spark, sf):
+    return AN.trend(_t(spark, sf, "orders"), "o_orderdate", "month", "o_totalprice")
+
+
+# ===================================================================== C5: the whole job
+
+def _star_build_sql() -> str:
+    """Row counts of the eight tables from the oracles of the single builds."""
+    sources = [
+        ("fact_i94_us_visitor_arrivals_table", "fact_build"),
+        ("dim_date_table", "arrival_dates"),
+        ("dim_temperatures_us_cities_table", "temperature_dim"),
+        ("dim_temperatures_countries_table", "temperature_dim_country"),
+        ("dim_cities_demographic_table", "demographic_dim"),
+        ("dim_i94_country_table", "country_codes"),
+        ("dim_i94_port_table", "place_dim"),
+        ("dim_i94_travel_mode_table", "travel_modes"),
+    ]
+    parts = [f"select '{t}' as \"table\", (select count(*) from ({ORACLE[q]})) as rows"
+             for t, q in sources]
+    return (f"select \"table\", rows, cast(0 as bigint) as null_keys, "
+            f"cast(0 as bigint) as duplicate_keys, rows > 0 as ok from ("
+            + "\nunion all\n".join(parts) + ")")
+
+
+@query("star_build", _star_build_sql())
+def star_build(spark, sf):
+    """C5 end to end: the driver tables are rendered into the four raw inputs (temperature CSV,
+    semicolon demographics CSV, label files, arrivals Parquet), ``build_all`` writes the eight
+    tables, and the quality report runs over the tables read back."""
+    base = scratch_path(spark, "star-inputs")
+    customer, nation = _t(spark, sf, "customer"), _t(spark, sf, "nation")
+    temps = AD.temperature_raw(_t(spark, sf, "events"), customer, nation)
+    write_delimited(temps, f"{base}/temperatures", sep=",")
+    demo = AD.demographics_raw(customer, nation, _t(spark, sf, "orders"))
+    write_delimited(demo, f"{base}/demographics", sep=";")
+    AD.write_label_files(f"{base}/labels", customer, nation, _t(spark, sf, "region"),
+                         _t(spark, sf, "orders"))
+    write_table(AD.arrivals_from_lineitem(_t(spark, sf, "lineitem")), f"{base}/arrivals")
+    out = scratch_path(spark, "star")
+    paths = PL.build_all(spark, PL.Inputs(f"{base}/arrivals", f"{base}/temperatures",
+                                          f"{base}/demographics", f"{base}/labels"),
+                         out, home=_TEMP_HOME)
+    star = PL.read_star(spark, paths)
+    return check_tables({n: (df, TB.STAR[n][1]) for n, df in star.items()})
