@@ -161,10 +161,14 @@ def date_table(arrivals: DataFrame) -> DataFrame:
 
 
 def fact_table(arrivals: DataFrame) -> DataFrame:
-    """Fact table: one row per ``cicid`` with typed, renamed columns."""
+    """Fact table: one row per ``cicid`` with typed, renamed columns.
+
+    Record ids are nearly unique, so the de-duplication shuffles only the ids and aggregates
+    only the rows of repeated ids (``dedupe(strategy="keys")``).
+    """
     a = require(arrivals, ["cicid", "i94res", "i94port", "arrival_date", "i94mode"])
     fact = project(a, TB.FACT_ARRIVALS, FACT_MAPPING)
-    return dedupe(require(fact, ["cicid"]), ["cicid"])
+    return dedupe(require(fact, ["cicid"]), ["cicid"], strategy="keys")
 
 
 def arrival_tables(arrivals: DataFrame, visa: float = PLEASURE_VISA

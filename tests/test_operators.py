@@ -51,6 +51,17 @@ def test_dedupe_is_deterministic(spark, parts):
     assert got == sorted(e[1] for e in expect.values())
 
 
+@pytest.mark.parametrize("max_dup", [0, 1000])
+def test_dedupe_key_strategy_equals_aggregate(spark, max_dup):
+    rows = [(k if k % 10 else k // 10 % 3, None if k == 5 else k % 7, f"v{k % 4}") for k in range(300)]
+    rows += [(None, 1, "a"), (None, 0, "b")]
+    df = spark.createDataFrame(rows, "k int, a int, s string").repartition(3)
+    plain = sorted(map(tuple, dedupe(df, ["k"]).collect()), key=str)
+    fast = sorted(map(tuple, dedupe(df, ["k"], strategy="keys", max_dup_keys=max_dup).collect()),
+                  key=str)
+    assert fast == plain
+
+
 def test_dedupe_descending_time_then_key(spark):
     ts = dt.datetime
     rows = [(1, 10, ts(2020, 1, 1, 5)), (1, 11, ts(2020, 1, 1, 5)), (1, 9, ts(2019, 1, 1)),
