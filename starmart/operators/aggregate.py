@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .clean import col, quote
+from .clean import col
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, scale: int = 0,
@@ -28,12 +28,16 @@ def pivot_first(df: DataFrame, keys: Sequence[str], on: str, values: Sequence[st
                 cast: str | None = None) -> DataFrame:
     """One row per ``keys`` and one column per listed ``values`` of ``on`` holding ``value``.
 
-    The value list is given, so Spark plans a single aggregate without a job to discover the
-    distinct values.  ``min`` replaces ``first``: equal when (keys, on) is unique, and
+    The value list is given, so no job runs to discover the distinct values, and the pivot is
+    written as one conditional ``min`` per value: a single aggregate with one shuffle on
+    ``keys``, combined map-side (``DataFrame.pivot`` would aggregate by ``keys`` + ``on`` first
+    and shuffle twice).  ``min`` replaces ``first``: equal when (keys, on) is unique, and
     deterministic otherwise.
     """
     v = col(value) if cast is None else col(value).try_cast(cast)
-    return df.groupBy(*[col(k) for k in keys]).pivot(quote(on), list(values)).agg(F.min(v))
+    piv = col(on)
+    return df.groupBy(*[col(k) for k in keys]).agg(
+        *[F.min(F.when(piv == F.lit(x), v)).alias(str(x)) for x in values])
 
 
 def count_by(df: DataFrame, keys: Sequence[str], alias: str = "n") -> DataFrame:

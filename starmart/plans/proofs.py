@@ -14,17 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import tables as TB
-from ..functions.dates import calendar_parts, sas_date, sas_day_number, year_month
+from ..functions.dates import sas_date, sas_day_number, year_month
 from ..functions.text import part, split_place
 from ..operators import aggregate as AG
 from ..operators.clean import col, dedupe, project, require
-from ..operators.lookup import enrich, orphans, resolve, small
+from ..operators.lookup import enrich, orphans, resolve
 from ..operators.quality import check_tables
 from ..session import scratch_path
 from ..sources import labels as LB
 from ..sources.arrivals import read_arrivals
 from ..sources.delimited import read_delimited, write_delimited
-from ..sources.driver import TABLES, table
+from ..sources.driver import table
 from ..sources.parquet import read_table, write_table
 from ..streaming.refresh import refresh_from_landing
 from . import adapters as AD

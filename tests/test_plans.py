@@ -47,3 +47,17 @@ def test_mean_is_partial_then_final(spark):
 def test_dimension_join_is_broadcast(spark):
     plan = _plan(E.queries()["lookup_inner"](spark, SF))
     assert "BroadcastHashJoin" in plan
+
+
+def _exchanges(df):
+    return _plan(df).count("Exchange hashpartitioning")
+
+
+def test_pivot_is_one_shuffle(spark):
+    assert _exchanges(E.queries()["pivot_first"](spark, SF)) == 1
+
+
+def test_fact_dedupe_shuffles_only_repeated_ids(spark):
+    plan = _plan(E.queries()["fact_build"](spark, SF))
+    # unique ids: scan + broadcast join of the repeated ids, no exchange; one exchange for the rest
+    assert "Union" in plan and plan.count("Exchange hashpartitioning") == 1
