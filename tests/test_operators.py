@@ -156,3 +156,13 @@ def test_split_place_modes(spark):
     strict = [tuple(r) for r in df.select(*split_place("p", "strict").values()).collect()]
     assert strict == [("ANCHORAGE", "AK"), (None, None), ("PACIFIC, HWY. STATION", "CA"),
                       ("CALGARY", None), ("NAPLES", "FL"), (None, None)]
+
+
+def test_scale_conf_sizes_partitions():
+    from starmart.session import scale_conf
+
+    conf = scale_conf(100 * 1024 ** 4, executor_memory_gb=16, executor_cores=4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000          # capped
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
+    small_mem = scale_conf(10 * 1024 ** 3, executor_memory_gb=2, executor_cores=8)
+    assert int(small_mem["spark.sql.files.maxPartitionBytes"]) <= 64 * 1024 ** 2

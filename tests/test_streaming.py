@@ -34,3 +34,14 @@ def test_dynamic_overwrite_keeps_other_partitions(spark, scratch):
     assert sorted(r.id for r in read_table(spark, path).collect()) == [1, 3]
     write_table(spark.createDataFrame([(9, 9, 2017, 5)], SCHEMA), path, partition_by=["year", "month"])
     assert sorted(r.id for r in read_table(spark, path).collect()) == [9]   # static: all replaced
+
+
+def test_refresh_restart_without_new_files_changes_nothing(spark, scratch):
+    landing, target, ckpt = scratch("landing"), scratch("target"), scratch("ckpt")
+    df = spark.createDataFrame([(1, 10, 2016, 1), (2, 20, 2016, 2)], SCHEMA)
+    write_table(df, landing, partition_by=["year", "month"], mode="append")
+    refresh_from_landing(spark, landing, df.schema, target, ckpt, ["year", "month"])
+    first = sorted(map(tuple, read_table(spark, target).collect()))
+    # a restart of the same query (same checkpoint) finds no new files and writes nothing
+    refresh_from_landing(spark, landing, df.schema, target, ckpt, ["year", "month"])
+    assert sorted(map(tuple, read_table(spark, target).collect())) == first
