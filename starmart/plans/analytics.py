@@ -7,7 +7,7 @@ are broadcast only after a size check; joins between growing tables are left to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,18 +57,23 @@ def top_value(df: DataFrame, keys: Sequence[str], of: str, alias: str = "top",
 
 
 def profile_by(df: DataFrame, place: Sequence[str], category: str, categories: Sequence[str],
-               top: str, total_alias: str = "arrivals") -> DataFrame:
-    """Per place: total rows, one count column per listed ``categories`` of ``category`` and
-    the most frequent ``top`` value.
-
-    Totals and category counts come from one aggregate of conditional counts (a listed-value
-    pivot written out); the top value needs a second, finer aggregate.  The two per-place
+               top: str, total_alias: str = "arrivals",
+               extra: Mapping[str, Sequence] | None = None) -> DataFrame:
+    """Per place: total rows, one count column per listed ``categories`` of ``category`` (named
+    by the value), one count column ``<column>_<value>`` per listed value of each ``extra``
+    column, and the most frequent ``top`` value.
+
+    Totals and all category counts come from one aggregate of conditional counts (listed-value
+    pivots written out); the top value needs a second, finer aggregate.  The two per-place
     results are joined.
     """
     cat = col(category)
+    counts_by = [F.count(F.when(cat == F.lit(c), 1)).alias(c) for c in categories]
+    for name, values in (extra or {}).items():
+        counts_by += [F.count(F.when(col(name) == F.lit(v), 1)).alias(f"{name}_{v}")
+                      for v in values]
     counts = df.groupBy(*[col(p) for p in place]).agg(
-        F.count(F.lit(1)).alias(total_alias),
-        *[F.count(F.when(cat == F.lit(c), 1)).alias(c) for c in categories])
+        F.count(F.lit(1)).alias(total_alias), *counts_by)
     tops = top_value(df, place, top, alias=f"top_{top}", count_alias=f"top_{top}_n")
     return counts.join(tops, list(place), "left")
 
@@ -120,22 +125,36 @@ def arrivals_by_city(fact: DataFrame, port: DataFrame, max_ports: int = 100_000)
     return fact.join(small(p, max_ports), "arrival_port_code", "inner")
 
 
+#: gender and travel-mode values counted in the visitor profile (fixed code values)
+GENDERS = ["F", "M"]
+TRAVEL_MODES = [1, 2, 3, 9]
+
+
 def visitor_profile(fact: DataFrame, port: DataFrame) -> DataFrame:
-    """G3: per city and state, arrivals by age band and the most frequent residence country."""
+    """G3: per city and state, arrivals by age band, gender and travel mode, and the most
+    frequent residence country."""
     f = arrivals_by_city(fact, port).withColumn(
         "age_band", band(F.col("visitor_age"), AGE_EDGES, AGE_BANDS))
     return profile_by(f, ["city", "state_code"], "age_band", AGE_BANDS + ["unknown"],
-                      "visitor_residence_country")
+                      "visitor_residence_country",
+                      extra={"visitor_gender": GENDERS, "travel_mode_code": TRAVEL_MODES})
 
 
 def temperature_correlation(fact: DataFrame, port: DataFrame, country: DataFrame,
                             city_temp: DataFrame, country_temp: DataFrame,
-                            max_dim_rows: int = 100_000) -> DataFrame:
+                            max_dim_rows: int = 100_000, climatology: bool = False
+                            ) -> DataFrame:
     """G1: per US city, correlation between its monthly temperature and the temperature of the
     visitors' residence countries, over (country, year, month) rows weighted once each.
 
-    Place names are joined on ``upper(trim(name))`` because the sources spell them differently.
+    ``climatology=True`` first averages each place's temperature per calendar month over all
+    years and joins on the month only: use it when the temperature records do not cover the
+    arrival years.  Place names are joined on ``upper(trim(name))`` because the sources spell
+    them differently.
     """
+    if climatology:
+        city_temp = _climatology(city_temp, "city")
+        country_temp = _climatology(country_temp, "country")
     f = arrivals_by_city(fact, port, max_dim_rows)
     names = country.select(F.col("country_code").alias("visitor_residence_country"),
                             join_key("country").alias("_country"))
@@ -147,13 +166,22 @@ def temperature_correlation(fact: DataFrame, port: DataFrame, country: DataFrame
                           F.col("average_temperature").alias("city_temperature"))
     kt = country_temp.select("year", "month", join_key("country").alias("_country"),
                              F.col("average_temperature").alias("country_temperature"))
-    rows = per.join(ct, ["_city", "year", "month"]).join(kt, ["_country", "year", "month"])
+    when = ["month"] if climatology else ["year", "month"]
+    rows = per.join(ct.drop("year") if climatology else ct, ["_city", *when]) \
+              .join(kt.drop("year") if climatology else kt, ["_country", *when])
     rows = rows.withColumn("city_temperature", F.col("city_temperature").cast("double")) \
                .withColumn("country_temperature", F.col("country_temperature").cast("double"))
     return corr_by(rows.withColumnRenamed("_city", "city"), ["city"], "city_temperature",
                    "country_temperature")
 
 
+def _climatology(temp: DataFrame, place: str) -> DataFrame:
+    """Mean temperature per (place, calendar month) over all years (``year`` kept as null)."""
+    return (temp.groupBy(place, "month")
+                .agg(F.avg("average_temperature").cast("decimal(6,2)").alias("average_temperature"))
+                .withColumn("year", F.lit(None).cast("int")))
+
+
 def demography_correlation(fact: DataFrame, port: DataFrame, demo: DataFrame,
                            groups: Sequence[str] = ("asian", "black_or_africanamerican",
                                                     "hispanic_or_latino", "white",

@@ -813,13 +813,14 @@ _BAL_BANDS = ["below_0", "from_0", "from_2500", "from_5000", "from_7500"]
 
 
 @query("profile_by_place", f"""
-with t as (select n_name, o_orderpriority,
+with t as (select n_name, o_orderpriority, o_orderstatus,
              case when c_acctbal is null then 'unknown' when c_acctbal < 0 then 'below_0'
                   when c_acctbal < 2500 then 'from_0' when c_acctbal < 5000 then 'from_2500'
                   when c_acctbal < 7500 then 'from_5000' else 'from_7500' end as band
            {_ORDERS_CUST_SQL}),
 c as (select n_name, count(*) as orders,
-        {', '.join(f"count(*) filter (where band = '{b}') as {b}" for b in _BAL_BANDS + ['unknown'])}
+        {', '.join(f"count(*) filter (where band = '{b}') as {b}" for b in _BAL_BANDS + ['unknown'])},
+        {', '.join(f"count(*) filter (where o_orderstatus = '{v}') as o_orderstatus_{v}" for v in 'FOP')}
       from t group by n_name),
 p as (select n_name, o_orderpriority as top_o_orderpriority, count(*) as top_o_orderpriority_n
       from t where o_orderpriority is not null group by n_name, o_orderpriority
@@ -830,7 +831,7 @@ def profile_by_place(spark, sf):
     t = _orders_customers(spark, sf).withColumn(
         "band", AN.band(F.col("c_acctbal"), _BAL_EDGES, _BAL_BANDS))
     return AN.profile_by(t, ["n_name"], "band", _BAL_BANDS + ["unknown"], "o_orderpriority",
-                         total_alias="orders")
+                         total_alias="orders", extra={"o_orderstatus": ["F", "O", "P"]})
 
 
 @query("trend_weekly", """

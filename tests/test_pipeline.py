@@ -81,6 +81,7 @@ def test_visitor_profile(star):
     assert a["0-17"] == sum(x is not None and x < 18 for x in ages)
     assert a["55+"] == sum(x is not None and x >= 55 for x in ages)
     assert a.top_visitor_residence_country == 101       # even i only at ALC -> all 101
+    assert (a.visitor_gender_F, a.visitor_gender_M, a.travel_mode_code_1) == (20, 0, 20)
 
 
 def test_trends(star):
@@ -113,3 +114,29 @@ def test_demography_correlation_runs(star):
                                     star["dim_i94_port_table"], star["dim_cities_demographic_table"])
     rows = {r.visitor_birth_country: r for r in out.collect()}
     assert rows[236].cities == 1         # only INTL FALLS, MN is in the demographics
+
+
+def test_temperature_correlation_climatology(spark):
+    # temperatures from other years than the arrivals: only the month-of-year climatology joins
+    fact = spark.createDataFrame(
+        [(i, 2016, m, "P1", 100 + i % 2) for i, m in enumerate([1, 1, 2, 2, 3, 3])],
+        "cicid long, arrival_year int, arrival_month int, arrival_port_code string, "
+        "visitor_residence_country int")
+    port = spark.createDataFrame([("P1", "Town", "AK")], "port_code string, city string, state_code string")
+    country = spark.createDataFrame([(100, "Aland"), (101, "Bland")], "country_code int, country string")
+    city_t = spark.createDataFrame([(y, m, "town", float(m * 10 + y % 2)) for y in (2012, 2013) for m in (1, 2, 3)],
+                                   "year int, month int, city string, average_temperature double")
+    country_t = spark.createDataFrame(
+        [(y, m, c, float(m * k)) for y in (2012, 2013) for m in (1, 2, 3) for c, k in (("ALAND", 2), ("Bland", -1))],
+        "year int, month int, country string, average_temperature double")
+    exact = AN.temperature_correlation(fact, port, country, city_t, country_t)
+    assert exact.count() == 0
+    clim = {r.city: r for r in AN.temperature_correlation(fact, port, country, city_t, country_t,
+                                                          climatology=True).collect()}
+    # rows per (country, month): city 10.5/20.5/30.5 against 2m (Aland) and -m (Bland)
+    xs = [10.5, 20.5, 30.5] * 2
+    ys = [2.0, 4.0, 6.0, -1.0, -2.0, -3.0]
+    mx, my = sum(xs) / 6, sum(ys) / 6
+    cov = sum((x - mx) * (y - my) for x, y in zip(xs, ys))
+    corr = cov / (sum((x - mx) ** 2 for x in xs) ** 0.5 * sum((y - my) ** 2 for y in ys) ** 0.5)
+    assert clim["TOWN"].n_pairs == 6 and clim["TOWN"].corr == round(corr, 6)
