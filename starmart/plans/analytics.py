@@ -193,7 +193,8 @@ def demography_correlation(fact: DataFrame, port: DataFrame, demo: DataFrame,
     per = (f.groupBy("visitor_birth_country", join_key("city").alias("_city"), "state_code")
              .agg(F.count(F.lit(1)).alias("arrivals")))
     d = demo.select(join_key("city").alias("_city"), "state_code",
-                    *[(F.col(g) / F.col("total_population")).alias(f"{g}_share") for g in groups])
+                    *[F.try_divide(F.col(g), F.col("total_population")).alias(f"{g}_share")
+                      for g in groups])
     rows = per.join(d, ["_city", "state_code"], "inner")
     aggs = [F.count(F.lit(1)).alias("cities")]
     aggs += [F.round(F.corr(F.col("arrivals").cast("double"), F.col(f"{g}_share")), 6)

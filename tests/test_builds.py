@@ -109,3 +109,18 @@ def test_arrivals_fact_and_dates(spark):
     assert len(d) == 5
     assert (d[dt.date(2016, 1, 1)].week, d[dt.date(2016, 1, 1)].year) == (53, 2016)
     assert d[dt.date(2016, 4, 30)].quarter == 2
+
+
+def test_arrivals_csv_extract_matched_by_name(spark, tmp_path):
+    from starmart.sources.arrivals import read_arrivals
+
+    # extra and reordered columns, as a real extract may have them
+    (tmp_path / "a.csv").write_text(
+        "i94port,cicid,depdate,i94yr,i94mon,i94cit,i94res,arrdate,i94mode,i94bir,i94visa,gender,airline,visatype\n"
+        "NYC,7,20550,2016,4,101,236,20545,1,30,2,F,AA,B2\n"
+        "LAX,8,,2016,4,101,x,20546,1,31,2,M,UA,B2\n")
+    a = read_arrivals(spark, str(tmp_path / "a.csv"), fmt="csv")
+    assert [(f.name, f.dataType) for f in a.schema.fields] == [(f.name, f.dataType) for f in TB.ARRIVALS.fields]
+    rows = {r.cicid: r for r in a.collect()}
+    assert rows[7.0].i94port == "NYC" and rows[7.0].i94res == 236.0 and rows[7.0].arrdate == 20545.0
+    assert rows[8.0].i94res is None
