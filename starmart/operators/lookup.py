@@ -52,7 +52,11 @@ def enrich(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str],
            how: str = "left") -> DataFrame:
     """Chain of dimension joins around a fact table: ``(dim, key, max_rows)`` each.  A dimension
     with ``max_rows`` is broadcast when it passes the size check; ``None`` means the dimension
-    grows with the data and is joined by shuffle."""
+    grows with the data and is joined by shuffle.
+
+    Joins run in the order given (Catalyst does not reorder them without cost statistics): to
+    snowflake a large fact, enrich the intermediate table first (``enrich(orders, [customer,
+    nation])``) and join the fact to it once, so the fact is shuffled once."""
     out = fact
     for dim, key, max_rows in dims:
         out = resolve(out, dim, key, how=how, max_dim_rows=max_rows)

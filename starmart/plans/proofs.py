@@ -343,9 +343,12 @@ def star_enrich(spark, sf):
     c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name",
                                          "c_nationkey")
     n = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    # orders and customers grow with the data: shuffle joins (AQE may still broadcast);
-    # the nation code list passes the size check and is broadcast
-    j = enrich(li, [(o, "l_orderkey", None), (c, "o_custkey", None), (n, "c_nationkey", CODE_ROWS)])
+    # Orders are enriched first (orders-sized shuffle by customer key), so the much larger
+    # line items are shuffled once, by order key.  Same result as the left-deep chain because
+    # the customer join only references orders.  Orders and customers grow with the data:
+    # shuffle joins (AQE may still broadcast); the nation code list is checked and broadcast.
+    oc = enrich(o, [(c, "o_custkey", None), (n, "c_nationkey", CODE_ROWS)])
+    j = enrich(li, [(oc, "l_orderkey", None)])
     return j.select("l_orderkey", "l_linenumber", "order_date", "c_name", "n_name")
 
 

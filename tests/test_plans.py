@@ -61,3 +61,19 @@ def test_fact_dedupe_shuffles_only_repeated_ids(spark):
     plan = _plan(E.queries()["fact_build"](spark, SF))
     # unique ids: scan + broadcast join of the repeated ids, no exchange; one exchange for the rest
     assert "Union" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_star_enrich_shuffles_line_items_once(spark):
+    # simulate scale: no size-based broadcasts; only the checked code list keeps its hint
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(E.queries()["star_enrich"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("Exchange hashpartitioning") == 4     # lineitem 1, orders 2, customer 1
+    assert "BroadcastHashJoin" in plan                      # nation
