@@ -110,9 +110,7 @@ def arrivals_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
     The day number adds the discount as a fraction of a day, which must be floored away.
     """
-    visa = F.lit(None).cast("double")
-    for flag, code in FLAG_VISA.items():
-        visa = F.when(F.col("l_returnflag") == flag, F.lit(code)).otherwise(visa)
+    visa = _visa()
     return lineitem.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("double").alias("cicid"),
         F.year("l_shipdate").cast("double").alias("i94yr"),
@@ -128,3 +126,38 @@ def arrivals_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.concat(F.lit("C"), (F.col("l_suppkey") % 10).cast("string")).alias("airline"),
         F.concat(F.lit("B"), F.col("l_linenumber").cast("string")).alias("visatype"),
     )
+
+
+def arrivals_with_ports(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Arrivals records whose codes join the dimensions rendered by :func:`write_label_files`:
+    the port is the ordering customer's port (``P<custkey>``), the residence country is the
+    customer's nation, the birth country a nation from the supplier key.  Line numbers map to
+    travel modes (1-2 air, 3-4 sea, 5-6 land, 7 not reported) and line status to gender."""
+    # orders get their customer's nation first, so line items are shuffled once (by order key)
+    c = customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    oc = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(c, "o_custkey")
+    li = lineitem.join(oc, "l_orderkey")
+    ln = F.col("l_linenumber")
+    mode = (F.when(ln <= 2, 1.0).when(ln <= 4, 2.0).when(ln <= 6, 3.0).otherwise(9.0))
+    return li.select(
+        (F.col("l_orderkey") * 8 + ln).cast("double").alias("cicid"),
+        F.year("l_shipdate").cast("double").alias("i94yr"),
+        F.month("l_shipdate").cast("double").alias("i94mon"),
+        (F.col("l_suppkey") % 25).cast("double").alias("i94cit"),
+        F.col("c_nationkey").cast("double").alias("i94res"),
+        F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("i94port"),
+        (sas_day_number("l_shipdate").cast("double") + F.col("l_discount")).alias("arrdate"),
+        mode.alias("i94mode"),
+        F.col("l_quantity").alias("i94bir"),
+        _visa().alias("i94visa"),
+        F.when(F.col("l_linestatus") == "F", F.lit("F")).otherwise(F.lit("M")).alias("gender"),
+        F.concat(F.lit("C"), (F.col("l_suppkey") % 10).cast("string")).alias("airline"),
+        F.concat(F.lit("B"), ln.cast("string")).alias("visatype"),
+    )
+
+
+def _visa() -> F.Column:
+    visa = F.lit(None).cast("double")
+    for flag, code in FLAG_VISA.items():
+        visa = F.when(F.col("l_returnflag") == flag, F.lit(code)).otherwise(visa)
+    return visa

@@ -917,3 +917,89 @@ def star_build(spark, sf):
                          out, home=_TEMP_HOME)
     star = PL.read_star(spark, paths)
     return check_tables({n: (df, TB.STAR[n][1]) for n, df in star.items()})
+
+
+# ===================================================================== G3 G4 on a built star
+
+_STAR_FACT_SQL = """
+with a as (
+  select cast(l_orderkey * 8 + l_linenumber as double) as cicid, l_shipdate, l_linenumber,
+         l_quantity, l_suppkey, l_linestatus, o_custkey, c_nationkey,
+         date '1960-01-01' + cast(floor(cast(date_diff('day', date '1960-01-01', cast(l_shipdate as date)) as double)
+             + l_discount) as integer) as arrival_date
+  from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
+  where l_returnflag = 'N'),
+fact as (
+  select cast(cicid as bigint) as cicid, cast(year(l_shipdate) as integer) as arrival_year,
+         cast(month(l_shipdate) as integer) as arrival_month, arrival_date,
+         'P' || cast(o_custkey as varchar) as arrival_port_code,
+         cast(l_suppkey % 25 as integer) as visitor_birth_country,
+         cast(c_nationkey as integer) as visitor_residence_country,
+         cast(trunc(l_quantity) as integer) as visitor_age,
+         case when l_linestatus = 'F' then 'F' else 'M' end as visitor_gender,
+         case when l_linenumber <= 2 then 1 when l_linenumber <= 4 then 2
+              when l_linenumber <= 6 then 3 else 9 end as travel_mode_code,
+         'C' || cast(l_suppkey % 10 as varchar) as travel_airline,
+         'B' || cast(l_linenumber as varchar) as travel_visa_type
+  from a
+  qualify row_number() over (partition by cicid order by
+    arrival_year nulls last, arrival_month nulls last, arrival_date nulls last,
+    arrival_port_code nulls last, visitor_birth_country nulls last,
+    visitor_residence_country nulls last, visitor_age nulls last, visitor_gender nulls last,
+    travel_mode_code nulls last, travel_airline nulls last, travel_visa_type nulls last) = 1)
+"""
+
+
+def _star_fact(spark, sf) -> DataFrame:
+    arrivals = AD.arrivals_with_ports(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"),
+                                      _t(spark, sf, "customer"))
+    return PL.fact_table(PL.pleasure_arrivals(arrivals))
+
+
+_PORT_DIM_SQL = _PORTS_SQL.strip()[len("with "):] + """,
+split as (select port_code, string_split(port, ',')[1] as city,
+                 substring(replace(string_split(port, ',')[2], ' ', ''), 1, 2) as state_code
+          from ports),
+port_dim as (select port_code, city, state_code, state from split join states using (state_code))
+"""
+
+
+@query("visitor_profile_star", _STAR_FACT_SQL + ", " + _PORT_DIM_SQL + """,
+f as (select fact.*, p.city, p.state_code from fact join port_dim p on fact.arrival_port_code = p.port_code),
+c as (select city, state_code, count(*) as arrivals,
+        count(*) filter (where visitor_age < 18) as "0-17",
+        count(*) filter (where visitor_age >= 18 and visitor_age < 35) as "18-34",
+        count(*) filter (where visitor_age >= 35 and visitor_age < 55) as "35-54",
+        count(*) filter (where visitor_age >= 55) as "55+",
+        count(*) filter (where visitor_age is null) as "unknown",
+        count(*) filter (where visitor_gender = 'F') as visitor_gender_F,
+        count(*) filter (where visitor_gender = 'M') as visitor_gender_M,
+        count(*) filter (where travel_mode_code = 1) as travel_mode_code_1,
+        count(*) filter (where travel_mode_code = 2) as travel_mode_code_2,
+        count(*) filter (where travel_mode_code = 3) as travel_mode_code_3,
+        count(*) filter (where travel_mode_code = 9) as travel_mode_code_9
+      from f group by city, state_code),
+t as (select city, state_code, visitor_residence_country as top_visitor_residence_country,
+             count(*) as top_visitor_residence_country_n
+      from f where visitor_residence_country is not null
+      group by city, state_code, visitor_residence_country
+      qualify row_number() over (partition by city, state_code
+                                 order by count(*) desc, visitor_residence_country) = 1)
+select c.*, t.top_visitor_residence_country, t.top_visitor_residence_country_n
+from c left join t using (city, state_code)
+""")
+def visitor_profile_star(spark, sf):
+    """G3 on a star built from the tables: fact (line items of pleasure trips, ports of the
+    ordering customers) joined to the port dimension parsed from rendered label files."""
+    port = _code_tables(spark, sf, "reference")[1]
+    return AN.visitor_profile(_star_fact(spark, sf), port)
+
+
+@query("arrival_trends_star", _STAR_FACT_SQL + """
+select cast(isoyear(arrival_date) as integer) as year, cast(week(arrival_date) as integer) as week,
+       count(*) as n
+from fact group by all
+""")
+def arrival_trends_star(spark, sf):
+    """G4 on the built fact table: arrivals per ISO week."""
+    return AN.arrival_trends(_star_fact(spark, sf), "week")
