@@ -40,6 +40,19 @@ def pivot_first(df: DataFrame, keys: Sequence[str], on: str, values: Sequence[st
         *[F.min(F.when(piv == F.lit(x), v)).alias(str(x)) for x in values])
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation over the rows where both are present, null when it is undefined
+    (fewer than two pairs or a constant side).
+
+    ``corr`` itself divides by the product of the standard deviations and fails the job under
+    ANSI mode when one of them is zero; this is the same co-moment quotient through
+    ``try_divide``.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    xs, ys = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
+
+
 def count_by(df: DataFrame, keys: Sequence[str], alias: str = "n") -> DataFrame:
     """Row count per group (``count(lit(1))`` also works inside a pivot)."""
     return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(alias))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import iso_year
 from ..functions.text import join_key
+from ..operators.aggregate import safe_corr
 from ..operators.clean import col, dedupe
 from ..operators.lookup import small
 
@@ -22,11 +23,12 @@ from ..operators.lookup import small
 
 def corr_by(df: DataFrame, keys: Sequence[str], x: str, y: str, digits: int = 6,
             alias: str = "corr") -> DataFrame:
-    """Pearson correlation of ``x`` and ``y`` per group, with the number of pairs used."""
+    """Pearson correlation of ``x`` and ``y`` per group, with the number of pairs used (null
+    when undefined: fewer than two pairs or a constant side; ANSI-safe)."""
     both = col(x).isNotNull() & col(y).isNotNull()
     return df.groupBy(*[col(k) for k in keys]).agg(
         F.count(F.when(both, 1)).alias("n_pairs"),
-        F.round(F.corr(col(x), col(y)), digits).alias(alias),
+        F.round(safe_corr(col(x), col(y)), digits).alias(alias),
     )
 
 
@@ -197,7 +199,7 @@ def demography_correlation(fact: DataFrame, port: DataFrame, demo: DataFrame,
                       for g in groups])
     rows = per.join(d, ["_city", "state_code"], "inner")
     aggs = [F.count(F.lit(1)).alias("cities")]
-    aggs += [F.round(F.corr(F.col("arrivals").cast("double"), F.col(f"{g}_share")), 6)
+    aggs += [F.round(safe_corr(F.col("arrivals"), F.col(f"{g}_share")), 6)
              .alias(f"corr_{g}") for g in groups]
     return rows.groupBy("visitor_birth_country").agg(*aggs)
 

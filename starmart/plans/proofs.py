@@ -804,7 +804,8 @@ def _orders_customers(spark, sf) -> DataFrame:
 
 @query("corr_by_group", f"""
 select n_name, count(*) filter (where o_totalprice is not null and c_acctbal is not null) as n_pairs,
-       round(corr(o_totalprice, c_acctbal), 6) as corr
+       case when isnan(corr(o_totalprice, c_acctbal)) then null
+            else round(corr(o_totalprice, c_acctbal), 6) end as corr
 {_ORDERS_CUST_SQL} group by n_name
 """)
 def corr_by_group(spark, sf):

@@ -166,3 +166,18 @@ def test_scale_conf_sizes_partitions():
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
     small_mem = scale_conf(10 * 1024 ** 3, executor_memory_gb=2, executor_cores=8)
     assert int(small_mem["spark.sql.files.maxPartitionBytes"]) <= 64 * 1024 ** 2
+
+
+def test_safe_corr_is_null_where_undefined(spark):
+    from starmart.plans.analytics import corr_by
+
+    rows = [("const", 1.0, 2.0), ("const", 1.0, 3.0), ("one", 1.0, 1.0), ("ok", 1.0, 2.0),
+            ("ok", 2.0, 4.1), ("ok", 3.0, 5.9), ("ok", None, 7.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    got = {r.g: (r.n_pairs, r.corr) for r in corr_by(df, ["g"], "x", "y").collect()}
+    assert got["const"] == (2, None) and got["one"] == (1, None)
+    xs, ys = [1.0, 2.0, 3.0], [2.0, 4.1, 5.9]
+    mx, my = sum(xs) / 3, sum(ys) / 3
+    c = sum((a - mx) * (b - my) for a, b in zip(xs, ys)) / (
+        sum((a - mx) ** 2 for a in xs) ** 0.5 * sum((b - my) ** 2 for b in ys) ** 0.5)
+    assert got["ok"] == (3, round(c, 6))
