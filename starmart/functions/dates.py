@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: day zero of the SAS day numbering (fixed value)
 SAS_EPOCH = "1960-01-01"
+#: day numbers at or beyond this magnitude are not dates (null)
+SAS_MAX_DAYS = 1_000_000
 
 
 def _c(col: str | Column) -> Column:
@@ -25,7 +27,9 @@ def sas_date(day_number: str | Column) -> Column:
     out-of-range number gives null.
     """
     x = _c(day_number).cast("double")
-    days = F.when(~F.isnan(x), F.floor(x)).try_cast("int")  # floor(NaN) would be 0
+    # floor(NaN) would be 0; beyond about 2700 years either side date_add could overflow
+    ok = ~F.isnan(x) & (F.abs(x) < F.lit(SAS_MAX_DAYS))
+    days = F.when(ok, F.floor(x)).try_cast("int")
     return F.date_add(F.lit(SAS_EPOCH).cast("date"), days)
 
 

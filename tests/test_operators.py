@@ -139,9 +139,10 @@ def test_quality_report_and_raise(spark):
 
 
 def test_dates(spark):
-    df = spark.createDataFrame([(20454.0,), (-0.5,), (None,), (float("nan"),), (1e12,)], "d double")
+    df = spark.createDataFrame([(20454.0,), (-0.5,), (None,), (float("nan"),), (1e12,),
+                                (2147483600.0,)], "d double")
     got = [r.x for r in df.select(sas_date("d").alias("x")).collect()]
-    assert got == [dt.date(2016, 1, 1), dt.date(1959, 12, 31), None, None, None]
+    assert got == [dt.date(2016, 1, 1), dt.date(1959, 12, 31), None, None, None, None]
     r = df.limit(1).select(sas_date("d").alias("x")).select(
         *[c.alias(n) for n, c in calendar_parts("x").items()], iso_year("x").alias("iy")).collect()[0]
     assert (r.day, r.week, r.month, r.year, r.quarter, r.iy) == (1, 53, 1, 2016, 1, 2015)
