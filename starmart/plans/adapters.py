@@ -37,14 +37,19 @@ def temperature_raw(events: DataFrame, customer: DataFrame, nation: DataFrame) -
 STATUS_RACE = {"F": "Asian", "O": "White", "P": "Hispanic or Latino"}
 
 
-def demographics_raw(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> DataFrame:
-    """One text row per (customer, order status): the customer as a city of its nation, figures
-    from the customer key, and the number of orders of that status as the race count.  Rows of
-    status P carry a different median age, so those cities appear in two groups."""
+def demographics_raw(customer: DataFrame, nation: DataFrame, region: DataFrame,
+                     orders: DataFrame) -> DataFrame:
+    """One text row per (customer, order status): the customer as a city of its nation (state
+    code = the region's two-letter code, as in the rendered port labels), figures from the
+    customer key, and the number of orders of that status as the race count.  Rows of status P
+    carry a different median age, so those cities appear in two groups."""
     counts = (orders.groupBy(F.col("o_custkey").alias("c_custkey"), "o_orderstatus")
                     .agg(F.count(F.lit(1)).alias("cnt")))
-    n = small(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), MAX_CODE_ROWS)
-    c = customer.join(n, "c_nationkey").join(counts, "c_custkey")
+    n = small(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name",
+                            F.col("n_regionkey").alias("r_regionkey")), MAX_CODE_ROWS)
+    r = small(region.select("r_regionkey", F.upper(F.substring("r_name", 1, 2)).alias("r_code")),
+              MAX_CODE_ROWS)
+    c = customer.join(n, "c_nationkey").join(r, "r_regionkey").join(counts, "c_custkey")
     race = F.lit(None).cast("string")
     for status, label in STATUS_RACE.items():
         race = F.when(F.col("o_orderstatus") == status, F.lit(label)).otherwise(race)
@@ -63,7 +68,7 @@ def demographics_raw(customer: DataFrame, nation: DataFrame, orders: DataFrame)
         (k % 97).cast("string").alias("Foreign-born"),
         F.concat((F.col("c_nationkey") % 4 + 1).cast("string"), F.lit("."),
                  F.lpad((k % 1000).cast("string"), 3, "0")).alias("Average Household Size"),
-        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("State Code"),
+        F.col("r_code").alias("State Code"),
         race.alias("Race"),
         F.col("cnt").cast("string").alias("Count"),
     )

@@ -646,9 +646,10 @@ raw as (
          c.c_custkey * 3 + 100 as male, c.c_custkey * 2 + 50 as female, c.c_custkey * 5 + 150 as total,
          c.c_nationkey * 10 as veterans, c.c_custkey % 97 as foreign_born,
          cast(c.c_nationkey % 4 + 1 as varchar) || '.' || lpad(cast(c.c_custkey % 1000 as varchar), 3, '0') as hh_text,
-         'N' || cast(c.c_nationkey as varchar) as state_code,
+         upper(substring(r.r_name, 1, 2)) as state_code,
          {_RACE_SQL} as race, cnt
-  from customer c join nation n on c.c_nationkey = n.n_nationkey join counts k on k.o_custkey = c.c_custkey),
+  from customer c join nation n on c.c_nationkey = n.n_nationkey
+       join region r on n.n_regionkey = r.r_regionkey join counts k on k.o_custkey = c.c_custkey),
 wide as (
   select state, state_code, city,
          try_cast(median_age_text as decimal(4,1)) as median_age,
@@ -681,7 +682,7 @@ qualify row_number() over (partition by state, city order by
 @query("demographic_dim", _DEMO_SQL)
 def demographic_dim(spark, sf):
     raw = AD.demographics_raw(_t(spark, sf, "customer"), _t(spark, sf, "nation"),
-                              _t(spark, sf, "orders"))
+                              _t(spark, sf, "region"), _t(spark, sf, "orders"))
     return PL.demographic_table(raw)
 
 
@@ -907,7 +908,7 @@ def star_build(spark, sf):
     customer, nation = _t(spark, sf, "customer"), _t(spark, sf, "nation")
     temps = AD.temperature_raw(_t(spark, sf, "events"), customer, nation)
     write_delimited(temps, f"{base}/temperatures", sep=",")
-    demo = AD.demographics_raw(customer, nation, _t(spark, sf, "orders"))
+    demo = AD.demographics_raw(customer, nation, _t(spark, sf, "region"), _t(spark, sf, "orders"))
     write_delimited(demo, f"{base}/demographics", sep=";")
     AD.write_label_files(f"{base}/labels", customer, nation, _t(spark, sf, "region"),
                          _t(spark, sf, "orders"))
@@ -951,10 +952,27 @@ fact as (
 """
 
 
+def _written(spark, name: str, df: DataFrame) -> DataFrame:
+    """Write a star table (contract layout) to the shared scratch folder and read it back.
+
+    The analyses run over written tables, as after ``build_all``; this also keeps each
+    analysis plan small (Catalyst's constraint propagation grows very slow on one plan that
+    spans the parsing, de-duplication and every join of the build).
+    """
+    path = scratch_path(spark, name)
+    write_table(df, path, partition_by=TB.STAR[name][2])
+    return PL.read_star(spark, {name: path})[name]
+
+
 def _star_fact(spark, sf) -> DataFrame:
     arrivals = AD.arrivals_with_ports(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"),
                                       _t(spark, sf, "customer"))
-    return PL.fact_table(PL.pleasure_arrivals(arrivals))
+    return _written(spark, "fact_i94_us_visitor_arrivals_table",
+                    PL.fact_table(PL.pleasure_arrivals(arrivals)))
+
+
+def _star_port(spark, sf) -> DataFrame:
+    return _written(spark, "dim_i94_port_table", _code_tables(spark, sf, "reference")[1])
 
 
 _PORT_DIM_SQL = _PORTS_SQL.strip()[len("with "):] + """,
@@ -992,8 +1010,7 @@ from c left join t using (city, state_code)
 def visitor_profile_star(spark, sf):
     """G3 on a star built from the tables: fact (line items of pleasure trips, ports of the
     ordering customers) joined to the port dimension parsed from rendered label files."""
-    port = _code_tables(spark, sf, "reference")[1]
-    return AN.visitor_profile(_star_fact(spark, sf), port)
+    return AN.visitor_profile(_star_fact(spark, sf), _star_port(spark, sf))
 
 
 @query("arrival_trends_star", _STAR_FACT_SQL + """
@@ -1004,3 +1021,38 @@ from fact group by all
 def arrival_trends_star(spark, sf):
     """G4 on the built fact table: arrivals per ISO week."""
     return AN.arrival_trends(_star_fact(spark, sf), "week")
+
+
+_GROUPS = ["asian", "black_or_africanamerican", "hispanic_or_latino", "white",
+           "american_indian_alaska_native"]
+
+
+def _safe_corr_sql(x: str, y: str) -> str:
+    return (f"case when isnan(corr({x}, {y})) then null "
+            f"else round(corr({x}, {y}), 6) end")
+
+
+@query("demography_corr_star", _STAR_FACT_SQL + ", " + _PORT_DIM_SQL + ", demo as (" + _DEMO_SQL
+       + """),
+f as (select fact.visitor_birth_country, p.city, p.state_code
+      from fact join port_dim p on fact.arrival_port_code = p.port_code),
+per as (select visitor_birth_country, upper(trim(city)) as _city, state_code, count(*) as arrivals
+        from f group by all),
+d as (select upper(trim(city)) as _city, state_code, """
+       + ", ".join(f"{g} / total_population as {g}_share" for g in _GROUPS) + """
+      from demo),
+r as (select * from per join d using (_city, state_code))
+select visitor_birth_country, count(*) as cities, """
+       + ", ".join(f"{_safe_corr_sql('arrivals', g + '_share')} as corr_{g}" for g in _GROUPS)
+       + """
+from r group by visitor_birth_country
+""")
+def demography_corr_star(spark, sf):
+    """G2 on a star built from the tables: per birth country, correlation over cities between
+    arrivals and each group's share of the city population (demographics joined to the port
+    cities on ``upper(trim(city))`` and the state code)."""
+    demo = _written(spark, "dim_cities_demographic_table", PL.demographic_table(
+        AD.demographics_raw(_t(spark, sf, "customer"), _t(spark, sf, "nation"),
+                            _t(spark, sf, "region"), _t(spark, sf, "orders"))))
+    return AN.demography_correlation(_star_fact(spark, sf), _star_port(spark, sf), demo,
+                                     groups=_GROUPS)
