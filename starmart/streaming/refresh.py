@@ -19,12 +19,14 @@ from ..sources.parquet import write_table
 
 
 def refresh_stream(spark: SparkSession, landing: str, schema: T.StructType, target: str,
-                   checkpoint: str, partition_by: Sequence[str], max_files: int | None = None):
-    """Start the refresh query (available-now) and return the ``StreamingQuery``."""
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.parquet(landing)
+                   checkpoint: str, partition_by: Sequence[str]):
+    """Start the refresh query (available-now) and return the ``StreamingQuery``.
+
+    No per-trigger file limit is set on purpose: all files landed since the last run form one
+    micro-batch, so the files of one month are never split across two batches (the second
+    batch's overwrite would otherwise drop the first batch's rows of that month).
+    """
+    stream = spark.readStream.schema(schema).parquet(landing)
     parts = list(partition_by)
 
     def replace_months(batch: DataFrame, epoch_id: int) -> None:
