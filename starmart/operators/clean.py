@@ -126,10 +126,13 @@ def dedupe(df: DataFrame, keys: Sequence[str],
 def _dedupe_by_duplicate_keys(df: DataFrame, keys: list[str],
                               order: Iterable[tuple[str, bool]] | None,
                               max_dup_keys: int) -> DataFrame:
+    from ..session import checkpoint_root
     from .lookup import fits  # local import: lookup imports this module
 
     counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    # eager, reliable checkpoint: the size check and the join below read the same keys
+    # eager, reliable checkpoint in the shared checkpoint folder (never localCheckpoint): the
+    # size check and the join below read the same keys, and a lost executor cannot lose them
+    checkpoint_root(df.sparkSession)
     dup = counts.filter(F.col("_n") > 1).select(*[col(k) for k in keys]).checkpoint(eager=True)
     if not fits(dup, max_dup_keys):
         return dedupe(df, keys, order)
