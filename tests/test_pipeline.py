@@ -140,3 +140,44 @@ def test_temperature_correlation_climatology(spark):
     cov = sum((x - mx) * (y - my) for x, y in zip(xs, ys))
     corr = cov / (sum((x - mx) ** 2 for x in xs) ** 0.5 * sum((y - my) ** 2 for y in ys) ** 0.5)
     assert clim["TOWN"].n_pairs == 6 and clim["TOWN"].corr == round(corr, 6)
+
+
+def test_monthly_refresh_of_the_star(spark, tmp_path_factory):
+    """S9 on the whole job: a second run with ``dynamic=True`` and only May arrivals replaces
+    May and keeps April in the month-partitioned tables."""
+    d = tmp_path_factory.mktemp("refresh")
+    (d / "temps.csv").write_text(TEMPS)
+    (d / "demo.csv").write_text(DEMO)
+    (d / "labels.SAS").write_bytes(LABEL_FILE.encode())
+
+    def arrivals(path, month, day_number, n):
+        rows = [(float(month * 100 + i), 2016.0, float(month), 236.0, 101.0, "ALC",
+                 day_number, 1.0, 30.0, 2.0, "F", "AA", "B2") for i in range(n)]
+        write_table(spark.createDataFrame(rows, TB.ARRIVALS), path)
+
+    out = str(tmp_path_factory.mktemp("star-refresh"))
+    arrivals(str(d / "a1"), 4, 20545.0, 3)                       # April 2016
+    build_all(spark, Inputs(str(d / "a1"), str(d / "temps.csv"), str(d / "demo.csv"),
+                            str(d / "labels.SAS")), out)
+    arrivals(str(d / "a2"), 5, 20575.0, 2)                       # May 2016
+    paths = build_all(spark, Inputs(str(d / "a2"), str(d / "temps.csv"), str(d / "demo.csv"),
+                                    str(d / "labels.SAS")), out, dynamic=True)
+    fact = read_star(spark, paths)["fact_i94_us_visitor_arrivals_table"]
+    got = {(r.arrival_month, r.n) for r in fact.groupBy("arrival_month").count()
+           .withColumnRenamed("count", "n").collect()}
+    assert got == {(4, 3), (5, 2)}
+
+
+def test_command_line_build(spark, tmp_path_factory):
+    from starmart.__main__ import main
+
+    d = tmp_path_factory.mktemp("cli")
+    (d / "temps.csv").write_text(TEMPS)
+    (d / "demo.csv").write_text(DEMO)
+    (d / "labels.SAS").write_bytes(LABEL_FILE.encode())
+    rows = [(1.0, 2016.0, 4.0, 236.0, 101.0, "ALC", 20545.0, 1.0, 30.0, 2.0, "F", "AA", "B2")]
+    write_table(spark.createDataFrame(rows, TB.ARRIVALS), str(d / "arr"))
+    code = main(["--arrivals", str(d / "arr"), "--temperatures", str(d / "temps.csv"),
+                 "--demographics", str(d / "demo.csv"), "--labels", str(d / "labels.SAS"),
+                 "--out", str(tmp_path_factory.mktemp("cli-out"))])
+    assert code == 0
