@@ -68,3 +68,37 @@ def test_hot_key_top_value(spark, skewed):
             counts[str(i % 5)] = counts.get(str(i % 5), 0) + 1
     best = max(counts.values())
     assert top[0] == (min(c for c, v in counts.items() if v == best), best)
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """A dimension too large to broadcast is shuffle-joined; AQE's skew-join handling splits the
+    partition of the hot key (a third of the fact rows) into several tasks."""
+    from starmart.operators.lookup import enrich
+
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"), "id")
+        dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        out = enrich(fact, [(dim, "k", None)], how="inner").groupBy().agg(F.sum("v").alias("s"))
+        assert out.collect()[0].s == sum(2 * (7 if i % 3 == 0 else i % 1000) for i in range(30000))
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
