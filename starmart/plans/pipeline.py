@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,15 @@ def _with_type(schema: T.StructType, name: str, dtype: str | T.DataType) -> T.St
 
 # ------------------------------------------------------------------ C1 temperatures
 
+def clean_temperatures(raw: DataFrame) -> DataFrame:
+    """Readings with a date, a value, a city and a country, and a parseable date (``year`` and
+    ``month`` added).  Idempotent, so a cleaned (and persisted) frame can be passed on."""
+    t = require(raw, ["dt", "AverageTemperature", "City", "Country"])
+    if "year" not in t.columns or "month" not in t.columns:
+        t = t.withColumns(year_month("dt"))
+    return require(t, ["year", "month"])
+
+
 def temperature_tables(raw: DataFrame, home: str = HOME_COUNTRY, scale: int = 0,
                        out: str = "decimal(4,2)") -> tuple[DataFrame, DataFrame]:
     """Monthly mean temperature per city of the ``home`` country and per other country.
@@ -45,8 +55,7 @@ def temperature_tables(raw: DataFrame, home: str = HOME_COUNTRY, scale: int = 0,
     rows whose date text is malformed are dropped before grouping.  The keys are unique after
     the aggregate, so no sort and no second de-duplication is planned.
     """
-    t = require(raw, ["dt", "AverageTemperature", "City", "Country"])
-    t = require(t.withColumns(year_month("dt")), ["year", "month"])
+    t = clean_temperatures(raw)
     city = mean_by(t.filter(col("Country") == F.lit(home)), ["year", "month", "City"],
                    "AverageTemperature", scale=scale, out=out)
     country = mean_by(t.filter(col("Country") != F.lit(home)), ["year", "month", "Country"],
@@ -189,10 +198,16 @@ class Inputs:
 
 
 def build_star(spark: SparkSession, inputs: Inputs, home: str = HOME_COUNTRY,
-               place_mode: str = "reference") -> dict[str, DataFrame]:
-    """All eight tables as DataFrames (lazy), keyed by output table name."""
+               place_mode: str = "reference", temperatures: DataFrame | None = None
+               ) -> dict[str, DataFrame]:
+    """All eight tables as DataFrames (lazy), keyed by output table name.
+
+    ``temperatures`` may be a cleaned, persisted temperature frame shared by the city and the
+    country table (see :func:`build_all`).
+    """
     arrivals = pleasure_arrivals(read_arrivals(spark, inputs.arrivals, inputs.arrivals_format))
-    temps = read_delimited(spark, inputs.temperatures, TB.TEMPERATURE_RAW, sep=",")
+    temps = temperatures if temperatures is not None else \
+        read_delimited(spark, inputs.temperatures, TB.TEMPERATURE_RAW, sep=",")
     demo = read_delimited(spark, inputs.demographics, TB.DEMOGRAPHICS_RAW, sep=";")
     formats = LB.read_formats(spark, inputs.labels)
     city, country = temperature_tables(temps, home=home)
@@ -215,14 +230,25 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, home: str = HOME_CO
 
     Each table is one job whose commit is atomic, so a lost executor only re-runs tasks.
     ``dynamic=True`` replaces only the months present in this run (monthly refresh).
+
+    The temperature text feeds two tables: it is parsed and cleaned once and persisted
+    (memory and disk; lost blocks are recomputed from the source) while both are written.
+    Arrivals also feed two tables but are re-scanned: the date table reads only the day number
+    and the filter columns from Parquet, which costs less than caching every column.
     """
-    star = build_star(spark, inputs, home, place_mode)
-    paths = {}
-    for name, df in star.items():
-        _, _, parts = TB.STAR[name]
-        path = f"{out.rstrip('/')}/{name}.parquet"
-        write_table(df, path, partition_by=parts, dynamic=dynamic and bool(parts))
-        paths[name] = path
+    temps = clean_temperatures(
+        read_delimited(spark, inputs.temperatures, TB.TEMPERATURE_RAW, sep=",")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        star = build_star(spark, inputs, home, place_mode, temperatures=temps)
+        paths = {}
+        for name, df in star.items():
+            _, _, parts = TB.STAR[name]
+            path = f"{out.rstrip('/')}/{name}.parquet"
+            write_table(df, path, partition_by=parts, dynamic=dynamic and bool(parts))
+            paths[name] = path
+    finally:
+        temps.unpersist()
     return paths
 
 
