@@ -74,9 +74,17 @@ def render_block(fmt: str, code: Column, label: Column, quoted: bool) -> Column:
     return F.concat(F.lit(head), code_txt, F.lit("\t=\t'"), esc(label), F.lit("'\r\n;\r\n"))
 
 
+#: blocks per rendered file; each file is read back as one row, so this bounds the row size
+MAX_BLOCKS_PER_FILE = 100_000
+
+
 def write_formats(df: DataFrame, path: str, fmt: str, code: str, label: str,
-                  quoted: bool = True, mode: str = "append") -> None:
-    """Write ``(code, label)`` rows of ``df`` as label-file text, one block per pair and one
-    file per partition (so no task ever holds more than its own partition)."""
-    df.select(render_block(fmt, F.col(code), F.col(label), quoted).alias("value")) \
-      .write.mode(mode).text(path)
+                  quoted: bool = True, mode: str = "append",
+                  max_blocks_per_file: int = MAX_BLOCKS_PER_FILE) -> None:
+    """Write ``(code, label)`` rows of ``df`` as label-file text, one block per pair.
+
+    Files are written per partition and split after ``max_blocks_per_file`` blocks, so a file
+    (one ``wholetext`` row when parsed back) stays a few MB however large ``df`` is.
+    """
+    (df.select(render_block(fmt, F.col(code), F.col(label), quoted).alias("value"))
+       .write.mode(mode).option("maxRecordsPerFile", max_blocks_per_file).text(path))

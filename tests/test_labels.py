@@ -123,3 +123,13 @@ def test_parse_from_dataframe_with_many_files(spark):
     text = spark.createDataFrame([("value a\n 1='x' ;",), ("value $b\n 'k' = 'v' ;",)], "value string")
     got = sorted(tuple(r) for r in parse_formats(text).collect())
     assert got == [("a", "1", "x"), ("b", "k", "v")]
+
+
+def test_rendered_files_are_bounded(spark, scratch):
+    import glob
+    df = spark.range(50).selectExpr("cast(id as string) as code", "concat('L', id) as label").coalesce(1)
+    path = scratch("bounded")
+    write_formats(df, path, "i94prtl", "code", "label", max_blocks_per_file=10)
+    local = path.replace("file:", "")
+    assert len(glob.glob(f"{local}/part-*")) == 5
+    assert read_formats(spark, path).count() == 50
