@@ -377,7 +377,7 @@ def profile_numeric(spark, sf):
 @query("profile_quartiles", _profile_sql(True))
 def profile_quartiles(spark, sf):
     return AG.profile(_t(spark, sf, "lineitem"), _PROFILE_COLS, quantiles=[0.25, 0.5, 0.75],
-                      digits=6)
+                      digits=6, exact=True)
 
 
 def _quality_sql() -> str:

@@ -182,3 +182,18 @@ def test_safe_corr_is_null_where_undefined(spark):
     c = sum((a - mx) * (b - my) for a, b in zip(xs, ys)) / (
         sum((a - mx) ** 2 for a in xs) ** 0.5 * sum((b - my) ** 2 for b in ys) ** 0.5)
     assert got["ok"] == (3, round(c, 6))
+
+
+@pytest.mark.parametrize("max_final", [10, 100_000])
+def test_exact_quantile_matches_brute_force(spark, max_final):
+    import random
+    rnd = random.Random(7)
+    vals = [round(rnd.uniform(0, 1000), 2) for _ in range(3000)] + [500.0] * 1500 + [None] * 5
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+    s = sorted(v for v in vals if v is not None)
+    for q in (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0):
+        k = max(1, math.ceil(q * len(s)))
+        assert AG.exact_quantile(df, "x", q, accuracy=200, max_final=max_final) == s[k - 1], q
+    hot = spark.createDataFrame([(7.0,)] * 1000 + [(1.0,), (9.0,)], "x double")
+    assert AG.exact_quantile(hot, "x", 0.5, accuracy=100, max_final=10) == 7.0
+    assert AG.exact_quantile(spark.createDataFrame([(None,)], "x double"), "x", 0.5) is None
