@@ -53,3 +53,18 @@ def check_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
         if bad:
             raise ValueError(f"data quality check failed for: {', '.join(sorted(bad))}")
     return report
+
+
+def orphan_report(fact: DataFrame,
+                  checks: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """Referential integrity: per ``(fact_column, dimension_name, dimension, dimension_key)`` the
+    number of fact rows whose non-null key has no dimension row (``left_anti`` against the
+    distinct dimension keys; one small aggregate each, combined with ``unionByName``)."""
+    reports = []
+    for fk, name, dim, dk in checks:
+        keys = dim.select(col(dk).alias("_k")).distinct()
+        miss = (fact.select(col(fk).alias("_f")).filter(F.col("_f").isNotNull())
+                    .join(keys, F.col("_f") == F.col("_k"), "left_anti"))
+        reports.append(miss.agg(F.count(F.lit(1)).alias("orphans")).select(
+            F.lit(fk).alias("fact_column"), F.lit(name).alias("dimension"), "orphans"))
+    return reduce(DataFrame.unionByName, reports)

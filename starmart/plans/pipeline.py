@@ -262,3 +262,19 @@ def read_star(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame
                  [schema[c] for c in parts]
         out[name] = spark.read.schema(T.StructType(fields)).parquet(p)
     return out
+
+
+def star_integrity(star: dict[str, DataFrame]) -> DataFrame:
+    """Orphan keys of the fact table against its dimensions (port, countries, travel mode, date)."""
+    from ..operators.quality import orphan_report
+
+    fact = star["fact_i94_us_visitor_arrivals_table"]
+    country = star["dim_i94_country_table"]
+    return orphan_report(fact, [
+        ("arrival_port_code", "dim_i94_port_table", star["dim_i94_port_table"], "port_code"),
+        ("visitor_residence_country", "dim_i94_country_table", country, "country_code"),
+        ("visitor_birth_country", "dim_i94_country_table", country, "country_code"),
+        ("travel_mode_code", "dim_i94_travel_mode_table", star["dim_i94_travel_mode_table"],
+         "travel_mode_code"),
+        ("arrival_date", "dim_date_table", star["dim_date_table"], "arrival_date"),
+    ])

@@ -240,3 +240,35 @@ def demography_corr_star(spark, sf):
                             _t(spark, sf, "region"), _t(spark, sf, "orders"))))
     return AN.demography_correlation(_star_fact(spark, sf), _star_port(spark, sf), demo,
                                      groups=_GROUPS)
+
+
+@query("star_integrity", _STAR_FACT_SQL + ", " + _PORT_DIM_SQL + """,
+modes as (select distinct cast(substring(o_orderpriority, 1, 1) as integer) as travel_mode_code
+          from orders)
+select 'arrival_port_code' as fact_column, 'dim_i94_port_table' as dimension, count(*) as orphans
+from fact where arrival_port_code not in (select port_code from port_dim)
+union all
+select 'visitor_residence_country', 'dim_i94_country_table', count(*)
+from fact where visitor_residence_country not in (select n_nationkey from nation)
+union all
+select 'visitor_birth_country', 'dim_i94_country_table', count(*)
+from fact where visitor_birth_country not in (select n_nationkey from nation)
+union all
+select 'travel_mode_code', 'dim_i94_travel_mode_table', count(*)
+from fact where travel_mode_code not in (select travel_mode_code from modes)
+union all
+select 'arrival_date', 'dim_date_table', cast(0 as bigint)
+""")
+def star_integrity(spark, sf):
+    """J3/Q4 on a star built from the tables: orphan fact keys per dimension (ports of
+    customers whose label has no state, travel mode 9 missing from the mode list, ...)."""
+    country, port, mode = _code_tables(spark, sf, "reference")
+    fact = _star_fact(spark, sf)
+    star = {
+        "fact_i94_us_visitor_arrivals_table": fact,
+        "dim_i94_port_table": _written(spark, "dim_i94_port_table", port),
+        "dim_i94_country_table": _written(spark, "dim_i94_country_table", country),
+        "dim_i94_travel_mode_table": _written(spark, "dim_i94_travel_mode_table", mode),
+        "dim_date_table": _written(spark, "dim_date_table", PL.date_table(fact)),
+    }
+    return PL.star_integrity(star)
