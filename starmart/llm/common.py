@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +67,7 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
             if batch.num_rows:
                 out = fn(batch)
                 yield pa.RecordBatch.from_arrays(
-                    [x if isinstance(x, pa.Array) else pa.array(x, type=f.type)
+                    [x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, type=f.type)
                      for x, f in zip((out[f.name] for f in target), target, strict=True)],
                     schema=target)
 
@@ -75,3 +77,34 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]
+
+
+SPACES = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of ``data`` in lists from about ``size`` bytes each, however long the text is."""
+    at = 0
+    while at < len(data):
+        end = SPACES.search(data, at + size)
+        end = end.start() if end else len(data)
+        yield data[at:end].split()
+        at = end
+
+
+def with_locator(docs: DataFrame, *cols: Column) -> DataFrame:
+    """(row, locator, cols): each row of ``docs`` as one struct, and its place: file and row number.
+
+    Rows that do not come straight from Parquet files are stored first.  The struct keeps columns
+    of any name apart from the operators' own.
+    """
+    def pick(df: DataFrame) -> DataFrame:
+        meta = df.metadataColumn("_metadata")
+        place = F.concat_ws("#", meta["file_path"],
+                            F.lpad(meta["row_index"].cast("string"), 12, "0"))
+        return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"),
+                         place.alias("locator"), *cols)
+    try:
+        return pick(docs)
+    except AnalysisException:
+        return pick(stored(docs, "located-rows"))

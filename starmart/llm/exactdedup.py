@@ -14,13 +14,12 @@ exactly one row of a group stays.  Extra columns, of whatever name, are carried
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import scratch_path
-from .common import fold, quoted, stored, text_or_empty
+from .common import fold, quoted, stored, text_or_empty, with_locator
 
 #: state on local disk, checkpointed to the shared folder, within a bounded share of native memory
 STATE_CONF = {
@@ -32,20 +31,10 @@ STATE_CONF = {
 
 
 def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, id, norm, sha, locator); rows that do not come from Parquet files are stored first."""
-    def pick(df: DataFrame) -> DataFrame:
-        meta = df.metadataColumn("_metadata")
-        place = F.concat_ws("#", meta["file_path"],
-                            F.lpad(meta["row_index"].cast("string"), 12, "0"))
-        return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"),
-                         F.col(quoted(id_col)).alias("id"),
-                         fold(text_or_empty(F.col(quoted(text_col)))).alias("norm"),
-                         place.alias("locator"))
-    try:
-        out = pick(docs)
-    except AnalysisException:
-        out = pick(stored(docs, "dedup-rows"))
-    return out.withColumn("sha", F.unhex(F.sha2("norm", 256)))
+    """(row, locator, id, norm, sha) of every document."""
+    return with_locator(docs, F.col(quoted(id_col)).alias("id"),
+                        fold(text_or_empty(F.col(quoted(text_col)))).alias("norm")
+                        ).withColumn("sha", F.unhex(F.sha2("norm", 256)))
 
 
 def digest_state(spark: SparkSession, source: str, schema: StructType,

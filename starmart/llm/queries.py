@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdedup, mixing
+from . import exactdedup, mixing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d
 from d join g using (norm)""")
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op10_simhash_dedup")
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
