@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdedup, mixing, simhash
+from . import exactdedup, lines, mixing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,59 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _lines_sql() -> str:
+    """The line rules in SQL, from the same patterns and limits."""
+    r, q = lines.Rules(), lambda pattern: "'" + pattern.replace("'", "''") + "'"
+    return f"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+l as (select rid, unnest(string_split(t, chr(10))) as line,
+      generate_subscripts(string_split(t, chr(10)), 1) as ln from d),
+s as (select *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') as ws from l),
+f as (select rid, ln, line, ws, len(ws) as n, length(array_to_string(ws, '')) as chars,
+      len(regexp_extract_all(line, {q(lines.NAVIGATION.pattern)})) as nav,
+      length(line) - length(regexp_replace(line, {q(lines.MARKS.pattern)}, '', 'g')) as marks,
+      row_number() over (partition by rid, line order by ln) as seen from s where len(ws) > 0),
+w as (select rid, ln, unnest(ws) as x, generate_subscripts(ws, 1) as i from f),
+v as (select rid, ln, i, x, lag(x) over (partition by rid, ln order by i) as before,
+      x || ' ' || lead(x, 1) over o || ' ' || lead(x, 2) over o || ' ' || lead(x, 3) over o
+        || ' ' || lead(x, 4) over o as win
+      from w window o as (partition by rid order by ln, i)),
+stutter as (select rid, ln, count(*) filter (x = before) as same from v group by rid, ln),
+c as (select rid, ln, i, case when win is null then 0
+        when count(*) over (partition by rid, win) > 1 then 1 else 0 end as twice from v),
+rep as (select rid, sum(hit) as n_repeat_words from (
+      select rid, max(twice) over (partition by rid order by ln, i
+                                   rows between {lines.WINDOW - 1} preceding and current row) as hit
+      from c) group by rid),
+j as (select f.*, not ((nav >= {r.nav_marks} and n <= {r.words_per_mark} * nav)
+        or marks > {r.mark_share}::double * chars
+        or (n <= {r.boilerplate_words} and regexp_matches(line, {q("(?i)" + lines.BOILERPLATE.pattern)}))
+        or same > {r.stutter_share}::double * n
+        or (n < {r.min_words} and not regexp_matches(line, {q(lines.CLOSED.pattern)}))
+        or not regexp_matches(line, '[\\p{{L}}\\p{{N}}]')) as good
+      from f join stutter using (rid, ln)),
+g as (select rid, sum(n) as n_words, sum(chars) as word_chars, count(*) filter (seen > 1) as n_dup_lines,
+      coalesce(sum(n) filter (good), 0) as kept_words, coalesce(sum(chars) filter (good), 0) as kept_chars
+      from j group by rid),
+b as (select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(word_chars, 0) as word_chars,
+      length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+      coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+      coalesce(kept_words, 0) as kept_words, coalesce(kept_chars, 0) as kept_chars
+      from d left join g using (rid) left join rep using (rid))
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+       n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words,
+       n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and kept_words >= {r.min_words}
+         and kept_chars >= {r.min_kept}::double * word_chars as kept,
+       kept_words::bigint as kept_words
+from b"""
+
+
+@query("op3_line_clean", _lines_sql())
+def op3_line_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.clean_lines(table(spark, sf_dir, "documents"), with_text=False)
+
+
 @query("op4_source_mix", f"""
 with d as (select doc_id, source, cast({WORDS_SQL} as bigint) as size from documents),
 s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
