@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdedup, lines, mixing, simhash
+from . import exactdedup, lines, mixing, simhash, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,19 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_warc_round_trip", """
+with p as (select page_id, encode(coalesce(html, '')) as body from pages),
+d as (select page_id, octet_length(body) as n, sha1(body) as h from p),
+k as (select h, max(page_id) as keep from d where n >= 1000 group by h having count(*) > 1)
+select page_id, cast(n as bigint) as payload_bytes, h as payload_digest,
+       case when page_id <> keep then 'revisit' else 'response' end as record_type,
+       case when page_id <> keep then keep end as refers_to
+from d left join k using (h)""")
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.round_trip(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _lines_sql() -> str:
     """The line rules in SQL, from the same patterns and limits."""
     r, q = lines.Rules(), lambda pattern: "'" + pattern.replace("'", "''") + "'"
