@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdedup, lines, mixing, packing, simhash, warc
+from . import exactdedup, lines, mixing, packing, quality, simhash, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op2_pu_quality")
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _lines_sql() -> str:
     """The line rules in SQL, from the same patterns and limits."""
     r, q = lines.Rules(), lambda pattern: "'" + pattern.replace("'", "''") + "'"
