@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdedup, lines, mixing, packing, quality, simhash, warc
+from . import exactdedup, lines, mixing, packing, quality, simhash, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +136,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query("op6_counterfactual_toxicity")
+def op6_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_exact_dedup", f"""
 with d as (select doc_id, {FOLD_SQL} as norm from documents),
 g as (select norm, max(doc_id) as keep_id, count(*) as group_size from d group by norm)
