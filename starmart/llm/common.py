@@ -108,3 +108,28 @@ def with_locator(docs: DataFrame, *cols: Column) -> DataFrame:
         return pick(docs)
     except AnalysisException:
         return pick(stored(docs, "located-rows"))
+
+
+def uniform_hash(seed: str, c: Column) -> Column:
+    """A number in [0, 1) from XXH64 of the seed and the value: the same in every run."""
+    bits = F.xxhash64(F.lit(seed), c).bitwiseAND(F.lit((1 << 53) - 1).cast("long"))
+    return bits.cast("double") / float(1 << 53)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """The bytes of a (stored) frame's values: 8 for a number, the length and 16 for a text."""
+    def width(c: Column, kind) -> Column:
+        if hasattr(kind, "fields"):
+            return sum((width(c[f.name], f.dataType) for f in kind.fields), F.lit(8))
+        if kind.typeName() in ("string", "binary"):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        return F.lit(8)
+
+    row = sum((width(F.col(quoted(f.name)), f.dataType) for f in df.schema.fields), F.lit(0))
+    return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0]
+
+
+def small_side(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
+    """``df`` to be broadcast if its measured size is within ``limit`` bytes; else as it is, and
+    the join shuffles."""
+    return F.broadcast(df) if measured_bytes(df) <= limit else df

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import scratch_path
-from .common import fold, quoted, stored, text_or_empty, with_locator
+from .common import fold, quoted, small_side, stored, text_or_empty, with_locator
 
 #: state on local disk, checkpointed to the shared folder, within a bounded share of native memory
 STATE_CONF = {
@@ -88,12 +88,12 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, digest_bytes: int,
                   "dedup-hits")
 
     # full bytes on hits: the smallest and the largest text of a digest must be the same
-    texts = rows.join(hits.select("digest"), "digest", "left_semi")
+    texts = rows.join(small_side(hits.select("digest")), "digest", "left_semi")
     clash = stored(texts.groupBy("digest").agg(F.min("norm").alias("a"), F.max("norm").alias("b"))
                    .where("a <> b").select("digest"), "dedup-clash")
     known = rows if with_row else spark.read.schema(keys.schema).parquet(source)
     cols = [*(["row"] if with_row else []), "id", "locator", "sha", "n", "keep"]
-    out = known.join(hits, "digest", "left")
+    out = known.join(small_side(hits) if with_row else hits, "digest", "left")
     if not clash.isEmpty():  # different texts under one digest: these are grouped by the text
         mixed = rows.join(clash, "digest", "left_semi")
         by_text = mixed.groupBy("digest", "norm").agg(
