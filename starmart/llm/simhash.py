@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, quoted, stored, texts_of, with_locator, word_blocks
+from .common import map_batches, quoted, small_side, stored, texts_of, with_locator, word_blocks
 
 BITS = 64
 SEED = 42
@@ -257,4 +257,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = component_of(fps, "key", radius, blocks, tile)
     drop = (fps.join(found, "fp").where(~F.col("key").eqNullSafe(F.col("component_id")))
             .select("key.locator"))
-    return rows.join(stored(drop, "simhash-drop"), "locator", "left_anti").select("row.*")
+    return rows.join(small_side(stored(drop, "simhash-drop")), "locator", "left_anti").select("row.*")
