@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdedup, langid, lines, mixing, packing, quality, simhash, toxicity, warc
+from . import exactdedup, langid, lines, mixing, packing, ppm, quality, simhash, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,6 +155,11 @@ def op8_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+@query("op9_ppm_scores")
+def op9_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(table(spark, sf_dir, "documents"))
+
+
 @query("op10_simhash_dedup")
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
