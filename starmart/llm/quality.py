@@ -6,7 +6,7 @@ documents of the training split, labels unseen) give a non-negative unbiased est
 gradient is turned around, as overfitting would otherwise drive it down without end.  The label
 0 is used nowhere.  The class prior is estimated from the data: a plain classifier of
 positives against unlabelled text is trained on one half, and on the other half the prior is the
-smallest ratio, over score thresholds, of the share of unlabelled rows above it (less four standard
+smallest ratio, over score thresholds, of the share of unlabelled rows above it (less three standard
 errors: too high a prior hides the negatives, one slightly too low does no harm) to that of positives.
 
 The model is additive: about twenty statistics of the whole text, each cut at quantiles of the
@@ -134,10 +134,10 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, size: int, rounds: int, rate: f
 
         w = descend(gradient, size, rounds, rate)
         a, b = np.sort(_value(test_p, w)), np.sort(_value(test_u, w))
-        cuts = np.quantile(a, np.linspace(0, 0.7, 71))
+        cuts = np.quantile(a, np.linspace(0, 0.3, 31))
         over_p = 1 - np.searchsorted(a, cuts) / len(a)
         over_u = 1 - np.searchsorted(b, cuts) / len(b)
-        found.append(np.min((over_u - 4 * np.sqrt(over_u * (1 - over_u) / len(b))) / over_p))
+        found.append(np.min((over_u - 3 * np.sqrt(over_u * (1 - over_u) / len(b))) / over_p))
     return float(np.clip(np.mean(found), 0.02, 0.98))
 
 
