@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: day zero of the SAS day numbering (fixed value)
 SAS_EPOCH = "1960-01-01"
-#: day numbers at or beyond this magnitude are not dates (null)
-SAS_MAX_DAYS = 1_000_000
+#: day numbers of 0001-01-01 and 9999-12-31, the first and last day of the calendar (fixed values)
+SAS_FIRST_DAY, SAS_LAST_DAY = -715_509, 2_936_549
 
 
 def _c(col: str | Column) -> Column:
@@ -23,12 +23,12 @@ def to_date_safe(col: str | Column) -> Column:
 def sas_date(day_number: str | Column) -> Column:
     """SAS day number (days since 1960-01-01, may be fractional) to ``date``.
 
-    A fraction keeps the day it starts in (floor), so -0.5 is 1959-12-31.  Null, NaN or an
-    out-of-range number gives null.
+    A fraction keeps the day it starts in (floor), so -0.5 is 1959-12-31.  Null, NaN or a
+    number outside the years 1 to 9999 gives null.
     """
-    x = _c(day_number).cast("double")
-    # floor(NaN) would be 0; beyond about 2700 years either side date_add could overflow
-    ok = ~F.isnan(x) & (F.abs(x) < F.lit(SAS_MAX_DAYS))
+    x = _c(day_number).try_cast("double")
+    # floor(NaN) would be 0
+    ok = ~F.isnan(x) & (x >= F.lit(SAS_FIRST_DAY)) & (x < F.lit(SAS_LAST_DAY + 1))
     days = F.when(ok, F.floor(x)).try_cast("int")
     return F.date_add(F.lit(SAS_EPOCH).cast("date"), days)
 

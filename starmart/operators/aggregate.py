@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .clean import col
 
@@ -59,10 +60,12 @@ def count_by(df: DataFrame, keys: Sequence[str], alias: str = "n") -> DataFrame:
     return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(alias))
 
 
-def distinct_count(df: DataFrame, keys: Sequence[str], of: str, alias: str = "n_distinct"
-                   ) -> DataFrame:
-    """Exact distinct count of ``of`` per group (global when ``keys`` is empty)."""
-    return df.groupBy(*[col(k) for k in keys]).agg(F.count_distinct(col(of)).alias(alias))
+def distinct_count(df: DataFrame, keys: Sequence[str], of: str, alias: str = "n_distinct",
+                   rows: str | None = None) -> DataFrame:
+    """Exact distinct count of ``of`` per group (global when ``keys`` is empty), and the row
+    count under the name ``rows`` if given."""
+    counts = [F.count(F.lit(1)).alias(rows)] if rows else []
+    return df.groupBy(*[col(k) for k in keys]).agg(*counts, F.count_distinct(col(of)).alias(alias))
 
 
 def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (),
@@ -71,41 +74,49 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (),
     """Typed column profile: one row per column with count, mean, stddev, min, max and
     optional quantiles (``describe()`` / ``summary()`` with real types instead of strings).
 
+    Numeric columns are profiled as doubles.  As soon as one column is not numeric, ``min`` and
+    ``max`` are text: the column's own smallest and largest value; its mean, deviation and
+    quantiles are those of the values that read as numbers (null if none does), and ``count`` is
+    that of its non-null values.
+
     All statistics of all columns come from one aggregate (one pass, partial aggregation), then
     ``stack`` turns the single wide row into one row per column.  Quantiles use
     ``percentile_approx``: its memory is bounded by ``accuracy`` whatever the data size, and the
-    rank of the returned value is within about ``n / accuracy`` of the requested rank, so the
-    quartiles are approximate (as ``summary()``'s are).  With few rows per sketch they come out
-    exact: the proof at sf0.01 matches an exact quantile; at sf0.1 (600,000 rows) one of twelve
-    values is a few ranks off.  ``exact=True`` computes each quantile with
-    :func:`exact_quantile` instead (a few small distributed jobs per value).  ``digits`` rounds
-    the floating statistics.
+    rank of the returned value is within about ``n / accuracy`` of the requested rank.
+    ``exact=True`` takes :func:`exact_quantiles` instead (a few passes for all columns together).
+    ``digits`` rounds the floating statistics.
     """
     def r(c: Column) -> Column:
         return F.round(c, digits) if digits is not None else c
 
+    types = {f.name: f.dataType for f in df.schema.fields}
+    mixed = any(not isinstance(types[c], T.NumericType) for c in cols)
     aggs = []
     for i, name in enumerate(cols):
-        raw = col(name).cast("double")
-        x = F.when(raw == 0, F.lit(0.0)).otherwise(raw)  # one zero: -0.0 and 0.0 print apart
+        numeric = isinstance(types[name], T.NumericType)
+        x = _number(col(name), types[name])
+        low, high = (F.min(x), F.max(x)) if numeric else (F.min(col(name)), F.max(col(name)))
+        if mixed:
+            low, high = low.cast("string"), high.cast("string")
         aggs += [
-            F.count(x).alias(f"c{i}"),
+            F.count(x if numeric else col(name)).alias(f"c{i}"),
             r(F.avg(x)).alias(f"m{i}"),
             r(F.stddev_samp(x)).alias(f"s{i}"),
-            F.min(x).alias(f"lo{i}"),
-            F.max(x).alias(f"hi{i}"),
+            low.alias(f"lo{i}"),
+            high.alias(f"hi{i}"),
         ]
         if quantiles and not exact:
             aggs.append(F.percentile_approx(x, list(quantiles), accuracy).alias(f"q{i}"))
     wide = df.agg(*aggs)
     q_names = [f"p{round(q * 100):02d}" for q in quantiles]
+    values = exact_quantiles(df, cols, quantiles) if exact and quantiles else {}
     rows = []
     for i, name in enumerate(cols):
-        parts = [f"'{name}'", f"c{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}"]
+        text = name.replace("\\", "\\\\").replace("'", "\\'")
+        parts = [f"'{text}'", f"c{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}"]
         if exact:
-            vals = exact_quantiles(df, name, quantiles)
-            parts += ["cast(null as double)" if v is None else f"cast({v!r} as double)"
-                      for v in vals]
+            parts += ["cast(null as double)" if v is None else f"cast('{v!r}' as double)"
+                      for v in values.get(name, [])]
         else:
             parts += [f"q{i}[{j}]" for j in range(len(quantiles))]
         rows.append(", ".join(parts))
@@ -114,51 +125,108 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (),
     return wide.selectExpr(stack)
 
 
+def _number(c: Column, dtype: T.DataType) -> Column:
+    """The value as a double, null if it does not read as one; -0.0 and 0.0 are one zero."""
+    readable = isinstance(dtype, (T.NumericType, T.StringType))
+    raw = c.try_cast("double") if readable else F.lit(None).cast("double")
+    return F.when(raw == 0, F.lit(0.0)).otherwise(raw)
+
+
 def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000,
-                   max_final: int = 100_000, max_rounds: int = 8) -> float | None:
-    """Exact discrete quantile: the value at rank ``ceil(q * n)`` (1-based) of the non-null,
-    non-NaN values of ``column`` (the ``percentile_approx`` / ``quantile_disc`` convention).
-
-    Distributed bracketing, no single task ever holds the data: ``percentile_approx`` brackets
-    the target rank with a margin, one aggregate counts the rows below and inside the bracket
-    (used only if the target rank is verifiably inside, else the margin widens), and the rows
-    outside are dropped.  Each round keeps about ``8 / accuracy`` of the candidates, so a few
-    rounds suffice at any size; a constant bracket ends early (a hot value).  When at most
-    ``max_final`` candidates remain, ``orderBy().offset(k).limit(1)`` returns the one value
-    (each task keeps at most ``k + 1`` rows).  Only scalars reach the driver.
+                   max_final: int = 10_000) -> float | None:
+    """:func:`exact_quantiles` for one quantile of one column."""
+    return exact_quantiles(df, [column], [q], accuracy, max_final)[column][0]
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], accuracy: int = 10_000,
+                    max_final: int = 10_000) -> dict[str, list[float | None]]:
+    """Exact discrete quantiles of several columns: per column the values at rank
+    ``ceil(q * n)`` (1-based) of its non-null, non-NaN values (the ``percentile_approx`` /
+    ``quantile_disc`` convention).
+
+    Distributed bracketing of all (column, quantile) pairs together, one aggregate per pass: a
+    sketch proposes a bracket around each rank; the next pass counts the rows below, at and
+    between its ends and proposes the next bracket from the rows between.  A rank that falls on an
+    end is answered by it (a hot value); a bracket with at most ``max_final`` rows between its ends
+    is answered from them in the last pass, which gathers no more than these verified few; otherwise
+    the bracket shrinks to the rows strictly between, so every pass makes progress at any size.
+    Only scalars reach the driver.
     """
-    return exact_quantiles(df, column, [q], accuracy, max_final, max_rounds)[0]
-
-
-def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], accuracy: int = 10_000,
-                    max_final: int = 100_000, max_rounds: int = 8) -> list[float | None]:
-    """:func:`exact_quantile` for several ``qs`` of one column (the row count is shared)."""
-    x = F.col("_x")
-    values = df.select(col(column).cast("double").alias("_x")).filter(x.isNotNull() & ~F.isnan(x))
-    n = values.count()
-    if n == 0:
-        return [None for _ in qs]
-    return [_bracket(values, n, q, accuracy, max_final, max_rounds) for q in qs]
-
-
-def _bracket(cand: DataFrame, n: int, q: float, accuracy: int, max_final: int,
-             max_rounds: int) -> float:
-    x = F.col("_x")
-    k = max(1, math.ceil(q * n))          # target rank among all values
-    below, m, margin = 0, n, 4.0
-    for _ in range(max_rounds):
-        if m <= max_final:
-            break
-        r = (k - below) / m
-        lo_q, hi_q = max(0.0, r - margin / accuracy), min(1.0, r + margin / accuracy)
-        lo, hi = cand.agg(F.percentile_approx(x, [lo_q, hi_q], accuracy)).first()[0]
-        c = cand.agg(F.count(F.when(x < lo, 1)).alias("b"),
-                     F.count(F.when((x >= lo) & (x <= hi), 1)).alias("m")).first()
-        if not (below + c["b"] < k <= below + c["b"] + c["m"]):
-            margin *= 4                       # the sketch missed: widen and retry
-            continue
-        if lo == hi:
-            return lo
-        below, m = below + c["b"], c["m"]
-        cand = cand.filter((x >= lo) & (x <= hi))
-    return cand.orderBy(x).offset(k - below - 1).limit(1).first()["_x"]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    xs = {c: F.when(~F.isnan(_number(col(c), types[c])), _number(col(c), types[c])) for c in cols}
+    pairs = [(c, q) for c in cols for q in qs]
+    step = 4.0 / accuracy
+    first = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[_ends(xs[c], q, step, accuracy).alias(f"e{i}") for i, (c, q) in enumerate(pairs)]).first()
+    count = {c: first[f"n{i}"] for i, c in enumerate(cols)}
+    found: dict[tuple, float | None] = {p: None for p in pairs}
+    rank = {(c, q): max(1, math.ceil(q * count[c])) for c, q in pairs}
+    # per pair: the open interval the value lies in (None: no end), the rows up to its lower end,
+    # the proposed bracket
+    state = {p: (None, None, 0, first[f"e{i}"]) for i, p in enumerate(pairs) if count[p[0]]}
+    last: dict[tuple, tuple] = {}
+    while state:
+        todo, aggs = list(state.items()), []
+        for i, ((c, _), (lo, hi, _, (a, b))) in enumerate(todo):
+            x = _between(xs[c], lo, hi)
+            aggs += [F.count_if(x < a).alias(f"b{i}"), F.count_if(x == a).alias(f"a{i}"),
+                     F.count_if((x > a) & (x < b)).alias(f"m{i}"), F.count_if(x == b).alias(f"h{i}"),
+                     F.count_if(x > b).alias(f"u{i}"),
+                     _ends(_between(x, a, b), None, step, accuracy).alias(f"e{i}")]
+        row, state = df.agg(*aggs).first(), {}
+        for i, (p, (lo, hi, below, (a, b))) in enumerate(todo):
+            k = rank[p] - below  # the rank among the rows of the open interval
+            n_below, at, mid = row[f"b{i}"], row[f"a{i}"], row[f"m{i}"]
+            high_n = row[f"h{i}"] if b != a else 0
+            if k <= n_below:  # the sketch proposed too high
+                interval, inside, start = (lo, a), n_below, below
+            elif k <= n_below + at:
+                found[p] = a
+                continue
+            elif k <= n_below + at + mid:
+                interval, inside, start = (a, b), mid, below + n_below + at
+            elif k <= n_below + at + mid + high_n:
+                found[p] = b
+                continue
+            else:
+                interval, inside, start = (b, hi), row[f"u{i}"], below + n_below + at + mid + high_n
+            if inside <= max_final:
+                last[p] = (*interval, rank[p] - start)
+            elif interval == (a, b):
+                ends = row[f"e{i}"]
+                r = (rank[p] - start) / inside
+                state[p] = (*interval, start, ends[_nearest(r)])
+            else:  # rare: propose anew within the interval, over the whole of it
+                r = (rank[p] - start) / inside
+                state[p] = (*interval, start, df.agg(_ends(
+                    _between(xs[p[0]], *interval), r, step, accuracy)).first()[0])
+    if last:
+        picks = [F.get(F.sort_array(F.collect_list(_between(xs[c], lo, hi))), k - 1)
+                 for (c, _), (lo, hi, k) in last.items()]
+        found.update(zip(last, df.agg(*[x.alias(f"v{i}") for i, x in enumerate(picks)]).first()))
+    return {c: [found[(c, q)] for q in qs] for c in cols}
+
+
+def _between(x: Column, lo: float | None, hi: float | None) -> Column:
+    """The values strictly between the ends."""
+    for end in (x > lo if lo is not None else None, x < hi if hi is not None else None):
+        if end is not None:
+            x = F.when(end, x)
+    return x
+
+
+#: ranks at which the next bracket is proposed before its target rank is known
+GRID = 64
+
+
+def _nearest(r: float) -> int:
+    return min(GRID - 1, max(0, int(r * GRID)))
+
+
+def _ends(x: Column, q: float | None, step: float, accuracy: int) -> Column:
+    """Bracket ends around rank share ``q``; without one, the ends of every cell of the grid."""
+    if q is not None:
+        return F.percentile_approx(x, [max(0.0, q - step), min(1.0, q + step)], accuracy)
+    cells = F.percentile_approx(x, [k / GRID for k in range(GRID + 1)], accuracy)
+    return F.transform(F.sequence(F.lit(0), F.lit(GRID - 1)),
+                       lambda k: F.array(F.get(cells, k), F.get(cells, k + 1)))

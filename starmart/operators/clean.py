@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-            T.DecimalType)
-
-
 def quote(name: str) -> str:
     """Backtick-quote a column name so blanks, dots and dashes are taken literally."""
     return "`" + name.replace("`", "``") + "`"
@@ -49,24 +45,33 @@ def project(df: DataFrame, schema: T.StructType, mapping: Mapping[str, str | Col
 
 
 def _descending_key(c: Column, dtype: T.DataType) -> Column:
-    """A numeric key whose ascending order is ``c`` descending (numeric and time types)."""
-    if isinstance(dtype, _NUMERIC):
+    """A key whose ascending order is ``c`` descending (numbers, times, text, bytes, booleans)."""
+    if isinstance(dtype, T.IntegralType):
+        return F.bitwise_not(c)  # -c would overflow for the smallest number
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.struct(~F.isnan(c), -c)  # NaN is the largest number
+    if isinstance(dtype, T.DecimalType):
         return -c
     if isinstance(dtype, T.DateType):
         return F.datediff(F.lit("1970-01-01").cast("date"), c)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
+        return F.bitwise_not(F.unix_micros(c))  # instants: a repeated local hour does not tie
+    if isinstance(dtype, T.TimestampNTZType):
         days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("decimal(20,6)")
         secs = (days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
                 + F.date_part(F.lit("SECOND"), c))
         return -secs
     if isinstance(dtype, T.BooleanType):
         return ~c
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        # the bytes' complement; the closing mark, above all digits, puts a prefix behind
+        digits = "0123456789ABCDEF"
+        return F.concat(F.translate(F.hex(c), digits, digits[::-1]), F.lit("G"))
     raise TypeError(f"cannot order {dtype.simpleString()} against the leading direction")
 
 
 def dedupe(df: DataFrame, keys: Sequence[str],
-           order: Iterable[tuple[str, bool]] | None = None, strategy: str = "aggregate",
-           max_dup_keys: int = 1_000_000) -> DataFrame:
+           order: Iterable[tuple[str, bool]] | None = None) -> DataFrame:
     """One row per key, chosen deterministically.
 
     ``order`` lists ``(column, ascending)`` pairs; the first row in that order wins, nulls last,
@@ -78,18 +83,8 @@ def dedupe(df: DataFrame, keys: Sequence[str],
     aggregate combines map-side, so a key holding a third of all rows is reduced to one row per
     input partition before the shuffle, where a window would sort that whole key in one task.
     When the keys are all the columns this is simply ``distinct()``.
-
-    ``strategy="keys"`` is for keys that are almost always unique (record ids): only the key
-    columns are shuffled to find the duplicated keys, which are checkpointed to the shared
-    folder and broadcast (after a size check against ``max_dup_keys``); rows of unique keys
-    pass through without any shuffle and only rows of duplicated keys are aggregated.  When the
-    duplicated keys do not fit, it falls back to the aggregate.  Same result either way.
     """
     keys = list(keys)
-    if strategy == "keys":
-        return _dedupe_by_duplicate_keys(df, keys, order, max_dup_keys)
-    if strategy != "aggregate":
-        raise ValueError(f"unknown strategy {strategy!r}")
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.distinct()
@@ -121,29 +116,3 @@ def dedupe(df: DataFrame, keys: Sequence[str],
     return picked.select(*[col(k) for k in keys],
                          *[F.col("_best").getField(source[c]).alias(c) for c in others]
                          ).select(*[col(c) for c in df.columns])
-
-
-def _dedupe_by_duplicate_keys(df: DataFrame, keys: list[str],
-                              order: Iterable[tuple[str, bool]] | None,
-                              max_dup_keys: int) -> DataFrame:
-    from ..session import checkpoint_root
-    from .lookup import fits  # local import: lookup imports this module
-
-    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    # eager, reliable checkpoint in the shared checkpoint folder (never localCheckpoint): the
-    # size check and the join below read the same keys, and a lost executor cannot lose them
-    checkpoint_root(df.sparkSession)
-    dup = counts.filter(F.col("_n") > 1).select(*[col(k) for k in keys]).checkpoint(eager=True)
-    if not fits(dup, max_dup_keys):
-        return dedupe(df, keys, order)
-    flagged = dup.select(*[col(k).alias(f"_d{i}") for i, k in enumerate(keys)],
-                         F.lit(True).alias("_dup"))
-    cond = None
-    for i, k in enumerate(keys):
-        term = col(k).eqNullSafe(F.col(f"_d{i}"))
-        cond = term if cond is None else cond & term
-    marked = df.join(F.broadcast(flagged), cond, "left").drop(
-        *[f"_d{i}" for i in range(len(keys))])
-    unique_rows = marked.filter(F.col("_dup").isNull()).drop("_dup")
-    dup_rows = dedupe(marked.filter(F.col("_dup")).drop("_dup"), keys, order)
-    return unique_rows.unionByName(dup_rows)

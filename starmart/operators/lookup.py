@@ -1,4 +1,9 @@
-"""Lookups: dimension joins with a checked broadcast, orphan keys, star enrichment."""
+"""Lookups: dimension joins, orphan keys, star enrichment.
+
+No join is forced to broadcast: Spark compares the size in bytes of each side, known from the
+files or, under AQE, measured at run time, with ``spark.sql.autoBroadcastJoinThreshold``, and
+shuffles beyond it.  Nothing runs while a plan is built.
+"""
 
 from __future__ import annotations
 
@@ -7,57 +12,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: default bound for broadcasting a dimension; code lists hold hundreds of rows
-MAX_BROADCAST_ROWS = 100_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A constant column limited to ``max_rows + 1`` rows is collected: Spark answers a collected
-    limit incrementally (one partition first, then more only if needed), so a large table
-    costs about one partition read, the scan reads no column data, and the driver receives at
-    most ``max_rows + 1`` one-integer rows.  (``limit(n).count()`` would instead let every
-    partition read up to ``n`` rows.)
-    """
-    probe = df.select(F.lit(1).alias("_one")).limit(max_rows + 1)
-    return len(probe.collect()) <= max_rows
+from .clean import col
 
 
-def small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking its size; otherwise leave it to a shuffle
-    join (which AQE may still turn into a broadcast from runtime statistics)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def resolve(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-            max_dim_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+def resolve(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner"
+            ) -> DataFrame:
     """Join a dimension on shared key column(s).  ``inner`` drops unmatched fact rows (as the
-    reference's port/state join does); ``left`` keeps them with null attributes.
-    ``max_dim_rows=None`` skips the size check and lets the planner decide."""
-    side = dim if max_dim_rows is None else small(dim, max_dim_rows)
-    return fact.join(side, on=on, how=how)
+    reference's port/state join does); ``left`` keeps them with null attributes."""
+    return fact.join(dim, on=on, how=how)
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None
             ) -> DataFrame:
-    """Fact rows whose key has no dimension row (``left_anti``).  Null keys count as orphans
-    only if the caller keeps them; they never match."""
-    dim_key = dim_key or fact_key
-    keys = dim.select(F.col(dim_key).alias("_k")).distinct()
-    return fact.join(keys, F.col(fact_key) == F.col("_k"), "left_anti")
+    """Fact rows whose key has no dimension row (``left_anti``; a repeated dimension key does not
+    multiply rows).  Null keys count as orphans only if the caller keeps them; they never match."""
+    keys = dim.select(col(dim_key or fact_key).alias("_k"))
+    return fact.join(keys, col(fact_key) == F.col("_k"), "left_anti")
 
 
-def enrich(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str], int | None]],
+def enrich(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str]]],
            how: str = "left") -> DataFrame:
-    """Chain of dimension joins around a fact table: ``(dim, key, max_rows)`` each.  A dimension
-    with ``max_rows`` is broadcast when it passes the size check; ``None`` means the dimension
-    grows with the data and is joined by shuffle.
+    """Chain of dimension joins around a fact table: ``(dim, key)`` each.
 
     Joins run in the order given (Catalyst does not reorder them without cost statistics): to
     snowflake a large fact, enrich the intermediate table first (``enrich(orders, [customer,
     nation])``) and join the fact to it once, so the fact is shuffled once."""
     out = fact
-    for dim, key, max_rows in dims:
-        out = resolve(out, dim, key, how=how, max_dim_rows=max_rows)
+    for dim, key in dims:
+        out = resolve(out, dim, key, how=how)
     return out

@@ -12,18 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import sas_day_number
-from ..operators.lookup import small
 from ..sources import labels as LB
 
-#: nations and regions are fixed code lists of the test schema (25 and 5 rows)
-MAX_CODE_ROWS = 10_000
-
 
 def temperature_raw(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Readings as text: day of the event, its value, the event type as the city and the
     nation of the user (via customer) as the country."""
     users = customer.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey"))
-    n = small(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), MAX_CODE_ROWS)
+    n = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     e = events.join(users, "user_id").join(n, "c_nationkey")
     return e.select(
         F.date_format("ts", "yyyy-MM-dd").alias("dt"),
@@ -45,10 +41,9 @@ def demographics_raw(customer: DataFrame, nation: DataFrame, region: DataFrame,
     carry a different median age, so those cities appear in two groups."""
     counts = (orders.groupBy(F.col("o_custkey").alias("c_custkey"), "o_orderstatus")
                     .agg(F.count(F.lit(1)).alias("cnt")))
-    n = small(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name",
-                            F.col("n_regionkey").alias("r_regionkey")), MAX_CODE_ROWS)
-    r = small(region.select("r_regionkey", F.upper(F.substring("r_name", 1, 2)).alias("r_code")),
-              MAX_CODE_ROWS)
+    n = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name",
+                      F.col("n_regionkey").alias("r_regionkey"))
+    r = region.select("r_regionkey", F.upper(F.substring("r_name", 1, 2)).alias("r_code"))
     c = customer.join(n, "c_nationkey").join(r, "r_regionkey").join(counts, "c_custkey")
     race = F.lit(None).cast("string")
     for status, label in STATUS_RACE.items():
@@ -77,9 +72,9 @@ def demographics_raw(customer: DataFrame, nation: DataFrame, region: DataFrame,
 def port_labels(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Port code and place label per customer; the label shape depends on the segment:
     no comma, two commas, a region name (foreign-like), or a code with a suffix."""
-    n = small(nation.select(F.col("n_nationkey").alias("c_nationkey"),
-                            F.col("n_regionkey").alias("r_regionkey")), MAX_CODE_ROWS)
-    r = small(region.select("r_regionkey", "r_name"), MAX_CODE_ROWS)
+    n = nation.select(F.col("n_nationkey").alias("c_nationkey"),
+                      F.col("n_regionkey").alias("r_regionkey"))
+    r = region.select("r_regionkey", "r_name")
     c = customer.join(n, "c_nationkey").join(r, "r_regionkey")
     code = F.upper(F.substring("r_name", 1, 2))
     seg = F.col("c_mktsegment")

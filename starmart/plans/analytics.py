@@ -1,8 +1,8 @@
 """The stated analyses over the star schema: correlations, visitor profiles, trends.
 
 Generic helpers take column names so they run on any fact-like table; the star-schema
-functions below them fix the names of the output tables.  All joins to code-list dimensions
-are broadcast only after a size check; joins between growing tables are left to shuffle/AQE.
+functions below them fix the names of the output tables.  Joins are left to Spark, which
+broadcasts a side by its size in bytes and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from ..functions.dates import iso_year
 from ..functions.text import join_key
 from ..operators.aggregate import safe_corr
 from ..operators.clean import col, dedupe
-from ..operators.lookup import small
 
 # ------------------------------------------------------------------ generic
 
@@ -60,24 +59,36 @@ def top_value(df: DataFrame, keys: Sequence[str], of: str, alias: str = "top",
 
 def profile_by(df: DataFrame, place: Sequence[str], category: str, categories: Sequence[str],
                top: str, total_alias: str = "arrivals",
-               extra: Mapping[str, Sequence] | None = None) -> DataFrame:
+               extra: Mapping[str, Sequence] | None = None, shares: int | None = None) -> DataFrame:
     """Per place: total rows, one count column per listed ``categories`` of ``category`` (named
-    by the value), one count column ``<column>_<value>`` per listed value of each ``extra``
-    column, and the most frequent ``top`` value.
+    by the value), one count column ``<column>_<value>`` per listed value of each ``extra`` column
+    with ``<column>_other`` and ``<column>_unknown`` (null) for the rest, and the most frequent
+    ``top`` value (ties: the smallest).  Each set of ``extra`` columns sums to the total, as do the
+    categories if they list every value.
 
-    Totals and all category counts come from one aggregate of conditional counts (listed-value
-    pivots written out); the top value needs a second, finer aggregate.  The two per-place
-    results are joined.
+    ``shares``: also the share of the total of every count, as ``<name>_share`` with so many digits.
+
+    One scan: rows are counted per (place, top value), combined map-side, with all conditional
+    counts, and these counts are added up per place, where the largest one names the top value.
     """
     cat = col(category)
-    counts_by = [F.count(F.when(cat == F.lit(c), 1)).alias(c) for c in categories]
+    counts = {c: F.count_if(cat == F.lit(c)) for c in categories}
     for name, values in (extra or {}).items():
-        counts_by += [F.count(F.when(col(name) == F.lit(v), 1)).alias(f"{name}_{v}")
-                      for v in values]
-    counts = df.groupBy(*[col(p) for p in place]).agg(
-        F.count(F.lit(1)).alias(total_alias), *counts_by)
-    tops = top_value(df, place, top, alias=f"top_{top}", count_alias=f"top_{top}_n")
-    return counts.join(tops, list(place), "left")
+        known = col(name).isin(list(values))
+        counts |= {f"{name}_{v}": F.count_if(col(name) == F.lit(v)) for v in values}
+        counts[f"{name}_other"] = F.count_if(col(name).isNotNull() & ~known)
+        counts[f"{name}_unknown"] = F.count_if(col(name).isNull())
+    fine = df.groupBy(*[col(p) for p in place], col(top).alias("_top")).agg(
+        F.count(F.lit(1)).alias("_n"), *[c.alias(f"_c{i}") for i, c in enumerate(counts.values())])
+    # null never is the top value
+    best = F.min(F.when(F.col("_top").isNotNull(), F.struct((-F.col("_n")).alias("_n"), "_top")))
+    out = fine.groupBy(*[col(p) for p in place]).agg(
+        F.sum("_n").alias(total_alias), *[F.sum(f"_c{i}").alias(k) for i, k in enumerate(counts)],
+        best.alias("_best"))
+    parts = [] if shares is None else [
+        F.round(col(k) / col(total_alias), shares).alias(f"{k}_share") for k in counts]
+    return out.select(*[col(p) for p in place], col(total_alias), *[col(k) for k in counts], *parts,
+                      F.col("_best._top").alias(f"top_{top}"), (-F.col("_best._n")).alias(f"top_{top}_n"))
 
 
 def trend(df: DataFrame, date: str, grain: str, measure: str | None = None,
@@ -87,7 +98,7 @@ def trend(df: DataFrame, date: str, grain: str, measure: str | None = None,
     Weekly series key on the ISO week-year, not the calendar year, so the days of week 53 or
     week 1 that fall in the neighbouring calendar year stay in one bucket.
     """
-    d = col(date).cast("date")
+    d = col(date).try_cast("date")
     if grain == "week":
         keys = [iso_year(d).alias("year"), F.weekofyear(d).cast("int").alias("week")]
     elif grain == "month":
@@ -98,20 +109,20 @@ def trend(df: DataFrame, date: str, grain: str, measure: str | None = None,
         raise ValueError(f"unknown grain {grain!r}")
     aggs = [F.count(F.lit(1)).alias("n")]
     if measure:
-        aggs.append(F.sum(col(measure).cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
+        aggs.append(F.sum(col(measure).try_cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
     return df.groupBy(*[col(b) for b in by], *keys).agg(*aggs)
 
 
 def trend_rollup(df: DataFrame, date: str, measure: str | None = None) -> DataFrame:
     """Year > quarter > month counts with subtotals (``rollup``); ``level`` is the grouping id
     (0 = month rows, 1 = quarter subtotals, 3 = year subtotals, 7 = grand total)."""
-    d = col(date).cast("date")
+    d = col(date).try_cast("date")
     keyed = df.select(F.year(d).cast("int").alias("year"), F.quarter(d).cast("int").alias("quarter"),
                       F.month(d).cast("int").alias("month"),
                       *([col(measure).alias("_m")] if measure else []))
     aggs = [F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("level")]
     if measure:
-        aggs.append(F.sum(F.col("_m").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
+        aggs.append(F.sum(F.col("_m").try_cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
     return keyed.rollup("year", "quarter", "month").agg(*aggs)
 
 
@@ -121,10 +132,10 @@ AGE_EDGES = [18, 35, 55]
 AGE_BANDS = ["0-17", "18-34", "35-54", "55+"]
 
 
-def arrivals_by_city(fact: DataFrame, port: DataFrame, max_ports: int = 100_000) -> DataFrame:
+def arrivals_by_city(fact: DataFrame, port: DataFrame) -> DataFrame:
     """Fact rows with the city and state of their port (ports without a city are dropped)."""
     p = port.select(F.col("port_code").alias("arrival_port_code"), "city", "state_code")
-    return fact.join(small(p, max_ports), "arrival_port_code", "inner")
+    return fact.join(p, "arrival_port_code", "inner")
 
 
 #: gender and travel-mode values counted in the visitor profile (fixed code values)
@@ -133,55 +144,49 @@ TRAVEL_MODES = [1, 2, 3, 9]
 
 
 def visitor_profile(fact: DataFrame, port: DataFrame) -> DataFrame:
-    """G3: per city and state, arrivals by age band, gender and travel mode, and the most
-    frequent residence country."""
+    """G3: per city and state, arrivals by age band, gender and travel mode - counts and shares,
+    with what is not listed or not known - and the most frequent residence country."""
     f = arrivals_by_city(fact, port).withColumn(
         "age_band", band(F.col("visitor_age"), AGE_EDGES, AGE_BANDS))
     return profile_by(f, ["city", "state_code"], "age_band", AGE_BANDS + ["unknown"],
                       "visitor_residence_country",
-                      extra={"visitor_gender": GENDERS, "travel_mode_code": TRAVEL_MODES})
+                      extra={"visitor_gender": GENDERS, "travel_mode_code": TRAVEL_MODES},
+                      shares=6)
 
 
 def temperature_correlation(fact: DataFrame, port: DataFrame, country: DataFrame,
                             city_temp: DataFrame, country_temp: DataFrame,
-                            max_dim_rows: int = 100_000, climatology: bool = False
-                            ) -> DataFrame:
+                            climatology: bool = False) -> DataFrame:
     """G1: per US city, correlation between its monthly temperature and the temperature of the
     visitors' residence countries, over (country, year, month) rows weighted once each.
 
     ``climatology=True`` first averages each place's temperature per calendar month over all
-    years and joins on the month only: use it when the temperature records do not cover the
-    arrival years.  Place names are joined on ``upper(trim(name))`` because the sources spell
-    them differently.
+    years and joins on the month only, one row per (country, month): use it when the temperature
+    records do not cover the arrival years.  Place names are joined on ``upper(trim(name))``
+    because the sources spell them differently; both temperature tables are first reduced to that
+    key (their mean).
     """
-    if climatology:
-        city_temp = _climatology(city_temp, "city")
-        country_temp = _climatology(country_temp, "country")
-    f = arrivals_by_city(fact, port, max_dim_rows)
-    names = country.select(F.col("country_code").alias("visitor_residence_country"),
+    f = arrivals_by_city(fact, port)
+    names = (country.select(F.col("country_code").alias("visitor_residence_country"),
                             join_key("country").alias("_country"))
-    f = f.join(small(names, max_dim_rows), "visitor_residence_country", "inner")
-    per = (f.groupBy(join_key("city").alias("_city"), "_country",
-                     F.col("arrival_year").alias("year"), F.col("arrival_month").alias("month"))
-             .agg(F.count(F.lit(1)).alias("arrivals")))
-    ct = city_temp.select("year", "month", join_key("city").alias("_city"),
-                          F.col("average_temperature").alias("city_temperature"))
-    kt = country_temp.select("year", "month", join_key("country").alias("_country"),
-                             F.col("average_temperature").alias("country_temperature"))
+             .where("_country is not null").distinct())
+    f = f.join(names, "visitor_residence_country", "inner")
     when = ["month"] if climatology else ["year", "month"]
-    rows = per.join(ct.drop("year") if climatology else ct, ["_city", *when]) \
-              .join(kt.drop("year") if climatology else kt, ["_country", *when])
-    rows = rows.withColumn("city_temperature", F.col("city_temperature").cast("double")) \
-               .withColumn("country_temperature", F.col("country_temperature").cast("double"))
+    years = [] if climatology else [F.col("arrival_year").alias("year")]
+    per = (f.groupBy(join_key("city").alias("_city"), "_country", *years,
+                     F.col("arrival_month").alias("month"))
+             .agg(F.count(F.lit(1)).alias("arrivals")))
+    rows = (per.join(_monthly(city_temp, "city", when), ["_city", *when])
+               .join(_monthly(country_temp, "country", when), ["_country", *when]))
     return corr_by(rows.withColumnRenamed("_city", "city"), ["city"], "city_temperature",
                    "country_temperature")
 
 
-def _climatology(temp: DataFrame, place: str) -> DataFrame:
-    """Mean temperature per (place, calendar month) over all years (``year`` kept as null)."""
-    return (temp.groupBy(place, "month")
-                .agg(F.avg("average_temperature").cast("decimal(6,2)").alias("average_temperature"))
-                .withColumn("year", F.lit(None).cast("int")))
+def _monthly(temp: DataFrame, place: str, when: Sequence[str]) -> DataFrame:
+    """One mean temperature per place, reduced to its join key, and month (of a year, or of all
+    years): two spellings of one place must not count twice."""
+    return (temp.groupBy(join_key(place).alias(f"_{place}"), *when)
+                .agg(F.avg(F.col("average_temperature").cast("double")).alias(f"{place}_temperature")))
 
 
 def demography_correlation(fact: DataFrame, port: DataFrame, demo: DataFrame,
@@ -194,9 +199,11 @@ def demography_correlation(fact: DataFrame, port: DataFrame, demo: DataFrame,
     f = arrivals_by_city(fact, port)
     per = (f.groupBy("visitor_birth_country", join_key("city").alias("_city"), "state_code")
              .agg(F.count(F.lit(1)).alias("arrivals")))
-    d = demo.select(join_key("city").alias("_city"), "state_code",
-                    *[F.try_divide(F.col(g), F.col("total_population")).alias(f"{g}_share")
-                      for g in groups])
+    # spellings of one city are one city: its people are added up
+    d = (demo.groupBy(join_key("city").alias("_city"), "state_code")
+             .agg(*[F.sum(g).alias(g) for g in groups], F.sum("total_population").alias("_total"))
+             .select("_city", "state_code", *[F.try_divide(F.col(g), F.col("_total"))
+                                              .alias(f"{g}_share") for g in groups]))
     rows = per.join(d, ["_city", "state_code"], "inner")
     aggs = [F.count(F.lit(1)).alias("cities")]
     aggs += [F.round(safe_corr(F.col("arrivals"), F.col(f"{g}_share")), 6)
@@ -204,6 +211,8 @@ def demography_correlation(fact: DataFrame, port: DataFrame, demo: DataFrame,
     return rows.groupBy("visitor_birth_country").agg(*aggs)
 
 
-def arrival_trends(fact: DataFrame, grain: str) -> DataFrame:
-    """G4: arrivals per ISO week, month or quarter (and ``trend_rollup`` for subtotals)."""
-    return trend(fact, "arrival_date", grain)
+def arrival_trends(fact: DataFrame, grain: str, by: Sequence[str] = ()) -> DataFrame:
+    """G4: arrivals per ISO week, month or quarter, for the whole table or ``by`` columns such as
+    the port; ``grain="rollup"`` gives year, quarter and month with subtotals."""
+    return trend_rollup(fact, "arrival_date") if grain == "rollup" else trend(
+        fact, "arrival_date", grain, by=by)

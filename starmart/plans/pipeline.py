@@ -7,9 +7,10 @@ driver's test tables and on the full data.  ``build_all`` reads, builds and writ
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,13 +18,15 @@ from pyspark.sql import types as T
 from .. import tables as TB
 from ..functions.dates import calendar_parts, sas_date, year_month
 from ..functions.text import drop_blanks, split_place
-from ..operators.aggregate import mean_by, pivot_first
+from ..operators.aggregate import pivot_first
 from ..operators.clean import col, dedupe, project, require
 from ..operators.lookup import resolve
+from ..operators.quality import Check, check_tables, orphan_report, require_ok
+from ..session import scratch_path
 from ..sources import labels as LB
 from ..sources.arrivals import read_arrivals
 from ..sources.delimited import read_delimited
-from ..sources.parquet import write_table
+from ..sources.parquet import exists, publish, remove, write_table
 
 HOME_COUNTRY = "United States"
 PLEASURE_VISA = 2.0
@@ -46,29 +49,48 @@ def clean_temperatures(raw: DataFrame) -> DataFrame:
     return require(t, ["year", "month"])
 
 
+def temperature_sums(raw: DataFrame, scale: int = 0) -> DataFrame:
+    """Sum and count of the readings, each rounded HALF_UP to ``scale``, per (year, month, city,
+    country): the small result that both temperature tables are made of."""
+    t = clean_temperatures(raw)
+    reading = col("AverageTemperature").try_cast(f"decimal(10,{scale})")
+    return t.groupBy("year", "month", col("City").alias("city"), col("Country").alias("country")).agg(
+        F.sum(reading).alias("total"), F.count(reading).alias("readings"))
+
+
+def temperature_means(sums: DataFrame, home: str = HOME_COUNTRY, out: str = "decimal(4,2)"
+                      ) -> tuple[DataFrame, DataFrame]:
+    """The city table of the ``home`` country and the table of the other countries.
+
+    The mean is the quotient of exact sums, rounded HALF_UP to four digits and then to ``out``; a
+    mean that does not fit becomes null.
+    """
+    def means(rows: DataFrame, place: str, schema: T.StructType) -> DataFrame:
+        mean = (F.sum("total").cast("decimal(20,0)") if sums.schema["total"].dataType.scale == 0
+                else F.sum("total")) / F.sum("readings").cast("decimal(12,0)")
+        return project(rows.groupBy("year", "month", place).agg(
+            F.when(F.sum("readings") > 0, mean).try_cast("decimal(14,4)").try_cast(out)
+            .alias("average_temperature")), _with_type(schema, "average_temperature", out))
+
+    at_home = F.col("country") == F.lit(home)
+    return (means(sums.filter(at_home), "city", TB.DIM_TEMPERATURE_CITY),
+            means(sums.filter(~at_home), "country", TB.DIM_TEMPERATURE_COUNTRY))
+
+
 def temperature_tables(raw: DataFrame, home: str = HOME_COUNTRY, scale: int = 0,
                        out: str = "decimal(4,2)") -> tuple[DataFrame, DataFrame]:
     """Monthly mean temperature per city of the ``home`` country and per other country.
 
     Readings are rounded to whole degrees (``scale=0``) before the mean, the mean is narrowed
     to ``out``; both steps round HALF_UP.  Rows without a date, reading, city or country and
-    rows whose date text is malformed are dropped before grouping.  The keys are unique after
-    the aggregate, so no sort and no second de-duplication is planned.
+    rows whose date text is malformed are dropped before grouping.
     """
-    t = clean_temperatures(raw)
-    city = mean_by(t.filter(col("Country") == F.lit(home)), ["year", "month", "City"],
-                   "AverageTemperature", scale=scale, out=out)
-    country = mean_by(t.filter(col("Country") != F.lit(home)), ["year", "month", "Country"],
-                      "AverageTemperature", scale=scale, out=out)
-    city = project(city, _with_type(TB.DIM_TEMPERATURE_CITY, "average_temperature", out),
-                   {"city": "City"})
-    country = project(country, _with_type(TB.DIM_TEMPERATURE_COUNTRY, "average_temperature", out),
-                      {"country": "Country"})
-    return city, country
+    return temperature_means(temperature_sums(raw, scale), home, out)
 
 
 # ------------------------------------------------------------------ C2 demographics
 
+# fixed values: the names of the sources' columns and of the output contract
 DEMOGRAPHIC_KEYS = ["State", "City", "Median Age", "Male Population", "Female Population",
                     "Total Population", "Number of Veterans", "Foreign-born",
                     "Average Household Size", "State Code"]
@@ -108,12 +130,11 @@ def demographic_table(raw: DataFrame, races: list[str] | None = None) -> DataFra
 
 # ------------------------------------------------------------------ C3 code tables
 
-def code_tables(formats: DataFrame, place_mode: str = "reference",
-                max_states: int = 10_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+def code_tables(formats: DataFrame, place_mode: str = "reference") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Country, port and travel-mode dimensions from parsed label-file pairs.
 
     Ports get ``city`` and ``state_code`` from their label (:func:`split_place`) and keep only
-    labels whose state code is a listed state (inner join on a checked-small state list).
+    labels whose state code is a listed state (inner join).
     """
     country = LB.code_list(formats, LB.COUNTRY_FORMAT, "country_code", "country")
     country = project(country.withColumn("country_code", drop_blanks("country_code")),
@@ -123,7 +144,7 @@ def code_tables(formats: DataFrame, place_mode: str = "reference",
     states = LB.code_list(formats, LB.STATE_FORMAT, "state_code", "state")
     ports = LB.code_list(formats, LB.PORT_FORMAT, "port_code", "port")
     ports = ports.withColumns(split_place("port", place_mode))
-    port = resolve(ports, states, "state_code", how="inner", max_dim_rows=max_states)
+    port = resolve(ports, states, "state_code", how="inner")
     port = project(require(port, ["port_code"]), TB.DIM_PORT)
     port = dedupe(port, ["port_code"])
 
@@ -136,6 +157,7 @@ def code_tables(formats: DataFrame, place_mode: str = "reference",
 
 # ------------------------------------------------------------------ C4 arrivals
 
+# fixed values: the names of the sources' columns and of the output contract
 FACT_MAPPING = {
     "cicid": "cicid",
     "arrival_year": "i94yr",
@@ -172,12 +194,10 @@ def date_table(arrivals: DataFrame) -> DataFrame:
 def fact_table(arrivals: DataFrame) -> DataFrame:
     """Fact table: one row per ``cicid`` with typed, renamed columns.
 
-    Record ids are nearly unique, so the de-duplication shuffles only the ids and aggregates
-    only the rows of repeated ids (``dedupe(strategy="keys")``).
+    One scan and one shuffle by record id, whatever the share of repeated ids.
     """
-    a = require(arrivals, ["cicid", "i94res", "i94port", "arrival_date", "i94mode"])
-    fact = project(a, TB.FACT_ARRIVALS, FACT_MAPPING)
-    return dedupe(require(fact, ["cicid"]), ["cicid"], strategy="keys")
+    fact = project(arrivals.filter(F.col("arrival_date").isNotNull()), TB.FACT_ARRIVALS, FACT_MAPPING)
+    return dedupe(require(fact, ["cicid"]), ["cicid"])
 
 
 def arrival_tables(arrivals: DataFrame, visa: float = PLEASURE_VISA
@@ -198,23 +218,22 @@ class Inputs:
 
 
 def build_star(spark: SparkSession, inputs: Inputs, home: str = HOME_COUNTRY,
-               place_mode: str = "reference", temperatures: DataFrame | None = None
+               place_mode: str = "reference", sums: DataFrame | None = None
                ) -> dict[str, DataFrame]:
     """All eight tables as DataFrames (lazy), keyed by output table name.
 
-    ``temperatures`` may be a cleaned, persisted temperature frame shared by the city and the
-    country table (see :func:`build_all`).
+    ``sums`` may hold stored :func:`temperature_sums` for both temperature tables.
     """
     arrivals = pleasure_arrivals(read_arrivals(spark, inputs.arrivals, inputs.arrivals_format))
-    temps = temperatures if temperatures is not None else \
-        read_delimited(spark, inputs.temperatures, TB.TEMPERATURE_RAW, sep=",")
+    if sums is None:
+        sums = temperature_sums(read_delimited(spark, inputs.temperatures, TB.TEMPERATURE_RAW, sep=","))
     demo = read_delimited(spark, inputs.demographics, TB.DEMOGRAPHICS_RAW, sep=";")
     formats = LB.read_formats(spark, inputs.labels)
-    city, country = temperature_tables(temps, home=home)
+    city, country = temperature_means(sums, home=home)
     c_dim, p_dim, m_dim = code_tables(formats, place_mode)
     return {
-        "fact_i94_us_visitor_arrivals_table": fact_table(arrivals),
-        "dim_date_table": date_table(arrivals),
+        FACT: fact_table(arrivals),
+        DATES: date_table(arrivals),
         "dim_temperatures_us_cities_table": city,
         "dim_temperatures_countries_table": country,
         "dim_cities_demographic_table": demographic_table(demo),
@@ -224,31 +243,65 @@ def build_star(spark: SparkSession, inputs: Inputs, home: str = HOME_COUNTRY,
     }
 
 
-def build_all(spark: SparkSession, inputs: Inputs, out: str, home: str = HOME_COUNTRY,
-              place_mode: str = "reference", dynamic: bool = False) -> dict[str, str]:
-    """Build and write the star schema under ``out``; returns table name -> path.
+FACT, DATES = "fact_i94_us_visitor_arrivals_table", "dim_date_table"
 
-    Each table is one job whose commit is atomic, so a lost executor only re-runs tasks.
-    ``dynamic=True`` replaces only the months present in this run (monthly refresh).
 
-    The temperature text feeds two tables: it is parsed and cleaned once and persisted
-    (memory and disk; lost blocks are recomputed from the source) while both are written.
-    Arrivals also feed two tables but are re-scanned: the date table reads only the day number
-    and the filter columns from Parquet, which costs less than caching every column.
+def star_checks(spark: SparkSession, star: dict[str, DataFrame], inputs: Inputs | None = None
+                ) -> dict[str, Check]:
+    """The checks of the eight tables: keys and declared types; with the inputs also completeness
+    of the fact (every record id of the arrivals kept) and of the dates (every arrival day)."""
+    source = {}
+    if inputs is not None:
+        arrivals = pleasure_arrivals(read_arrivals(spark, inputs.arrivals, inputs.arrivals_format))
+        arrivals = arrivals.filter(F.col("arrival_date").isNotNull())
+        source = {FACT: arrivals.select(col("cicid").try_cast("bigint").alias("cicid")),
+                  DATES: arrivals.select("arrival_date")}
+    return {n: Check(df, TB.STAR[n][1], TB.STAR[n][0], source.get(n)) for n, df in star.items()}
+
+
+def build_all(spark: SparkSession, inputs: Inputs, out: str, home: str = HOME_COUNTRY,
+              place_mode: str = "reference", dynamic: bool = False, report: list | None = None
+              ) -> dict[str, str]:
+    """Build the star schema under ``out``; returns table name -> path.
+
+    The tables are first written to a staging folder and checked there (rows, keys, types,
+    completeness; the rows of the report are appended to ``report``): a failed check raises and
+    leaves the old tables as they are.  Then each table takes the old one's place by a rename.
+
+    ``dynamic=True`` (monthly refresh) replaces only the months present in this run.  The fact is
+    kept by the recorded month, days by their own; so the date dimension is never replaced but gets
+    the days it does not have yet, else a late arrival of a neighbouring month would drop the days
+    of that month's other arrivals.
+
+    The temperature text feeds two tables: it is parsed once into small sums.  Arrivals also feed
+    two tables but are scanned for each: the date table reads the day number and the filter columns
+    only, which costs less than storing every column.
     """
-    temps = clean_temperatures(
-        read_delimited(spark, inputs.temperatures, TB.TEMPERATURE_RAW, sep=",")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        star = build_star(spark, inputs, home, place_mode, temperatures=temps)
-        paths = {}
-        for name, df in star.items():
-            _, _, parts = TB.STAR[name]
-            path = f"{out.rstrip('/')}/{name}.parquet"
-            write_table(df, path, partition_by=parts, dynamic=dynamic and bool(parts))
-            paths[name] = path
-    finally:
-        temps.unpersist()
+    out = out.rstrip("/")
+    sums_path = scratch_path(spark, "temperature-sums")
+    raw = read_delimited(spark, inputs.temperatures, TB.TEMPERATURE_RAW, sep=",")
+    temperature_sums(raw).write.parquet(sums_path)
+    star = build_star(spark, inputs, home, place_mode, spark.read.parquet(sums_path))
+    staging = f"{out}/_staging-{uuid.uuid4().hex[:12]}"
+    paths = {name: f"{out}/{name}.parquet" for name in star}
+    staged = {name: f"{staging}/{name}.parquet" for name in star}
+    for name, df in star.items():
+        write_table(df, staged[name], partition_by=TB.STAR[name][2])
+    new = read_star(spark, staged)
+    # checked with the columns and types that the files have
+    rows = require_ok(check_tables(star_checks(spark, as_written(spark, staged, new), inputs)))
+    if report is not None:
+        report.extend(rows)
+    for name, path in paths.items():
+        parts = TB.STAR[name][2]
+        if not (dynamic and parts and exists(spark, path)):
+            publish(spark, staged[name], path)
+        elif name == DATES:
+            known = read_star(spark, {name: path})[name].select("arrival_date")
+            write_table(new[name].join(known, "arrival_date", "left_anti"), path, parts, mode="append")
+        else:
+            write_table(new[name], path, partition_by=parts, dynamic=True)
+    remove(spark, staging)
     return paths
 
 
@@ -264,11 +317,21 @@ def read_star(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame
     return out
 
 
+def as_written(spark: SparkSession, paths: dict[str, str], declared: dict[str, DataFrame]
+               ) -> dict[str, DataFrame]:
+    """The tables with the schema of their files; a table without any file as declared."""
+    out = {}
+    for name, path in paths.items():
+        try:
+            out[name] = spark.read.parquet(path)
+        except AnalysisException:
+            out[name] = declared[name]
+    return out
+
+
 def star_integrity(star: dict[str, DataFrame]) -> DataFrame:
     """Orphan keys of the fact table against its dimensions (port, countries, travel mode, date)."""
-    from ..operators.quality import orphan_report
-
-    fact = star["fact_i94_us_visitor_arrivals_table"]
+    fact = star[FACT]
     country = star["dim_i94_country_table"]
     return orphan_report(fact, [
         ("arrival_port_code", "dim_i94_port_table", star["dim_i94_port_table"], "port_code"),

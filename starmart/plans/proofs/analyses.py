@@ -13,7 +13,7 @@ from .. import adapters as AD
 from .. import analytics as AN
 from .. import pipeline as PL
 from .builds import (_DEMO_SQL, _PORTS_SQL, _code_tables)  # noqa: F401
-from .registry import CODE_ROWS, _t, query  # noqa: F401
+from .registry import _sql_mean_half_up, _t, query  # noqa: F401
 
 
 # ===================================================================== G1-G4: analyses
@@ -27,7 +27,7 @@ def _orders_customers(spark, sf) -> DataFrame:
     o = _t(spark, sf, "orders")
     c = _t(spark, sf, "customer").withColumnRenamed("c_custkey", "o_custkey")
     n = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return enrich(o, [(c, "o_custkey", None), (n, "c_nationkey", CODE_ROWS)], how="inner")
+    return enrich(o, [(c, "o_custkey"), (n, "c_nationkey")], how="inner")
 
 
 @query("corr_by_group", f"""
@@ -52,7 +52,9 @@ with t as (select n_name, o_orderpriority, o_orderstatus,
            {_ORDERS_CUST_SQL}),
 c as (select n_name, count(*) as orders,
         {', '.join(f"count(*) filter (where band = '{b}') as {b}" for b in _BAL_BANDS + ['unknown'])},
-        {', '.join(f"count(*) filter (where o_orderstatus = '{v}') as o_orderstatus_{v}" for v in 'FOP')}
+        {', '.join(f"count(*) filter (where o_orderstatus = '{v}') as o_orderstatus_{v}" for v in 'FO')},
+        count(*) filter (where o_orderstatus not in ('F', 'O')) as o_orderstatus_other,
+        count(*) filter (where o_orderstatus is null) as o_orderstatus_unknown
       from t group by n_name),
 p as (select n_name, o_orderpriority as top_o_orderpriority, count(*) as top_o_orderpriority_n
       from t where o_orderpriority is not null group by n_name, o_orderpriority
@@ -63,7 +65,7 @@ def profile_by_place(spark, sf):
     t = _orders_customers(spark, sf).withColumn(
         "band", AN.band(F.col("c_acctbal"), _BAL_EDGES, _BAL_BANDS))
     return AN.profile_by(t, ["n_name"], "band", _BAL_BANDS + ["unknown"], "o_orderpriority",
-                         total_alias="orders", extra={"o_orderstatus": ["F", "O", "P"]})
+                         total_alias="orders", extra={"o_orderstatus": ["F", "O"]})
 
 
 @query("trend_weekly", """
@@ -167,20 +169,21 @@ port_dim as (select port_code, city, state_code, state from split join states us
 """
 
 
+_PROFILE_COUNTS = {
+    "0-17": "visitor_age < 18", "18-34": "visitor_age between 18 and 34",
+    "35-54": "visitor_age between 35 and 54", "55+": "visitor_age >= 55", "unknown": "visitor_age is null",
+    "visitor_gender_F": "visitor_gender = 'F'", "visitor_gender_M": "visitor_gender = 'M'",
+    "visitor_gender_other": "visitor_gender not in ('F', 'M')", "visitor_gender_unknown": "visitor_gender is null",
+    "travel_mode_code_1": "travel_mode_code = 1", "travel_mode_code_2": "travel_mode_code = 2",
+    "travel_mode_code_3": "travel_mode_code = 3", "travel_mode_code_9": "travel_mode_code = 9",
+    "travel_mode_code_other": "travel_mode_code not in (1, 2, 3, 9)",
+    "travel_mode_code_unknown": "travel_mode_code is null"}
+
+
 @query("visitor_profile_star", _STAR_FACT_SQL + ", " + _PORT_DIM_SQL + """,
 f as (select fact.*, p.city, p.state_code from fact join port_dim p on fact.arrival_port_code = p.port_code),
-c as (select city, state_code, count(*) as arrivals,
-        count(*) filter (where visitor_age < 18) as "0-17",
-        count(*) filter (where visitor_age >= 18 and visitor_age < 35) as "18-34",
-        count(*) filter (where visitor_age >= 35 and visitor_age < 55) as "35-54",
-        count(*) filter (where visitor_age >= 55) as "55+",
-        count(*) filter (where visitor_age is null) as "unknown",
-        count(*) filter (where visitor_gender = 'F') as visitor_gender_F,
-        count(*) filter (where visitor_gender = 'M') as visitor_gender_M,
-        count(*) filter (where travel_mode_code = 1) as travel_mode_code_1,
-        count(*) filter (where travel_mode_code = 2) as travel_mode_code_2,
-        count(*) filter (where travel_mode_code = 3) as travel_mode_code_3,
-        count(*) filter (where travel_mode_code = 9) as travel_mode_code_9
+c as (select city, state_code, count(*) as arrivals, """ + ", ".join(
+        f'count(*) filter (where {cond}) as "{k}"' for k, cond in _PROFILE_COUNTS.items()) + """
       from f group by city, state_code),
 t as (select city, state_code, visitor_residence_country as top_visitor_residence_country,
              count(*) as top_visitor_residence_country_n
@@ -188,7 +191,8 @@ t as (select city, state_code, visitor_residence_country as top_visitor_residenc
       group by city, state_code, visitor_residence_country
       qualify row_number() over (partition by city, state_code
                                  order by count(*) desc, visitor_residence_country) = 1)
-select c.*, t.top_visitor_residence_country, t.top_visitor_residence_country_n
+select c.*, """ + ", ".join(f'round("{k}" / arrivals, 6) as "{k}_share"' for k in _PROFILE_COUNTS) + """,
+       t.top_visitor_residence_country, t.top_visitor_residence_country_n
 from c left join t using (city, state_code)
 """)
 def visitor_profile_star(spark, sf):
@@ -207,6 +211,90 @@ def arrival_trends_star(spark, sf):
     return AN.arrival_trends(_star_fact(spark, sf), "week")
 
 
+@query("arrival_trends_port_star", _STAR_FACT_SQL + """
+select arrival_port_code, cast(year(arrival_date) as integer) as year,
+       cast(quarter(arrival_date) as integer) as quarter, count(*) as n
+from fact group by all
+""")
+def arrival_trends_port_star(spark, sf):
+    """G4 per port and quarter."""
+    return AN.arrival_trends(_star_fact(spark, sf), "quarter", by=["arrival_port_code"])
+
+
+@query("arrival_rollup_star", _STAR_FACT_SQL + """
+select year, quarter, month, count(*) as n, cast(grouping_id(year, quarter, month) as integer) as level
+from (select cast(year(arrival_date) as integer) as year, cast(quarter(arrival_date) as integer) as quarter,
+             cast(month(arrival_date) as integer) as month from fact)
+group by rollup (year, quarter, month)
+""")
+def arrival_rollup_star(spark, sf):
+    """G4 with subtotals."""
+    return AN.arrival_trends(_star_fact(spark, sf), "rollup")
+
+
+_READINGS_SQL = """
+readings as (
+  select 1996 + event_id % 4 as y, event_id // 4 % 12 + 1 as m, cast(round(value / 10) as integer) as v,
+         case when event_id % 3 = 0 then lower(c_name) else c_name end as city,
+         case when event_id % 3 = 0 then lower(n_name) || ' ' else n_name end as country
+  from events join customer on user_id = c_custkey join nation on c_nationkey = n_nationkey),
+city_dim as (select y, m, city, """ + _sql_mean_half_up("sum(v)", "count(v)", "decimal(4,2)") + """ as t
+             from readings group by y, m, city),
+country_dim as (select y, m, country, """ + _sql_mean_half_up("sum(v)", "count(v)", "decimal(4,2)") + """ as t
+                from readings group by y, m, country),
+arr as (select upper(trim(p.city)) as city, upper(trim(n_name)) as country, arrival_year as y, arrival_month as m
+        from fact join port_dim p on arrival_port_code = port_code
+             join nation on visitor_residence_country = n_nationkey)
+"""
+
+
+def _temperature_corr_sql(when: str) -> str:
+    """``when``: the columns two temperatures are paired by."""
+    return _STAR_FACT_SQL + ", " + _PORT_DIM_SQL + ", " + _READINGS_SQL + f""",
+per as (select distinct city, country, {when} from arr),
+a as (select upper(trim(city)) as city, {when}, avg(cast(t as double)) as ct from city_dim group by all),
+b as (select upper(trim(country)) as country, {when}, avg(cast(t as double)) as kt from country_dim group by all),
+r as (select per.city, ct, kt from per join a using (city, {when}) join b using (country, {when}))
+select city, count(*) filter (where ct is not null and kt is not null) as n_pairs,
+       case when isnan(corr(ct, kt)) then null else round(corr(ct, kt), 6) end as corr
+from r group by city"""
+
+
+def _temperature_corr(spark, sf, climatology: bool):
+    """G1 on a star built from the tables.  Readings come from the events: every customer is a city
+    of the home country and its nation a country; each place is met in two spellings."""
+    n = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
+    e = _t(spark, sf, "events").join(c, "user_id").join(n, "c_nationkey")
+    odd = F.col("event_id") % 3 == 0
+    day = F.make_date((F.col("event_id") % 4 + 1996).cast("int"),
+                      (F.floor(F.col("event_id") / 4) % 12 + 1).cast("int"), F.lit(15))
+    city = F.when(odd, F.lower("c_name")).otherwise(F.col("c_name"))
+    country = F.when(odd, F.concat(F.lower("n_name"), F.lit(" "))).otherwise(F.col("n_name"))
+    places = F.array(F.struct(city.alias("City"), F.lit(PL.HOME_COUNTRY).alias("Country")),
+                     F.struct(F.lit("-").alias("City"), country.alias("Country")))
+    raw = e.select(day.cast("string").alias("dt"), (F.col("value") / 10).cast("string").alias("AverageTemperature"),
+                   F.inline(places))
+    cities, countries = PL.temperature_tables(raw)
+    star_country = _written(spark, "dim_i94_country_table", _code_tables(spark, sf, "reference")[0])
+    return AN.temperature_correlation(
+        _star_fact(spark, sf), _star_port(spark, sf), star_country,
+        _written(spark, "dim_temperatures_us_cities_table", cities),
+        _written(spark, "dim_temperatures_countries_table", countries), climatology=climatology)
+
+
+@query("temperature_corr_star", _temperature_corr_sql("y, m"))
+def temperature_corr_star(spark, sf):
+    """G1 over the months of arrival."""
+    return _temperature_corr(spark, sf, False)
+
+
+@query("temperature_corr_climate_star", _temperature_corr_sql("m"))
+def temperature_corr_climate_star(spark, sf):
+    """G1 over calendar months, temperatures averaged over all years."""
+    return _temperature_corr(spark, sf, True)
+
+
 _GROUPS = ["asian", "black_or_africanamerican", "hispanic_or_latino", "white",
            "american_indian_alaska_native"]
 
@@ -223,8 +311,8 @@ f as (select fact.visitor_birth_country, p.city, p.state_code
 per as (select visitor_birth_country, upper(trim(city)) as _city, state_code, count(*) as arrivals
         from f group by all),
 d as (select upper(trim(city)) as _city, state_code, """
-       + ", ".join(f"{g} / total_population as {g}_share" for g in _GROUPS) + """
-      from demo),
+       + ", ".join(f"sum({g}) / sum(total_population) as {g}_share" for g in _GROUPS) + """
+      from demo group by all),
 r as (select * from per join d using (_city, state_code))
 select visitor_birth_country, count(*) as cities, """
        + ", ".join(f"{_safe_corr_sql('arrivals', g + '_share')} as corr_{g}" for g in _GROUPS)
@@ -257,11 +345,13 @@ union all
 select 'travel_mode_code', 'dim_i94_travel_mode_table', count(*)
 from fact where travel_mode_code not in (select travel_mode_code from modes)
 union all
-select 'arrival_date', 'dim_date_table', cast(0 as bigint)
+select 'arrival_date', 'dim_date_table', count(*)
+from fact where day(arrival_date) = 13
 """)
 def star_integrity(spark, sf):
     """J3/Q4 on a star built from the tables: orphan fact keys per dimension (ports of
-    customers whose label has no state, travel mode 9 missing from the mode list, ...)."""
+    customers whose label has no state, travel mode 9 missing from the mode list, the 13th missing from the
+    dates, ...)."""
     country, port, mode = _code_tables(spark, sf, "reference")
     fact = _star_fact(spark, sf)
     star = {
@@ -269,6 +359,6 @@ def star_integrity(spark, sf):
         "dim_i94_port_table": _written(spark, "dim_i94_port_table", port),
         "dim_i94_country_table": _written(spark, "dim_i94_country_table", country),
         "dim_i94_travel_mode_table": _written(spark, "dim_i94_travel_mode_table", mode),
-        "dim_date_table": _written(spark, "dim_date_table", PL.date_table(fact)),
+        "dim_date_table": _written(spark, "dim_date_table", PL.date_table(fact.filter(F.dayofmonth("arrival_date") != 13))),
     }
     return PL.star_integrity(star)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ... import tables as TB
 from ...operators.quality import check_tables
@@ -208,31 +212,55 @@ def arrival_dates(spark, sf):
 
 # ===================================================================== C5: the whole job
 
-def _star_build_sql() -> str:
-    """Row counts of the eight tables from the oracles of the single builds."""
-    sources = [
-        ("fact_i94_us_visitor_arrivals_table", "fact_build"),
-        ("dim_date_table", "arrival_dates"),
-        ("dim_temperatures_us_cities_table", "temperature_dim"),
-        ("dim_temperatures_countries_table", "temperature_dim_country"),
-        ("dim_cities_demographic_table", "demographic_dim"),
-        ("dim_i94_country_table", "country_codes"),
-        ("dim_i94_port_table", "place_dim"),
-        ("dim_i94_travel_mode_table", "travel_modes"),
-    ]
-    parts = [f"select '{t}' as \"table\", (select count(*) from ({ORACLE[q]})) as rows"
-             for t, q in sources]
-    return (f"select \"table\", rows, cast(0 as bigint) as null_keys, "
-            f"cast(0 as bigint) as duplicate_keys, rows > 0 as ok from ("
-            + "\nunion all\n".join(parts) + ")")
+def _mean_temperature_sql(place: str, home: str) -> str:
+    return (_TEMP_SQL + f""", g as (select cast(year(d) as integer) as year, cast(month(d) as integer) as month,
+        {place}, {_SUM_INT.format(v='value')} as s, {_CNT.format(v='value')} as c
+        from raw where country {home} '{_TEMP_HOME}' group by all)
+      select year, month, {place}, {_sql_mean_half_up('s', 'c', 'decimal(4,2)')} as average_temperature from g""")
 
 
-@query("star_build", _star_build_sql())
-def star_build(spark, sf):
-    """C5 end to end: the driver tables are rendered into the four raw inputs (temperature CSV,
-    semicolon demographics CSV, label files, arrivals Parquet), ``build_all`` writes the eight
-    tables, and the quality report runs over the tables read back."""
-    base = scratch_path(spark, "star-inputs")
+def _digest_sql(names: list[str]) -> str:
+    text = ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in names)
+    return f"cast(coalesce(sum(cast('0x' || substr(md5(concat_ws('|', {text})), 1, 8) as bigint)), 0) as bigint)"
+
+
+def _digest(df):
+    """An order-free digest of all values of a table."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.agg(F.coalesce(F.sum(number), F.lit(0)).alias("digest"))
+
+
+def _star_build_sql() -> str:
+    """The eight tables from the oracles of the single builds: rows, keys and a digest of all values."""
+    sources = {
+        PL.FACT: (ORACLE["fact_build"], _ARRIVALS_SQL + "select count(distinct cicid) from a"),
+        PL.DATES: (ORACLE["arrival_dates"], _ARRIVALS_SQL + "select count(distinct arrival_date) from a"),
+        "dim_temperatures_us_cities_table": (_mean_temperature_sql("city", "="), None),
+        "dim_temperatures_countries_table": (_mean_temperature_sql("country", "<>"), None),
+        "dim_cities_demographic_table": (ORACLE["demographic_dim"], None),
+        "dim_i94_country_table": (ORACLE["country_codes"], None),
+        "dim_i94_port_table": (ORACLE["place_dim"], None),
+        "dim_i94_travel_mode_table": (ORACLE["travel_modes"], None),
+    }
+    parts = []
+    for i, (t, (sql, source)) in enumerate(sources.items()):
+        schema, key, _ = TB.STAR[t]
+        full = " and ".join(f"{k} is not null" for k in key)
+        parts.append(
+            f"select '{t}' as \"table\", count(*) as rows, count(*) filter (where not ({full})) as null_keys, "
+            f"count(*) filter (where {full}) - count(distinct case when {full} then ({', '.join(key)}, 0) end) "
+            f"as duplicate_keys, cast(0 as integer) as type_mismatches, "
+            f"{f'({source})' if source else 'cast(null as bigint)'} as source_keys, "
+            f"{_digest_sql(schema.names)} as digest from ({sql})")
+    body = "\nunion all\n".join(parts)
+    return (f"select *, rows > 0 and null_keys = 0 and duplicate_keys = 0 and "
+            f"(source_keys is null or source_keys = rows) as ok from ({body})")
+
+
+def _inputs(spark, sf, base: str, arrivals) -> PL.Inputs:
+    """The driver tables rendered into the four raw inputs: temperature CSV, semicolon demographics
+    CSV, label files, arrivals Parquet."""
     customer, nation = _t(spark, sf, "customer"), _t(spark, sf, "nation")
     temps = AD.temperature_raw(_t(spark, sf, "events"), customer, nation)
     write_delimited(temps, f"{base}/temperatures", sep=",")
@@ -240,10 +268,59 @@ def star_build(spark, sf):
     write_delimited(demo, f"{base}/demographics", sep=";")
     AD.write_label_files(f"{base}/labels", customer, nation, _t(spark, sf, "region"),
                          _t(spark, sf, "orders"))
-    write_table(AD.arrivals_from_lineitem(_t(spark, sf, "lineitem")), f"{base}/arrivals")
-    out = scratch_path(spark, "star")
-    paths = PL.build_all(spark, PL.Inputs(f"{base}/arrivals", f"{base}/temperatures",
-                                          f"{base}/demographics", f"{base}/labels"),
-                         out, home=_TEMP_HOME)
+    write_table(arrivals, f"{base}/arrivals")
+    return PL.Inputs(f"{base}/arrivals", f"{base}/temperatures", f"{base}/demographics", f"{base}/labels")
+
+
+@query("star_build", _star_build_sql())
+def star_build(spark, sf):
+    """C5 end to end: ``build_all`` writes the eight tables from the rendered inputs; the quality
+    report and a digest of every value run over the tables read back."""
+    inputs = _inputs(spark, sf, scratch_path(spark, "star-inputs"),
+                     AD.arrivals_from_lineitem(_t(spark, sf, "lineitem")))
+    star = PL.read_star(spark, PL.build_all(spark, inputs, scratch_path(spark, "star"), home=_TEMP_HOME))
+    report = check_tables(PL.star_checks(spark, star, inputs))
+    digests = [_digest(df.select(*TB.STAR[n][0].names)).select(F.lit(n).alias("table"), "digest")
+               for n, df in star.items()]
+    return report.join(reduce(DataFrame.unionByName, digests), "table")
+
+
+#: the month restated in the second extract, and by how many days its arrivals come later
+#: (fixed parameters of the proof): some days then fall in the month after
+LATE_YEAR, LATE_MONTH, LATE_DAYS = 1997, 5, 20
+
+
+@query("incremental_star", f"""
+with a as (select cast(l_orderkey * 8 + l_linenumber as bigint) as cicid, cast(l_shipdate as date) as d,
+                  l_linenumber, year(l_shipdate) = {LATE_YEAR} and month(l_shipdate) = {LATE_MONTH} as late
+           from lineitem where l_returnflag = 'N'),
+new as (select cicid, d, d + {LATE_DAYS} as arrival_date from a where late and l_linenumber <= 3),
+first as (select * from a qualify row_number() over (partition by cicid order by d) = 1),
+fact as (select cicid, d, d as arrival_date from first where not late
+         union all (select * from new qualify row_number() over (partition by cicid order by d) = 1)),
+days as (select d as arrival_date from a union select arrival_date from new)
+select 'fact' as part, cicid, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
+       arrival_date, cast(null as integer) as week from fact
+union all
+select 'date', null, cast(year(arrival_date) as integer), cast(month(arrival_date) as integer), arrival_date,
+       cast(week(arrival_date) as integer) from days
+""")
+def incremental_star(spark, sf):
+    """Two builds, the second one dynamic with one restated month whose arrivals come later, some on
+    days of the month after: the fact replaces that month, the date dimension keeps all its days
+    and gets the new ones."""
+    arrivals = AD.arrivals_from_lineitem(_t(spark, sf, "lineitem"))
+    late = (arrivals.filter((F.col("i94yr") == LATE_YEAR) & (F.col("i94mon") == LATE_MONTH)
+                            & (F.col("i94mode") <= 3))
+            .withColumn("arrdate", F.col("arrdate") + LATE_DAYS))
+    out = scratch_path(spark, "star-refreshed")
+    for rows, dynamic in ((arrivals, False), (late, True)):
+        inputs = _inputs(spark, sf, scratch_path(spark, "star-inputs"), rows)
+        paths = PL.build_all(spark, inputs, out, home=_TEMP_HOME, dynamic=dynamic)
     star = PL.read_star(spark, paths)
-    return check_tables({n: (df, TB.STAR[n][1]) for n, df in star.items()})
+    fact = star[PL.FACT].select(F.lit("fact").alias("part"), "cicid", F.col("arrival_year").alias("year"),
+                                F.col("arrival_month").alias("month"), "arrival_date",
+                                F.lit(None).cast("int").alias("week"))
+    days = star[PL.DATES].select(F.lit("date").alias("part"), F.lit(None).cast("bigint").alias("cicid"),
+                                 "year", "month", "arrival_date", "week")
+    return fact.unionByName(days)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ... import tables as TB
 from ...functions.dates import sas_date, sas_day_number, year_month
@@ -12,9 +13,9 @@ from ...functions.text import part, split_place
 from ...operators import aggregate as AG
 from ...operators.clean import dedupe, project, require
 from ...operators.lookup import enrich, orphans, resolve
-from ...operators.quality import check_tables
+from ...operators.quality import Check, check_tables
 from .. import pipeline as PL
-from .registry import CODE_ROWS, _CNT, _SUM_INT, _sql_mean_half_up, _t, query  # noqa: F401
+from .registry import _CNT, _SUM_INT, _sql_mean_half_up, _t, query  # noqa: F401
 
 
 # ===================================================================== A1 A2: decimal means
@@ -41,7 +42,7 @@ select n_name, {_sql_mean_half_up('s', 'c', 'decimal(10,2)')} as avg_acctbal fro
 """)
 def mean_decimal_by_country(spark, sf):
     nation = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    s = resolve(_t(spark, sf, "supplier"), nation, "s_nationkey", max_dim_rows=CODE_ROWS)
+    s = resolve(_t(spark, sf, "supplier"), nation, "s_nationkey")
     return AG.mean_by(s, ["n_name"], "s_acctbal", out="decimal(10,2)", alias="avg_acctbal")
 
 
@@ -79,14 +80,20 @@ def date_dim(spark, sf):
 @query("sas_date", """
 select o_orderkey,
        date '1960-01-01' + cast(floor(cast(date_diff('day', date '1960-01-01', cast(o_orderdate as date)) as double)
-             + (o_totalprice - floor(o_totalprice))) as integer) as arrival_date
+             + (o_totalprice - floor(o_totalprice))) as integer) as arrival_date,
+       case when o_orderkey * 997 < 2936550 then date '1960-01-01' + cast(o_orderkey * 997 as integer) end as far_date,
+       case when o_orderkey * 97 <= 715509 then date '1960-01-01' - cast(o_orderkey * 97 as integer) end as early_date
 from orders
 """)
 def sas_date_query(spark, sf):
+    """Day numbers of the orders, and multiples of the order key up to 9999-12-31 and down to
+    0001-01-01; beyond these days: null."""
     o = _t(spark, sf, "orders")
     day_number = sas_day_number("o_orderdate").cast("double") \
         + (F.col("o_totalprice") - F.floor("o_totalprice"))
-    return o.select("o_orderkey", sas_date(day_number).alias("arrival_date"))
+    return o.select("o_orderkey", sas_date(day_number).alias("arrival_date"),
+                    sas_date(F.col("o_orderkey") * 997).alias("far_date"),
+                    sas_date(F.col("o_orderkey") * -97).alias("early_date"))
 
 
 # ===================================================================== F1-F8: filters
@@ -270,8 +277,8 @@ def lookup_inner(spark, sf):
     nation = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name",
                                              F.col("n_regionkey").alias("r_regionkey"))
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    j = enrich(c, [(nation, "c_nationkey", CODE_ROWS),
-                   (_t(spark, sf, "region"), "r_regionkey", CODE_ROWS)], how="inner")
+    j = enrich(c, [(nation, "c_nationkey"),
+                   (_t(spark, sf, "region"), "r_regionkey")], how="inner")
     return j.select("c_custkey", "c_name", "n_name", "r_name")
 
 
@@ -291,10 +298,9 @@ def star_enrich(spark, sf):
     n = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     # Orders are enriched first (orders-sized shuffle by customer key), so the much larger
     # line items are shuffled once, by order key.  Same result as the left-deep chain because
-    # the customer join only references orders.  Orders and customers grow with the data:
-    # shuffle joins (AQE may still broadcast); the nation code list is checked and broadcast.
-    oc = enrich(o, [(c, "o_custkey", None), (n, "c_nationkey", CODE_ROWS)])
-    j = enrich(li, [(oc, "l_orderkey", None)])
+    # the customer join only references orders.
+    oc = enrich(o, [(c, "o_custkey"), (n, "c_nationkey")])
+    j = enrich(li, [(oc, "l_orderkey")])
     return j.select("l_orderkey", "l_linenumber", "order_date", "c_name", "n_name")
 
 
@@ -318,6 +324,19 @@ def dedupe_by_key(spark, sf):
                   order=[("o_orderdate", False), ("o_orderkey", True)])
 
 
+@query("dedupe_mixed_order", """
+select o_orderkey, o_custkey, o_orderpriority, o_orderdate
+from orders
+qualify row_number() over (partition by o_custkey
+                           order by o_orderdate, o_orderpriority desc, o_orderkey desc) = 1
+""")
+def dedupe_mixed_order(spark, sf):
+    """A text column and an integer ordered against the leading direction."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    return dedupe(o, ["o_custkey"], order=[("o_orderdate", True), ("o_orderpriority", False),
+                                           ("o_orderkey", False)])
+
+
 @query("distinct_keys", "select distinct o_orderstatus, o_orderpriority from orders")
 def distinct_keys(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderstatus", "o_orderpriority")
@@ -340,8 +359,7 @@ select event_type, count(*) as n_events, count(distinct user_id) as n_users from
 """)
 def distinct_count(spark, sf):
     ev = _t(spark, sf, "events")
-    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"),
-                                        F.count_distinct("user_id").alias("n_users"))
+    return AG.distinct_count(ev, ["event_type"], "user_id", alias="n_users", rows="n_events")
 
 
 @query("group_count", """
@@ -380,22 +398,65 @@ def profile_quartiles(spark, sf):
                       digits=6, exact=True)
 
 
+def _mixed_sql(table: str, cols: dict[str, bool]) -> str:
+    """``cols``: name -> is a number."""
+    parts = []
+    for c, number in cols.items():
+        x = f"(case when try_cast({c} as double) = 0 then 0.0 else try_cast({c} as double) end)"
+        low, high = (f"min({x})", f"max({x})") if number else (f"min({c})", f"max({c})")
+        if number:
+            low, high = (f"cast(cast({v} as bigint) as varchar) || '.0'" for v in (low, high))
+        parts.append(f"select '{c}' as \"column\", count({c}) as count, round(avg({x}), 6) as mean, "
+                     f"round(stddev_samp({x}), 6) as stddev, {low} as min, {high} as max, "
+                     f"quantile_disc({x}, 0.5) as p50 from {table}")
+    return "\nunion all\n".join(parts)
+
+
+@query("profile_mixed", _mixed_sql("events", {"user_id": True, "event_type": False, "props": False})
+       + "\nunion all\n" + _mixed_sql("orders", {"o_custkey": True, "o_orderstatus": False,
+                                                 "o_orderpriority": False})
+       + "\nunion all\n" + _mixed_sql("(select c_custkey, substring(c_name, 10) as name_no, "
+                                      "c_mktsegment from customer)",
+                                      {"c_custkey": True, "name_no": False, "c_mktsegment": False}))
+def profile_mixed(spark, sf):
+    """``summary()`` of frames with text columns, one of them with digits in it (the customer's
+    number cut from the name)."""
+    c = _t(spark, sf, "customer").select("c_custkey", F.expr("substring(c_name, 10)").alias("name_no"),
+                                         "c_mktsegment")
+    frames = [(_t(spark, sf, "events"), ["user_id", "event_type", "props"]),
+              (_t(spark, sf, "orders"), ["o_custkey", "o_orderstatus", "o_orderpriority"]),
+              (c, ["c_custkey", "name_no", "c_mktsegment"])]
+    one, two, three = (AG.profile(df, cols, quantiles=[0.5], digits=6, exact=True) for df, cols in frames)
+    return one.unionByName(two).unionByName(three)
+
+
 def _quality_sql() -> str:
     parts = []
     for name, key in TB.DRIVER_KEYS.items():
         any_null = " or ".join(f"{k} is null" for k in key)
         all_set = " and ".join(f"{k} is not null" for k in key)
         keys = ", ".join(key)
+        source = {"orders": "(select count(distinct l_orderkey) from lineitem)"}.get(name, "cast(null as bigint)")
+        wrong = {"labels": 2}.get(name, 0)
         parts.append(
             f"select '{name}' as \"table\", count(*) as rows, "
             f"count(*) filter (where {any_null}) as null_keys, "
             f"count(*) filter (where {all_set}) - (select count(*) from (select distinct {keys} "
-            f"from {name} where {all_set})) as duplicate_keys from {name}")
+            f"from {name} where {all_set})) as duplicate_keys, cast({wrong} as integer) as type_mismatches, "
+            f"{source} as source_keys from {name}")
     body = "\nunion all\n".join(parts)
-    return (f"select *, rows > 0 and null_keys = 0 and duplicate_keys = 0 as ok "
-            f"from ({body})")
+    return (f"select *, rows > 0 and null_keys = 0 and duplicate_keys = 0 and type_mismatches = 0 "
+            f"and (source_keys is null or source_keys = rows) as ok from ({body})")
 
 
 @query("quality_report", _quality_sql())
 def quality_report(spark, sf):
-    return check_tables({n: (_t(spark, sf, n), k) for n, k in TB.DRIVER_KEYS.items()})
+    """Every test table by its key; orders also by completeness (the orders that line items name)
+    and labels by a declaration that two of its columns break (a missing one, another type)."""
+    declared = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.StringType()),
+                             T.StructField("toxic", T.IntegerType()), T.StructField("spam", T.IntegerType())])
+    tables = {n: Check(_t(spark, sf, n), k) for n, k in TB.DRIVER_KEYS.items()}
+    tables["orders"] = Check(_t(spark, sf, "orders"), ["o_orderkey"], source=_t(spark, sf, "lineitem")
+                             .select(F.col("l_orderkey").alias("o_orderkey")))
+    tables["labels"] = Check(_t(spark, sf, "labels"), ["doc_id"], declared)
+    return check_tables(tables)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ...operators.clean import col
 from ...session import scratch_path
+from ...sources import labels as LB
 from ...sources.arrivals import read_arrivals
 from ...sources.delimited import read_delimited, write_delimited
 from ...sources.parquet import read_table, write_table
@@ -144,14 +145,91 @@ def incremental_overwrite(spark, sf):
     return _orders_by_month(read_table(spark, path))
 
 
-@query("incremental_stream", _orders_by_month_sql())
+_STREAM_SQL = f"""
+with t as (
+  select * from orders
+  where not (year(o_orderdate) = {REFRESH_YEAR} and month(o_orderdate) = {REFRESH_MONTH})
+  union all
+  select * from orders
+  where year(o_orderdate) = {REFRESH_YEAR} and month(o_orderdate) = {REFRESH_MONTH}
+    and o_orderstatus = 'O')
+select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month,
+       count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total
+from t group by all
+"""
+
+
+@query("incremental_stream", _STREAM_SQL)
 def incremental_stream(spark, sf):
     """Monthly drops land as Parquet; a Structured Streaming job (available-now trigger)
-    folds them into the month-partitioned table with dynamic overwrite per micro-batch."""
+    folds them into the month-partitioned table with dynamic overwrite per micro-batch.  A second
+    drop restates one month (only its O orders): a second run replaces that month only."""
     landing = scratch_path(spark, "landing")
     target = scratch_path(spark, "refreshed")
     checkpoint = scratch_path(spark, "refresh-ckpt")
     orders = _with_month(_t(spark, sf, "orders"))
-    write_table(orders, landing, partition_by=["year", "month"])
-    refresh_from_landing(spark, landing, orders.schema, target, checkpoint, ["year", "month"])
+    month = orders.filter((F.col("year") == REFRESH_YEAR) & (F.col("month") == REFRESH_MONTH)
+                          & (F.col("o_orderstatus") == "O"))
+    for drop in (orders, month):
+        write_table(drop, landing, partition_by=["year", "month"], mode="append")
+        refresh_from_landing(spark, landing, orders.schema, target, checkpoint, ["year", "month"])
     return _orders_by_month(read_table(spark, target))
+
+
+@query("csv_mixed_headers", """
+select o_orderstatus, count(*) as n,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) as total,
+       min(cast(o_orderdate as date)) as first_date, sum(o_custkey) as customers
+from orders group by all
+""")
+def csv_mixed_headers(spark, sf):
+    """Two extracts of the orders with their columns in another order and their names in another
+    case, read by name and by declared types."""
+    from pyspark.sql import types as T
+    root = scratch_path(spark, "csv-mixed")
+    orders = _t(spark, sf, "orders").select(*_ORDERS_TEXT)
+    odd = F.col("o_orderkey") % 2 == 1
+    write_delimited(orders.filter(~odd), f"{root}/a")
+    turned = [F.col(c).alias(c.upper()) for c in reversed(_ORDERS_TEXT)]
+    write_delimited(orders.filter(odd).select(*turned), f"{root}/b")
+    schema = T.StructType([
+        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderdate", T.TimestampType()), T.StructField("o_totalprice", T.DecimalType(18, 2))])
+    rows = read_delimited(spark, [f"{root}/a", f"{root}/b"], schema)
+    return rows.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").cast("decimal(38,2)").alias("total"),
+        F.min(F.to_date("o_orderdate")).alias("first_date"), F.sum("o_custkey").alias("customers"))
+
+
+@query("arrivals_csv", """
+select case l_returnflag when 'A' then 1.0 when 'N' then 2.0 when 'R' then 3.0 end as i94visa,
+       l_returnflag || l_linestatus as i94port, count(*) as n, cast(sum(l_quantity) as bigint) as age_sum
+from lineitem group by all
+""")
+def arrivals_csv(spark, sf):
+    """The arrivals as a CSV extract with the columns in another order, read with declared types."""
+    path = scratch_path(spark, "arrivals-csv")
+    arrivals = AD.arrivals_from_lineitem(_t(spark, sf, "lineitem"))
+    write_delimited(arrivals.select(*reversed(arrivals.columns)), path)
+    return read_arrivals(spark, path, "csv").groupBy("i94visa", "i94port").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("i94bir").cast("bigint").alias("age_sum"))
+
+
+@query("labels_many_pairs", """
+select 'P' || cast(c_custkey as varchar) as code, replace(c_name, '#', '') || ' of ' || c_mktsegment as label
+from customer
+""")
+def labels_many_pairs(spark, sf):
+    """Label-file blocks of many pairs: one block per nation and market segment, quotes doubled,
+    with a comment and a stray pair outside any block (quotes do not stay in labels)."""
+    path = scratch_path(spark, "labels-many")
+    esc = F.replace("label", F.lit("'"), F.lit("'" * 2))
+    pairs = _t(spark, sf, "customer").select(
+        "c_nationkey", "c_mktsegment", F.col("c_custkey").cast("string").alias("k"),
+        F.concat(F.replace("c_name", F.lit("#"), F.lit("'")), F.lit(" of "), F.col("c_mktsegment")).alias("label"))
+    lines = F.concat(F.lit("   'P"), F.col("k"), F.lit("'\t=  '"), esc, F.lit("'"))
+    blocks = pairs.groupBy("c_nationkey", "c_mktsegment").agg(
+        F.concat(F.lit("/* value $x 'a' = 'b'; */\r\n'Z'='z'\r\n  value $I94PRTL\r\n"),
+                 F.concat_ws("\r\n", F.sort_array(F.collect_list(lines))), F.lit("\r\n;\r\n")).alias("value"))
+    blocks.select("value").write.text(path)
+    return LB.code_list(LB.read_formats(spark, path), LB.PORT_FORMAT)

@@ -14,9 +14,6 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-#: nation and region have a fixed number of rows in the test schema
-CODE_ROWS = 10_000
-
 
 def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
@@ -47,4 +44,4 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _money(c: str) -> F.Column:
-    return F.sum(col(c).cast("decimal(18,2)")).cast("decimal(38,2)")
+    return F.sum(col(c).try_cast("decimal(18,2)")).cast("decimal(38,2)")

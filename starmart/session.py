@@ -78,40 +78,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder path (not created) under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/starmart-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder path (not created) under the shared checkpoint root.
 
-
-def scale_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_cores: int = 4,
-               target_partition_mb: int = 256, max_shuffle_partitions: int = 200_000
-               ) -> dict[str, str]:
-    """Settings for a cluster run sized from the input volume (pass them to the job config).
-
-    * input splits of ``target_partition_mb`` (``files.maxPartitionBytes``);
-    * an upper bound for shuffle partitions so the largest shuffle (taken as the input size)
-      gives reducers of about the target size; AQE coalesces small ones and splits skewed ones
-      (a hot key holding a third of the rows) at run time;
-    * broadcasts stay small: code lists and fixed dimensions only (64 MB planner threshold);
-    * the target partition must fit the per-task share of execution memory, else it is halved.
+    All such folders of one application lie in one folder, which Hadoop deletes when the
+    application's driver ends.
     """
-    per_task_mb = executor_memory_gb * 1024 * 0.6 / max(executor_cores, 1)
-    target = target_partition_mb
-    while target > 32 and target * 2 > per_task_mb:
-        target //= 2
-    target_bytes = target * 1024 * 1024
-    shuffle = max(8, min(max_shuffle_partitions, -(-input_bytes // target_bytes)))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_bytes),
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.files.maxPartitionBytes": str(target_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-        "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.sources.partitionOverwriteMode": "static",
-        "spark.sql.session.timeZone": "UTC",
-    }
+    sc = spark.sparkContext
+    root = f"{checkpoint_root(spark)}/starmart-{sc.applicationId}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.mkdirs(path):
+        fs.deleteOnExit(path)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"

@@ -36,3 +36,30 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(path)
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a staged folder in the place of ``target`` by renaming; readers see the old table or the
+    new one.  (A store without renames copies; the old table then stays until the copy is done.)"""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, old, aside = path(staged), path(target), path(f"{target}.replaced")
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(old.getParent())
+    if fs.exists(aside):
+        fs.delete(aside, True)
+    if fs.exists(old) and not fs.rename(old, aside):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(new, old):
+        raise OSError(f"cannot publish {staged} as {target}")
+    fs.delete(aside, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours (staged tables that have been published)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

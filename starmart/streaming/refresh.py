@@ -41,8 +41,12 @@ def refresh_stream(spark: SparkSession, landing: str, schema: T.StructType, targ
 
 def refresh_from_landing(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                          checkpoint: str, partition_by: Sequence[str],
-                         timeout_s: int | None = 3600) -> None:
-    """Run one refresh to completion (all landed files processed)."""
+                         timeout_s: int | None = None) -> None:
+    """Run one refresh to completion (all landed files processed), however long it takes.
+
+    With ``timeout_s`` a refresh that is not done by then is stopped and raises; the months of
+    its unfinished batch are written again by the next run.
+    """
     q = refresh_stream(spark, landing, schema, target, checkpoint, partition_by)
     q.awaitTermination(timeout_s)
     if q.isActive:

@@ -11,8 +11,8 @@ from starmart.functions.dates import calendar_parts, iso_year, sas_date
 from starmart.functions.text import split_place
 from starmart.operators import aggregate as AG
 from starmart.operators.clean import dedupe, project, require
-from starmart.operators.lookup import fits, orphans, resolve, small
-from starmart.operators.quality import check_tables
+from starmart.operators.lookup import orphans, resolve
+from starmart.operators.quality import Check, check_tables, orphan_report, require_ok
 
 
 def test_require_drops_null_and_nan(spark):
@@ -51,15 +51,30 @@ def test_dedupe_is_deterministic(spark, parts):
     assert got == sorted(e[1] for e in expect.values())
 
 
-@pytest.mark.parametrize("max_dup", [0, 1000])
-def test_dedupe_key_strategy_equals_aggregate(spark, max_dup):
-    rows = [(k if k % 10 else k // 10 % 3, None if k == 5 else k % 7, f"v{k % 4}") for k in range(300)]
-    rows += [(None, 1, "a"), (None, 0, "b")]
-    df = spark.createDataFrame(rows, "k int, a int, s string").repartition(3)
-    plain = sorted(map(tuple, dedupe(df, ["k"]).collect()), key=str)
-    fast = sorted(map(tuple, dedupe(df, ["k"], strategy="keys", max_dup_keys=max_dup).collect()),
-                  key=str)
-    assert fast == plain
+def test_dedupe_orders_instants_not_local_hours(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 01:30 twice in the night of the clock change: the later instant must win
+        df = (spark.createDataFrame([(1, 1478410200, 0), (1, 1478413800, 1)], "k int, s long, v int")
+              .selectExpr("k", "timestamp_seconds(s) as t", "v"))
+        assert [r.v for r in dedupe(df, ["k"], [("v", True), ("t", False)]).collect()] == [0]
+        assert [r.v for r in dedupe(df.selectExpr("k", "1 as one", "t", "v"), ["k"],
+                                    [("one", True), ("t", False)]).collect()] == [1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_dedupe_against_the_leading_direction(spark):
+    low = -2**31
+    rows = [(1, 0, low, "b", 1.0, b"\x01", True), (1, 0, 5, "b", 1.0, b"\x02", True), (2, 0, 1, "a", 1.0, b"", True),
+            (2, 0, 1, "ab", 1.0, b"", True), (2, 0, 1, None, 1.0, b"", True), (3, 0, 1, "é", float("nan"), b"", True),
+            (3, 0, 1, "é", 1e9, b"", False), (4, 0, 1, "x", None, b"\x00", None), (4, 0, 1, "x", None, b"", None)]
+    df = spark.createDataFrame(rows, "k int, z int, i int, s string, d double, b binary, o boolean")
+    order = [("z", True)] + [(c, False) for c in "isdbo"]
+    got = {r.k: r for r in dedupe(df, ["k"], order).collect()}
+    assert (got[1].i, got[2].s, bytes(got[4].b)) == (5, "ab", b"\x00")
+    assert math.isnan(got[3].d)
 
 
 def test_dedupe_descending_time_then_key(spark):
@@ -112,14 +127,18 @@ def test_mean_by_decimal(spark):
 def test_lookups(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, "zz")], "id int, code string")
     dim = spark.createDataFrame([("a", "A"), ("b", "B")], "code string, label string")
-    assert fits(dim, 2) and not fits(dim, 1)
     assert sorted(r.id for r in resolve(fact, dim, "code").collect()) == [1, 2]
     assert [r.id for r in orphans(fact, dim, "code").collect()] == [3]
-    plan = resolve(fact, dim, "code")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    big = small(dim, 1)      # over the bound: no broadcast hint
-    plan = fact.join(big, "code")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan.lower()
+    twice = dim.union(dim)   # a repeated dimension key does not multiply orphans
+    assert [r.id for r in orphans(fact, twice, "code").collect()] == [3]
+
+
+def test_orphan_report(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "zz"), (None, "zz"), (7, None)], "n int, code string")
+    dim = spark.createDataFrame([("a", 1), ("a", 2)], "code string, n int")
+    got = {(r.fact_column, r.dimension): r.orphans for r in orphan_report(fact, [
+        ("code", "dim", dim, "code"), ("n", "dim", dim, "n"), ("n", "none", dim.limit(0), "n")]).collect()}
+    assert got == {("code", "dim"): 2, ("n", "dim"): 1, ("n", "none"): 3}
 
 
 def test_quality_report_and_raise(spark):
@@ -132,10 +151,14 @@ def test_quality_report_and_raise(spark):
     assert (rep["dup"].null_keys, rep["dup"].duplicate_keys, rep["dup"].ok) == (1, 1, False)
     assert rep["empty"].ok is False
     with pytest.raises(ValueError, match="dup, empty"):
-        check_tables({"good": (good, ["k"]), "dup": (dup, ["k"]), "empty": (empty, ["k"])},
-                     raise_on_fail=True)
-    with pytest.raises(ValueError, match="does not exist"):
-        check_tables({"missing": (None, ["k"])})
+        require_ok(check_tables({"good": (good, ["k"]), "dup": (dup, ["k"]), "empty": (empty, ["k"])}))
+    checked = {r.table: r for r in check_tables({
+        "types": Check(good, ["k"], good.selectExpr("cast(k as long) as k", "1 as more").schema),
+        "same": Check(good, ["k"], good.schema, dup.union(good)),
+        "lost": Check(good, ["k"], None, good.union(spark.createDataFrame([(9,)], "k int")))}).collect()}
+    assert (checked["types"].type_mismatches, checked["types"].ok) == (2, False)
+    assert (checked["same"].source_keys, checked["same"].ok) == (2, True)
+    assert (checked["lost"].source_keys, checked["lost"].ok) == (3, False)
 
 
 def test_dates(spark):
@@ -159,16 +182,6 @@ def test_split_place_modes(spark):
                       ("CALGARY", None), ("NAPLES", "FL"), (None, None)]
 
 
-def test_scale_conf_sizes_partitions():
-    from starmart.session import scale_conf
-
-    conf = scale_conf(100 * 1024 ** 4, executor_memory_gb=16, executor_cores=4)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000          # capped
-    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
-    small_mem = scale_conf(10 * 1024 ** 3, executor_memory_gb=2, executor_cores=8)
-    assert int(small_mem["spark.sql.files.maxPartitionBytes"]) <= 64 * 1024 ** 2
-
-
 def test_safe_corr_is_null_where_undefined(spark):
     from starmart.plans.analytics import corr_by
 
@@ -197,3 +210,36 @@ def test_exact_quantile_matches_brute_force(spark, max_final):
     hot = spark.createDataFrame([(7.0,)] * 1000 + [(1.0,), (9.0,)], "x double")
     assert AG.exact_quantile(hot, "x", 0.5, accuracy=100, max_final=10) == 7.0
     assert AG.exact_quantile(spark.createDataFrame([(None,)], "x double"), "x", 0.5) is None
+
+
+def test_profile_of_text_columns(spark):
+    df = spark.createDataFrame([("a", "10", 1), ("b", "x", 2), (None, "7", None)], "s string, m string, n int")
+    got = {r.column: r for r in AG.profile(df, ["s", "m", "n"], quantiles=[0.5], exact=True).collect()}
+    assert (got["s"]["count"], got["s"]["min"], got["s"]["max"], got["s"]["mean"], got["s"]["p50"]) == (2, "a", "b", None, None)
+    assert (got["m"]["count"], got["m"]["min"], got["m"]["max"], got["m"]["mean"], got["m"]["p50"]) == (3, "10", "x", 8.5, 7.0)
+    assert (got["n"]["count"], got["n"]["min"], got["n"]["mean"], got["n"]["p50"]) == (2, "1.0", 1.5, 1.0)
+
+
+def test_sas_dates_to_the_ends_of_the_calendar(spark):
+    rows = [(-715510.0,), (-715509.0,), (-0.5,), (1e6,), (2936549.9,), (2936550.0,), (float("nan"),)]
+    got = [str(r.d) for r in spark.createDataFrame(rows, "x double").select(sas_date("x").cast("string").alias("d")).collect()]
+    assert got == ["None", "0001-01-01", "1959-12-31", "4697-11-27", "9999-12-31", "None", "None"]
+
+
+def test_csv_by_name_in_any_case_and_never_by_position(spark, tmp_path):
+    from starmart.sources.delimited import read_delimited
+
+    schema = T.StructType([T.StructField("city", T.StringType()), T.StructField("n", T.IntegerType())])
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "1.csv").write_text("dt,City,N\n2016-01-01,Oslo,x\n")
+    got = read_delimited(spark, str(tmp_path / "a"), schema).collect()
+    assert [tuple(r) for r in got] == [("Oslo", None)]
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "2.csv").write_text("n,City,dt\n5,Bergen,2016-01-02\n")
+    both = read_delimited(spark, [str(tmp_path / "a"), str(tmp_path / "b")], schema).collect()
+    assert sorted(map(tuple, both)) == [("Bergen", 5), ("Oslo", None)]
+    (tmp_path / "a" / "3.csv").write_text("n,City,dt\n5,Bergen,2016-01-02\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(tmp_path / "a"), schema).collect()
+    with pytest.raises(ValueError, match="missing columns"):
+        read_delimited(spark, str(tmp_path / "b"), T.StructType([T.StructField("nope", T.StringType())]))

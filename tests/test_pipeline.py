@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart import tables as TB
-from starmart.operators.quality import check_tables
+from starmart.operators.quality import check_tables, require_ok
 from starmart.plans import analytics as AN
 from starmart.plans.pipeline import Inputs, build_all, read_star
 from starmart.sources.parquet import write_table
@@ -59,8 +59,8 @@ def test_all_tables_written_with_contract(star):
 
 
 def test_quality_report_over_star(star):
-    rep = check_tables({n: (df, TB.STAR[n][1]) for n, df in star.items()}, raise_on_fail=True)
-    assert rep.count() == 8
+    rep = check_tables({n: (df, TB.STAR[n][1]) for n, df in star.items()})
+    assert len(require_ok(rep)) == 8
     assert {r.table: r.rows for r in rep.collect()}["fact_i94_us_visitor_arrivals_table"] == 40
 
 
@@ -191,3 +191,41 @@ def test_star_integrity_counts_orphans(star):
     # and birth 236 are listed countries; mode 1 is listed; dates come from the fact itself
     assert set(rep.values()) == {0}
     assert len(rep) == 5
+    fact = star["fact_i94_us_visitor_arrivals_table"]
+    odd = fact.withColumn("arrival_port_code", F.when(F.col("cicid") < 3, "???").otherwise(F.col("arrival_port_code"))) \
+              .withColumn("arrival_date", F.when(F.col("cicid") == 5, F.lit("1999-01-01").cast("date"))
+                          .otherwise(F.col("arrival_date")))
+    rep = {r.fact_column: r.orphans for r in star_integrity(star | {"fact_i94_us_visitor_arrivals_table": odd}).collect()}
+    assert (rep["arrival_port_code"], rep["arrival_date"], rep["travel_mode_code"]) == (3, 1, 0)
+
+
+def test_a_failed_check_leaves_the_old_tables(spark, tmp_path_factory):
+    d = tmp_path_factory.mktemp("failed")
+    (d / "temps.csv").write_text(TEMPS)
+    (d / "demo.csv").write_text(DEMO)
+    (d / "labels.SAS").write_bytes(LABEL_FILE.encode())
+    rows = [(1.0, 2016.0, 4.0, 236.0, 101.0, "ALC", 20545.0, 1.0, 30.0, 2.0, "F", "AA", "B2")]
+    write_table(spark.createDataFrame(rows, TB.ARRIVALS), str(d / "good"))
+    write_table(spark.createDataFrame([], TB.ARRIVALS), str(d / "bad"))
+    out = str(tmp_path_factory.mktemp("failed-out"))
+    rest = (str(d / "temps.csv"), str(d / "demo.csv"), str(d / "labels.SAS"))
+    paths = build_all(spark, Inputs(str(d / "good"), *rest), out)
+    before = {n: sorted(map(str, df.collect())) for n, df in read_star(spark, paths).items()}
+    with pytest.raises(ValueError, match="dim_date_table, fact_i94"):
+        build_all(spark, Inputs(str(d / "bad"), *rest), out)
+    assert {n: sorted(map(str, df.collect())) for n, df in read_star(spark, paths).items()} == before
+
+
+def test_spellings_of_one_place_count_once(spark):
+    fact = spark.createDataFrame([(i, 2016, m, "P1", 100) for i, m in enumerate([1, 2, 3])],
+                                 "cicid long, arrival_year int, arrival_month int, arrival_port_code string, "
+                                 "visitor_residence_country int")
+    port = spark.createDataFrame([("P1", "Town", "AK")], "port_code string, city string, state_code string")
+    country = spark.createDataFrame([(100, "Aland"), (100, "ALAND ")], "country_code int, country string")
+    city_t = spark.createDataFrame([(2016, m, c, float(m)) for m in (1, 2, 3) for c in ("Town", "TOWN")],
+                                   "year int, month int, city string, average_temperature double")
+    country_t = spark.createDataFrame([(2016, m, c, float(m)) for m in (1, 2, 3) for c in ("Aland", "aland")],
+                                      "year int, month int, country string, average_temperature double")
+    for climatology in (False, True):
+        row, = AN.temperature_correlation(fact, port, country, city_t, country_t, climatology).collect()
+        assert (row.n_pairs, row["corr"]) == (3, 1.0)

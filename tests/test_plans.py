@@ -3,27 +3,32 @@ or second aggregate in the temperature build, pivots without a discovery job."""
 
 import pytest
 
-import __spark_entry__ as E
+from starmart.operators import aggregate as AG
+from starmart.operators.quality import orphan_report
+from starmart.plans import adapters as AD
+from starmart.plans import analytics as AN
+from starmart.plans import pipeline as PL
+from starmart.plans import proofs
 
 SF = "/root/testdata/sf0.001"
 # queries that write files when called are checked elsewhere (they run jobs at build time)
 WRITES = {"parquet_roundtrip", "partitioned_roundtrip", "csv_roundtrip", "csv_semicolon_roundtrip",
           "typed_scan", "incremental_overwrite", "incremental_stream", "place_dim",
-          "place_dim_strict", "country_codes", "travel_modes"}
+          "place_dim_strict", "country_codes", "travel_modes", "star_build", "incremental_star"}
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(proofs.QUERIES) - WRITES))
 def test_no_python_udf(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(proofs.QUERIES[name](spark, SF))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
 def test_filter_and_columns_pushed_to_scan(spark):
-    df = E.queries()["filter_code"](spark, SF)
+    df = proofs.QUERIES["filter_code"](spark, SF)
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(l_quantity), EqualTo(l_quantity,2.0)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in plan
@@ -32,20 +37,20 @@ def test_filter_and_columns_pushed_to_scan(spark):
 def test_temperature_build_has_no_sort(spark):
     from pyspark.sql import functions as F
 
-    df = E.queries()["temperature_dim"](spark, SF)
+    df = proofs.QUERIES["temperature_dim"](spark, SF)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort " not in plan and "Sort [" not in plan
-    # one aggregate for the mean, nothing for a de-duplication
-    assert plan.count("Aggregate") == 1
+    # sums per place, which both tables share, and their means; nothing for a de-duplication
+    assert plan.count("Aggregate") == 2
 
 
 def test_mean_is_partial_then_final(spark):
-    plan = _plan(E.queries()["mean_decimal"](spark, SF))
+    plan = _plan(proofs.QUERIES["mean_decimal"](spark, SF))
     assert "partial_avg" in plan
 
 
 def test_dimension_join_is_broadcast(spark):
-    plan = _plan(E.queries()["lookup_inner"](spark, SF))
+    plan = _plan(proofs.QUERIES["lookup_inner"](spark, SF))
     assert "BroadcastHashJoin" in plan
 
 
@@ -54,26 +59,72 @@ def _exchanges(df):
 
 
 def test_pivot_is_one_shuffle(spark):
-    assert _exchanges(E.queries()["pivot_first"](spark, SF)) == 1
+    assert _exchanges(proofs.QUERIES["pivot_first"](spark, SF)) == 1
 
 
-def test_fact_dedupe_shuffles_only_repeated_ids(spark):
-    plan = _plan(E.queries()["fact_build"](spark, SF))
-    # unique ids: scan + broadcast join of the repeated ids, no exchange; one exchange for the rest
-    assert "Union" in plan and plan.count("Exchange hashpartitioning") == 1
+def _jobs(spark, build):
+    """The number of jobs that ``build`` runs."""
+    sc, group = spark.sparkContext, f"jobs-{build}"
+    sc.setJobGroup(group, group)
+    try:
+        build()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_fact_build_is_one_scan_and_one_shuffle(spark):
+    df = proofs.QUERIES["fact_build"](spark, SF)
+    plan = _plan(df)
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
+    # building the plan runs nothing but the file listing and the footer read of the table
+    table = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert _jobs(spark, lambda: PL.fact_table(PL.pleasure_arrivals(AD.arrivals_from_lineitem(table)))) == 0
+
+
+def test_profile_is_one_scan_without_a_join(spark):
+    t = spark.read.parquet(f"{SF}/orders.parquet")
+    plan = _plan(AN.profile_by(t, ["o_custkey"], "o_orderstatus", ["F"], "o_orderpriority", shares=3))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_orphan_report_scans_the_fact_once_and_shuffles_counts_only(spark):
+    fact = spark.read.parquet(f"{SF}/lineitem.parquet")
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    report = orphan_report(fact, [("l_partkey", "part", part, "p_partkey"),
+                                  ("l_suppkey", "nation", nation, "n_nationkey"),
+                                  ("l_partkey", "nation", nation, "n_nationkey")])
+    plan = _plan(report)
+    assert plan.count("lineitem.parquet") == 1
+    assert "partial_count" in plan
+
+
+def test_temperature_tables_from_one_partial_aggregate(spark):
+    e, c, n = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("events", "customer", "nation"))
+    sums = PL.temperature_sums(AD.temperature_raw(e, c, n))
+    for df in PL.temperature_means(sums, home="NATION_1"):
+        assert "partial_sum" in _plan(df)
+
+
+def test_exact_quantiles_of_all_columns_take_few_jobs(spark):
+    df = spark.read.parquet(f"{SF}/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    # a pass over the table is up to two jobs under AQE: its stages are submitted one by one
+    jobs = _jobs(spark, lambda: AG.profile(df, cols, quantiles=[0.25, 0.5, 0.75], exact=True))
+    assert jobs <= 8
 
 
 def test_star_enrich_shuffles_line_items_once(spark):
-    # simulate scale: no size-based broadcasts; only the checked code list keeps its hint
+    # simulate scale: no size-based broadcasts
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     aqe = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = _plan(E.queries()["star_enrich"](spark, SF))
+        plan = _plan(proofs.QUERIES["star_enrich"](spark, SF))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
-    assert plan.count("SortMergeJoin") == 2
-    assert plan.count("Exchange hashpartitioning") == 4     # lineitem 1, orders 2, customer 1
-    assert "BroadcastHashJoin" in plan                      # nation
+    assert plan.count("SortMergeJoin") == 3
+    assert plan.split("Scan parquet")[0].count("l_orderkey") and plan.count("Exchange hashpartitioning(l_orderkey") == 2
