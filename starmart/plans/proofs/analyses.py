@@ -252,9 +252,10 @@ def _temperature_corr_sql(when: str) -> str:
     """``when``: the columns two temperatures are paired by."""
     return _STAR_FACT_SQL + ", " + _PORT_DIM_SQL + ", " + _READINGS_SQL + f""",
 per as (select distinct city, country, {when} from arr),
-a as (select upper(trim(city)) as city, {when}, avg(cast(t as double)) as ct from city_dim group by all),
-b as (select upper(trim(country)) as country, {when}, avg(cast(t as double)) as kt from country_dim group by all),
-r as (select per.city, ct, kt from per join a using (city, {when}) join b using (country, {when}))
+by_city as (select upper(trim(city)) as city, {when}, avg(cast(t as double)) as ct from city_dim group by all),
+by_country as (select upper(trim(country)) as country, {when}, avg(cast(t as double)) as kt
+               from country_dim group by all),
+r as (select per.city, ct, kt from per join by_city using (city, {when}) join by_country using (country, {when}))
 select city, count(*) filter (where ct is not null and kt is not null) as n_pairs,
        case when isnan(corr(ct, kt)) then null else round(corr(ct, kt), 6) end as corr
 from r group by city"""
