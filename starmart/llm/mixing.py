@@ -5,7 +5,9 @@ target exceeds ``max_rate`` times its source: the excess is shared again by weig
 until no target is above its limit (water filling).  In closed form: with ``r = limit / weight``
 ascending, the water level is ``(total - limits up to k) / (weights after k)`` for the first k whose
 next ``r`` is not below it.  A document is emitted ``floor(rate)`` times plus one hash-seeded
-Bernoulli copy with probability ``rate - floor(rate)``.
+Bernoulli copy with probability ``rate - floor(rate)``.  The draws of a source share a seed: of
+``tries`` seeds the one that brings the source's taken words nearest to its target, found by one
+aggregate over all documents; a few long documents could otherwise carry a source far off.
 
 The per-source sums are combined map-side, so a hot source is no hot key; ranks and running sums
 over the sources are computed per range partition plus a prefix over the partitions, so even a
@@ -27,9 +29,10 @@ from .common import n_words, quoted, stored
 DRAW_DIGITS = 13
 
 
-def uniform(seed: str, id_col: Column) -> Column:
+def uniform(seed: str | Column, id_col: Column) -> Column:
     """A uniform number in [0, 1) from the MD5 of ``seed:id``."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("")))
+    seed = F.lit(seed) if isinstance(seed, str) else seed
+    text = F.concat(seed, F.lit(":"), F.coalesce(id_col.cast("string"), F.lit("")))
     digits = F.substring(F.md5(text.cast("binary")), 1, DRAW_DIGITS)
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(16 ** DRAW_DIGITS))
 
@@ -85,31 +88,44 @@ def copies(rate: Column, draw: Column) -> Column:
     return (whole + F.when(draw < rate - whole, 1).otherwise(0)).cast("int")
 
 
-def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               source_col: str = "source", seed: str = "mix", max_rate: int = 3,
-               weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """Per document: id, size, source_size, target, taken (size times copies), copies."""
+def source_plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, max_rate: int,
+                weights: tuple[int, ...], tries: int) -> tuple[DataFrame, DataFrame]:
+    """The stored (id, source, size) rows, and per source: source_size, target, rate, seed."""
     slim = stored(docs.select(F.col(quoted(id_col)).alias("id"),
                               F.col(quoted(source_col)).alias("source"),
                               n_words(F.col(quoted(text_col))).alias("size")), "mix-sizes")
     rates = stored(source_targets(slim, max_rate, weights), "mix-rates", 1)
-    out = slim.alias("d").join(rates.alias("r"), F.col("d.source").eqNullSafe(F.col("r.source")))
-    n = copies(F.col("rate"), uniform(seed, F.col("id")))
+    both = slim.alias("d").join(rates.alias("r"), F.col("d.source").eqNullSafe(F.col("r.source")))
+    sums = both.groupBy("r.source").agg(*[
+        F.sum(F.col("size") * copies(F.col("rate"), uniform(f"{seed}{k}", F.col("id")))).alias(f"t{k}")
+        for k in range(tries)])
+    off = F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("off"), F.lit(k).alias("k"))
+                    for k in range(tries)])
+    picked = (rates.alias("r").join(sums.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
+              .select("r.source", "source_size", "target", "rate",
+                      F.concat(F.lit(seed), F.array_min(off)["k"].cast("string")).alias("seed")))
+    return slim, stored(picked, "mix-plan", 1)
+
+
+def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               source_col: str = "source", seed: str = "mix", max_rate: int = 3,
+               weights: tuple[int, ...] = (1, 2, 3), tries: int = 16) -> DataFrame:
+    """Per document: id, size, source_size, target, taken (size times copies), copies."""
+    slim, plan = source_plan(docs, id_col, text_col, source_col, seed, max_rate, weights, tries)
+    out = slim.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
+    n = copies(F.col("rate"), uniform(F.col("seed"), F.col("id")))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target",
                       (F.col("size") * n).alias("taken"), n.alias("copies"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", seed: str = "mix", max_rate: int = 3,
-        weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+        weights: tuple[int, ...] = (1, 2, 3), tries: int = 16) -> DataFrame:
     """The mix itself: the columns of ``docs``, each row as often as its copies say."""
-    sizes = docs.select(F.col(quoted(source_col)).alias("source"),
-                        n_words(F.col(quoted(text_col))).alias("size"))
-    rates = stored(source_targets(sizes, max_rate, weights).select("source", "rate"),
-                   "mix-rates", 1)
+    _, plan = source_plan(docs, id_col, text_col, source_col, seed, max_rate, weights, tries)
     rows = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"),
                        F.col(quoted(source_col)).alias("from_source"),
-                       uniform(seed, F.col(quoted(id_col))).alias("draw"))
-    out = rows.join(rates, F.col("from_source").eqNullSafe(F.col("source")))
-    n = copies(F.col("rate"), F.col("draw"))
+                       F.col(quoted(id_col)).alias("from_id"))
+    out = rows.join(plan.select("source", "rate", "seed"), F.col("from_source").eqNullSafe(F.col("source")))
+    n = copies(F.col("rate"), uniform(F.col("seed"), F.col("from_id")))
     return out.select("row", F.explode(F.array_repeat(F.lit(1), n))).select("row.*")

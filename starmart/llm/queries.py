@@ -111,15 +111,18 @@ lev as (select min_by(lvl, k) as lvl from l where lim >= lvl * weight),
 t as (select l.source, l.source_size,
       case when l.source_size > 0 then least(cast(l.lim as double), lev.lvl * l.weight) else 0.0 end as target
       from l, lev),
-m as (select d.doc_id, d.size, t.source_size, t.target,
-      case when t.source_size > 0 then least(3.0::double, t.target / t.source_size) else 0.0::double end as rate,
-      cast(cast('0x' || substr(md5('mix:' || coalesce(cast(d.doc_id as varchar), '')), 1, 13) as bigint) as double)
-        / 4503599627370496.0::double as u
-      from d join t on d.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-       cast(size * (floor(rate) + case when u < rate - floor(rate) then 1 else 0 end) as bigint) as taken,
-       cast(floor(rate) + case when u < rate - floor(rate) then 1 else 0 end as integer) as copies
-from m""")
+r3 as (select d.doc_id, d.size, t.source, t.source_size, t.target,
+       case when t.source_size > 0 then least(3.0::double, t.target / t.source_size) else 0.0::double end as rate
+       from d join t on d.source is not distinct from t.source),
+tries as (select r3.*, k, cast('0x' || substr(md5('mix' || k || ':' || coalesce(cast(doc_id as varchar), '')), 1, 13)
+                               as bigint)::double / 4503599627370496.0::double as u
+          from r3, unnest(range(16)) as ks(k)),
+c as (select *, cast(floor(rate) + case when u < rate - floor(rate) then 1 else 0 end as integer) as copies from tries),
+best as (select source, k from (select source, k, any_value(target) as target, sum(size * copies) as got
+                                from c group by source, k)
+         qualify row_number() over (partition by source order by abs(got::double - target), k) = 1)
+select doc_id, size, source_size, target, size * copies as taken, copies
+from c join best on c.source is not distinct from best.source and c.k = best.k""")
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 

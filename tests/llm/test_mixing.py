@@ -75,7 +75,8 @@ def test_counts_and_mix_agree(spark):
     for s, t in want.items():
         own = by_target[(sizes[s], round(t, 6))]
         taken[s] = sum(r.taken for r in own)
-    assert taken["hot"] == pytest.approx(want["hot"], rel=0.25)
+    for s, t in want.items():  # near every target, also of small sources
+        assert taken[s] == pytest.approx(t, rel=0.1, abs=15)
     again = mixing.mix_counts(df).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
     mixed = mixing.mix(df)

@@ -94,11 +94,15 @@ def test_pipeline_against_a_plain_version(spark):
         sizes[d[3]] = sizes.get(d[3], 0) + size_of(d[1])
     want = targets(sizes)
     ids = spark.createDataFrame([(d[0],) for d in apart], "doc_id long")
-    draw = {r[0]: r[1] for r in ids.select("doc_id", mixing.uniform("mix", ids.doc_id)).collect()}
+    draws = {r[0]: r[1:] for r in ids.select("doc_id", *[mixing.uniform(f"mix{k}", ids.doc_id).alias(f"u{k}")
+                                                         for k in range(16)]).collect()}
     mixed = []
-    for d in apart:
-        rate = min(3.0, want[d[3]] / sizes[d[3]]) if sizes[d[3]] else 0.0
-        mixed += [d] * (int(rate) + (draw[d[0]] < rate - int(rate)))
+    for source in sizes:
+        own = [d for d in apart if d[3] == source]
+        rate = min(3.0, want[source] / sizes[source]) if sizes[source] else 0.0
+        options = [[d for d in own for _ in range(int(rate) + (draws[d[0]][k] < rate - int(rate)))]
+                   for k in range(16)]
+        mixed += min(options, key=lambda o: abs(sum(size_of(d[1]) for d in o) - want[source]))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     rows = corpus_pipeline.run(spark, SF).collect()
     assert check_pack(rows, mixed) <= -(-sum(r.length for r in rows) // 4096) + 2
