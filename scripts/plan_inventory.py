@@ -35,7 +35,7 @@ def features(plan: str) -> dict[str, int | str]:
 
 
 def main() -> None:
-    import __spark_entry__ as E
+    from starmart.plans import proofs
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 8, extra={"spark.sql.adaptive.enabled": "false"})
@@ -43,7 +43,7 @@ def main() -> None:
             "python", "pushed"]
     print("| query | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---" for _ in cols) + " |")
-    for name, fn in E.queries().items():
+    for name, fn in proofs.QUERIES.items():
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         f = features(plan)
