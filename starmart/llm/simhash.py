@@ -193,7 +193,12 @@ def links(fps: DataFrame, radius: int = 2, blocks: int = 4, tile: int = 2048) ->
 
 # ------------------------------------------------------------------------- connected components
 
-def components(edges: DataFrame) -> DataFrame:
+def files(rows: int, least: int = 2, per_file: int = 250_000) -> int:
+    """In how many files to store so many narrow rows: few for small tables, more as they grow."""
+    return max(least, -(-rows // per_file))
+
+
+def components(edges: DataFrame, partitions: int | None = None) -> DataFrame:
     """(node, root): each linked node and the smallest node of its component.
 
     Alternates the large-star and small-star steps until the edges are stars; every step is a
@@ -207,18 +212,19 @@ def components(edges: DataFrame) -> DataFrame:
         return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
                             F.bit_xor(F.xxhash64("v", "u"))).first())
 
-    now = stored(canonical(edges), "components")
+    now = stored(canonical(edges), "components", partitions)
     before = state(now)
     while before[0]:
+        parts = files(before[0])
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stored(canonical(large), "components")
+        now = stored(canonical(large), "components", parts)
         least = now.groupBy("u").agg(F.min("v").alias("m"))
         small = now.join(least, "u")
         small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))))
-        now = stored(canonical(small), "components")
+        now = stored(canonical(small), "components", parts)
         after = state(now)
         if after == before:
             break
@@ -228,8 +234,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 def component_of(fps: DataFrame, id_col: str, radius: int, blocks: int, tile: int) -> DataFrame:
     """(fp, component_id) for every distinct ``fp`` of (id_col, fp) rows."""
-    nodes = stored(fps.groupBy("fp").agg(F.min(id_col).alias("least_id")), "simhash-nodes")
-    roots = components(stored(links(nodes.select("fp"), radius, blocks, tile), "simhash-links"))
+    n, tasks = fps.count(), fps.sparkSession.sparkContext.defaultParallelism
+    nodes = stored(fps.groupBy("fp").agg(F.min(id_col).alias("least_id")), "simhash-nodes", files(n))
+    found = links(nodes.select("fp"), radius, blocks, tile)
+    roots = components(stored(found, "simhash-links", files(n, tasks)), files(n))
     rooted = (nodes.join(roots, nodes.fp == roots.node, "left")
               .select("fp", "least_id", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
