@@ -43,25 +43,28 @@ for _row, _bytes in enumerate(CLASSES.values()):
 def features(text: str) -> list[float]:
     """The statistics of one text, whole; zeros for a text without words."""
     data = text.encode("utf-8", "surrogatepass")
-    counts, pairs, head, n, adjacent, n_pairs = Counter(), set(), [], 0, 0, 0
-    ended = 0
+    counts, pairs, n, adjacent, n_pairs = Counter(), set(), 0, 0, 0
+    ended, near, rest = 0, 0, []  # near: the distinct words of each window of 200, summed
     for words in word_blocks(data):
         counts.update(words)
         pairs.update(map(hash, zip(words, words[1:])))
         adjacent += sum(map(bytes.__eq__, words, words[1:]))
         n_pairs += max(0, len(words) - 1)
-        ended += sum(w[-1] in b".!?" for w in words[-2000:]) if n == 0 else 0
-        head = head or words[:200]
+        ended += sum(w[-1] in b".!?" for w in words)
         n += len(words)
+        rest += words
+        whole = len(rest) - len(rest) % 200
+        near += sum(len(set(rest[at:at + 200])) for at in range(0, whole, 200))
+        rest = rest[whole:]
     if not n:
         return [0.0] * len(FEATURES)
     lines = [x for x in data.split(b"\n") if x.strip()]
     closed = sum(x.rstrip()[-1:] in b".!?" for x in lines)
     share = BANDS @ np.bincount(np.frombuffer(data, np.uint8), minlength=256)
-    return [np.log1p(n), len(data) / n, len(counts) / n, len(set(head)) / len(head), adjacent / n,
+    return [np.log1p(n), len(data) / n, len(counts) / n, (near + len(set(rest))) / n, adjacent / n,
             1 - len(pairs) / max(1, n_pairs), counts.most_common(1)[0][1] / n,
             np.log1p(n / len(lines)), 1 - closed / len(lines), 1 - len(set(lines)) / len(lines),
-            ended / min(n, 2000), *(share / n)]
+            ended / n, *(share / n)]
 
 
 # -------------------------------------------------------------------------------------- learning

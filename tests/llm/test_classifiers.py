@@ -29,6 +29,20 @@ def test_features_cover_whole_texts_and_empty_ones():
     assert b["bang"] > 50 * (a["bang"] + 0.01) and b["adjacent"] > 0.9
 
 
+def test_windows_and_ends_are_counted_behind_the_head_and_behind_the_first_block():
+    def of(text):
+        f = dict(zip(quality.FEATURES, quality.features(text)))
+        return f["distinct_200"], f["end_stop"]
+
+    head = " ".join(f"w{i}" for i in range(200))
+    assert of(head) == (1.0, 0.0)
+    assert of(head + " junk." * 800) == pytest.approx(((200 + 4) / 1000, 0.8))
+    assert of(head + " junk." * 100) == pytest.approx((201 / 300, 1 / 3))
+    clean = " ".join(f"w{i}" for i in range(200_000))  # more than 1 MB
+    assert of(clean) == (1.0, 0.0)
+    assert of(clean + " junk." * 200_000) == pytest.approx((201_000 / 400_000, 0.5))
+
+
 def test_the_risk_stays_non_negative_and_negatives_are_found_without_their_labels():
     rng = np.random.default_rng(0)
     good = rng.normal(0, 1, (3000, 4))
