@@ -2,8 +2,9 @@
 
 A sparse logistic regression over the words of a text and their first four and five letters, each
 present or not.  Beside the labelled documents it sees pairs of sentences from them that differ in
-one identity term only: a term that the sentence has is swapped for another one or for a neutral
-word, and a sentence without one gets two of them in the same place.  Swapping must not move the
+one identity term only: every term of every sentence is swapped, wherever it stands there, for another
+one or for a neutral word; a document with fewer than ``pairs_per_doc`` of these also gives sentences
+that get two terms in the same place.  A document's pairs weigh as much as any other's.  Swapping must not move the
 score: the squared difference of the two logits is penalised, so a group's name does not turn toxic
 because it is often met in toxic text, and neutral mentions keep a low score.
 
@@ -19,6 +20,8 @@ kinds to learn from, every score is the labelled share (0 without labels).
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -30,16 +33,30 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, quoted, split_remainder, texts_of, uniform_hash, word_blocks
 
-#: identity terms and neutral words, by language: fixed values
-IDENTITY = (
-    "women men girls boys muslims christians jews hindus buddhists atheists blacks whites asians "
-    "africans europeans americans arabs latinos immigrants refugees foreigners gays lesbians "
-    "transgender heterosexuals bisexuals disabled deaf blind elderly teenagers "
-    "frauen männer muslime christen juden ausländer flüchtlinge schwule lesben behinderte "
-    "femmes hommes musulmans chrétiens juifs étrangers réfugiés homosexuels lesbiennes handicapés "
-    "mujeres hombres musulmanes cristianos judíos extranjeros refugiados gays lesbianas discapacitados"
-).split()
-NEUTRAL = "people persons neighbours leute menschen gens personnes gente personas vecinos".split()
+#: identity terms (plural, singular and adjective forms) and neutral words, by language: fixed values
+IDENTITY = sorted(set((
+    "women woman female females men man male males girls girl boys boy muslims muslim islamic "
+    "christians christian jews jew jewish hindus hindu buddhists buddhist atheists atheist "
+    "blacks black whites white asians asian africans african europeans european americans american "
+    "arabs arab arabic latinos latino latinas latina mexicans mexican immigrants immigrant migrants "
+    "migrant refugees refugee foreigners foreigner foreign gays gay lesbians lesbian homosexuals "
+    "homosexual queers queer transgender transgenders trans transsexual transsexuals heterosexuals "
+    "heterosexual bisexuals bisexual disabled deaf blind elderly teenagers teenager teenage "
+    "frauen frau männer mann weiblich männlich muslime muslim muslimin muslimisch muslimische "
+    "muslimischen christen christ christlich christliche christlichen juden jude jüdin jüdisch "
+    "jüdische jüdischen ausländer ausländerin ausländisch ausländische ausländischen flüchtlinge "
+    "flüchtling schwule schwuler schwulen schwul lesben lesbe lesbisch lesbische lesbischen "
+    "behinderte behinderter behinderten behindert "
+    "femmes femme hommes homme féminin féminine masculin masculine musulmans musulman musulmane "
+    "musulmanes chrétiens chrétien chrétienne chrétiennes juifs juif juive juives étrangers étranger "
+    "étrangère étrangères réfugiés réfugié réfugiée réfugiées homosexuels homosexuel homosexuelle "
+    "homosexuelles lesbiennes lesbienne handicapés handicapé handicapée handicapées "
+    "mujeres mujer hombres hombre femenino femenina masculino masculina musulmanes musulmán musulmana "
+    "musulmanas cristianos cristiano cristiana cristianas judíos judío judía judías extranjeros "
+    "extranjero extranjera extranjeras refugiados refugiado refugiada refugiadas gays gay lesbianas "
+    "lesbiana discapacitados discapacitado discapacitada discapacitadas").split()))
+NEUTRAL = ("people persons person neighbours neighbour leute menschen mensch gens personnes personne "
+           "gente personas persona vecinos vecino").split()
 TERMS = sorted(set(IDENTITY + NEUTRAL))
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 MENTION = re.compile(r"\b(?:" + "|".join(IDENTITY) + r")\b", re.IGNORECASE)
@@ -82,31 +99,45 @@ class Words:
         return out
 
 
-def counterfactuals(text: str, count: int) -> list[tuple[list[int], list[int]]]:
-    """Up to ``count`` pairs from the text's sentences: the features only in the one, only in the other."""
+def swaps(text: str, count: int) -> Iterator[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """A pair for every identity term of every sentence, filled up to ``count`` with insertions of two
+    terms: the features only in the one, only in the other sentence."""
     sentences = [s for s in SENTENCE.split(text) if s.strip()]
     if not sentences:
-        return []
-    has = [s for s in sentences if MENTION.search(s)] if MENTION.search(text) else []
+        return
     pick = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"))
-    out = []
-    for k in range(min(count, len(sentences))):
-        if k < len(has):  # swap the term that is there
-            own = MENTION.search(has[k]).group().lower()
-            before, after = MENTION.split(has[k], maxsplit=1)
-            rest = f"{before} {after}".split()
-        else:  # two terms in the same place
-            own = TERMS[(pick >> 16) % len(TERMS)]
-            rest = sentences[(pick + k) % len(sentences)].split()
-            del rest[(pick >> 8) % len(rest)]
-        # neutral words take part in every other swap
-        others = NEUTRAL if k % 2 else TERMS
-        other = others[((pick >> 24) + 7 * k) % len(others)]
+
+    def partner(own: str, k: int) -> str:
+        others = NEUTRAL if k % 2 else TERMS  # neutral words take part in every other swap
+        at = ((pick >> 24) + 7 * k) % len(others)
+        return others[at] if others[at] != own else others[(at + 1) % len(others)]
+
+    k = 0
+    if MENTION.search(text):
+        for sentence in sentences:
+            for own in sorted({m.lower() for m in MENTION.findall(sentence)}):  # all its places at once
+                here = re.compile(rf"\b{re.escape(own)}\b", re.IGNORECASE)
+                words, other = set(sentence.split()), partner(own, k)
+                k += 1
+                hit = {w for w in words if here.search(w)}
+                shared = {f for w in words - hit for f in word_features(w)}
+                a = {f for w in hit for f in word_features(w)} - shared
+                b = {f for w in hit for f in word_features(here.sub(other, w))} - shared
+                if a != b:
+                    yield tuple(sorted(a - b)), tuple(sorted(b - a))
+    for k in range(k, min(count, len(sentences))):  # two terms in the same place
+        own = TERMS[(pick >> 16) % len(TERMS)]
+        rest = sentences[(pick + k) % len(sentences)].split()
+        del rest[(pick >> 8) % len(rest)]
         shared = {f for w in rest for f in word_features(w)}
-        a, b = set(word_features(own)) - shared, set(word_features(other)) - shared
+        a, b = set(word_features(own)) - shared, set(word_features(partner(own, k))) - shared
         if a != b:
-            out.append((sorted(a - b), sorted(b - a)))
-    return out
+            yield tuple(sorted(a - b)), tuple(sorted(b - a))
+
+
+def counterfactuals(text: str, count: int) -> list[tuple[list[int], list[int]]]:
+    """All pairs of the text (see ``swaps``)."""
+    return [(list(a), list(b)) for a, b in swaps(text, count)]
 
 
 # -------------------------------------------------------------------------------------- learning
@@ -134,10 +165,11 @@ def _rows(names: np.ndarray, rows: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_sparse(docs: list, labels: np.ndarray, weight: np.ndarray, pairs: list, lasso: float = 3e-4,
-               swap: float = 5.0, rounds: int = 300, least: int = 3) -> Model:
+               swap: float = 5.0, rounds: int = 300, least: int = 3,
+               pair_weight: np.ndarray | None = None) -> Model:
     """Accelerated proximal gradient for the weighted logistic loss + swap penalty + lasso.
 
-    Features in fewer than ``least`` of the documents are left out.
+    The penalty is the mean over the pairs, weighted by ``pair_weight`` (default: alike).  Features in fewer than ``least`` of the documents are left out.
     """
     names, counts = np.unique(np.concatenate(docs), return_counts=True)
     names = names[counts >= least]
@@ -149,6 +181,8 @@ def fit_sparse(docs: list, labels: np.ndarray, weight: np.ndarray, pairs: list,
     sw_row, sw_col = np.r_[pr, mr], np.r_[pc, mc]
     sign = np.r_[np.ones(len(pr)), -np.ones(len(mr))]
     weight = weight / weight.sum()
+    pull = np.ones(len(pairs)) if pair_weight is None else np.asarray(pair_weight, float)
+    pull = 2 * swap * pull / max(pull.sum(), 1e-300)
 
     def step_of(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
         z = np.bincount(row, w[col], n) + b
@@ -156,15 +190,15 @@ def fit_sparse(docs: list, labels: np.ndarray, weight: np.ndarray, pairs: list,
         g = np.bincount(col, slope[row], m)
         if len(pairs):
             d = np.bincount(sw_row, sign * w[sw_col], len(pairs))
-            g = g + 2 * swap / len(pairs) * np.bincount(sw_col, sign * d[sw_row], m)
+            g = g + np.bincount(sw_col, sign * (pull * d)[sw_row], m)
         return g, slope.sum()
 
     # step lengths per feature from an upper bound of the curvature of its own row and column sums
     size = np.bincount(row, minlength=n) + 1.0
     curve = 0.25 * np.bincount(col, (weight * size)[row], m) + 1e-9
     if len(pairs):
-        swaps = np.bincount(sw_row, minlength=len(pairs))
-        curve += 2 * swap / len(pairs) * np.bincount(sw_col, swaps[sw_row].astype(float), m)
+        width = np.bincount(sw_row, minlength=len(pairs))
+        curve += np.bincount(sw_col, (pull * width)[sw_row], m)
     curve_b = 0.25 * (weight * size).sum()
     w, b = np.zeros(m), 0.0
     vw, vb, t = w, b, 1.0
@@ -201,22 +235,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batch: pa.RecordBatch) -> dict:
         words, texts = Words(), texts_of(batch)
-        pairs = [counterfactuals(t, pairs_per_doc) for t in texts]
+        pairs = [Counter(swaps(t, pairs_per_doc)) for t in texts]  # equal ones once, with their share
         return {"label": batch.column("label"), "key": [xxhash.xxh64_intdigest(t.encode("utf-8", "replace"))
                                                        - (1 << 63) for t in texts],
                 "present": [sorted(words.present(t)) for t in texts],
-                "swaps": pairs}
+                "swaps": [list(c) for c in pairs],
+                "shares": [[v / c.total() for v in c.values()] for c in pairs]}
 
-    got = map_batches(rows, run, "label int, key long, present array<long>, "
-                                 "swaps array<array<array<long>>>").toArrow()  # bounded by max_rows
+    got = map_batches(rows, run, "label int, key long, present array<long>, swaps array<array<array<long>>>, "
+                                 "shares array<double>").toArrow()  # bounded by max_rows
     got = got.sort_by([("key", "ascending"), ("label", "ascending")])  # the same order in every run
     label = np.array(got["label"].to_pylist(), float)
     if not len(label) or label.min() == label.max():
         return Model({}, float(np.log(share / (1 - share))) if 0 < share < 1 else 40.0 * np.sign(share - 0.5))
     weight = np.where(label == 1, share / (label == 1).sum(), (1 - share) / (label == 0).sum())
     docs_ = [x.values.to_numpy() for x in got["present"]]
-    swaps = [p for s in got["swaps"].to_pylist() for p in s]
-    return fit_sparse(docs_, label, weight, swaps, swap=swap)
+    pairs = [p for s in got["swaps"].to_pylist() for p in s]
+    shares = np.array([x for s in got["shares"].to_pylist() for x in s])  # a document's pairs add up to 1
+    return fit_sparse(docs_, label, weight, pairs, swap=swap, pair_weight=shares)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -159,6 +159,30 @@ def test_swaps_differ_in_the_term_only():
     assert toxicity.counterfactuals("", 2) == [] == toxicity.counterfactuals("...", 2)
 
 
+def test_every_term_of_every_sentence_is_swapped_in_all_forms(spark):
+    for term in "gay muslim jewish woman black lesbian".split():
+        assert toxicity.MENTION.findall(f"Some {term.title()} folk") == [term.title()]
+    own = ["gay", "muslim", "woman", "lesbian"]
+    text = "A gay and a Muslim met. Nobody spoke. The woman's friend left. A lesbian saw a lesbian. End."
+    whole = {f for w in text.split() for f in toxicity.word_features(w)}
+    pairs = toxicity.counterfactuals(text, 2)
+    assert len(pairs) == 4 and all(set(plus) <= whole for plus, _ in pairs)
+    assert {f for plus, _ in pairs for f in plus} >= {toxicity.word_features(w)[0] for w in own if w != "woman"}
+    assert toxicity.word_features("woman's")[0] in {f for plus, _ in pairs for f in plus}
+    assert len(toxicity.counterfactuals("The gay man spoke. " * 50, 2)) == 100
+    # through the query: a singular term met in toxic text only, late in long documents
+    docs, labels = toxic_rows(random.Random(3), 800)
+    docs = [(i, f"One girl came. Two boys came. {t} A lesbian left." if y else t, *r)
+            for (i, t, *r), (_, y) in zip(docs, labels)]
+    d, lab = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int")
+    fair, plain = toxicity.fit(d, lab), toxicity.fit(d, lab, swap=0.0)
+
+    def gap(m):
+        return abs(m.logit("A lesbian left") - m.logit("A neighbour left"))
+
+    assert gap(plain) > 0.5 and gap(fair) < 0.4 * gap(plain)
+
+
 # ---------------------------------------------------------------------------------- language
 
 ALPHABETS = {"aa": "abcde", "bb": "vwxyz", "cc": "жзийк"}
