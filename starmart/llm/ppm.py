@@ -15,7 +15,8 @@ are just those of the next longer context: their sum is one number per context.
 
 Spark job, for a corpus of any size, with nothing of it on the driver but totals:
 
-1. Documents fall into chunks of consecutive rows.  A task counts the distinct nodes and words of a
+1. Documents fall into chunks of consecutive rows of a file, cut by a running sum of their bytes: a
+   chunk has less than twice ``chunk_bytes``, a longer text is a chunk of its own.  A task counts the distinct nodes and words of a
    chunk and sends them in blocks by hash bucket (a sorted, deflated list with its training counts).
 2. Per bucket the counts of all chunks are summed.  Words are answered at once: each chunk gets the
    corpus counts of its words.  The nodes' counts go into tables by order (built by grouping the
@@ -41,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import quoted, split_remainder, stored, text_or_empty, texts_of, with_locator, word_blocks
@@ -49,6 +50,9 @@ from .common import quoted, split_remainder, stored, text_or_empty, texts_of, wi
 BITS, END, PAD = 9, 256, 257
 ALPHABET = 257  # 256 bytes and the end; the pad before the text is never predicted
 BLOCK = 1 << 20
+ROW_BYTES = 64  # what a row counts for beside its text, so that empty ones fill a chunk too
+#: rows of a file whose bytes one window sums up, and whose chunks one look-up row holds
+SUM_ROWS, LOOKUP_ROWS = 1 << 10, 1 << 16
 
 
 # ------------------------------------------------------------------------------ nodes of a text
@@ -142,6 +146,39 @@ def unpack_nodes(data: bytes) -> np.ndarray:
     return np.cumsum(unpack_numbers(data))
 
 
+def row_bytes(text: Column) -> Column:
+    return F.octet_length(text_or_empty(text)).cast("long") + ROW_BYTES
+
+
+def chunk_starts(sizes: DataFrame, chunk_bytes: int) -> DataFrame:
+    """(file, span, cuts) of (file, row, bytes) rows: per ``LOOKUP_ROWS`` rows of a file the chunks met
+    there with their first rows.  A chunk is the rows that start in one stretch of ``chunk_bytes``."""
+    part = F.floor(F.col("row") / SUM_ROWS)
+    before = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file", "part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("part", part)
+    firsts = (sizes.groupBy("file", "part").agg(F.sum("bytes").alias("n"))
+              .select("file", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
+    at = F.col("first") + F.coalesce(F.sum("bytes").over(inside), F.lit(0))
+    return (sizes.join(firsts, ["file", "part"])
+            .select("file", "row", F.floor(at / chunk_bytes).alias("k"))
+            .groupBy("file", F.floor(F.col("row") / LOOKUP_ROWS).alias("span"), "k").agg(F.min("row").alias("row"))
+            .groupBy("file", "span").agg(F.collect_list(F.struct("row", "k")).alias("cuts")))
+
+
+def chunked(rows: DataFrame, starts: DataFrame, chunk_bytes: int) -> DataFrame:
+    """(chunk, id, held_out, text): the rows with their chunk, those of one chunk together."""
+    n_spans, n_cuts = starts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("cuts")), F.lit(0))).first()
+    small = 32 * n_spans + 16 * n_cuts <= 32 << 20
+    row = F.col("row_index")
+    k = F.array_max(F.transform(F.filter("cuts", lambda c: c["row"] <= row), lambda c: c["k"]))
+    alone = F.when(row_bytes(F.col("text")) > chunk_bytes, row)  # null, which a hash leaves out, otherwise
+    out = (rows.withColumn("span", F.floor(row / LOOKUP_ROWS))
+           .join(F.broadcast(starts) if small else starts, ["file", "span"])
+           .select(F.xxhash64("file", k, alone).alias("chunk"), "id", "held_out", "text"))
+    return out if small else out.sortWithinPartitions("chunk")
+
+
 BLOCKS = "chunk long, bucket int, kind string, keys binary, vals binary"
 
 
@@ -293,13 +330,15 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     spark = docs.sparkSession
     rows = with_locator(docs, F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"),
                         (split_remainder(F.col(quoted(id_col)), mod) == held).alias("held_out"))
-    n, size, trained = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text_or_empty(F.col("text")))), F.lit(0)),
-                                F.count_if(~F.col("held_out"))).first()
-    per_chunk = max(1, int(chunk_bytes / max(1, size / max(1, n))))  # rows of a chunk
-    place = F.split("locator", "#")
-    chunk = F.xxhash64(F.substring_index("locator", "#", 1),
-                       F.floor(F.element_at(place, -1).cast("long") / per_chunk))
-    rows = rows.select(chunk.alias("chunk"), "id", "held_out", "text")
+    rows = rows.select(F.xxhash64(F.substring_index("locator", "#", 1)).alias("file"),
+                       F.substring_index("locator", "#", -1).cast("long").alias("row_index"),
+                       "id", "held_out", "text")
+    sizes = stored(rows.select("file", F.col("row_index").alias("row"), row_bytes(F.col("text")).alias("bytes"),
+                               "held_out"), "ppm-sizes")
+    n, size, trained = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0)),
+                                 F.count_if(~F.col("held_out"))).first()
+    size -= ROW_BYTES * n
+    rows = chunked(rows, stored(chunk_starts(sizes, chunk_bytes), "ppm-chunks"), chunk_bytes)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // chunk_bytes))
 
     blocks = stored(requests(rows, order, buckets), "ppm-blocks")

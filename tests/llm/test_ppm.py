@@ -93,6 +93,27 @@ def test_chunks_do_not_change_scores(spark):
     compare(spark, rows, 4, chunk_bytes=1 << 30)
 
 
+def test_chunks_are_cut_by_bytes_where_long_texts_lie_together(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    limit = 2000
+    rows = ([(i, f"a b w{i}", None) for i in range(150)] + [(200 + i, f"long {i} " * 100, None) for i in range(40)]
+            + [(300 + i, f"alone {i} " * 600, None) for i in range(3)] + [(400 + i, None, None) for i in range(90)])
+    monkeypatch.setattr(ppm, "SUM_ROWS", 16, raising=False)
+    monkeypatch.setattr(ppm, "LOOKUP_ROWS", 64, raising=False)
+    seen, real = [], ppm.requests
+    monkeypatch.setattr(ppm, "requests", lambda rows, *a: seen.append(rows) or real(rows, *a))
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    got = ppm.scores(df, order=2, chunk_bytes=limit).collect()
+    assert len(got) == len(rows)
+    chunks = seen[0].groupBy("chunk").agg(F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("bytes"),
+                                          F.count("*").alias("n")).collect()
+    assert sum(c.n for c in chunks) == len(rows)
+    assert all(c.bytes < 2 * limit or c.n == 1 for c in chunks)
+    assert sum(c.bytes > 2 * limit for c in chunks) == 3 and len(chunks) > 15
+    assert all(c.n <= 2 * limit / 64 for c in chunks)  # rows without text fill a chunk, too
+
+
 def test_long_texts_are_scored_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(ppm, "BLOCK", 7)
     text = "some words that go on and on " * 3
