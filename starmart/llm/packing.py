@@ -56,20 +56,30 @@ class WordTokenizer:
 
     For tokenizers that lower-case, split at white space and drop it, and split letters from
     punctuation: there the ids of a text are those of its words one after the other, so words met
-    before are looked up.  The cache is emptied when it holds ``CACHE_WORDS`` words.
+    before are looked up.  The cache is emptied when it holds ``CACHE_WORDS`` words.  Special-token
+    strings count where the raw text has them exactly; folded words are encoded as plain text.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
+        special = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.special = re.compile(b"(" + b"|".join(map(re.escape, sorted(special, key=len, reverse=True))) + b")") \
+            if special else None
+        # their keys start with a space, as no word does
+        self.special_ids = {b" " + t: np.array([i], "<u4").tobytes() for t, i in special.items()}
+        self.cache: dict[bytes, bytes] = dict(self.special_ids)
         n = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4")
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.tokenizer.encode_special_tokens = True  # as plain text: ``ids`` finds the special ones
+        try:
+            return [np.array(e.ids, "<u4")
+                    for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        finally:
+            self.tokenizer.encode_special_tokens = False
 
     def _learn(self, words: list[bytes]) -> None:
         text = [w.decode("utf-8", "replace") for w in words]
@@ -88,11 +98,21 @@ class WordTokenizer:
         for i, ids in zip(rest, self._encode([text[i] for i in rest])):
             self.cache[words[i]] = ids.tobytes()
 
+    def _split(self, raw: bytes) -> list[bytes]:
+        """The folded words and, with a space before, the special-token strings."""
+        if self.special is None or not self.special.search(raw):
+            return STOP.sub(rb" \1", raw.translate(FOLD)).split()
+        out = []
+        for k, part in enumerate(self.special.split(raw)):
+            out += [b" " + part] if k % 2 else STOP.sub(rb" \1", part.translate(FOLD)).split()
+        return out
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [STOP.sub(rb" \1", t.encode("utf-8", "replace").translate(FOLD)).split() for t in texts]
+        split = [self._split(t.encode("utf-8", "replace")) for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
+            self.cache.update(self.special_ids)
         cache = self.cache
         self._learn(list(set(chain.from_iterable(split)).difference(cache)))
         return [np.frombuffer(b"".join(map(cache.__getitem__, words)), "<u4") for words in split]

@@ -73,6 +73,18 @@ def test_ids_are_the_tokenizers():
         assert ids.tolist() == tok.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+SPECIAL = ["<|ENDOFTEXT|>", "a <|EndOfText|> b", "x<|STARTOFTEXT|>y <|startoftext|>.", "end.<|endoftext|>, A.<|endoftext|>",
+           "<|ENDOFTEXT|><|endoftext|><|endoftext|>", "É<|endoftext|>é <|endoftext"]
+
+
+def test_special_strings_count_as_the_raw_text_has_them():
+    from tokenizers import Tokenizer
+
+    library, tok = Tokenizer.from_file(vocabulary()), packing.WordTokenizer(vocabulary())
+    for text, ids in zip(ODD + SPECIAL, tok.ids(ODD + SPECIAL)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def check_pack(rows, docs, capacity=4096):
     tok = packing.WordTokenizer(vocabulary()).tokenizer
     want = []
