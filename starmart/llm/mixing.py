@@ -94,7 +94,7 @@ def source_plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, se
     slim = stored(docs.select(F.col(quoted(id_col)).alias("id"),
                               F.col(quoted(source_col)).alias("source"),
                               n_words(F.col(quoted(text_col))).alias("size")), "mix-sizes")
-    rates = stored(source_targets(slim, max_rate, weights), "mix-rates", 1)
+    rates = stored(source_targets(slim, max_rate, weights), "mix-rates")
     both = slim.alias("d").join(rates.alias("r"), F.col("d.source").eqNullSafe(F.col("r.source")))
     sums = both.groupBy("r.source").agg(*[
         F.sum(F.col("size") * copies(F.col("rate"), uniform(f"{seed}{k}", F.col("id")))).alias(f"t{k}")
@@ -104,7 +104,7 @@ def source_plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, se
     picked = (rates.alias("r").join(sums.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
               .select("r.source", "source_size", "target", "rate",
                       F.concat(F.lit(seed), F.array_min(off)["k"].cast("string")).alias("seed")))
-    return slim, stored(picked, "mix-plan", 1)
+    return slim, stored(picked, "mix-plan")
 
 
 def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

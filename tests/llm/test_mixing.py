@@ -84,6 +84,14 @@ def test_counts_and_mix_agree(spark):
     assert mixed.count() == sum(r.copies for r in got)
 
 
+def test_many_sources_are_not_gathered_in_one_task(spark, monkeypatch):
+    asked, real = [], mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, name, n=None: asked.append((name, n)) or real(df, name, n))
+    rows = [(i, "a b c", f"s{i}", i, None) for i in range(300)]
+    assert mixing.mix_counts(spark.createDataFrame(rows, SCHEMA)).count() == 300
+    assert {"mix-rates", "mix-plan"} <= {name for name, _ in asked} and {n for _, n in asked} == {None}
+
+
 def test_copies_are_floor_plus_a_seeded_draw(spark):
     rows = spark.range(2000).selectExpr("id", "1.4D as rate")
     got = rows.select("id", mixing.copies(rows.rate, mixing.uniform("s", rows.id)).alias("n")).collect()
