@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exactdedup, langid, lines, mixing, packing, ppm, quality, simhash, toxicity, warc
+from . import (codes, exactdedup, fim, langid, licences, lines, mixing, packing, ppm, quality, simhash,
+               toxicity, warc)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +168,75 @@ def op9_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash_dedup")
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op11_fill_in_middle", """
+with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+           from documents),
+u as (select doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as toks,
+      cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2,
+      cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4 from d),
+c as (select *, len(toks) as n, least(h1 % (len(toks) + 1), h2 % (len(toks) + 1)) as a,
+      greatest(h1 % (len(toks) + 1), h2 % (len(toks) + 1)) as b,
+      case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90
+           then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from u),
+f as (select *, array_to_string(toks[1:a], '') as p, array_to_string(toks[a + 1:b], '') as m,
+      array_to_string(toks[b + 1:n], '') as s from c)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+       case when form <> 'plain' then length(m) end as middle_chars,
+       sha256(case form when 'plain' then t when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m
+                        else '<P>' || p || '<S>' || s || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256 from f""")
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2(out.output.cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(fim.restored(out.output, out.form).cast("binary"), 256).alias("restored_sha256"))
+
+
+@query("op12_licence_scan")
+def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents")).drop("notices")
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Assignment by all distances and integer means, one pair of subqueries a round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} as materialized (
+  select rid, p, min(cast(list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, b.v)
+                          + list_inner_product(b.v, b.v) as bigint) * 256 + e) as best
+  from x join b{i} b using (p) group by rid, p)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} as (select p, e, pos, sum(val) as s, count(*) as n
+  from (select p, best % 256 as e, unnest(v) as val, generate_subscripts(v, 1) as pos
+        from a{i} join x using (rid, p)) group by p, e, pos),
+b{i + 1} as materialized (
+  select p, e, coalesce(fresh, v) as v from b{i} left join (
+    select p, e, list(floor(s / n) order by pos) as fresh from m{i} group by p, e) using (p, e))""")
+    return f"""
+with k as materialized (
+  select row_number() over () as rid, vec_id, label,
+         list_transform(embedding, c -> floor(1024 * cast(c as double))) as q
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0),
+x as materialized (
+  select rid, vec_id, q, p, q[p * (len(q) // 4) + 1:(p + 1) * (len(q) // 4)] as v from k, range(4) g(p)),
+b0 as materialized (select p, e, v from (
+  select p, v, row_number() over (partition by p order by vec_id nulls last, q) - 1 as e from x) where e < 256),
+{",".join(steps)},
+r as (select rid, string_agg(format('{{:02x}}', best % 256), '' order by p) as code, sum(best // 256) as error
+      from a{rounds} group by rid),
+h as (select sha256(string_agg(cast(cast(val as bigint) as varchar), ',' order by p, e, pos)) as sha from (
+  select p, e, unnest(v) as val, generate_subscripts(v, 1) as pos from b{rounds}))
+select vec_id, code, cast(error as bigint) as error,
+       cast(sum(error) over (partition by label) as bigint) as label_error, sha as codebooks_sha256
+from r join k using (rid), h"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("codebooks_sha256", F.lit(codes.books_sha256(books)))

@@ -13,6 +13,7 @@ from scripts.oracle_check import digest
 from starmart.llm import mixing, quality, simhash
 from starmart.llm.queries import ORACLE, QUERIES, vocabulary
 from starmart.sources.driver import TABLES
+from tests.llm.test_licences import brute as brute_licences
 from tests.llm.test_mixing import size_of, targets
 from tests.llm.test_packing import check_pack
 from tests.llm.test_ppm import brute as brute_ppm
@@ -30,8 +31,8 @@ def duck():
     return con
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators_and_the_pipeline_are_registered():
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLE) <= set(E.oracle_sql())
 
@@ -71,6 +72,15 @@ def test_op10_against_all_pairs(spark):
     assert got == {(d[0], f"{f:016x}", c) for d, f, c in zip(docs, fps, comp)}
 
 
+def test_op12_against_plain_word_matching(spark):
+    docs = {d[0]: d[1] for d in documents(spark)}
+    got = QUERIES["op12_licence_scan"](spark, SF).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert tuple(r)[1:6] == brute_licences(docs[r.doc_id])
+        assert 0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+
+
 def test_classifier_queries_score_every_document(spark):
     n = len(documents(spark))
     for name in ("op2_pu_quality", "op6_counterfactual_toxicity", "op8_centroid_language"):
