@@ -219,9 +219,9 @@ b{i + 1} as materialized (
     return f"""
 with k as materialized (
   select row_number() over () as rid, vec_id, label,
-         list_transform(embedding, c -> floor(1024 * cast(c as double))) as q
+         [floor(1024 * cast(c as double)) for c in embedding] as q
   from embeddings where embedding is not null
-    and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0),
+    and len([c for c in embedding if c is null or not isfinite(c)]) = 0),
 x as materialized (
   select rid, vec_id, q, p, q[p * (len(q) // 4) + 1:(p + 1) * (len(q) // 4)] as v from k, range(4) g(p)),
 b0 as materialized (select p, e, v from (
