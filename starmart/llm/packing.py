@@ -21,7 +21,10 @@ The plan is broadcast; its size depends on ``capacity`` and ``groups`` only: a r
 only with a shorter length than its free space, which at least halves, so there are at most
 ``log2(capacity)`` rows per run, and each length splits at most one run.
 
-Defined results: a null or empty text is the end token alone; repeated rows are packed each.
+Defined results: a null or empty text is the end token alone; repeated rows are packed each; pieces of
+equal length are interchangeable, so a rerun may number the sequences otherwise; a text of any length is
+read whole, in pieces of ``capacity``; an empty table gives an empty result; columns other than the id and
+the text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, quoted, stored, texts_of
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 #: (groups, small_parts) to plan with; the plan of fewest sequences is taken
 SETTINGS = ((64, 8), (128, 4), (256, 3))
 
@@ -48,7 +51,12 @@ SETTINGS = ((64, 8), (128, 4), (256, 3))
 #: white space to a space and A-Z to a-z: the tokenizer's own normaliser does both
 FOLD = bytes.maketrans(b"\t\n\x0b\x0c\r" + bytes(range(65, 91)), b" " * 5 + bytes(range(97, 123)))
 #: a full stop or comma between a letter and a space is a token of its own
-STOP = re.compile(rb"(?<=[a-z])([.,])(?= |$)")
+STOP = re.compile(rb"[.,](?<=[a-z].)(?= |$)")
+#: words of printable ASCII and Latin-1 letters (two bytes in UTF-8), and what they are split into:
+#: contractions, letters, single digits, runs of other marks
+LETTER = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+LATIN = re.compile(rb"(?:[\x21-\x7e]|" + LETTER + rb")+")
+SPLIT = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|" + LETTER + rb"+|[0-9]|[\x21-\x2f\x3a-\x60\x7b-\x7e]+")
 
 
 class WordTokenizer:
@@ -56,8 +64,10 @@ class WordTokenizer:
 
     For tokenizers that lower-case, split at white space and drop it, and split letters from
     punctuation: there the ids of a text are those of its words one after the other, so words met
-    before are looked up.  The cache is emptied when it holds ``CACHE_WORDS`` words.  Special-token
-    strings count where the raw text has them exactly; folded words are encoded as plain text.
+    before are looked up, and a word with marks in it is put together from its parts.  Two generations
+    of words are kept: the younger takes what is used, and when it holds half of ``CACHE_WORDS`` it
+    becomes the older one, so words in use stay.  Special-token strings count where the raw text has
+    them exactly; folded words are encoded as plain text.
     """
 
     def __init__(self, path: str):
@@ -70,6 +80,7 @@ class WordTokenizer:
         # their keys start with a space, as no word does
         self.special_ids = {b" " + t: np.array([i], "<u4").tobytes() for t, i in special.items()}
         self.cache: dict[bytes, bytes] = dict(self.special_ids)
+        self.old: dict[bytes, bytes] = {}
         n = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
 
@@ -77,45 +88,68 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True  # as plain text: ``ids`` finds the special ones
         try:
             return [np.array(e.ids, "<u4")
-                    for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+                    for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         finally:
             self.tokenizer.encode_special_tokens = False
 
+    def _unknown(self, words: set[bytes]) -> list[bytes]:
+        """The words of neither generation; those of the older one join the younger."""
+        out = []
+        for w in words:
+            ids = self.old.get(w)
+            if ids is None:
+                out.append(w)
+            else:
+                self.cache[w] = ids
+        return out
+
     def _learn(self, words: list[bytes]) -> None:
-        text = [w.decode("utf-8", "replace") for w in words]
-        plain = [i for i, t in enumerate(text) if t.isalpha()]
-        rest = [i for i, t in enumerate(text) if not t.isalpha()]
+        text = {w: w.decode("utf-8", "replace") for w in words}
+        plain = [w for w, t in text.items() if t.isalpha()]
+        rest = [w for w, t in text.items() if not t.isalpha()]
+        parts = {w: SPLIT.findall(w) for w in rest if LATIN.fullmatch(w)}
+        parts = {w: own for w, own in parts.items() if len(own) > 1}
+        rest = [w for w in rest if w not in parts]
+        for w in self._unknown(set(chain.from_iterable(parts.values())).difference(self.cache, text)):
+            text[w] = w.decode()
+            (plain if text[w].isalpha() else rest).append(w)
         for at in range(0, len(plain), 4096):
             own = plain[at:at + 4096]
-            ids = self._encode([" ".join([text[i] for i in own])])[0]
+            ids = self._encode([" ".join([text[w] for w in own])])[0]
             ends = np.flatnonzero(self.ends[ids]) + 1  # letters only: each word ends once
             if len(ends) != len(own):
                 rest += own
                 continue
             flat, marks = ids.tobytes(), (4 * ends).tolist()
-            for i, a, b in zip(own, [0, *marks], marks):
-                self.cache[words[i]] = flat[a:b]
-        for i, ids in zip(rest, self._encode([text[i] for i in rest])):
-            self.cache[words[i]] = ids.tobytes()
+            for w, a, b in zip(own, [0, *marks], marks):
+                self.cache[w] = flat[a:b]
+        for w, ids in zip(rest, self._encode([text[w] for w in rest])):
+            self.cache[w] = ids.tobytes()
+        for w, own in parts.items():
+            self.cache[w] = b"".join(map(self.cache.__getitem__, own))
 
     def _split(self, raw: bytes) -> list[bytes]:
         """The folded words and, with a space before, the special-token strings."""
         if self.special is None or not self.special.search(raw):
-            return STOP.sub(rb" \1", raw.translate(FOLD)).split()
+            return STOP.sub(rb" \g<0>", raw.translate(FOLD)).split()
         out = []
         for k, part in enumerate(self.special.split(raw)):
-            out += [b" " + part] if k % 2 else STOP.sub(rb" \1", part.translate(FOLD)).split()
+            out += [b" " + part] if k % 2 else STOP.sub(rb" \g<0>", part.translate(FOLD)).split()
         return out
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [self._split(t.encode("utf-8", "replace")) for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-            self.cache.update(self.special_ids)
+        if len(self.cache) > CACHE_WORDS // 2:
+            self.old, self.cache = self.cache, dict(self.special_ids)
         cache = self.cache
-        self._learn(list(set(chain.from_iterable(split)).difference(cache)))
-        return [np.frombuffer(b"".join(map(cache.__getitem__, words)), "<u4") for words in split]
+        split = [self._split(t.encode("utf-8", "replace")) for t in texts]
+        found = [list(map(cache.get, words)) for words in split]
+        gaps = [[i for i, ids in enumerate(own) if ids is None] for own in found]
+        self._learn(self._unknown({words[i] for words, own in zip(split, gaps) for i in own}))
+        for words, own, places in zip(split, found, gaps):
+            for i in places:
+                own[i] = cache[words[i]]
+        return [np.frombuffer(b"".join(own), "<u4") for own in found]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -194,21 +228,29 @@ def best_configuration(sizes: list[int], worth: np.ndarray, capacity: int) -> tu
     return config, float(best[capacity])
 
 
-def configurations(sizes: list[int], counts: list[int], capacity: int, rounds: int = 400
-                   ) -> list[tuple[np.ndarray, int]]:
+def configurations(sizes: list[int], counts: list[int], capacity: int) -> list[tuple[np.ndarray, int]]:
     """(configuration, sequences) covering at most ``counts``: the linear programme, rounded down.
 
-    Column generation with the revised simplex; the start basis has one size per configuration.
+    Column generation with the revised simplex, to the optimum; the start basis has one size per
+    configuration.  A configuration that comes back while the objective stands still would go round
+    for ever (a degenerate basis): there the programme is as good as it gets.
     """
     m = len(sizes)
     demand = np.array(counts, float)
     basis = np.diag([float(capacity // s) for s in sizes])
     amount = demand / np.diag(basis)
-    for _ in range(rounds):
+    least, idle = np.inf, set()
+    while True:
         worth = np.linalg.solve(basis.T, np.ones(m))
         config, value = best_configuration(sizes, worth, capacity)
         if value <= 1 + 1e-9:
             break
+        if amount.sum() < least - 1e-9:
+            least = amount.sum()
+            idle.clear()
+        if config.tobytes() in idle:
+            break
+        idle.add(config.tobytes())
         step = np.linalg.solve(basis, config.astype(float))
         ratio = np.where(step > 1e-9, amount / np.where(step > 1e-9, step, 1), np.inf)
         out = int(np.argmin(ratio))
@@ -316,15 +358,18 @@ def plan(histogram: dict[int, int], capacity: int = 4096, groups: int = 48, smal
 # --------------------------------------------------------------------------------------- placing
 
 def numbered(found: DataFrame, salt_count: int) -> DataFrame:
-    """``found`` with ``number``: 0, 1, ... within each length, counted in salted partitions."""
-    salt = F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(salt_count)).cast("int")
-    salted = found.withColumn("salt", salt)
-    order = Window.partitionBy("length", "salt").orderBy("id", "piece", "ids_crc32")
+    """Stored pieces with ``number``: 0, 1, ... within each length, counted in salted partitions.  The
+    salt is that of a row's place (file and row number), so repeated rows are spread as well."""
+    meta = found.metadataColumn("_metadata")
+    placed = found.withColumns({"file": F.xxhash64(meta["file_path"]), "row": meta["row_index"]})
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("file", "row"), F.lit(salt_count)).cast("int"))
+    order = Window.partitionBy("length", "salt").orderBy("file", "row")
     counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     return (salted.withColumn("place", F.row_number().over(order)).join(starts, ["length", "salt"])
-            .withColumn("number", F.col("first") + F.col("place") - 1).drop("salt", "place", "first"))
+            .withColumn("number", F.col("first") + F.col("place") - 1)
+            .drop("salt", "place", "first", "file", "row"))
 
 
 def best_plan(histogram: dict[int, int], capacity: int = 4096,

@@ -123,3 +123,31 @@ def test_empty_table(spark):
     out = packing.pack(spark.createDataFrame([], SCHEMA), vocabulary())
     assert out.count() == 0
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_repeated_rows_are_numbered_in_many_salts(spark):
+    rows = [(7, "same text", 1, "x")] * 3000 + [(None, None, None, None)] * 500
+    found = packing.stored(packing.pieces(spark.createDataFrame(rows, SCHEMA).coalesce(2), "doc_id", "text",
+                                          vocabulary()), "repeated")
+    out = packing.numbered(found, 64)
+    assert set(out.columns) == {*found.columns, "number"}
+    for length in (3, 1):
+        numbers = sorted(r.number for r in out.where(out.length == length).collect())
+        assert numbers == list(range(3000 if length == 3 else 500))
+    salts = found.select(packing.F.pmod(packing.F.xxhash64(
+        packing.F.xxhash64(found.metadataColumn("_metadata")["file_path"]),
+        found.metadataColumn("_metadata")["row_index"]), packing.F.lit(64)).alias("s")).distinct().count()
+    assert salts > 32
+
+
+def test_words_in_use_survive_a_turn_of_the_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 8)
+    tok, fresh = packing.WordTokenizer(vocabulary()), packing.WordTokenizer(vocabulary())
+    learned = []
+    learn = tok._learn
+    monkeypatch.setattr(tok, "_learn", lambda words: (learned.extend(words), learn(words)))
+    for i in range(30):
+        text = f"always here' don't élan*** new{'x' * i} it's. 4th--2 Éa, ×b"
+        got = tok.ids([text])[0].tolist()
+        assert got == fresh.tokenizer.encode(text, add_special_tokens=False).ids
+    assert learned.count(b"always") == 1 and len(tok.cache) + len(tok.old) < 60
