@@ -30,8 +30,13 @@ two shortest orders have at most 258**2 rows and are broadcast.
 Beside the score, the unigram base: sum over the words and one end token of
 ``log10((c + 0.5) / (N + 0.5 * (V + 1)))`` with counts over training documents.
 
+Tasks by bucket and by chunk are as many as there are buckets, one per ``chunk_bytes`` of text, so what
+one task reads does not grow with the corpus.
+
 Defined results: null and empty texts are the end symbol alone; without training documents every
-symbol is uniform and the base is that of N = V = 0.
+symbol is uniform and the base is that of N = V = 0; repeated rows count and are scored each; a null id
+splits as the empty text; ties do not exist; an empty table gives an empty result; columns other than the
+id and the text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -146,6 +151,33 @@ def unpack_nodes(data: bytes) -> np.ndarray:
     return np.cumsum(unpack_numbers(data))
 
 
+#: odd multiplier: its high bits spread packed nodes evenly
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Table:
+    """Values by node, found by hash: nodes sorted by their spread number, and where each stretch of
+    equal high bits starts.  A look-up is one jump and, for a few, steps to the next entries - no binary
+    search of the whole table.  Every node asked for must be there."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        spread = keys.astype(np.uint64) * SPREAD
+        order = np.argsort(spread)
+        self.spread, self.values = spread[order], values[order]
+        bits = max(1, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.start = np.searchsorted(self.spread >> self.shift, np.arange(1 << bits, dtype=np.uint64))
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        want = keys.astype(np.uint64) * SPREAD
+        at = self.start[want >> self.shift]
+        open_ = np.flatnonzero(self.spread[at] != want)
+        while len(open_):
+            at[open_] += 1
+            open_ = open_[self.spread[at[open_]] != want[open_]]
+        return self.values[at]
+
+
 def row_bytes(text: Column) -> Column:
     return F.octet_length(text_or_empty(text)).cast("long") + ROW_BYTES
 
@@ -216,7 +248,7 @@ def requests(rows: DataFrame, order: int, buckets: int) -> DataFrame:
 
 # ---------------------------------------------------------------------------------- corpus counts
 
-def answer_words(blocks: DataFrame) -> DataFrame:
+def answer_words(blocks: DataFrame, buckets: int) -> DataFrame:
     """Word blocks with the corpus counts; one row per bucket has its ``tokens`` and ``types``."""
     names, kinds = [*BLOCK_NAMES, "tokens", "types"], [*BLOCK_TYPES, pa.int64(), pa.int64()]
 
@@ -233,11 +265,11 @@ def answer_words(blocks: DataFrame) -> DataFrame:
                 *((0, 0) if i else (sum(seen), len(seen)))) for i, (own, r) in enumerate(zip(words, rows))]
         return pa.Table.from_batches([_batch(out, names, kinds)])
 
-    return (blocks.where("kind = 'w'").groupBy("bucket")
+    return (blocks.where("kind = 'w'").repartition(buckets, "bucket").groupBy("bucket")
             .applyInArrow(run, BLOCKS + ", tokens long, types long"))
 
 
-def node_counts(blocks: DataFrame) -> DataFrame:
+def node_counts(blocks: DataFrame, buckets: int) -> DataFrame:
     """(bucket, node, c): every node met, with its count in training documents (0: not seen)."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -245,7 +277,7 @@ def node_counts(blocks: DataFrame) -> DataFrame:
         return pa.table({"bucket": pa.array(np.full(len(keys), rows[0]["bucket"], np.int32)),
                          "node": pa.array(keys), "c": pa.array(counts)})
 
-    return (blocks.where("kind = 'n'").groupBy("bucket")
+    return (blocks.where("kind = 'n'").repartition(buckets, "bucket").groupBy("bucket")
             .applyInArrow(run, "bucket int, node long, c long"))
 
 
@@ -306,7 +338,7 @@ def log_probabilities(counts: DataFrame, order: int) -> DataFrame:
     return found.unionByName(rest)
 
 
-def answer_nodes(blocks: DataFrame, logs: DataFrame) -> DataFrame:
+def answer_nodes(blocks: DataFrame, logs: DataFrame, buckets: int) -> DataFrame:
     """Node blocks with the logarithms of their nodes' probabilities."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names, lp = right.column("node").to_numpy(), right.column("lp").to_numpy()
@@ -316,8 +348,8 @@ def answer_nodes(blocks: DataFrame, logs: DataFrame) -> DataFrame:
                 pack_numbers(lp[np.searchsorted(names, unpack_nodes(r["keys"]))])) for r in left.to_pylist()]
         return pa.Table.from_batches([_batch(out, BLOCK_NAMES, BLOCK_TYPES)])
 
-    return (blocks.where("kind = 'n'").groupBy("bucket")
-            .cogroup(logs.groupBy("bucket")).applyInArrow(run, BLOCKS))
+    return (blocks.where("kind = 'n'").repartition(buckets, "bucket").groupBy("bucket")
+            .cogroup(logs.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(run, BLOCKS))
 
 
 # ---------------------------------------------------------------------------------------- scoring
@@ -342,12 +374,12 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // chunk_bytes))
 
     blocks = stored(requests(rows, order, buckets), "ppm-blocks")
-    words = stored(answer_words(blocks), "ppm-words")
+    words = stored(answer_words(blocks, buckets), "ppm-words")
     tokens, types = words.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types"))).first()
     n_train, n_types = tokens + trained, types + (trained > 0)  # with the end token
-    counts = stored(node_counts(blocks), "ppm-counts")
+    counts = stored(node_counts(blocks, buckets), "ppm-counts")
     logs = log_probabilities(counts, order)
-    answers = words.drop("tokens", "types").unionByName(answer_nodes(blocks, logs))
+    answers = words.drop("tokens", "types").unionByName(answer_nodes(blocks, logs, buckets))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
@@ -358,9 +390,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
             else:
                 names.append(unpack_nodes(keys))
                 logs.append(unpack_numbers(vals, np.float64))
-        name, lp = np.concatenate(names), np.concatenate(logs)
-        by = np.argsort(name, kind="stable")
-        name, lp = name[by], lp[by]
+        lp = Table(np.concatenate(names), np.concatenate(logs))
         below = np.log10(n_train + 0.5 * (n_types + 1))
         out = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
         for text in texts_of(left):
@@ -373,7 +403,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
             out["n_tokens"].append(tokens)
             out["n_known"].append(hit)
             out["base_score"].append(base)
-            out["score"].append(sum(float(lp[np.searchsorted(name, p)].sum()) for p in nodes(data, order)))
+            out["score"].append(sum(float(lp[p].sum()) for p in nodes(data, order)))
         return pa.table({"id": left.column("id"), "held_out": left.column("held_out"),
                          "n_tokens": pa.array(out["n_tokens"], pa.int64()),
                          "n_known": pa.array(out["n_known"], pa.int64()),
@@ -382,7 +412,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
                          "score": pa.array(out["score"], pa.float64())})
 
     kind = rows.schema["id"].dataType.simpleString()
-    return (rows.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return (rows.repartition(buckets, "chunk").groupBy("chunk")
+            .cogroup(answers.repartition(buckets, "chunk").groupBy("chunk"))
             .applyInArrow(run, f"id {kind}, held_out boolean, n_tokens long, n_known long, "
                                "train_tokens long, base_score double, score double")
             .withColumnRenamed("id", id_col))

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from starmart.llm import ppm
@@ -138,3 +139,14 @@ def test_clashing_column_names(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, chunk long").selectExpr(
         "*", "doc_id as node", "text as locator", "chunk as held_out", "chunk as id", "chunk as row")
     assert ppm.scores(df, order=2).count() == 2
+
+
+def test_table_finds_every_key():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3, 1000, 70_000):
+        keys = np.unique(rng.integers(0, 1 << 54, n))
+        values = rng.normal(size=len(keys))
+        table = ppm.Table(keys, values)
+        asked = rng.integers(0, len(keys), 5000)
+        assert (table[keys[asked]] == values[asked]).all()
+    assert len(ppm.Table(np.zeros(0, np.int64), np.zeros(0))[np.zeros(0, np.int64)]) == 0
