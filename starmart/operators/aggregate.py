@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,7 +82,7 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (),
     ``stack`` turns the single wide row into one row per column.  Quantiles use
     ``percentile_approx``: its memory is bounded by ``accuracy`` whatever the data size, and the
     rank of the returned value is within about ``n / accuracy`` of the requested rank.
-    ``exact=True`` takes :func:`exact_quantiles` instead (a few passes for all columns together).
+    ``exact=True`` joins :func:`order_statistics` instead (exact, in the same lazy plan).
     ``digits`` rounds the floating statistics.
     """
     def r(c: Column) -> Column:
@@ -109,20 +108,21 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (),
             aggs.append(F.percentile_approx(x, list(quantiles), accuracy).alias(f"q{i}"))
     wide = df.agg(*aggs)
     q_names = [f"p{round(q * 100):02d}" for q in quantiles]
-    values = exact_quantiles(df, cols, quantiles) if exact and quantiles else {}
     rows = []
     for i, name in enumerate(cols):
         text = name.replace("\\", "\\\\").replace("'", "\\'")
-        parts = [f"'{text}'", f"c{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}"]
-        if exact:
-            parts += ["cast(null as double)" if v is None else f"cast('{v!r}' as double)"
-                      for v in values.get(name, [])]
-        else:
+        parts = [f"{i}", f"'{text}'", f"c{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}"]
+        if not exact:
             parts += [f"q{i}[{j}]" for j in range(len(quantiles))]
         rows.append(", ".join(parts))
-    names = ["column", "count", "mean", "stddev", "min", "max", *q_names]
-    stack = f"stack({len(cols)}, {', '.join(rows)}) as ({', '.join(names)})"
-    return wide.selectExpr(stack)
+    names = ["column", "count", "mean", "stddev", "min", "max"]
+    stacked = ["_i", *names, *([] if exact else q_names)]
+    table = wide.selectExpr(f"stack({len(cols)}, {', '.join(rows)}) as ({', '.join(stacked)})")
+    if exact and quantiles:
+        found = order_statistics(df, cols, quantiles).groupBy(F.col("c").alias("_i")).agg(
+            *[F.max(F.when(F.col("q") == j, F.col("value"))).alias(n) for j, n in enumerate(q_names)])
+        table = table.join(F.broadcast(found), "_i", "left")  # one row per column
+    return table.select(*names, *(q_names if not exact or quantiles else []))
 
 
 def _number(c: Column, dtype: T.DataType) -> Column:
@@ -132,101 +132,64 @@ def _number(c: Column, dtype: T.DataType) -> Column:
     return F.when(raw == 0, F.lit(0.0)).otherwise(raw)
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000,
-                   max_final: int = 10_000) -> float | None:
+def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 100_000) -> float | None:
     """:func:`exact_quantiles` for one quantile of one column."""
-    return exact_quantiles(df, [column], [q], accuracy, max_final)[column][0]
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], accuracy: int = 10_000,
-                    max_final: int = 10_000) -> dict[str, list[float | None]]:
-    """Exact discrete quantiles of several columns: per column the values at rank
-    ``ceil(q * n)`` (1-based) of its non-null, non-NaN values (the ``percentile_approx`` /
-    ``quantile_disc`` convention).
-
-    Distributed bracketing of all (column, quantile) pairs together, one aggregate per pass: a
-    sketch proposes a bracket around each rank; the next pass counts the rows below, at and
-    between its ends and proposes the next bracket from the rows between.  A rank that falls on an
-    end is answered by it (a hot value); a bracket with at most ``max_final`` rows between its ends
-    is answered from them in the last pass, which gathers no more than these verified few; otherwise
-    the bracket shrinks to the rows strictly between, so every pass makes progress at any size.
-    Only scalars reach the driver.
+    return exact_quantiles(df, [column], [q], accuracy)[column][0]
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], accuracy: int = 100_000
+                    ) -> dict[str, list[float | None]]:
+    """:func:`order_statistics` as a dict: one number per column and quantile reaches the driver."""
+    found = {(r.c, r.q): r.value for r in order_statistics(df, cols, qs, accuracy).collect()}
+    return {c: [found.get((i, j)) for j in range(len(qs))] for i, c in enumerate(cols)}
+
+
+def order_statistics(df: DataFrame, cols: Sequence[str], qs: Sequence[float], accuracy: int = 100_000
+                     ) -> DataFrame:
+    """Exact discrete quantiles of several columns, lazily: ``(c, q, value)`` with the positions of
+    column and quantile, the value at rank ``ceil(q * n)`` (1-based) of the column's non-null, non-NaN
+    values (the ``percentile_approx`` / ``quantile_disc`` convention).  No row for a column without any.
+
+    Selection by range partitioning, all columns and quantiles in one plan and three scans:
+
+    1. a sketch per column gives splitters on both sides of every rank asked for;
+    2. the rows are counted per range between two splitters (a few numbers, combined map-side), prefix
+       sums over the ranges tell which one owns each rank, and the rank inside it;
+    3. only the rows of the owning ranges - about ``2 / accuracy`` of all per quantile - are shuffled,
+       counted per value before that, so a hot value is one row; a running sum picks the rank.
+
+    The splitters decide how much is shuffled, never the result: the ranges cover everything, and their
+    own ends are carried from step 2 to step 3.  Broadcast are one row per column and one per rank.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    xs = {c: F.when(~F.isnan(_number(col(c), types[c])), _number(col(c), types[c])) for c in cols}
-    pairs = [(c, q) for c in cols for q in qs]
-    step = 4.0 / accuracy
-    first = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[_ends(xs[c], q, step, accuracy).alias(f"e{i}") for i, (c, q) in enumerate(pairs)]).first()
-    count = {c: first[f"n{i}"] for i, c in enumerate(cols)}
-    found: dict[tuple, float | None] = {p: None for p in pairs}
-    rank = {(c, q): max(1, math.ceil(q * count[c])) for c, q in pairs}
-    # per pair: the open interval the value lies in (None: no end), the rows up to its lower end,
-    # the proposed bracket
-    state = {p: (None, None, 0, first[f"e{i}"]) for i, p in enumerate(pairs) if count[p[0]]}
-    last: dict[tuple, tuple] = {}
-    while state:
-        todo, aggs = list(state.items()), []
-        for i, ((c, _), (lo, hi, _, (a, b))) in enumerate(todo):
-            x = _between(xs[c], lo, hi)
-            aggs += [F.count_if(x < a).alias(f"b{i}"), F.count_if(x == a).alias(f"a{i}"),
-                     F.count_if((x > a) & (x < b)).alias(f"m{i}"), F.count_if(x == b).alias(f"h{i}"),
-                     F.count_if(x > b).alias(f"u{i}"),
-                     _ends(_between(x, a, b), None, step, accuracy).alias(f"e{i}")]
-        row, state = df.agg(*aggs).first(), {}
-        for i, (p, (lo, hi, below, (a, b))) in enumerate(todo):
-            k = rank[p] - below  # the rank among the rows of the open interval
-            n_below, at, mid = row[f"b{i}"], row[f"a{i}"], row[f"m{i}"]
-            high_n = row[f"h{i}"] if b != a else 0
-            if k <= n_below:  # the sketch proposed too high
-                interval, inside, start = (lo, a), n_below, below
-            elif k <= n_below + at:
-                found[p] = a
-                continue
-            elif k <= n_below + at + mid:
-                interval, inside, start = (a, b), mid, below + n_below + at
-            elif k <= n_below + at + mid + high_n:
-                found[p] = b
-                continue
-            else:
-                interval, inside, start = (b, hi), row[f"u{i}"], below + n_below + at + mid + high_n
-            if inside <= max_final:
-                last[p] = (*interval, rank[p] - start)
-            elif interval == (a, b):
-                ends = row[f"e{i}"]
-                r = (rank[p] - start) / inside
-                state[p] = (*interval, start, ends[_nearest(r)])
-            else:  # rare: propose anew within the interval, over the whole of it
-                r = (rank[p] - start) / inside
-                state[p] = (*interval, start, df.agg(_ends(
-                    _between(xs[p[0]], *interval), r, step, accuracy)).first()[0])
-    if last:
-        picks = [F.get(F.sort_array(F.collect_list(_between(xs[c], lo, hi))), k - 1)
-                 for (c, _), (lo, hi, k) in last.items()]
-        found.update(zip(last, df.agg(*[x.alias(f"v{i}") for i, x in enumerate(picks)]).first()))
-    return {c: [found[(c, q)] for q in qs] for c in cols}
-
-
-def _between(x: Column, lo: float | None, hi: float | None) -> Column:
-    """The values strictly between the ends."""
-    for end in (x > lo if lo is not None else None, x < hi if hi is not None else None):
-        if end is not None:
-            x = F.when(end, x)
-    return x
-
-
-#: ranks at which the next bracket is proposed before its target rank is known
-GRID = 64
-
-
-def _nearest(r: float) -> int:
-    return min(GRID - 1, max(0, int(r * GRID)))
-
-
-def _ends(x: Column, q: float | None, step: float, accuracy: int) -> Column:
-    """Bracket ends around rank share ``q``; without one, the ends of every cell of the grid."""
-    if q is not None:
-        return F.percentile_approx(x, [max(0.0, q - step), min(1.0, q + step)], accuracy)
-    cells = F.percentile_approx(x, [k / GRID for k in range(GRID + 1)], accuracy)
-    return F.transform(F.sequence(F.lit(0), F.lit(GRID - 1)),
-                       lambda k: F.array(F.get(cells, k), F.get(cells, k + 1)))
+    xs = [F.when(~F.isnan(_number(col(c), types[c])), _number(col(c), types[c])) for c in cols]
+    step = 1.0 / accuracy
+    near = sorted({min(1.0, max(0.0, q + d)) for q in qs for d in (-step, step)})
+    sketch = df.agg(*[F.percentile_approx(x, near, accuracy).alias(f"e{i}") for i, x in enumerate(xs)])
+    splits = sketch.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.array_distinct(f"e{i}").alias("s")) for i in range(len(cols))])).alias("x")
+    ).select("x.c", "x.s").where("s is not null")
+    values = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), x.alias("v")) for i, x in enumerate(xs)])).alias("x")
+    ).select("x.c", "x.v").where("v is not null")
+
+    below = F.size(F.filter("s", lambda e: e < F.col("v")))
+    counts = (values.join(F.broadcast(splits), "c")
+              .groupBy("c", F.get("s", below - 1).alias("lo"), F.get("s", below).alias("hi"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    so_far = F.sum("n").over(Window.partitionBy("c").orderBy(F.col("lo").asc_nulls_first()))
+    total = F.sum("n").over(Window.partitionBy("c"))
+    asked = F.array(*[F.struct(F.lit(j).alias("q"), F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("total")))
+                               .alias("rank")) for j, q in enumerate(qs)])
+    owners = (counts.select("c", "lo", "hi", (so_far - F.col("n")).alias("before"), so_far.alias("until"),
+                            total.alias("total"))
+              .select("*", F.explode(asked).alias("a"))
+              .where("a.rank > before and a.rank <= until")
+              .select("c", F.col("a.q").alias("q"), "lo", "hi", (F.col("a.rank") - F.col("before")).alias("k")))
+
+    at = (F.col("lo").isNull() | (F.col("v") > F.col("lo"))) & (F.col("hi").isNull() | (F.col("v") <= F.col("hi")))
+    inside = (values.join(F.broadcast(owners.withColumnRenamed("c", "oc")), (F.col("c") == F.col("oc")) & at)
+              .groupBy("c", "q", "k", "v").agg(F.count(F.lit(1)).alias("n")))
+    run = F.sum("n").over(Window.partitionBy("c", "q").orderBy("v"))
+    return (inside.select("c", "q", "v", "n", "k", run.alias("until"))
+            .where("k > until - n and k <= until").select("c", "q", F.col("v").alias("value")))

@@ -197,8 +197,8 @@ def test_safe_corr_is_null_where_undefined(spark):
     assert got["ok"] == (3, round(c, 6))
 
 
-@pytest.mark.parametrize("max_final", [10, 100_000])
-def test_exact_quantile_matches_brute_force(spark, max_final):
+@pytest.mark.parametrize("accuracy", [2, 200, 100_000])  # splitters far off and close by
+def test_exact_quantile_matches_brute_force(spark, accuracy):
     import random
     rnd = random.Random(7)
     vals = [round(rnd.uniform(0, 1000), 2) for _ in range(3000)] + [500.0] * 1500 + [None] * 5
@@ -206,12 +206,28 @@ def test_exact_quantile_matches_brute_force(spark, max_final):
     s = sorted(v for v in vals if v is not None)
     for q in (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0):
         k = max(1, math.ceil(q * len(s)))
-        assert AG.exact_quantile(df, "x", q, accuracy=200, max_final=max_final) == s[k - 1], q
+        assert AG.exact_quantile(df, "x", q, accuracy=accuracy) == s[k - 1], q
     hot = spark.createDataFrame([(7.0,)] * 1000 + [(1.0,), (9.0,)], "x double")
-    assert AG.exact_quantile(hot, "x", 0.5, accuracy=100, max_final=10) == 7.0
+    assert AG.exact_quantile(hot, "x", 0.5, accuracy=accuracy) == 7.0
     assert AG.exact_quantile(spark.createDataFrame([(None,)], "x double"), "x", 0.5) is None
 
 
+def test_order_statistics_of_several_columns_at_once(spark):
+    import random
+    rnd = random.Random(8)
+    rows = [(rnd.gauss(0, 5), 3 if i % 3 == 0 else rnd.randint(-50, 50), None, float("nan") if i % 10 == 0 else
+             rnd.choice([-0.0, 0.0, 1.5])) for i in range(4000)]  # one value in a third of the rows, ties, gaps
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double").repartition(7)
+    qs = [0.0, 0.01, 0.33, 0.5, 0.9, 1.0]
+    for accuracy in (10, 1000):
+        got = AG.exact_quantiles(df, ["a", "b", "c", "d"], qs, accuracy)
+        for i, name in enumerate("abcd"):
+            own = sorted(r[i] for r in rows if r[i] is not None and r[i] == r[i])
+            want = [float(own[max(1, math.ceil(q * len(own))) - 1]) if own else None for q in qs]
+            assert got[name] == want, name
+    assert AG.order_statistics(df.limit(0), ["a", "b"], [0.5]).collect() == []
+
+
 def test_profile_of_text_columns(spark):
     df = spark.createDataFrame([("a", "10", 1), ("b", "x", 2), (None, "7", None)], "s string, m string, n int")
     got = {r.column: r for r in AG.profile(df, ["s", "m", "n"], quantiles=[0.5], exact=True).collect()}

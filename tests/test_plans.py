@@ -109,12 +109,17 @@ def test_temperature_tables_from_one_partial_aggregate(spark):
         assert "partial_sum" in _plan(df)
 
 
-def test_exact_quantiles_of_all_columns_take_few_jobs(spark):
+def test_exact_quantiles_are_one_lazy_plan_that_shuffles_owning_ranges_only(spark):
     df = spark.read.parquet(f"{SF}/lineitem.parquet")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    # a pass over the table is up to two jobs under AQE: its stages are submitted one by one
-    jobs = _jobs(spark, lambda: AG.profile(df, cols, quantiles=[0.25, 0.5, 0.75], exact=True))
-    assert jobs <= 8
+    plans = []
+    assert _jobs(spark, lambda: plans.append(AG.profile(df, cols, quantiles=[0.25, 0.5, 0.75], exact=True))) == 0
+    # the statistics, the sketch, the ranges, the owning ranges
+    assert _plan(plans[0]).count("Scan parquet") == 4
+    # AQE submits each broadcast and each shuffle stage by itself
+    assert _jobs(spark, plans[0].collect) <= 12
+    picked = _plan(AG.order_statistics(df, cols, [0.25, 0.5, 0.75]))
+    assert "partial_count" in picked and "rangepartitioning" not in picked and "SortMergeJoin" not in picked
 
 
 def test_star_enrich_shuffles_line_items_once(spark):
