@@ -26,7 +26,8 @@ from ..session import scratch_path
 from ..sources import labels as LB
 from ..sources.arrivals import read_arrivals
 from ..sources.delimited import read_delimited
-from ..sources.parquet import exists, publish, remove, write_table
+from ..sources.parquet import exists, publish, recover, remove, write_table
+from ..sources.versions import Version, Versions
 
 HOME_COUNTRY = "United States"
 PLEASURE_VISA = 2.0
@@ -267,7 +268,7 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, home: str = HOME_CO
     The tables are first written to a staging folder and checked there (rows, keys, types,
     completeness; the rows of the report are appended to ``report``): a failed check raises and
     leaves the old tables as they are (``strict=False`` only reports).  Then each table takes the old
-    one's place by a rename.
+    one's place by a rename, one after the other; :func:`build_version` publishes all of them at once.
 
     ``dynamic=True`` (monthly refresh) replaces only the months present in this run.  The fact is
     kept by the recorded month, days by their own; so the date dimension is never replaced but gets
@@ -296,6 +297,7 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, home: str = HOME_CO
         report.extend(rows)
     for name, path in paths.items():
         parts = TB.STAR[name][2]
+        recover(spark, path)
         if not (dynamic and parts and exists(spark, path)):
             publish(spark, staged[name], path)
         elif name == DATES:
@@ -307,6 +309,43 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, home: str = HOME_CO
     return paths
 
 
+def build_version(spark: SparkSession, inputs: Inputs, base: str, home: str = HOME_COUNTRY,
+                  place_mode: str = "reference", dynamic: bool = False, report: list | None = None,
+                  strict: bool = True) -> Version:
+    """Build the star as the next version under ``base``: all eight tables appear at once, readers of the
+    old version keep it, and a job that dies or fails a check publishes nothing.
+
+    ``dynamic=True`` (monthly refresh) replaces the months met in this run - the others are shared with
+    the old version, neither read nor copied - and adds the days that the date dimension lacks.
+    """
+    versions = Versions(spark, base)
+    sums_path = scratch_path(spark, "temperature-sums")
+    temperature_sums(read_delimited(spark, inputs.temperatures, TB.TEMPERATURE_RAW, sep=",")).write.parquet(sums_path)
+    star = build_star(spark, inputs, home, place_mode, spark.read.parquet(sums_path))
+    change = versions.change()
+    staged = {name: f"{versions.base}/{change.write(name, df, TB.STAR[name][2])}" for name, df in star.items()}
+    new = read_star(spark, staged)
+    checked = check_tables(star_checks(spark, as_written(spark, staged, new), inputs))
+    rows = require_ok(checked) if strict else checked.collect()
+    if report is not None:
+        report.extend(rows)
+    for name, path in staged.items():
+        parts, root = TB.STAR[name][2], path[len(versions.base) + 1:]
+        if not (dynamic and parts and name in change.tables):
+            change.use(name, root, parts)
+        elif name == DATES:
+            known = change.read(name, TB.STAR[name][0]).select("arrival_date")
+            change.append(name, new[name].join(known, "arrival_date", "left_anti"), parts)
+        else:
+            change.use(name, root, parts, keep_others=True)
+    return change.commit()
+
+
+def read_version(version: Version) -> dict[str, DataFrame]:
+    """The eight tables of a published version with their declared schemas."""
+    return {name: version.read(name, TB.STAR[name][0]) for name in TB.STAR if name in version.tables}
+
+
 def read_star(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """Read written tables back with their declared schemas (partition columns last), so an
     empty table still has its columns."""

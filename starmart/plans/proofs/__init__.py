@@ -10,6 +10,7 @@ folder.  Importing the submodules registers their queries, in this order.
 from . import core  # noqa: F401  (registration, in this order)
 from . import io  # noqa: F401
 from . import builds  # noqa: F401
+from . import versions  # noqa: F401
 from . import analyses  # noqa: F401
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 

@@ -39,13 +39,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def publish(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a staged folder in the place of ``target`` by renaming; readers see the old table or the
-    new one.  (A store without renames copies; the old table then stays until the copy is done.)"""
+    """Put a staged folder in the place of ``target`` by renaming it; between two renames there is no
+    table under its name, but the old one stands aside until the new one is in place, and the next
+    :func:`publish` or :func:`recover` puts it back after a crash.  (A store without renames copies; the
+    old table then stays until the copy is done.)  Readers who must never miss a table read versions
+    (:mod:`starmart.sources.versions`)."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     new, old, aside = path(staged), path(target), path(f"{target}.replaced")
     fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(old.getParent())
-    if fs.exists(aside):
+    recover(spark, target)
+    if fs.exists(aside):  # beside a whole table: what a crash after the second rename left
         fs.delete(aside, True)
     if fs.exists(old) and not fs.rename(old, aside):
         raise OSError(f"cannot move {target} aside")
@@ -54,6 +58,18 @@ def publish(spark: SparkSession, staged: str, target: str) -> None:
     fs.delete(aside, True)
 
 
+def recover(spark: SparkSession, target: str) -> bool:
+    """Put the old table back if a crash left it aside and no new one in its place."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old, aside = path(target), path(f"{target}.replaced")
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(old) or not fs.exists(aside):
+        return False
+    if not fs.rename(aside, old):
+        raise OSError(f"cannot put {target}.replaced back")
+    return True
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 WRITES = {"parquet_roundtrip", "partitioned_roundtrip", "csv_roundtrip", "csv_semicolon_roundtrip",
           "typed_scan", "incremental_overwrite", "incremental_stream", "place_dim",
           "place_dim_strict", "country_codes", "travel_modes", "star_build", "incremental_star",
-          "csv_mixed_headers", "arrivals_csv", "labels_many_pairs"} | {
+          "csv_mixed_headers", "arrivals_csv", "labels_many_pairs", "star_versions",
+          "incremental_merge"} | {
               n for n in proofs.QUERIES if n.endswith("_star")}
 
 
