@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ...operators import rejects as RJ
 from ...operators.clean import col
 from ...session import scratch_path
 from ...sources import labels as LB
 from ...sources.arrivals import read_arrivals
-from ...sources.delimited import read_delimited, write_delimited
+from ...sources.delimited import read_delimited, read_lines, write_delimited
 from ...sources.parquet import read_table, write_table
 from ...streaming.refresh import refresh_from_landing
 from .. import adapters as AD
@@ -233,3 +235,54 @@ def labels_many_pairs(spark, sf):
                  F.concat_ws("\r\n", F.sort_array(F.collect_list(lines))), F.lit("\r\n;\r\n")).alias("value"))
     blocks.select("value").write.text(path)
     return LB.code_list(LB.read_formats(spark, path), LB.PORT_FORMAT)
+
+
+#: the temperature lines of the reject proof: which records are spoilt, and how (fixed parameters)
+_SPOILT = {"dt": 19, "AverageTemperature": 13, "City": 17, "surplus": 23}
+
+
+@query("reject_report", """
+with e as (select event_id, value,
+    event_id % 23 = 0 as malformed, event_id % 17 = 0 as no_city, event_id % 13 = 0 as no_number,
+    event_id % 19 = 0 as no_date, abs(round(value * 1000, 0)) >= 99999.5 as too_large from events),
+c as (select count(*) as read, count(*) filter (where malformed) as m,
+    count(*) filter (where not malformed and no_city) as city,
+    count(*) filter (where not malformed and no_date) as day,
+    count(*) filter (where not malformed and (no_number or too_large)) as temp,
+    count(*) filter (where malformed or no_city or no_date or no_number or too_large) as rejected from e)
+select unnest(['read', 'kept', 'rejected', 'malformed row', 'dt: missing', 'dt: not date',
+               'average_temperature: missing', 'average_temperature: not decimal(5,0)', 'city: missing',
+               'city: not string']) as what,
+       unnest([read, read - rejected, rejected, m, 0, day, 0, temp, city, 0]) as observed,
+       unnest([read, read - rejected, rejected, m, 0, day, 0, temp, city, 0]) as written from c
+""")
+def reject_report(spark, sf):
+    """Temperature lines rendered from the events, some spoilt: what the one pass observed, beside what
+    the written tables hold."""
+    e = _t(spark, sf, "events")
+    spoilt = {k: F.col("event_id") % n == 0 for k, n in _SPOILT.items()}
+    line = F.concat_ws(
+        ",", F.when(spoilt["dt"], F.lit("31/31/2024")).otherwise(F.date_format("ts", "yyyy-MM-dd")),
+        F.when(spoilt["AverageTemperature"], F.lit("n/a"))
+        .otherwise(F.round(F.col("value") * 1000, 0).cast("decimal(20,1)").cast("string")),
+        F.when(spoilt["City"], F.lit("")).otherwise(F.concat(F.lit("C"), F.col("user_id").cast("string"))),
+        F.when(spoilt["surplus"], F.lit("one,more")).otherwise(F.lit("home")))
+    path = scratch_path(spark, "spoilt-lines")
+    e.select(line.alias("value")).write.text(path)
+    raw = read_lines(spark, path, ["dt", "AverageTemperature", "City", "Country"])
+    schema = T.StructType([T.StructField("dt", T.DateType()), T.StructField("average_temperature", T.DecimalType(5, 0)),
+                           T.StructField("city", T.StringType())])
+    reasons = RJ.reasons_of(schema, schema.names)
+    out = scratch_path(spark, "judged-lines")
+    counts = RJ.write_judged(RJ.judged(raw, schema, schema.names, {
+        "average_temperature": "AverageTemperature", "city": "City"}, "_corrupt_record"), out, reasons)
+    rejected = RJ.read_rejected(spark, out, raw.schema)
+    kept_n = RJ.read_kept(spark, out, schema).agg(F.count(F.lit(1)).alias("n")).select(F.lit(RJ.KEPT).alias("what"), "n")
+    rejected_n = rejected.agg(F.count(F.lit(1)).alias("n")).select(F.lit(RJ.REJECTED).alias("what"), "n")
+    by_outcome = kept_n.unionByName(rejected_n)
+    written = (by_outcome.unionByName(by_outcome.agg(F.sum("n").alias("n")).select(F.lit("read").alias("what"), "n"))
+               .unionByName(rejected.select(F.explode("reasons").alias("what")).groupBy("what")
+                            .agg(F.count(F.lit(1)).alias("n"))))
+    observed = spark.createDataFrame(list(counts.items()), "what string, observed long")
+    return (observed.join(written, "what", "left")
+            .select("what", "observed", F.coalesce("n", F.lit(0).cast("long")).alias("written")))

@@ -36,6 +36,8 @@ def _read_one(spark: SparkSession, path: str, schema: T.StructType, sep: str, he
     text = (reader.option("header", True).option("inferSchema", False)
             .option("enforceSchema", False).csv(path))
     found = {c.lower(): c for c in text.columns}
+    if len(found) < len(text.columns):
+        raise ValueError(f"{path}: columns that differ in case only: {text.columns}")
     missing = [f.name for f in schema.fields if f.name.lower() not in found]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
@@ -43,6 +45,16 @@ def _read_one(spark: SparkSession, path: str, schema: T.StructType, sep: str, he
                          for f in schema.fields])
 
 
+def read_lines(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], sep: str = ",",
+               header: bool = False, corrupt: str = "_corrupt_record") -> DataFrame:
+    """Delimited text as text, nothing cast and nothing lost: the ``columns`` by position, and ``corrupt``
+    with the whole line where it has more or fewer columns (or an unclosed quote), else null."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, corrupt]])
+    paths = [path] if isinstance(path, str) else list(path)
+    return (spark.read.option("sep", sep).option("mode", "PERMISSIVE").option("header", header)
+            .option("columnNameOfCorruptRecord", corrupt).schema(schema).csv(paths))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
                     mode: str = "overwrite") -> None:
     """Write CSV text, one file per partition (the job commit is atomic)."""

@@ -16,7 +16,7 @@ WRITES = {"parquet_roundtrip", "partitioned_roundtrip", "csv_roundtrip", "csv_se
           "typed_scan", "incremental_overwrite", "incremental_stream", "place_dim",
           "place_dim_strict", "country_codes", "travel_modes", "star_build", "incremental_star",
           "csv_mixed_headers", "arrivals_csv", "labels_many_pairs", "star_versions",
-          "incremental_merge"} | {
+          "incremental_merge", "trend_moving", "trend_slope", "trend_pruned", "reject_report"} | {
               n for n in proofs.QUERIES if n.endswith("_star")}
 
 
@@ -136,3 +136,20 @@ def test_star_enrich_shuffles_line_items_once(spark):
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
     assert plan.count("SortMergeJoin") == 3
     assert plan.split("Scan parquet")[0].count("l_orderkey") and plan.count("Exchange hashpartitioning(l_orderkey") == 2
+
+
+def test_months_are_pruned_through_the_date_dimension(spark):
+    """Only the folders of the wanted months are scanned, chosen when the dimension has run."""
+    df = proofs.QUERIES["trend_pruned"](spark, SF)
+    assert "SubqueryAdaptiveBroadcast dynamicpruning" in _plan(df)
+    df.collect()
+    scan = next(x for x in _plan(df).split("Initial Plan")[0].splitlines() if "travel_mode_code" in x and "FileScan" in x)
+    assert "isnotnull(arrival_month" in scan and "dynamicpru" in scan.split("PartitionFilters")[1]
+
+
+def test_weekly_series_counts_before_it_shuffles(spark):
+    from starmart.plans import trends as TR
+
+    df = spark.read.parquet(f"{SF}/lineitem.parquet")
+    plan = _plan(TR.trend_moving(df, "l_shipdate", ["l_returnflag"]))
+    assert "partial_count" in plan and "Join" not in plan
