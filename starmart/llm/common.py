@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -133,3 +133,22 @@ def small_side(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
     """``df`` to be broadcast if its measured size is within ``limit`` bytes; else as it is, and
     the join shuffles."""
     return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def bounded_sample(rows: DataFrame, seed: str, max_bytes: int) -> DataFrame:
+    """Of drawn (kind, id, text) rows one per kind and id, and of these, in the order of a hash of the id,
+    as many as fit ``max_bytes`` of text per kind.
+
+    However often an id is repeated and however long its texts are, the sample is bounded.  Of several
+    rows of an id the shortest text counts (of equally long ones the one with the smallest hash); null
+    texts are empty, null ids are one id.  Sizes and hashes are looked at first, map-side combined, so
+    only the texts of the sample are shuffled.
+    """
+    rows = rows.select("kind", "id", text_or_empty(F.col("text")).alias("text"))
+    mark = F.struct(F.octet_length("text").cast("long").alias("size"), F.xxhash64("text").alias("hash"))
+    firsts = rows.groupBy("kind", "id").agg(F.min(mark).alias("mark"))
+    order = Window.partitionBy("kind").orderBy(uniform_hash(seed, F.col("id")), "id")
+    taken = firsts.withColumn("used", F.sum(F.col("mark.size") + 64).over(order)).where(F.col("used") <= max_bytes)
+    taken = taken.select(F.col("kind").alias("k"), F.col("id").alias("i"), "mark")
+    same = F.col("kind").eqNullSafe(F.col("k")) & F.col("id").eqNullSafe(F.col("i")) & (mark == F.col("mark"))
+    return rows.join(small_side(taken), same).groupBy("kind", "id").agg(F.min("text").alias("text"))

@@ -10,6 +10,7 @@ text itself, so a colliding digest never drops a row.  Only DataFrame functions
 Defined results: a null text counts as empty.  Of equal texts the row with the largest id stays
 (null ids are smallest); among repeated rows of that id, the one with the largest locator, so
 exactly one row of a group stays.  Extra columns, of whatever name, are carried along untouched.
+Texts of any length are compared whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations

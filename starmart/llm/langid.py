@@ -4,14 +4,18 @@ A text is the vector of its byte trigrams (ASCII case folded, runs of anything b
 one space), hashed to a fixed number of dimensions, with logarithmic counts times inverse document
 frequency, scaled to length one.  Document frequencies are counted over all training documents.
 Each language has several centroids, found by spherical k-means, one task per language, on at most
-``max_rows`` of its training documents picked by a hash of the id.  A text gets the language of the
+``max_rows`` of its training documents (one row per id) picked by a hash of the id; their trigram counts,
+not their texts, meet in that task.  A text gets the language of the
 centroid with the largest cosine.
 
 Distance-based rejection: a text whose distance to its centroid (1 - cosine) is beyond the
 language's limit - the ``reject_quantile`` quantile over its own training sample - is ``rejected``;
 its ``lang_pred`` still names the nearest language.  A null text and a text without a letter have
 ``lang_pred`` ``und``, score 0 and count as rejected.  Null ``lang`` rows teach nothing; without any
-training row every text is ``und``.
+training row every text is ``und``.  Of centroids equally near the first counts, languages in the order of
+their names.  Rows that repeat an id are answered each and teach the centroids once; texts of any length
+are read whole; an empty table gives an empty result; columns other than those named are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, quoted, split_remainder, uniform_hash
+from .common import (bounded_sample, map_batches, quoted, small_side, split_remainder, stored, texts_of,
+                     uniform_hash)
 
 DIMENSIONS = 4096
 #: ASCII letters folded, every other ASCII byte a space, bytes of longer characters kept
@@ -99,8 +104,12 @@ class Model:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         per_language: int = 3, max_rows: int = 2000, reject_quantile: float = 0.999, mod: int = 5,
-        held: int = 0) -> Model:
-    """Learn from the rows of the training split with a language and a letter in the text."""
+        held: int = 0, max_bytes: int = 64 << 20) -> Model:
+    """Learn from the rows of the training split with a language and a letter in the text.
+
+    Centroids come from at most about ``max_rows`` ids and ``max_bytes`` of text per language; the model
+    has ``per_language`` centroids of 4096 floats per value of the language column.
+    """
     rows = (docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"),
                         F.col(quoted(lang_col)).cast("string").alias("lang"))
             .where((split_remainder(F.col("id"), mod) != held) & F.col("lang").isNotNull()
@@ -124,17 +133,28 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     df[summed["slot"].to_numpy(int)] = summed["df"].to_numpy(float)
     idf = np.log((1 + n) / (1 + df)) + 1e-3
 
-    per = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    share = F.create_map(*[x for k, v in sorted(per.items()) for x in (F.lit(k), F.lit(max_rows / v))]) \
-        if per else F.create_map().cast("map<string,double>")
-    sample = rows.where(uniform_hash("language", F.col("id")) < share[F.col("lang")])
+    per = rows.groupBy("lang").count()  # joined, however many values the column has
+    drawn = rows.join(small_side(stored(per, "language-counts")), "lang").where(
+        uniform_hash("language", F.col("id")) < F.lit(float(max_rows)) / F.col("count"))
+    sample = bounded_sample(drawn.select(F.col("lang").alias("kind"), "id", "text"), "language-bytes", max_bytes)
+
+    def sparse(batch: pa.RecordBatch) -> dict:
+        texts = [t if LETTER.search(t) else "" for t in texts_of(batch)]
+        found = [counts(t) for t in texts]
+        slots = [np.flatnonzero(f) if t else np.zeros(0, np.int64) for t, f in zip(texts, found)]
+        return {"lang": batch.column("kind"), "slots": [s.tolist() for s in slots],
+                "n": [f[s].tolist() for f, s in zip(found, slots)]}
 
     def cluster(table: pa.Table) -> pa.Table:
-        texts = sorted(t for t in table.column("text").to_pylist() if LETTER.search(t))
-        if not texts:
+        rows = sorted((tuple(s), tuple(n)) for s, n in zip(table.column("slots").to_pylist(),
+                                                           table.column("n").to_pylist()) if s)
+        if not rows:
             return pa.table({"lang": pa.array([], pa.string()), "centre": pa.array([], pa.list_(pa.float32())),
                              "limit": pa.array([], pa.float64())})
-        x = vector(np.stack([counts(t) for t in texts]), idf)
+        x = np.zeros((len(rows), DIMENSIONS), np.float32)
+        for i, (slots, n) in enumerate(rows):
+            x[i, list(slots)] = np.log1p(n) * idf[list(slots)]
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
         c = spherical_kmeans(x, per_language)
         limit = float(np.quantile(1 - np.max(x @ c.T, axis=1), reject_quantile))
         lang = table.column("lang")[0].as_py()
@@ -142,7 +162,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                          "centre": pa.array(list(c), pa.list_(pa.float32())),
                          "limit": pa.array([limit] * len(c), pa.float64())})
 
-    found = (sample.select("lang", "text").groupBy("lang")
+    vectors = map_batches(sample, sparse, "lang string, slots array<int>, n array<long>")
+    found = (vectors.groupBy("lang")
              .applyInArrow(cluster, "lang string, centre array<float>, limit double").toPandas())
     found = found.sort_values("lang", kind="stable")
     centres = np.array(found["centre"].tolist(), np.float32).reshape(-1, DIMENSIONS)

@@ -15,7 +15,9 @@ Blank lines are neither kept nor lost.  A text is rejected if the kept lines hol
 
 Base counts per text: words, their characters, symbols, lines equal to an earlier one, and words in
 5-word windows that occur twice or more.  Defined results: a null or empty text has no words and is
-rejected.  Long texts are processed whole.
+rejected.  Texts of any length are processed whole; repeated rows are judged each, alike; a share that
+just meets a limit passes; an empty table gives an empty result; columns other than the id and the text
+are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -43,7 +45,14 @@ BOILERPLATE = re.compile("|".join((
     r"licen[sc]ed under", r"all rights reserved", r"terms of (use|service)", r"privacy policy",
     r"accept (all )?cookies", r"we use cookies", r"enable javascript", r"javascript is (disabled|required)",
     r"(log|sign) (in|up|out)\b", r"subscribe to", r"click here", r"read more", r"share (this|on)\b",
-    r"powered by", r"lorem ipsum", r"copyright (©|\(c\)|\d)", r"© ?\d{4}")), re.IGNORECASE | re.ASCII)
+    r"powered by", r"lorem ipsum", r"copyright (©|\(c\)|\d)", r"© ?\d{4}",
+    # German, French, Spanish
+    r"alle rechte vorbehalten", r"lizenziert unter", r"nutzungsbedingungen", r"datenschutzerkl", r"cookies? akzeptieren",
+    r"jetzt anmelden", r"hier klicken", r"weiterlesen", r"newsletter abonnieren",
+    r"tous droits r", r"sous licence", r"conditions d'utilisation", r"politique de confidentialit", r"accepter les cookies",
+    r"cliquez ici", r"lire la suite", r"se connecter", r"abonnez-vous",
+    r"todos los derechos reservados", r"bajo licencia", r"condiciones de uso", r"de privacidad", r"aceptar (las )?cookies",
+    r"haga clic", r"leer m.s", r"iniciar sesi", r"suscr.bete")), re.IGNORECASE | re.ASCII)
 
 
 @dataclass(frozen=True)

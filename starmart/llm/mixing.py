@@ -14,8 +14,9 @@ over the sources are computed per range partition plus a prefix over the partiti
 very long list of sources is never gathered in one task.
 
 Defined results: a null text has size 0; a null source is a source of its own and comes last;
-repeated rows of one id are decided alike; a source of size 0 has target 0.  No Python runs on the
-executors.
+repeated rows of one id are decided alike; a source of size 0 has target 0; of seeds that come equally
+near the target the first counts; texts of any length are counted whole; an empty table gives an empty
+result; extra columns, of whatever name, are carried along.  No Python runs on the executors.
 """
 
 from __future__ import annotations

@@ -161,12 +161,14 @@ class Table:
     search of the whole table.  Every node asked for must be there."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        spread = keys.astype(np.uint64) * SPREAD
-        order = np.argsort(spread)
-        self.spread, self.values = spread[order], values[order]
+        self.spread = keys.astype(np.uint64) * SPREAD
+        order = np.argsort(self.spread)
+        self.spread, self.values = self.spread[order], values[order]
+        del order
         bits = max(1, int(len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.start = np.searchsorted(self.spread >> self.shift, np.arange(1 << bits, dtype=np.uint64))
+        self.start = np.searchsorted(self.spread >> self.shift,
+                                     np.arange(1 << bits, dtype=np.uint64)).astype(np.int32)
 
     def __getitem__(self, keys: np.ndarray) -> np.ndarray:
         want = keys.astype(np.uint64) * SPREAD
@@ -390,7 +392,10 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
             else:
                 names.append(unpack_nodes(keys))
                 logs.append(unpack_numbers(vals, np.float64))
-        lp = Table(np.concatenate(names), np.concatenate(logs))
+        name, log = np.concatenate(names), np.concatenate(logs)
+        del names[:], logs[:]  # a chunk's nodes are the largest thing a task holds
+        lp = Table(name, log)
+        del name, log
         below = np.log10(n_train + 0.5 * (n_types + 1))
         out = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
         for text in texts_of(left):

@@ -15,7 +15,10 @@ unlabelled sample, with one weight per bin.  It is fitted on at most ``max_rows`
 
 Defined results: a null text counts as empty and is scored like any text; labels that are null are
 left out, repeated labels of one id count once, the smallest (a document is a trusted positive only
-if all its labels are 1).  Without positives to learn from, every score is the prior 0.5.
+if all its labels are 1).  Without positives to learn from, every score is the prior 0.5.  Rows that
+repeat an id are scored each and teach once (``bounded_sample``); texts of any length are read whole; equal
+feature rows score alike; an empty table gives an empty result; columns other than those named are not
+read, whatever their names (the stage carries them along).
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, quoted, split_remainder, texts_of, uniform_hash, word_blocks
+from .common import (bounded_sample, map_batches, quoted, split_remainder, texts_of, uniform_hash,
+                     word_blocks)
 
 CLASSES = {"upper": bytes(range(65, 91)), "lower": bytes(range(97, 123)), "digit": b"0123456789",
            "stop": b".!?", "bang": b"!?", "comma": b",;:", "symbol": b"#*$%&<>@^~=+_\\/{}[]",
@@ -145,10 +149,13 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, size: int, rounds: int, rate: f
 
 
 def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 1000, rate: float = 0.05,
-           decay: float = 0.3, prior: float | None = None) -> Model:
+           decay: float = 0.3, prior: float | None = None, least_rows: int = 20,
+           few_prior: float = 0.5) -> Model:
     """Minimise the non-negative risk with the logistic loss over the binned features.
 
-    ``decay`` is the weights' penalty for one row; it falls with the number of rows.
+    ``decay`` is the weights' penalty for one row; it falls with the number of rows.  The class prior
+    is estimated unless given; with fewer than ``least_rows`` positives or unlabelled rows two halves
+    tell nothing, and ``few_prior`` is taken.
     """
     if not len(positive) or not len(unlabelled):
         return Model((), (), 0.0, 0.5)
@@ -157,7 +164,7 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 1000, rat
     p, u = one_hot(edges, positive), one_hot(edges, unlabelled)
     if prior is None:
         prior = (estimate_prior(p, u, size, rounds // 4, rate, decay)
-                 if min(len(p), len(u)) >= 20 else 0.5)
+                 if min(len(p), len(u)) >= least_rows else few_prior)
 
     def gradient(w: np.ndarray) -> np.ndarray:
         zp, zu = _value(p, w), _value(u, w)
@@ -181,25 +188,29 @@ def feature_rows(docs: DataFrame) -> DataFrame:
                        "kind string, x array<double>")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int, held: int) -> DataFrame:
-    """(kind, text): about ``max_rows`` trusted positives and as many unlabelled rows."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int, held: int,
+                  max_bytes: int) -> DataFrame:
+    """(kind, id, text): about ``max_rows`` trusted positives and as many unlabelled documents, one row
+    per id and at most ``max_bytes`` of text of each kind."""
     train = split_remainder(F.col("id"), mod) != held
     known = (labels.where("label is not null").groupBy("id").agg(F.min("label").alias("label"))
              .where((F.col("label") == 1) & train))
     n_known, n_docs = known.count(), docs.count()
     chosen = known.where(uniform_hash("quality-p", F.col("id")) < max_rows / max(n_known, 1)).select("id")
-    positive = docs.join(F.broadcast(chosen), "id").select(F.lit("p").alias("kind"), "text")
+    positive = docs.join(F.broadcast(chosen), "id").select(F.lit("p").alias("kind"), "id", "text")
     unlabelled = docs.where(train & (uniform_hash("quality-u", F.col("id")) < max_rows / max(n_docs, 1)))
-    return positive.unionByName(unlabelled.select(F.lit("u").alias("kind"), "text"))
+    return bounded_sample(positive.unionByName(unlabelled.select(F.lit("u").alias("kind"), "id", "text")),
+                          "quality", max_bytes)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_rows: int = 20_000, mod: int = 4, held: int = 2) -> Model:
+        label_col: str = "quality", max_rows: int = 20_000, mod: int = 4, held: int = 2,
+        max_bytes: int = 256 << 20) -> Model:
     rows = training_rows(
         docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")),
         labels.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label_col)).alias("label")),
-        max_rows, mod, held)
-    got = feature_rows(rows).toArrow()  # bounded by max_rows
+        max_rows, mod, held, max_bytes)
+    got = feature_rows(rows).toArrow()  # one row of features per id, bounded by max_rows
     kind = np.array(got["kind"].to_pylist())
     x = np.array(got["x"].to_pylist(), float).reshape(len(kind), len(FEATURES))
     order = np.lexsort(x.T)  # the fit must not depend on the order in which rows arrive

@@ -15,7 +15,10 @@ the radius.  Of the links of a tile only a spanning forest leaves the task, whic
 connectivity and bounds the output by the tile's rows.
 
 Defined results: null and empty texts have fingerprint zero and link like any other; the component
-id is the smallest id reachable (null ids count only if there is no other).
+id is the smallest id reachable (null ids count only if there is no other).  Repeated rows share a
+fingerprint and are linked; a bit set in just half the hashes is 0; texts of any length are read whole; an
+empty table gives an empty result; columns other than those named are not read, whatever their names
+(the stage carries them along).
 """
 
 from __future__ import annotations

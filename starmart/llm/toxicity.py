@@ -14,7 +14,10 @@ so a long text does not gather many small ones.  Every document is scored, whole
 
 Defined results: a null text counts as empty and gets the score of a text without known words;
 null labels are left out, repeated labels of one id count once, the largest.  Without labels of both
-kinds to learn from, every score is the labelled share (0 without labels).
+kinds to learn from, every score is the labelled share (0 without labels).  Rows that repeat an id are
+scored each and teach once; texts of any length are scored whole, those of the sample as far as
+``max_bytes`` per label goes; equal texts score alike; an empty table gives an empty result; columns
+other than those named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, quoted, split_remainder, texts_of, uniform_hash, word_blocks
+from .common import (bounded_sample, map_batches, quoted, split_remainder, texts_of, uniform_hash,
+                     word_blocks)
 
 #: identity terms (plural, singular and adjective forms) and neutral words, by language: fixed values
 IDENTITY = sorted(set((
@@ -214,24 +218,27 @@ def fit_sparse(docs: list, labels: np.ndarray, weight: np.ndarray, pairs: list,
 
 # ----------------------------------------------------------------------------------------- Spark
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int, held: int) -> tuple:
-    """(label, id, text) of the chosen labelled documents, and the labelled share of 1."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int, held: int,
+                  max_bytes: int) -> tuple:
+    """(label, text) of the chosen labelled documents - one row per id, at most ``max_bytes`` of text per
+    label - and the labelled share of 1."""
     known = (labels.where("label is not null").groupBy("id").agg(F.max("label").alias("label"))
              .where(split_remainder(F.col("id"), mod) != held))
     ones, zeros = (known.agg(F.count_if(F.col("label") == k)).first()[0] for k in (1, 0))
     limit = F.when(F.col("label") == 1, max_rows / 2 / max(ones, 1)).otherwise(max_rows / 2 / max(zeros, 1))
     chosen = known.where(uniform_hash("toxic", F.col("id")) < limit)
-    rows = docs.join(F.broadcast(chosen), "id").select("label", "id", "text")
+    rows = docs.join(F.broadcast(chosen), "id").select(F.col("label").alias("kind"), "id", "text")
+    rows = bounded_sample(rows, "toxic-bytes", max_bytes).select(F.col("kind").alias("label"), "text")
     return rows, ones / max(ones + zeros, 1)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", max_rows: int = 6000, mod: int = 5, held: int = 0,
-        swap: float = 5.0, pairs_per_doc: int = 2) -> Model:
+        swap: float = 5.0, pairs_per_doc: int = 2, max_bytes: int = 16 << 20) -> Model:
     rows, share = training_rows(
         docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")),
         labels.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label_col)).cast("int").alias("label")),
-        max_rows, mod, held)
+        max_rows, mod, held, max_bytes)
 
     def run(batch: pa.RecordBatch) -> dict:
         words, texts = Words(), texts_of(batch)
@@ -243,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 "shares": [[v / c.total() for v in c.values()] for c in pairs]}
 
     got = map_batches(rows, run, "label int, key long, present array<long>, swaps array<array<array<long>>>, "
-                                 "shares array<double>").toArrow()  # bounded by max_rows
+                                 "shares array<double>").toArrow()  # bounded by max_bytes
     got = got.sort_by([("key", "ascending"), ("label", "ascending")])  # the same order in every run
     label = np.array(got["label"].to_pylist(), float)
     if not len(label) or label.min() == label.max():

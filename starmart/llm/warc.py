@@ -12,7 +12,8 @@ and owns the records that start inside its range, reading past its end to finish
 Bytes that do not decode to a record are passed over.
 
 Defined results: a null payload counts as empty; a null id, and a null URL, come back as null; rows
-that share the largest id of a payload are all responses.
+that share the largest id of a payload are all responses; payloads of any length are kept whole; an
+empty table gives no record; columns other than those named are not read, whatever their names.
 """
 
 from __future__ import annotations

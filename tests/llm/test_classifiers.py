@@ -235,3 +235,107 @@ def test_counts_take_whole_texts(monkeypatch):
     monkeypatch.setattr(langid, "BLOCK", 7)
     assert (langid.counts(text) == whole).all()
     assert whole.sum() > 500
+
+
+# ---------------------------------------------------------------------------------- bounded samples
+
+def test_a_sample_is_bounded_in_ids_and_bytes(spark):
+    from starmart.llm.common import bounded_sample
+
+    rows = ([("p", 7, f"text {i % 50}") for i in range(700)] + [("p", i, "y" * 1000) for i in range(100, 140)]
+            + [("u", None, None), ("u", None, "z"), ("u", 1, "w" * 10_000_000), ("u", 2, "ok")])
+    df = spark.createDataFrame(rows, "kind string, id long, text string").repartition(6)
+    got = bounded_sample(df, "s", 20_000).collect()
+    assert len({(r.kind, r.id) for r in got}) == len(got)
+    assert sum(len(r.text) + 64 for r in got if r.kind == "p") <= 20_000
+    assert sum(r.kind == "p" for r in got) >= 18
+    assert {r.id for r in got if r.kind == "u"} <= {None, 2}
+    whole = bounded_sample(df, "s", 1 << 30).collect()
+    assert len(whole) == 44 and {r.text for r in whole if r.id == 7} == {"text 0"} or \
+        all(len(r.text) == 6 for r in whole if r.id == 7)
+    assert [r.text for r in whole if r.kind == "u" and r.id is None] == [""]
+    assert bounded_sample(df.limit(0), "s", 10).count() == 0
+
+
+def test_one_id_in_a_third_of_the_rows_teaches_once(spark):
+    rng = random.Random(9)
+    ids = [i for i in range(1, 400) if remainder(i, 4) != 2 and remainder(i, 5) != 0]
+    rows = [(i, prose(rng), "de" if i % 2 else "en", 0.0, 0) for i in ids] + [(ids[0], f"{k} again", "en", 0.0, 0)
+                                                                              for k in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4).cache()
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in ids], "doc_id long, quality int, toxic int")
+    slim, marked = docs.selectExpr("doc_id as id", "text"), labels.selectExpr("doc_id as id", "quality as label")
+    got = quality.training_rows(slim, marked, 50, 4, 2, 1 << 20).collect()
+    assert len({(r.kind, r.id) for r in got}) == len(got) <= 250
+    got, _ = toxicity.training_rows(slim, labels.selectExpr("doc_id as id", "toxic as label"), 10_000, 5, 0, 1 << 30)
+    assert got.count() == len(ids)
+    assert langid.languages(docs).count() == len(rows)
+
+
+def test_very_many_values_of_the_language_column(spark):
+    rows = [(i, f"{'abcdefgh'[i % 8] * 3} text of {i}", f"x{i % 3000}", 0.0, 0) for i in range(6000)]
+    model = langid.fit(spark.createDataFrame(rows, SCHEMA), per_language=1)
+    assert 2000 < len(model.languages) <= 3000
+
+
+# ---------------------------------------------------------------------------------- held-out accuracy
+
+SF = "/root/testdata/sf0.01"
+
+
+def _auc(score, truth):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(score))
+    rank[order] = np.arange(1, len(score) + 1)
+    ones = truth.sum()
+    return (rank[truth == 1].sum() - ones * (ones + 1) / 2) / (ones * (len(truth) - ones))
+
+
+@pytest.mark.parametrize("name, kind, least", [("op2_pu_quality", "quality", 0.97),
+                                               ("op6_counterfactual_toxicity", "toxic", 0.95)])
+def test_held_out_ranking_on_the_given_tables(spark, name, kind, least):
+    from starmart.llm.queries import QUERIES
+
+    truth = {r.doc_id: r[kind] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = [r for r in QUERIES[name](spark, SF).collect() if r.held_out and truth.get(r.doc_id) is not None]
+    assert len(rows) > 50
+    assert _auc(np.array([r.score for r in rows]), np.array([truth[r.doc_id] for r in rows])) > least
+
+
+def test_held_out_languages_on_the_given_tables(spark):
+    from starmart.llm.queries import QUERIES
+
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = [r for r in QUERIES["op8_centroid_language"](spark, SF).collect()
+            if r.held_out and lang[r.doc_id] and r.lang_pred != "und"]
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in rows]) > 0.97
+
+
+# ---------------------------------------------------------------------------------- plain versions
+
+def test_the_risk_gradient_is_that_of_finite_differences(monkeypatch):
+    """The gradient that ``fit_pu`` descends by, against the plainly written non-negative risk."""
+    rng = np.random.default_rng(6)
+    p, u = rng.normal(1, 1, (60, 3)), rng.normal(0, 1, (90, 3))
+    seen = {}
+    monkeypatch.setattr(quality, "descend", lambda g, size, rounds, rate: seen.update(g=g, size=size) or np.zeros(size))
+    model = quality.fit_pu(p, u, prior=0.4, decay=0.0)
+    edges = model.edges
+    ap, au = quality.one_hot(edges, p), quality.one_hot(edges, u)
+
+    def risk(w):
+        zp, zu = (np.array([sum(w[k] for k in row) + w[-1] for row in a]) for a in (ap, au))
+        positive = 0.4 * np.log1p(np.exp(-zp)).mean()
+        negative = np.log1p(np.exp(zu)).mean() - 0.4 * np.log1p(np.exp(zp)).mean()
+        return (positive + negative, negative)
+
+    for scale in (0.1, 1.0):
+        w = rng.normal(0, scale, seen["size"])
+        total, negative = risk(w)
+        g = seen["g"](w)
+        for k in range(0, seen["size"], 5):
+            step = np.zeros(seen["size"])
+            step[k] = 1e-5
+            part = 0 if negative >= 0 else 1
+            numeric = (risk(w + step)[part] - risk(w - step)[part]) / 2e-5
+            assert g[k] == pytest.approx(numeric if part == 0 else -numeric, abs=1e-6)

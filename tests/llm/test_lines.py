@@ -89,3 +89,14 @@ def test_dataframe(spark):
         if r.doc_id is not None:
             assert tuple(r)[1:7] == brute(texts[r.doc_id])
     assert lines.clean_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_boilerplate_in_four_languages():
+    for line in ("All rights reserved by the owner of this page.", "Alle Rechte vorbehalten, siehe unten auf der Seite.",
+                 "Tous droits réservés, voir les conditions d'utilisation.", "Todos los derechos reservados en esta página.",
+                 "Hier klicken und weiterlesen auf der nächsten Seite.", "Cliquez ici pour lire la suite du texte.",
+                 "Haga clic para leer más en otra página."):
+        assert lines.line_fails(line, line.encode().split(), len(line)) == "boilerplate", line
+    for line in ("Er las das Buch und legte es auf den Tisch.", "Elle a lu le livre et l'a posé sur la table.",
+                 "El libro está sobre la mesa de la cocina."):
+        assert lines.line_fails(line, line.encode().split(), len(line)) is None, line
