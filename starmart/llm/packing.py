@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, quoted, stored, texts_of
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 240_000
 #: (groups, small_parts) to plan with; the plan of fewest sequences is taken
 SETTINGS = ((64, 8), (128, 4), (256, 3))
 

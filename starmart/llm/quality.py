@@ -16,7 +16,7 @@ unlabelled sample, with one weight per bin.  It is fitted on at most ``max_rows`
 Defined results: a null text counts as empty and is scored like any text; labels that are null are
 left out, repeated labels of one id count once, the smallest (a document is a trusted positive only
 if all its labels are 1).  Without positives to learn from, every score is the prior 0.5.  Rows that
-repeat an id are scored each and teach once (``bounded_sample``); texts of any length are read whole; equal
+repeat an id are scored each and teach once; texts of any length are read whole; equal
 feature rows score alike; an empty table gives an empty result; columns other than those named are not
 read, whatever their names (the stage carries them along).
 """
@@ -31,8 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (bounded_sample, map_batches, quoted, split_remainder, texts_of, uniform_hash,
-                     word_blocks)
+from .common import map_batches, quoted, split_remainder, texts_of, uniform_hash, word_blocks
 
 CLASSES = {"upper": bytes(range(65, 91)), "lower": bytes(range(97, 123)), "digit": b"0123456789",
            "stop": b".!?", "bang": b"!?", "comma": b",;:", "symbol": b"#*$%&<>@^~=+_\\/{}[]",
@@ -181,17 +180,10 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 1000, rat
 
 # ----------------------------------------------------------------------------------------- Spark
 
-def feature_rows(docs: DataFrame) -> DataFrame:
-    """The feature columns (``x`` array<double>) of (text, ...) rows, beside ``kind``."""
-    return map_batches(docs.select("kind", "text"),
-                       lambda b: {"kind": b.column("kind"), "x": [features(t) for t in texts_of(b)]},
-                       "kind string, x array<double>")
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int, held: int,
-                  max_bytes: int) -> DataFrame:
-    """(kind, id, text): about ``max_rows`` trusted positives and as many unlabelled documents, one row
-    per id and at most ``max_bytes`` of text of each kind."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int, held: int) -> DataFrame:
+    """(kind, id, x): the features of about ``max_rows`` trusted positives and as many unlabelled
+    documents, one row per id however often it is repeated (of several texts the one with the smallest
+    features).  Texts stay where they are; only their features are shuffled."""
     train = split_remainder(F.col("id"), mod) != held
     known = (labels.where("label is not null").groupBy("id").agg(F.min("label").alias("label"))
              .where((F.col("label") == 1) & train))
@@ -199,18 +191,21 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int, h
     chosen = known.where(uniform_hash("quality-p", F.col("id")) < max_rows / max(n_known, 1)).select("id")
     positive = docs.join(F.broadcast(chosen), "id").select(F.lit("p").alias("kind"), "id", "text")
     unlabelled = docs.where(train & (uniform_hash("quality-u", F.col("id")) < max_rows / max(n_docs, 1)))
-    return bounded_sample(positive.unionByName(unlabelled.select(F.lit("u").alias("kind"), "id", "text")),
-                          "quality", max_bytes)
+    drawn = positive.unionByName(unlabelled.select(F.lit("u").alias("kind"), "id", "text"))
+    id_type = drawn.schema["id"].dataType.simpleString()
+    rows = map_batches(drawn, lambda b: {"kind": b.column("kind"), "id": b.column("id"),
+                                         "x": [features(t) for t in texts_of(b)]},
+                       f"kind string, id {id_type}, x array<double>")
+    return rows.groupBy("kind", "id").agg(F.min("x").alias("x"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_rows: int = 20_000, mod: int = 4, held: int = 2,
-        max_bytes: int = 256 << 20) -> Model:
+        label_col: str = "quality", max_rows: int = 20_000, mod: int = 4, held: int = 2) -> Model:
     rows = training_rows(
         docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")),
         labels.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label_col)).alias("label")),
-        max_rows, mod, held, max_bytes)
-    got = feature_rows(rows).toArrow()  # one row of features per id, bounded by max_rows
+        max_rows, mod, held)
+    got = rows.toArrow()  # one row of features per id, bounded by max_rows
     kind = np.array(got["kind"].to_pylist())
     x = np.array(got["x"].to_pylist(), float).reshape(len(kind), len(FEATURES))
     order = np.lexsort(x.T)  # the fit must not depend on the order in which rows arrive

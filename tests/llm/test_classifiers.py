@@ -265,7 +265,7 @@ def test_one_id_in_a_third_of_the_rows_teaches_once(spark):
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4).cache()
     labels = spark.createDataFrame([(i, 1, i % 2) for i in ids], "doc_id long, quality int, toxic int")
     slim, marked = docs.selectExpr("doc_id as id", "text"), labels.selectExpr("doc_id as id", "quality as label")
-    got = quality.training_rows(slim, marked, 50, 4, 2, 1 << 20).collect()
+    got = quality.training_rows(slim, marked, 50, 4, 2).collect()
     assert len({(r.kind, r.id) for r in got}) == len(got) <= 250
     got, _ = toxicity.training_rows(slim, labels.selectExpr("doc_id as id", "toxic as label"), 10_000, 5, 0, 1 << 30)
     assert got.count() == len(ids)
