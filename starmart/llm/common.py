@@ -51,11 +51,11 @@ def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn, schema: str, done=None) -> DataFrame:
     """``mapInArrow`` with ``fn(dict of python lists/arrays, batch) -> dict of columns``.
 
     ``fn`` gets one Arrow record batch and returns a ``dict`` of equally long columns in the order
-    of ``schema``; empty batches are skipped.
+    of ``schema``; empty batches are skipped.  ``done()`` is called at a task's end.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -70,6 +70,8 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
                     [x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, type=f.type)
                      for x, f in zip((out[f.name] for f in target), target, strict=True)],
                     schema=target)
+        if done:
+            done()
 
     return df.mapInArrow(run, schema)
 

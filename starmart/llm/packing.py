@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, quoted, stored, texts_of
 
-CACHE_WORDS = 240_000
+CACHE_WORDS = 160_000
 #: (groups, small_parts) to plan with; the plan of fewest sequences is taken
 SETTINGS = ((64, 8), (128, 4), (256, 3))
 
@@ -152,6 +152,11 @@ class WordTokenizer:
         return [np.frombuffer(b"".join(own), "<u4") for own in found]
 
 
+    def rest(self) -> None:
+        """Give the older generation up: a worker between tasks keeps the words in use only."""
+        self.old = {}
+
+
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
@@ -202,7 +207,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, capacit
                "start": start, "length": length, "ids_crc32": crc}
         return out | ({"ids": ids} if with_ids else {})
 
-    return map_batches(slim, run, ddl + (", ids array<int>" if with_ids else ""))
+    return map_batches(slim, run, ddl + (", ids array<int>" if with_ids else ""),
+                       done=lambda: tokenizer(vocabulary).rest())
 
 
 # -------------------------------------------------------------------------------------- planning
