@@ -51,7 +51,9 @@ def safe_corr(x: Column, y: Column) -> Column:
     """
     both = x.isNotNull() & y.isNotNull()
     xs, ys = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
+    # a constant side is told by its extremes: merged partial sums may leave it a spread of 1e-17
+    vary = (F.min(xs) < F.max(xs)) & (F.min(ys) < F.max(ys))
+    return F.when(vary, F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys)))
 
 
 def count_by(df: DataFrame, keys: Sequence[str], alias: str = "n") -> DataFrame:

@@ -16,6 +16,7 @@ from ..functions.dates import iso_year
 from ..functions.text import join_key
 from ..operators.aggregate import safe_corr
 from ..operators.clean import col, dedupe
+from ..operators.summaries import co_moments
 
 # ------------------------------------------------------------------ generic
 
@@ -158,13 +159,23 @@ def temperature_correlation(fact: DataFrame, port: DataFrame, country: DataFrame
                             city_temp: DataFrame, country_temp: DataFrame,
                             climatology: bool = False) -> DataFrame:
     """G1: per US city, correlation between its monthly temperature and the temperature of the
-    visitors' residence countries, over (country, year, month) rows weighted once each.
+    visitors' residence countries, over the rows of :func:`temperature_pairs`.
 
     ``climatology=True`` first averages each place's temperature per calendar month over all
     years and joins on the month only, one row per (country, month): use it when the temperature
-    records do not cover the arrival years.  Place names are joined on ``upper(trim(name))``
-    because the sources spell them differently; both temperature tables are first reduced to that
-    key (their mean).
+    records do not cover the arrival years.
+    """
+    rows = temperature_pairs(fact, port, country, city_temp, country_temp, climatology)
+    return corr_by(rows, ["city"], "city_temperature", "country_temperature")
+
+
+def temperature_pairs(fact: DataFrame, port: DataFrame, country: DataFrame, city_temp: DataFrame,
+                      country_temp: DataFrame, climatology: bool = False) -> DataFrame:
+    """The city's and the residence country's temperature, one row per (city, country, year, month)
+    with arrivals, whatever their number (``climatology``: per calendar month).
+
+    Place names are joined on ``upper(trim(name))`` because the sources spell them differently;
+    both temperature tables are first reduced to that key (their mean).
     """
     f = arrivals_by_city(fact, port)
     names = (country.select(F.col("country_code").alias("visitor_residence_country"),
@@ -176,10 +187,19 @@ def temperature_correlation(fact: DataFrame, port: DataFrame, country: DataFrame
     per = (f.groupBy(join_key("city").alias("_city"), "_country", *years,
                      F.col("arrival_month").alias("month"))
              .agg(F.count(F.lit(1)).alias("arrivals")))
-    rows = (per.join(_monthly(city_temp, "city", when), ["_city", *when])
-               .join(_monthly(country_temp, "country", when), ["_country", *when]))
-    return corr_by(rows.withColumnRenamed("_city", "city"), ["city"], "city_temperature",
-                   "country_temperature")
+    return (per.join(_monthly(city_temp, "city", when), ["_city", *when])
+               .join(_monthly(country_temp, "country", when), ["_country", *when])
+               .withColumnRenamed("_city", "city"))
+
+
+def temperature_states(fact: DataFrame, port: DataFrame, country: DataFrame, city_temp: DataFrame,
+                       country_temp: DataFrame) -> DataFrame:
+    """G1 kept up to date: the co-moments of :func:`temperature_pairs` per city and recorded month.  A
+    pair belongs to one month of arrivals, so a refreshed month changes its own states only;
+    ``summaries.merged_corr(states, ["city"])`` gives :func:`temperature_correlation`."""
+    pairs = temperature_pairs(fact, port, country, city_temp, country_temp)
+    rows = pairs.withColumnsRenamed({"year": "arrival_year", "month": "arrival_month"})
+    return co_moments(rows, ["city", "arrival_year", "arrival_month"], "city_temperature", "country_temperature")
 
 
 def _monthly(temp: DataFrame, place: str, when: Sequence[str]) -> DataFrame:

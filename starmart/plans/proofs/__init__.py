@@ -13,6 +13,7 @@ from . import builds  # noqa: F401
 from . import versions  # noqa: F401
 from . import analyses  # noqa: F401
 from . import trends  # noqa: F401
+from . import summaries  # noqa: F401
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
 __all__ = ["QUERIES", "ORACLE", "query"]

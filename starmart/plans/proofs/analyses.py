@@ -248,9 +248,9 @@ arr as (select upper(trim(p.city)) as city, upper(trim(n_name)) as country, arri
 """
 
 
-def _temperature_corr_sql(when: str) -> str:
+def _temperature_corr_sql(when: str, fact: str = _STAR_FACT_SQL) -> str:
     """``when``: the columns two temperatures are paired by."""
-    return _STAR_FACT_SQL + ", " + _PORT_DIM_SQL + ", " + _READINGS_SQL + f""",
+    return fact + ", " + _PORT_DIM_SQL + ", " + _READINGS_SQL + f""",
 per as (select distinct city, country, {when} from arr),
 by_city as (select upper(trim(city)) as city, {when}, avg(cast(t as double)) as ct from city_dim group by all),
 by_country as (select upper(trim(country)) as country, {when}, avg(cast(t as double)) as kt
@@ -261,9 +261,10 @@ select city, count(*) filter (where ct is not null and kt is not null) as n_pair
 from r group by city"""
 
 
-def _temperature_corr(spark, sf, climatology: bool):
-    """G1 on a star built from the tables.  Readings come from the events: every customer is a city
-    of the home country and its nation a country; each place is met in two spellings."""
+def _temperature_star(spark, sf) -> list[DataFrame]:
+    """Ports, countries and both temperature tables of a star built from the tables.  Readings come from
+    the events: every customer is a city of the home country and its nation a country; each place is met
+    in two spellings."""
     n = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
     e = _t(spark, sf, "events").join(c, "user_id").join(n, "c_nationkey")
@@ -278,10 +279,14 @@ def _temperature_corr(spark, sf, climatology: bool):
                    F.inline(places))
     cities, countries = PL.temperature_tables(raw)
     star_country = _written(spark, "dim_i94_country_table", _code_tables(spark, sf, "reference")[0])
-    return AN.temperature_correlation(
-        _star_fact(spark, sf), _star_port(spark, sf), star_country,
-        _written(spark, "dim_temperatures_us_cities_table", cities),
-        _written(spark, "dim_temperatures_countries_table", countries), climatology=climatology)
+    return [_star_port(spark, sf), star_country,
+            _written(spark, "dim_temperatures_us_cities_table", cities),
+            _written(spark, "dim_temperatures_countries_table", countries)]
+
+
+def _temperature_corr(spark, sf, climatology: bool):
+    """G1 on a star built from the tables."""
+    return AN.temperature_correlation(_star_fact(spark, sf), *_temperature_star(spark, sf), climatology=climatology)
 
 
 @query("temperature_corr_star", _temperature_corr_sql("y, m"))

@@ -1,0 +1,124 @@
+"""Stored summaries: merged states give what the rows give, after refreshes too."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starmart.operators import summaries as SM
+from starmart.operators.aggregate import profile
+from starmart.plans.analytics import corr_by
+from starmart.sources.versions import Versions
+
+PAIRS = "g string, y int, m int, x double, z double"
+
+
+def same(a, b):
+    if a is None or b is None:
+        return a is b
+    return a == pytest.approx(b, abs=2e-6)
+
+
+def pairs(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(600):
+        m = i % 6
+        x = 1e6 + rnd.random()  # large beside its spread
+        rows.append(("a", 2000, m, x, 3 * x + rnd.random()))
+        rows.append((None, 2000, m, rnd.random() if i % 5 else None, rnd.random() if i % 7 else None))
+        rows.append(("constant", 2000, m, 0.1, rnd.random()))
+        rows.append(("constant in a month", 2000, m, 0.1 * m, rnd.random() + m))
+    rows += [("one pair", 2000, 1, 1.0, 2.0), ("one pair", 2000, 2, None, 2.0), ("none", 2000, 3, None, 1.0)]
+    return spark.createDataFrame(rows, PAIRS)
+
+
+def test_merged_correlation_equals_that_of_the_rows(spark):
+    df = pairs(spark)
+    states = SM.co_moments(df, ["g", "y", "m"], "x", "z")
+    assert states.count() == 6 * 4 + 3
+    got = {r.g: r for r in SM.merged_corr(states, ["g"]).collect()}
+    want = {r.g: r for r in corr_by(df, ["g"], "x", "z").collect()}
+    assert got.keys() == want.keys() and len(got) == 6
+    for g, r in want.items():
+        assert got[g].n_pairs == r.n_pairs and same(got[g]["corr"], r["corr"]), g
+    assert got["constant"]["corr"] is None and got["one pair"]["corr"] is None and got["none"].n_pairs == 0
+    with pytest.raises(ValueError):
+        SM.merged_corr(states, [])
+
+
+def test_merged_profile_equals_that_of_the_rows(spark):
+    df = (spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 4)).alias("g"),
+        (F.col("id") % 12).cast("int").alias("m"),
+        F.when(F.col("id") % 10 > 0, 1e6 + F.sqrt("id")).alias("v"),
+        F.lit(None).cast("int").alias("empty"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("t"), F.col("id") % 5000)).alias("t")))
+    states = SM.column_states(df, ["g", "m"], ["v", "empty", "t"])
+    for keys in ([], ["g"]):
+        out = SM.merged_profile(states, keys, quantiles=[0.25, 0.5]).collect()
+        groups = [()] if not keys else [(g,) for g in ("hot", "k0", "k1", "k2", "k3")]
+        assert len(out) == 3 * len(groups)
+        for (group) in groups:
+            part = df.where(F.col("g") == group[0]) if group else df
+            rows = {r.column: r for r in out if not group or r.g == group[0]}
+            want = profile(part, ["v"]).first()
+            v = rows["v"]
+            assert (v["count"], v["min"], v["max"]) == (want["count"], want["min"], want["max"])
+            assert v["mean"] == pytest.approx(want["mean"], rel=1e-12)
+            assert v["stddev"] == pytest.approx(want["stddev"], rel=1e-9)
+            for q, p in ((0.25, "p25"), (0.5, "p50")):
+                rank = part.where(F.col("v") <= v[p]).count() / v["count"]
+                assert abs(rank - q) < 0.02
+            e = rows["empty"]
+            assert e["count"] == 0 and e.n_distinct == 0 and e["mean"] is None and e.p50 is None and e.stddev is None
+            t = rows["t"]
+            exact = part.agg(F.count("t"), F.count_distinct("t"), F.min("t"), F.max("t")).first()
+            assert (t["count"], t.min_text, t.max_text) == (exact[0], exact[2], exact[3])
+            assert abs(t.n_distinct - exact[1]) <= 0.05 * exact[1] and t["mean"] is None
+
+
+def test_an_empty_table_has_no_states(spark):
+    df = pairs(spark).limit(0)
+    assert SM.merged_corr(SM.co_moments(df, ["g", "m"], "x", "z"), ["g"]).count() == 0
+    assert SM.merged_profile(SM.column_states(df, ["g", "m"], ["x", "g"]), ["g"]).count() == 0
+
+
+def test_text_and_zeros_and_nan(spark):
+    df = spark.createDataFrame([(1, 0.0), (1, -0.0), (1, float("nan")), (1, None)], "m int, v double")
+    r = SM.merged_profile(SM.column_states(df, ["m"], ["v"])).first()
+    assert (r["count"], r.n_distinct, r["mean"], r["stddev"], r["min"], r["max"]) == (2, 1, 0.0, 0.0, 0.0, 0.0)
+
+
+def test_only_touched_months_are_summarised_again(spark, scratch):
+    schema = T.StructType.fromDDL("g string, x double, z double, y int, m int")
+    parts = ["y", "m"]
+    df = pairs(spark).select(*schema.names)
+    versions = Versions(spark, scratch("summaries"))
+    seen = []
+
+    def states(rows):
+        seen.append(sorted(r.m for r in rows.select("m").distinct().collect()))
+        return SM.co_moments(rows, ["g", "y", "m"], "x", "z")
+
+    change = versions.change()
+    change.replace("t", df, parts)
+    SM.maintain(change, "t", schema, "s", parts, states)
+    first = change.commit()
+    change = versions.change()
+    gone = ["y=2000/m=2", "y=2000/m=4"]  # the second one vanishes
+    change.replace_partitions("t", df.where("m = 2").withColumn("z", -F.col("z")), parts, drop=gone)
+    SM.maintain(change, "t", schema, "s", parts, states, gone)
+    SM.maintain(change, "t", schema, "s", parts, states, [])  # nothing touched, nothing done
+    second = change.commit()
+    assert seen == [[0, 1, 2, 3, 4, 5], [2]]
+    old_root = next(iter(first.tables["s"][1]))
+    assert second.tables["s"][1][old_root] == [f"y=2000/m={m}" for m in (0, 1, 3, 5)]
+
+    kept = states(df.limit(0)).schema
+    now = second.read("t", schema)
+    got = {r.g: r for r in SM.merged_corr(second.read("s", kept), ["g"]).collect()}
+    want = {r.g: r for r in corr_by(now, ["g"], "x", "z").collect()}
+    assert got.keys() == want.keys()
+    assert all(got[g].n_pairs == want[g].n_pairs and same(got[g]["corr"], want[g]["corr"]) for g in want)
