@@ -237,6 +237,23 @@ def labels_many_pairs(spark, sf):
     return LB.code_list(LB.read_formats(spark, path), LB.PORT_FORMAT)
 
 
+@query("labels_split", """
+select 'O' || cast(o_orderkey as varchar) as code,
+       'C' || cast(o_custkey as varchar) || ' of ' || o_orderpriority as label from orders
+""")
+def labels_split(spark, sf):
+    """Label files of one block per order; comments before, inside and behind the blocks hold ``;`` and
+    whole blocks that do not count, so pieces are cut inside comments everywhere."""
+    path = scratch_path(spark, "labels-split")
+    k, who = F.col("o_orderkey").cast("string"), F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+    text = F.concat(
+        F.lit("/* "), who, F.lit("; value $i94prtl 'X"), k, F.lit("' = 'no'; */\r\n value $i94prtl /* from; "),
+        F.coalesce("o_orderstatus", F.lit("")), F.lit(" */ 'O"), k, F.lit("'\t=\t'"), who, F.lit(" of "),
+        "o_orderpriority", F.lit("' ; /*/ one; two */"))
+    _t(spark, sf, "orders").select(text.alias("value")).write.text(path)
+    return LB.code_list(LB.read_formats(spark, path), LB.PORT_FORMAT)
+
+
 #: the temperature lines of the reject proof: which records are spoilt, and how (fixed parameters)
 _SPOILT = {"dt": 19, "AverageTemperature": 13, "City": 17, "surplus": 23}
 

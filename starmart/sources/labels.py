@@ -1,15 +1,18 @@
 """Label files: blocks of ``value [$]name  code = 'label' ... ;`` (code lists).
 
-Parsing is a Spark job, not a driver-side string loop: each file is read as one row
-(``wholetext``, so a block never straddles two tasks; a code list file is small and bounded),
-comments are removed, blocks are cut with ``regexp_extract_all`` and exploded, and each block
-yields its ``code = 'label'`` pairs by a second ``regexp_extract_all`` + ``explode``.  Many
-files are parsed by many tasks.  Any path Spark can read works (object stores included).
+Parsing is a Spark job, not a driver-side string loop.  Files are cut at every ``;`` by the text source,
+which splits one large file over many tasks; comments may hold such marks and reach over the cuts and over
+the ranges that tasks read, so whether a piece starts inside a comment is carried from piece to piece
+inside a range and from range to range of a file (:func:`read_blocks`).  Each block then yields its
+``code = 'label'`` pairs by ``regexp_extract_all`` + ``explode``.  Any path Spark can read works (object
+stores included).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Grammar of the label file (fixed patterns).
@@ -50,8 +53,82 @@ def parse_formats(text: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_formats(spark: SparkSession, path: str) -> DataFrame:
-    """Parse every label file under ``path``; one task per file."""
-    return parse_formats(spark.read.text(path, wholetext=True))
+    """Parse every label file under ``path``, large ones in several tasks."""
+    return parse_formats(read_blocks(spark, path))
+
+
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """The text between two ``;`` outside comments, one row ``value`` each, comments taken out.
+
+    A comment that is never closed hides the rest of its file, and what follows the last ``;`` counts as a
+    block too.  The text is shuffled once, by the range of the file it was read from, so a task holds at most
+    ``spark.sql.files.maxPartitionBytes`` of it and one block; two rows of numbers per range go to one task
+    per file.  Only blocks interrupted by a comment that holds a ``;`` are gathered again.
+    """
+    pieces = spark.read.option("lineSep", ";").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    seen, opens = _outside(F.col("value"))
+    close = F.instr("value", "*/")
+    after_seen, after_opens = _outside(F.expr("substring(value, instr(value, '*/') + 2)"))
+    pieces = pieces.select(
+        "*", seen.alias("seen"), opens.alias("opens"),
+        F.when(close > 0, after_seen).otherwise("").alias("after"),
+        F.when(close > 0, after_opens).otherwise(1).alias("reopens")).drop("value")
+    # what a piece does to "inside a comment": sets it, turns it around (as /*/ does), or leaves it
+    pieces = _carry(pieces.withColumns({
+        "sets": F.when(F.col("opens") == F.col("reopens"), F.col("opens")),
+        "turns": F.when((F.col("opens") == 1) & (F.col("reopens") == 0), 1).otherwise(0)}), ["file", "start"], "at")
+    ranges = pieces.groupBy("file", "start").agg(F.max_by(F.struct("known_after", "turned"), "at").alias("e"))
+    ranges = _carry(ranges.select(
+        "file", "start", ((F.col("e.known_after") + F.col("e.turned")) % 2).alias("sets"),
+        F.when(F.col("e.known_after").isNull(), F.col("e.turned") % 2).otherwise(0).alias("turns")), ["file"], "start")
+    starts = ranges.select("file", "start", _inside(F.lit(0)).alias("inside_at_start"))
+    pieces = (pieces.join(starts, ["file", "start"]).withColumn("inside", _inside(F.col("inside_at_start")))
+              .select("file", "start", "at", "inside",
+                      F.when(F.col("inside") == 0, F.col("seen")).otherwise(F.col("after")).alias("value"),
+                      F.when(F.col("inside") == 0, F.col("opens")).otherwise(F.col("reopens")).alias("left_open")))
+    whole = pieces.where("inside = 0 and left_open = 0").select("value")
+    return whole.unionByName(_stitched(pieces.where("not (inside = 0 and left_open = 0)"))).select(
+        F.concat("value", F.lit(";")).alias("value"))
+
+
+def _outside(c: Column) -> tuple[Column, Column]:
+    """Of text that starts outside comments: what is seen, and 1 if it ends inside one, else 0."""
+    rest = F.regexp_replace(c, COMMENT, " ")
+    return F.regexp_replace(rest, r"(?s)/\*.*$", " "), F.contains(rest, F.lit("/*")).cast("int")
+
+
+def _carry(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """Carry a flag along the rows, each of which sets (``sets`` 0 or 1), turns (``turns`` 1) or leaves it:
+    ``known``, the value set last before the row, if any, with the parity of the turns up to there."""
+    w = Window.partitionBy(*by).orderBy(order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("turned", F.sum("turns").over(upto))
+    df = df.withColumn("_value", (F.col("sets") + F.col("turned")) % 2)
+    return df.withColumns({"known": F.last("_value", ignorenulls=True).over(before),
+                           "known_after": F.last("_value", ignorenulls=True).over(upto)})
+
+
+def _inside(at_first: Column) -> Column:
+    """The flag before a row of :func:`_carry`, given its value before the first row."""
+    return (F.coalesce(F.col("known"), at_first) + F.col("turned") - F.col("turns")) % 2
+
+
+def _stitched(pieces: DataFrame) -> DataFrame:
+    """Blocks cut by a ``;`` inside a comment: from a piece that starts outside to the one that ends so."""
+    # pieces inside a comment say nothing; the others are two or more a block
+    pieces = pieces.where("value <> ''").withColumn("head", F.when(F.col("inside") == 0, F.struct("start", "at")))
+    here = Window.partitionBy("file", "start").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (pieces.groupBy("file", "start").agg(F.max("head").alias("last_head"))
+              .select("file", "start", F.max("last_head").over(before).alias("earlier")))
+    pieces = (pieces.withColumn("head", F.max("head").over(here)).join(ranges, ["file", "start"])
+              .withColumn("head", F.coalesce("head", "earlier")))
+    parts = F.array_sort(F.collect_list(F.struct("start", "at", "value")))
+    return pieces.groupBy("file", "head").agg(
+        F.concat_ws("", F.transform(parts, lambda p: p["value"])).alias("value")).select("value")
 
 
 def code_list(formats: DataFrame, fmt: str, code: str = "code", label: str = "label"

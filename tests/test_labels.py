@@ -133,3 +133,47 @@ def test_rendered_files_are_bounded(spark, scratch):
     local = path.replace("file:", "")
     assert len(glob.glob(f"{local}/part-*")) == 5
     assert read_formats(spark, path).count() == 50
+
+
+TRICKY = ("/* a; value x 1='no'; */ value a 1='x' /* ; */ 2='y' /* one; two; three */ 3='z';"
+          "/*/ value b 9='no'; */ value b /*;*/ 1='u';value c 1='v';/* open; value d 1='no'; ")
+
+
+def _small_ranges(spark, size):
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    old = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, str(size))
+    return old
+
+
+def test_comments_reach_over_cuts_and_ranges(spark, tmp_path):
+    (tmp_path / "a.txt").write_text(TRICKY)
+    (tmp_path / "b.txt").write_text(TRICKY.replace("value c", "value e"))
+    (tmp_path / "empty.txt").write_text("")
+    want = sorted([("a", str(i), l) for i, l in enumerate("xyz", 1)] * 2 + [("b", "1", "u")] * 2
+                  + [("c", "1", "v"), ("e", "1", "v")])
+    for size in (1 << 20, 64, 7, 3):
+        old = _small_ranges(spark, size)
+        try:
+            df = read_formats(spark, str(tmp_path))
+            assert sorted(tuple(r) for r in df.collect()) == want, size
+        finally:
+            for n, v in old.items():
+                spark.conf.set(n, v)
+
+
+def test_one_large_file_is_read_by_many_tasks_alike(spark, tmp_path):
+    blocks = [f"/* n; {i} */ value $f{i % 3} 'k{i}' = 'it''s {i}' /* ;; */ 'l{i}'='{'w' * (i % 90)}';\r\n"
+              for i in range(3000)]
+    p = tmp_path / "large.txt"
+    p.write_bytes(("".join(blocks) + LABEL_FILE).encode())
+    want = sorted(tuple(r) for r in parse_formats(spark.read.text(str(p), wholetext=True)).collect())
+    old = _small_ranges(spark, 20_000)
+    try:
+        assert spark.read.option("lineSep", ";").text(str(p)).rdd.getNumPartitions() > 8
+        assert sorted(tuple(r) for r in read_formats(spark, str(p)).collect()) == want
+    finally:
+        for n, v in old.items():
+            spark.conf.set(n, v)
+    assert len(want) == 6000 + 24

@@ -16,7 +16,8 @@ WRITES = {"parquet_roundtrip", "partitioned_roundtrip", "csv_roundtrip", "csv_se
           "typed_scan", "incremental_overwrite", "incremental_stream", "place_dim",
           "place_dim_strict", "country_codes", "travel_modes", "star_build", "incremental_star",
           "csv_mixed_headers", "arrivals_csv", "labels_many_pairs", "star_versions",
-          "incremental_merge", "trend_moving", "trend_slope", "trend_pruned", "reject_report"} | {
+          "incremental_merge", "trend_moving", "trend_slope", "trend_pruned", "reject_report",
+          "labels_split", "profile_merge", "corr_incremental"} | {
               n for n in proofs.QUERIES if n.endswith("_star")}
 
 
