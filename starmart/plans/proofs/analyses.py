@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ... import tables as TB
 from ...operators.lookup import enrich
+from ...operators.match import best_matches
 from ...session import scratch_path
 from ...sources.parquet import write_table
 from .. import adapters as AD
@@ -368,3 +369,38 @@ def star_integrity(spark, sf):
         "dim_date_table": _written(spark, "dim_date_table", PL.date_table(fact.filter(F.dayofmonth("arrival_date") != 13))),
     }
     return PL.star_integrity(star)
+
+
+#: least similarity of the name proof in hundredths (fixed parameter)
+NAMES_PERCENT = 40
+
+_NAMES_SQL = """
+places as (select c_custkey as place, p_name || ' ' || lower(n_name) || ', port' as label
+           from customer join nation on c_nationkey = n_nationkey left join part on c_custkey = p_partkey),
+cities as (select s_suppkey as city, upper(p_name) || ' ' || n_name as name
+           from supplier join nation on s_nationkey = n_nationkey left join part on s_suppkey = p_partkey)
+"""
+
+
+@query("place_match", "with " + _NAMES_SQL + f""",
+l as (select place, list_distinct(regexp_extract_all(upper(label), '[\\p{{L}}\\p{{N}}]+')) as a from places),
+r as (select city, list_distinct(regexp_extract_all(upper(name), '[\\p{{L}}\\p{{N}}]+')) as b from cities),
+c as (select place, city, len(list_intersect(a, b)) as n, len(a) + len(b) - len(list_intersect(a, b)) as u from l, r),
+k as (select place, count(*) as n_links, max(n / u) as similarity, min_by(city, (1 - n / u, city)) as match
+      from c where n * 100 >= u * {NAMES_PERCENT} and n > 0 group by place)
+select l.place, k.match, round(k.similarity, 6) as similarity, coalesce(k.n_links, 0) as n_links
+from l left join k using (place)
+""")
+def place_match(spark, sf):
+    """Places without a state (a customer's part and nation, in lower case, with a word more) resolved by the
+    words of the cities' names (suppliers)."""
+    n = _t(spark, sf, "nation").select("n_nationkey", "n_name")
+    p = _t(spark, sf, "part").select("p_partkey", "p_name")
+    c, s = _t(spark, sf, "customer"), _t(spark, sf, "supplier")
+    places = (c.join(n, c.c_nationkey == n.n_nationkey).join(p, c.c_custkey == p.p_partkey, "left")
+              .select(F.col("c_custkey").alias("place"),
+                      F.concat("p_name", F.lit(" "), F.lower("n_name"), F.lit(", port")).alias("label")))
+    cities = (s.join(n, s.s_nationkey == n.n_nationkey).join(p, s.s_suppkey == p.p_partkey, "left")
+              .select(F.col("s_suppkey").alias("city"), F.concat(F.upper("p_name"), F.lit(" "), "n_name").alias("name")))
+    return best_matches(places, "place", "label", cities, "city", "name", NAMES_PERCENT).withColumn(
+        "similarity", F.round("similarity", 6))
