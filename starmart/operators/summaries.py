@@ -2,7 +2,7 @@
 correlations over any set of months follow without reading the table again.
 
 A state is small and of fixed size: count, mean and centred sums of squares and products, extremes, a
-HyperLogLog and a KLL sketch.  Merging is an aggregate like any other, combined map-side.  After a refresh
+HyperLogLog and a KLL sketch; for most frequent values, a frequent-items sketch.  Merging is an aggregate like any other, combined map-side.  After a refresh
 only the states of the touched partitions are computed again (:func:`maintain`).
 """
 
@@ -67,8 +67,7 @@ def _with_centre(states: DataFrame, keys: Sequence[str], means: Sequence[str]) -
 
     totals = (states.groupBy(*[col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
               .agg(*[centre(m).alias(f"{m}_all") for m in means]))
-    same = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
-    return states.join(totals, same)
+    return states.join(totals, _same_keys(keys))
 
 
 # ------------------------------------------------------------------ correlations
@@ -167,3 +166,77 @@ def merged_profile(states: DataFrame, keys: Sequence[str] = (), quantiles: Seque
         r(F.col("mean")).alias("mean"), r(spread).alias("stddev"), "min", "max", "min_text", "max_text",
         *[F.when(numbers, F.kll_sketch_get_quantile_double("_ranks", F.lit(float(q)))).alias(f"p{round(q * 100):02d}")
           for q in quantiles])
+
+
+# ------------------------------------------------------------------ frequent values
+
+#: values that a frequent-items sketch can name
+TRACKED = 1000
+#: values a row is compared with; a group that leaves more in question is counted whole
+CANDIDATES = 64
+
+
+def frequent_states(df: DataFrame, keys: Sequence[str], of: str, tracked: int = TRACKED) -> DataFrame:
+    """A state per ``keys``: ``n`` non-null values of ``of`` and ``items``, a frequent-items sketch of them,
+    of fixed size however many different values there are.  A group without values has no state."""
+    return df.where(col(of).isNotNull()).groupBy(*[col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.call_function("approx_top_k_accumulate", col(of), F.lit(tracked)).alias("items"))
+
+
+def most_frequent(df: DataFrame, states: DataFrame, keys: Sequence[str], of: str, alias: str = "top",
+                  count_alias: str = "top_n", tracked: int = TRACKED) -> DataFrame:
+    """The most frequent non-null ``of`` per ``keys`` and its count, ties to the smallest value: as counting
+    every value gives it, from stored ``states`` of the same rows (by ``keys`` and any finer ones, with the
+    same ``tracked``).
+
+    The merged sketches name frequent values with upper bounds of their counts.  Only those that may be the
+    top one are counted in the rows.  The largest count is proven if it reaches the smallest bound named, as
+    what is not named stays below it, or if it exceeds the number of rows not counted.  Groups without a proof
+    (no value stands out), without a state, or with more than :data:`CANDIDATES` values in question have all
+    their values counted.
+    """
+    marks = _candidates(states, keys, tracked)
+    rows = df.where(col(of).isNotNull()).select(*[col(k) for k in keys], col(of).alias(alias))
+    same = _same_keys(keys)
+    asked = (rows.join(marks, same, "left")
+             .where(F.col("_asked").isNull() | F.array_contains("_asked", col(alias))))
+    best = _largest(asked, keys, alias, count_alias, ["_proof", "_rows"])
+    proven = (F.col("_proof").isNull() | (col(count_alias) >= F.col("_proof"))
+              | (col(count_alias) > F.col("_rows") - F.col("_counted")))
+    open_keys = best.where(~proven).select(*[col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    rest = _largest(rows.join(open_keys, same, "left_semi"), keys, alias, count_alias)
+    return best.where(proven).drop("_proof", "_rows", "_counted").unionByName(rest.drop("_counted"))
+
+
+def _candidates(states: DataFrame, keys: Sequence[str], tracked: int) -> DataFrame:
+    """Per group (``_key0``, ...): ``_rows``, ``_asked``, the values that may be the most frequent one, and
+    ``_proof``, the count that proves it; the last two null if all values must be counted.
+
+    A named value's count is above its bound less the smallest bound; a list as long as it may be can lack
+    values with that smallest bound."""
+    merged = states.groupBy(*[col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(
+        F.call_function("approx_top_k_combine", F.col("items"), F.lit(tracked)).alias("_items"),
+        F.sum("n").alias("_rows"))
+    named = merged.withColumn("_named", F.call_function("approx_top_k_estimate", F.col("_items"), F.lit(tracked)))
+    bounds = F.col("_named.count")
+    asked = F.transform(F.filter("_named", lambda x: x["count"] >= F.array_max(bounds) - F.array_min(bounds)),
+                        lambda x: x["item"])
+    few = F.size(asked).between(1, CANDIDATES)
+    proof = F.array_min(bounds) + F.when(F.size("_named") < tracked, 0).otherwise(1)
+    return named.select(*[f"_key{i}" for i in range(len(keys))], "_rows",
+                        F.when(few, asked).alias("_asked"), F.when(few, proof).alias("_proof"))
+
+
+def _same_keys(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+
+
+def _largest(rows: DataFrame, keys: Sequence[str], value: str, count: str, also: Sequence[str] = ()) -> DataFrame:
+    """Per ``keys`` the value with the most rows, ties to the smallest, and all rows ``_counted``; ``also`` are
+    equal within a group.  Counted per value first, map-side combined."""
+    group = [*[col(k) for k in keys], *[F.col(a) for a in also]]
+    counts = rows.groupBy(*group, col(value)).agg(F.count(F.lit(1)).alias("_n"))
+    best = counts.groupBy(*group).agg(
+        F.min(F.struct((-F.col("_n")).alias("_n"), col(value).alias("_v"))).alias("_best"), F.sum("_n").alias("_counted"))
+    return best.select(*group, "_counted", F.col("_best._v").alias(value), (-F.col("_best._n")).alias(count))

@@ -1,4 +1,5 @@
-"""Proofs of the stored summaries: a profile (A4, A7, A8) and a correlation (G1) after two refreshes."""
+"""Proofs of the stored summaries: a profile (A4, A7, A8), a correlation (G1) and top values (G3) after two
+refreshes; top values of a wide column."""
 
 from __future__ import annotations
 
@@ -9,11 +10,12 @@ from ... import tables as TB
 from ...operators import summaries as SM
 from ...operators.merge import merge_by_key
 from ...session import scratch_path
+from ...sources.parquet import write_table
 from ...sources.versions import Version, Versions, partition_folder
 from .. import analytics as AN
 from .. import pipeline as PL
 from .analyses import _STAR_FACT_SQL, _star_fact, _temperature_corr_sql, _temperature_star
-from .registry import query
+from .registry import _t, query
 
 #: the year whose records change, by how many days they move, the month that is restated and the one that
 #: is withdrawn (fixed parameters of the proofs)
@@ -122,3 +124,33 @@ def corr_incremental(spark, sf):
     version = _refreshed(spark, sf, states)
     schema = states(version.read(PL.FACT, TB.FACT_ARRIVALS)).schema
     return SM.merged_corr(version.read("states", schema), ["city"])
+
+
+@query("profile_frequent", _REFRESHED_SQL + """
+select arrival_port_code, visitor_residence_country as top, count(*) as top_n
+from fact where visitor_residence_country is not null group by 1, 2
+qualify row_number() over (partition by arrival_port_code order by count(*) desc, visitor_residence_country) = 1
+""")
+def profile_frequent(spark, sf):
+    """G3's most frequent residence country per port from the monthly sketches after both refreshes."""
+    def states(rows: DataFrame) -> DataFrame:
+        return SM.frequent_states(rows, [*_PARTS, "arrival_port_code"], "visitor_residence_country")
+
+    version = _refreshed(spark, sf, states)
+    fact = version.read(PL.FACT, TB.FACT_ARRIVALS)
+    return SM.most_frequent(fact, version.read("states", states(fact).schema), ["arrival_port_code"],
+                            "visitor_residence_country")
+
+
+@query("profile_frequent_wide", """
+select source, word as top, count(*) as top_n
+from (select source, unnest(string_split(text, ' ')) as word from documents) where word <> '' group by 1, 2
+qualify row_number() over (partition by source order by count(*) desc, word) = 1
+""")
+def profile_frequent_wide(spark, sf):
+    """The most frequent value of a wide column: words per source, from sketches per source and language."""
+    words = (_t(spark, sf, "documents").select("source", "lang", F.explode(F.split("text", " ")).alias("word"))
+             .where("word <> ''"))
+    states, path = SM.frequent_states(words, ["source", "lang"], "word"), scratch_path(spark, "frequent")
+    write_table(states, path)
+    return SM.most_frequent(words, spark.read.schema(states.schema).parquet(path), ["source"], "word")

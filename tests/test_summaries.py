@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from starmart.operators import summaries as SM
 from starmart.operators.aggregate import profile
-from starmart.plans.analytics import corr_by
+from starmart.plans.analytics import corr_by, top_value
 from starmart.sources.versions import Versions
 
 PAIRS = "g string, y int, m int, x double, z double"
@@ -122,3 +122,45 @@ def test_only_touched_months_are_summarised_again(spark, scratch):
     want = {r.g: r for r in corr_by(now, ["g"], "x", "z").collect()}
     assert got.keys() == want.keys()
     assert all(got[g].n_pairs == want[g].n_pairs and same(got[g]["corr"], want[g]["corr"]) for g in want)
+
+
+def frequent(spark):
+    """Groups whose top value is hot, late, tied, alone, hidden among rare ones or missing."""
+    rows = []
+    for i in range(3000):
+        rows += [("hot", i % 3, "h" if i % 3 else f"x{i}"), (None, i % 3, "h" if i % 4 == 0 else f"x{i}"),
+                 ("late", i // 1000, f"x{i}" if i < 2000 else "l"), ("unique", i % 3, f"x{i:04}"),
+                 ("twice", i % 3, f"x{i}" if i not in (1, 2990) else "t"), ("few", i % 3, f"v{i % 7}"),
+                 ("missing", 0, None), ("even", i % 3, f"e{i % 300:03}")]
+    rows += [("one", 0, "o"), ("pair", 0, "q"), ("pair", 1, "p"), ("empty", 0, "")]
+    return spark.createDataFrame(rows, "g string, m int, v string")
+
+
+@pytest.mark.parametrize("tracked", [1, 8, 90, 1000])
+def test_most_frequent_value_equals_that_of_all_counts(spark, tracked):
+    df = frequent(spark).repartition(5)
+    states = SM.frequent_states(df, ["g", "m"], "v", tracked)
+    got = sorted(SM.most_frequent(df, states, ["g"], "v", tracked=tracked).collect(), key=str)
+    want = sorted(top_value(df, ["g"], "v").collect(), key=str)
+    assert got == want and len(got) == 10
+    by = {r.g: (r.top, r.top_n) for r in got}
+    assert by["hot"] == ("h", 2000) and by["twice"] == ("t", 2) and by["pair"] == ("p", 1) and by["even"] == ("e000", 10)
+
+
+def test_only_candidates_are_counted_where_a_value_stands_out(spark):
+    df = frequent(spark)
+    marks = {r._key0: r for r in SM._candidates(SM.frequent_states(df, ["g", "m"], "v", 90), ["g"], 90).collect()}
+    # proven by the 1000 rows that are not "h", though the sketch's bound may be above its count
+    assert marks["hot"]._asked == ["h"] and marks["hot"]._rows == 3000 and marks["hot"]._proof >= 2000
+    assert marks["unique"]._asked is None and marks["unique"]._proof is None  # counted whole
+    assert sorted(marks["few"]._asked) == [f"v{i}" for i in range(7)]
+    assert "missing" not in marks
+
+
+def test_most_frequent_without_rows_or_states_and_of_numbers(spark):
+    df = frequent(spark).select("g", "m", F.length("v").alias("v"))
+    states = SM.frequent_states(df, ["m", "g"], "v")
+    want = {tuple(r) for r in top_value(df, ["g", "m"], "v").collect()}
+    for kept in (states, states.where("g = 'hot'"), states.limit(0)):
+        assert {tuple(r) for r in SM.most_frequent(df, kept, ["g", "m"], "v").collect()} == want
+    assert SM.most_frequent(df.limit(0), states, ["g"], "v").count() == 0
