@@ -3,18 +3,28 @@
 Parsing is a Spark job, not a driver-side string loop.  Files are cut at every ``;`` by the text source,
 which splits one large file over many tasks; comments may hold such marks and reach over the cuts and over
 the ranges that tasks read, so whether a piece starts inside a comment is carried from piece to piece
-inside a range and from range to range of a file (:func:`read_blocks`).  Each block then yields its
+by the task that reads a range, and from range to range of a file (:func:`read_blocks`).  Each block then yields its
 ``code = 'label'`` pairs by ``regexp_extract_all`` + ``explode``.  Any path Spark can read works (object
 stores included).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import sys
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# tasks get this module's functions themselves: label files are read without the package on the executors
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Grammar of the label file (fixed patterns).
 COMMENT = r"(?s)/\*.*?\*/"
 BLOCK = r"(?is)\bvalue\s+\$?\w+[^;]*;"
@@ -61,54 +71,102 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """The text between two ``;`` outside comments, one row ``value`` each, comments taken out.
 
     A comment that is never closed hides the rest of its file, and what follows the last ``;`` counts as a
-    block too.  The text is shuffled once, by the range of the file it was read from, so a task holds at most
-    ``spark.sql.files.maxPartitionBytes`` of it and one block; two rows of numbers per range go to one task
-    per file.  Only blocks interrupted by a comment that holds a ``;`` are gathered again.
+    block too.  Every task goes through the ranges of files it reads from their first byte to their last,
+    twice: first to see how each range ends, then, knowing how it starts, for its blocks.  The text itself is
+    not shuffled; of a range only its ends and the blocks cut there by a comment are.  A task holds one batch
+    and one block.
     """
     pieces = spark.read.option("lineSep", ";").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"))
-    seen, opens = _outside(F.col("value"))
-    close = F.instr("value", "*/")
-    after_seen, after_opens = _outside(F.expr("substring(value, instr(value, '*/') + 2)"))
-    pieces = pieces.select(
-        "*", seen.alias("seen"), opens.alias("opens"),
-        F.when(close > 0, after_seen).otherwise("").alias("after"),
-        F.when(close > 0, after_opens).otherwise(1).alias("reopens")).drop("value")
-    # what a piece does to "inside a comment": sets it, turns it around (as /*/ does), or leaves it
-    pieces = _carry(pieces.withColumns({
-        "sets": F.when(F.col("opens") == F.col("reopens"), F.col("opens")),
-        "turns": F.when((F.col("opens") == 1) & (F.col("reopens") == 0), 1).otherwise(0)}), ["file", "start"], "at")
-    ranges = pieces.groupBy("file", "start").agg(F.max_by(F.struct("known_after", "turned"), "at").alias("e"))
-    ranges = _carry(ranges.select(
-        "file", "start", ((F.col("e.known_after") + F.col("e.turned")) % 2).alias("sets"),
-        F.when(F.col("e.known_after").isNull(), F.col("e.turned") % 2).otherwise(0).alias("turns")), ["file"], "start")
-    starts = ranges.select("file", "start", _inside(F.lit(0)).alias("inside_at_start"))
-    pieces = (pieces.join(starts, ["file", "start"]).withColumn("inside", _inside(F.col("inside_at_start")))
-              .select("file", "start", "at", "inside",
-                      F.when(F.col("inside") == 0, F.col("seen")).otherwise(F.col("after")).alias("value"),
-                      F.when(F.col("inside") == 0, F.col("opens")).otherwise(F.col("reopens")).alias("left_open")))
-    whole = pieces.where("inside = 0 and left_open = 0").select("value")
-    return whole.unionByName(_stitched(pieces.where("not (inside = 0 and left_open = 0)"))).select(
-        F.concat("value", F.lit(";")).alias("value"))
-
-
-def _outside(c: Column) -> tuple[Column, Column]:
-    """Of text that starts outside comments: what is seen, and 1 if it ends inside one, else 0."""
-    rest = F.regexp_replace(c, COMMENT, " ")
-    return F.regexp_replace(rest, r"(?s)/\*.*$", " "), F.contains(rest, F.lit("/*")).cast("int")
+        F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"))
+    ends = pieces.mapInArrow(_range_ends, "file string, start long, ends0 int, ends1 int, "
+                                          "open0 binary, open1 binary, tail binary")
+    # what a range does to "inside a comment": sets it, turns it around (as /*/ does), or leaves it
+    ranges = _carry(ends.withColumns({
+        "sets": F.when(F.col("ends0") == F.col("ends1"), F.col("ends0")),
+        "turns": F.when((F.col("ends0") == 1) & (F.col("ends1") == 0), 1).otherwise(0)}), ["file"], "start")
+    ranges = ranges.withColumn("inside", _inside(F.lit(0)))
+    # few: the first range of a file never starts inside
+    inside = F.broadcast(ranges.where("inside = 1").select("file", "start", "inside"))
+    whole = pieces.join(inside, ["file", "start"], "left").select("value", "file", "start", "inside")
+    blocks = whole.mapInArrow(_range_blocks, "value binary").unionByName(_stitched(ranges))
+    return blocks.select(F.concat(F.col("value").cast("string"), F.lit(";")).alias("value"))
+
+
+_COMMENT = re.compile(rb"(?s)/\*.*?\*/")
+#: text taken up at a time
+_PART_BYTES = 4 << 20
+
+
+def _seen(text: bytes, inside: bool) -> tuple[bytes, bool]:
+    """``text`` without its comments (a blank each), and whether it ends inside one."""
+    if inside:
+        close = text.find(b"*/")
+        if close < 0:
+            return b"", True
+        text = text[close + 2:]
+    text = _COMMENT.sub(b" ", text)
+    at = text.find(b"/*")
+    return (text, False) if at < 0 else (text[:at] + b" ", True)
+
+
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, bool, bytes]]:
+    """(file, start, inside at the start, text): the pieces of a range in parts, each closed by ``;``."""
+    for batch in batches:
+        n, value, file, start = batch.num_rows, *(batch.column(c) for c in ("value", "file", "start"))
+        if not n:
+            continue
+        new = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(start[1:], start[:-1]))
+        cuts = np.r_[0, np.flatnonzero(new.to_numpy(zero_copy_only=False)) + 1, n]
+        rows = max(1, n * _PART_BYTES // max(1, value.nbytes))
+        for a, b in zip(cuts, cuts[1:]):
+            inside = "inside" in batch.schema.names and batch.column("inside")[a].as_py() == 1
+            key = file[a].as_py(), start[a].as_py(), inside
+            for at in range(a, b, rows):
+                yield *key, b";".join(value[at:min(b, at + rows)].to_pylist()) + b";"
+
+
+def _range_ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per range, for one that starts outside comments (0) and one that starts inside (1): whether it ends
+    inside a comment, and the block left open; ``tail``: of the latter, what ends the block begun before."""
+    for (file, start), parts in groupby(_texts(batches), lambda x: x[:2]):
+        ends, left, tail = [False, True], [b"", b""], None
+        for *_, text in parts:
+            alike = tail is not None and (ends[0], left[0]) == (ends[1], left[1])  # from here on
+            for k in (0,) if alike else (0, 1):
+                seen, ends[k] = _seen(text, ends[k])
+                first, mark, rest = (left[k] + seen).partition(b";")
+                left[k] = rest.rpartition(b";")[2] if mark else first
+                if k and mark and tail is None:
+                    tail = first
+            if alike:
+                ends[1], left[1] = ends[0], left[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([file]), pa.array([start], pa.int64()), *(pa.array([int(e)], pa.int32()) for e in ends),
+             *(pa.array([x], pa.binary()) for x in (*left, tail))],
+            names=["file", "start", "ends0", "ends1", "open0", "open1", "tail"])
+
+
+def _range_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks that begin and end in one range."""
+    for (*_, begun), parts in groupby(_texts(batches), lambda x: x[:3]):
+        inside, left = begun, b""  # begun: a block of an earlier range may end here
+        for *_, text in parts:
+            seen, inside = _seen(text, inside)
+            *blocks, left = (left + seen).split(b";")
+            if begun and blocks:
+                del blocks[0]
+                begun = False
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], names=["value"])
 
 
 def _carry(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     """Carry a flag along the rows, each of which sets (``sets`` 0 or 1), turns (``turns`` 1) or leaves it:
     ``known``, the value set last before the row, if any, with the parity of the turns up to there."""
     w = Window.partitionBy(*by).orderBy(order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumn("turned", F.sum("turns").over(upto))
+    df = df.withColumn("turned", F.sum("turns").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     df = df.withColumn("_value", (F.col("sets") + F.col("turned")) % 2)
-    return df.withColumns({"known": F.last("_value", ignorenulls=True).over(before),
-                           "known_after": F.last("_value", ignorenulls=True).over(upto)})
+    return df.withColumn("known", F.last("_value", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
 
 
 def _inside(at_first: Column) -> Column:
@@ -116,19 +174,22 @@ def _inside(at_first: Column) -> Column:
     return (F.coalesce(F.col("known"), at_first) + F.col("turned") - F.col("turns")) % 2
 
 
-def _stitched(pieces: DataFrame) -> DataFrame:
-    """Blocks cut by a ``;`` inside a comment: from a piece that starts outside to the one that ends so."""
-    # pieces inside a comment say nothing; the others are two or more a block
-    pieces = pieces.where("value <> ''").withColumn("head", F.when(F.col("inside") == 0, F.struct("start", "at")))
-    here = Window.partitionBy("file", "start").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (pieces.groupBy("file", "start").agg(F.max("head").alias("last_head"))
-              .select("file", "start", F.max("last_head").over(before).alias("earlier")))
-    pieces = (pieces.withColumn("head", F.max("head").over(here)).join(ranges, ["file", "start"])
-              .withColumn("head", F.coalesce("head", "earlier")))
-    parts = F.array_sort(F.collect_list(F.struct("start", "at", "value")))
-    return pieces.groupBy("file", "head").agg(
-        F.concat_ws("", F.transform(parts, lambda p: p["value"])).alias("value")).select("value")
+def _stitched(ranges: DataFrame) -> DataFrame:
+    """Blocks that a comment carries from one range into others: from the range that leaves one open, over
+    those without a ``;`` outside comments, to the one that ends it."""
+    def part(value: str, head: int) -> Column:
+        return F.struct(F.lit(head).alias("head"), F.col(value).alias("value"))
+
+    parts = (F.when(F.col("inside") == 0, F.when(F.col("ends0") == 1, F.array(part("open0", 1))))
+             .when(F.col("tail").isNull(), F.array(part("open1", 0)))
+             .when(F.col("ends1") == 1, F.array(part("tail", 0), part("open1", 1)))
+             .otherwise(F.array(part("tail", 0))))
+    parts = ranges.select("file", "start", F.posexplode(parts).alias("pos", "part"))
+    upto = Window.partitionBy("file").orderBy("start", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("block", F.sum("part.head").over(upto))
+    own = F.array_sort(F.collect_list(F.struct("start", "pos", F.col("part.value").cast("string").alias("value"))))
+    return parts.groupBy("file", "block").agg(
+        F.concat_ws("", F.transform(own, lambda p: p["value"])).cast("binary").alias("value")).select("value")
 
 
 def code_list(formats: DataFrame, fmt: str, code: str = "code", label: str = "label"

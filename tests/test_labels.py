@@ -1,9 +1,12 @@
 """Label-file parsing (S5 E8 E9) and the code tables built from it (C3, J1)."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from starmart.plans.pipeline import code_tables
-from starmart.sources.labels import parse_formats, read_formats, write_formats
+from starmart.sources.labels import parse_formats, read_blocks, read_formats, write_formats
 
 # A synthetic label file with the shapes of the real one: CRLF, tabs and blanks around '=',
 # padded labels, a doubled quote, a blank after the closing quote, a code with an inner blank,
@@ -177,3 +180,34 @@ def test_one_large_file_is_read_by_many_tasks_alike(spark, tmp_path):
         for n, v in old.items():
             spark.conf.set(n, v)
     assert len(want) == 6000 + 24
+
+
+def test_the_text_of_label_files_is_not_shuffled(spark, tmp_path):
+    """Only a row per range goes through an exchange, by file; before, every piece did, by file and range."""
+    (tmp_path / "a.txt").write_text(TRICKY)
+    plan = read_formats(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.splitlines() if "Exchange" in x and "hashpartitioning" in x]
+    assert dealt and not any("start" in x for x in dealt)
+
+
+def test_any_soup_of_marks_is_cut_as_the_whole_text_is(spark, tmp_path):
+    """Against the comments of each whole file taken out at once; Latin-1 bytes as Spark reads them."""
+    rng = random.Random(5)
+    marks = ["/*", "*/", "/*/", "*", "/", ";", ";;", " value a 'k'='v' ", "\r\n", "value $b 1='\xe9' ", "x", ""]
+    want = []
+    for i in range(6):
+        text = "".join(rng.choices(marks, k=(0, 3, 40, 80)[i % 4]))
+        (tmp_path / f"{i}.txt").write_bytes(text.encode("latin-1"))
+        seen = re.sub(r"(?s)/\*.*$", " ", re.sub(r"(?s)/\*.*?\*/", " ", text))
+        own = seen.split(";")
+        # nothing stands behind a last mark
+        want += own[:-1] if text.endswith(";") and not own[-1] else own if text else []
+    want = sorted(x.replace("\xe9", "�") + ";" for x in want)
+    for size in (1 << 20, 24):
+        old = _small_ranges(spark, size)
+        try:
+            got = read_blocks(spark, str(tmp_path)).collect()
+            assert sorted(r["value"].replace("\xe9", "�") for r in got) == want, size
+        finally:
+            for n, v in old.items():
+                spark.conf.set(n, v)
