@@ -167,7 +167,7 @@ def tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
-def slices(texts: list[str], size: int = 4 << 20):
+def slices(texts: list[str], size: int = 1 << 20):
     """The texts in runs of at most ``size`` characters (or one text), to bound memory."""
     at = held = 0
     for i, t in enumerate(texts):
@@ -208,7 +208,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, capacit
         return out | ({"ids": ids} if with_ids else {})
 
     return map_batches(slim, run, ddl + (", ids array<int>" if with_ids else ""),
-                       done=lambda: tokenizer(vocabulary).rest())
+                       done=lambda: tokenizer(vocabulary).rest(), sliced=True)
 
 
 # -------------------------------------------------------------------------------------- planning

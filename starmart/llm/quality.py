@@ -195,7 +195,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int, h
     id_type = drawn.schema["id"].dataType.simpleString()
     rows = map_batches(drawn, lambda b: {"kind": b.column("kind"), "id": b.column("id"),
                                          "x": [features(t) for t in texts_of(b)]},
-                       f"kind string, id {id_type}, x array<double>")
+                       f"kind string, id {id_type}, x array<double>", sliced=True)
     return rows.groupBy("kind", "id").agg(F.min("x").alias("x"))
 
 
@@ -224,7 +224,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         return {f.name: batch.column(f.name) for f in keep} | {"score": pa.array(shared.value.score(x))}
 
     ddl = ", ".join([*(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in keep), "score double"])
-    return map_batches(docs, run, ddl)
+    return map_batches(docs, run, ddl, sliced=True)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", width: int = 3) -> Dat
         fps = np.array([fingerprint(t, width) for t in texts_of(batch, text_col)], np.uint64)
         return out | {"fp": pa.array(fps.view(np.int64))}
 
-    return map_batches(docs, run, ddl)
+    return map_batches(docs, run, ddl, sliced=True)
 
 
 # ------------------------------------------------------------------------- bit-sliced comparison
