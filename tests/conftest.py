@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.ui.enabled", "false")
+             # plans in full: late in a run longer column numbers had the filters of a scan cut off
+             .config("spark.sql.maxMetadataStringLength", "1000")
              .config("spark.checkpoint.dir", ckpt)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -12,7 +12,7 @@ class _Rows:
         return run
 
 
-def test_workers_hold_one_slice_of_a_batch_at_a_time():
+def test_workers_hold_one_slice_of_a_batch_at_a_time(spark):
     batch = pa.RecordBatch.from_pydict({"id": list(range(4000)), "text": ["x" * 4000] * 4000})
     seen = []
 
