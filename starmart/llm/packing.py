@@ -36,12 +36,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, quoted, stored, texts_of
 
-CACHE_WORDS = 160_000
+CACHE_WORDS = 400_000
 #: (groups, small_parts) to plan with; the plan of fewest sequences is taken
 SETTINGS = ((64, 8), (128, 4), (256, 3))
 
@@ -50,8 +51,9 @@ SETTINGS = ((64, 8), (128, 4), (256, 3))
 
 #: white space to a space and A-Z to a-z: the tokenizer's own normaliser does both
 FOLD = bytes.maketrans(b"\t\n\x0b\x0c\r" + bytes(range(65, 91)), b" " * 5 + bytes(range(97, 123)))
-#: a full stop or comma between a letter and a space is a token of its own
-STOP = re.compile(rb"[.,](?<=[a-z].)(?= |$)")
+#: what byte-level tokenizers write for the bytes of ``plain`` words that are no printable characters
+SHOWN = (("\x9f", "\u0141"), ("\xa0", "\u0142"), ("\xad", "\u0143"))
+SAMPLE = b"the words a \xc3\xa0 \xc3\xad stra\xc3\x9fe \xc3\xa9t\xc3\xa9 \xc3\xbe\xc3\xbf \xc3\xb1and\xc3\xba"
 #: words of printable ASCII and Latin-1 letters (two bytes in UTF-8), and what they are split into:
 #: contractions, letters, single digits, runs of other marks
 LETTER = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
@@ -59,30 +61,137 @@ LATIN = re.compile(rb"(?:[\x21-\x7e]|" + LETTER + rb")+")
 SPLIT = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|" + LETTER + rb"+|[0-9]|[\x21-\x2f\x3a-\x60\x7b-\x7e]+")
 
 
+def stops_apart(text: np.ndarray) -> np.ndarray:
+    """Where a folded text has a full stop or comma between a letter and a space or its end: a token of
+    its own."""
+    at = np.flatnonzero((text == 46) | (text == 44))
+    before, after = text[np.maximum(at, 1) - 1], text[np.minimum(at + 1, len(text) - 1)]
+    return at[(at > 0) & (before >= 97) & (before <= 122) & ((after == 32) | (at + 1 == len(text)))]
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` at ``starts``, ``lengths`` long, one after the other."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(lengths.sum())]
+
+
+def bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, lengths and bytes (with eight zeros after) of words."""
+    marks = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[:marks[-1]] if data is not None else np.zeros(0, np.uint8)
+    return marks[:-1], np.diff(marks), np.concatenate([data, np.zeros(8, np.uint8)])
+
+
+def hashed(words: pa.Array) -> np.ndarray:
+    """A number of each word from its length, its first 64 and its last 8 bytes."""
+    starts, lengths, data = bytes_of(words)
+    eights = np.ndarray(max(len(data) - 7, 0), "<u8", data, strides=(1,))
+    out = lengths.astype(np.uint64)
+    on = np.arange(len(words))
+
+    def more(on: np.ndarray, at: np.ndarray, n: np.ndarray) -> None:
+        part = eights[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * (8 - n)).astype(np.uint64))
+        x = (out[on] ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        out[on] = x ^ (x >> np.uint64(29))
+
+    for k in range(0, 64, 8):
+        on = on[lengths[on] > k]
+        if not len(on):
+            break
+        more(on, starts[on] + k, np.minimum(lengths[on] - k, 8))
+    on = on[lengths[on] > 64]
+    more(on, starts[on] + lengths[on] - 8, np.full(len(on), 8))
+    return out
+
+
+def plain(words: pa.Array) -> np.ndarray:
+    """Which words are lower-case ASCII and Latin-1 letters only: the tokenizer takes them as they are."""
+    starts, lengths, data = bytes_of(words)
+    second = (data >= 0x9F) & (data <= 0xBF) & (data != 0xB7)
+    pair = (data[:-1] == 0xC3) & second[1:]
+    good = (data >= 97) & (data <= 122)
+    good[:-1] |= pair
+    good[1:] |= pair
+    count = np.concatenate([[0], np.cumsum(good)])
+    return (count[starts + lengths] - count[starts] == lengths) & (lengths > 0)
+
+
+class WordIds:
+    """Words and their ids in flat arrays, some 60 bytes a word, found by a sorted number of each.
+
+    A word found is compared whole; of different words with one number only one is found, the others
+    are met as new each time.
+    """
+
+    def __init__(self):
+        self.words = pa.array([], pa.large_binary())
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
+        self.numbers, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """The places of words, -1 for those not here."""
+        out = np.full(len(words), -1)
+        if len(self) and len(words):
+            numbers = hashed(words)
+            order = np.argsort(numbers)
+            at = np.searchsorted(self.numbers, numbers[order])
+            at[at == len(self)] = 0
+            hit = self.numbers[at] == numbers[order]
+            asked, at = order[hit], self.places[at[hit]]
+            same = pc.equal(words.take(asked), self.words.take(at)).to_numpy(zero_copy_only=False)
+            out[asked[same]] = at[same]
+        return out
+
+    def add(self, words: pa.Array, lengths: np.ndarray, flat: np.ndarray) -> None:
+        numbers = hashed(words)
+        order = np.argsort(numbers)
+        at = np.searchsorted(self.numbers, numbers[order])
+        self.numbers = np.insert(self.numbers, at, numbers[order])
+        self.places = np.insert(self.places, at, (len(self) + order).astype(np.int32))
+        starts = len(self.flat) + np.cumsum(lengths) - lengths
+        self.words = pa.concat_arrays([self.words, words])
+        self.starts = np.concatenate([self.starts, starts])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        return gathered(self.flat, self.starts[at], self.lengths[at])
+
+
 class WordTokenizer:
     """Token ids of whole texts, word by word.
 
     For tokenizers that lower-case, split at white space and drop it, and split letters from
-    punctuation: there the ids of a text are those of its words one after the other, so words met
-    before are looked up, and a word with marks in it is put together from its parts.  Two generations
-    of words are kept: the younger takes what is used, and when it holds half of ``CACHE_WORDS`` it
-    becomes the older one, so words in use stay.  Special-token strings count where the raw text has
-    them exactly; folded words are encoded as plain text.
+    punctuation: there the ids of a text are those of its words one after the other, so the distinct
+    words of a slice are looked up among those met before, and a word with marks in it is put together
+    from its parts.  Two generations of words are kept: the younger takes what is used, and when it holds
+    half of ``CACHE_WORDS`` it becomes the older one, so words in use stay.  Special-token strings count
+    where the raw text has them exactly; folded words are encoded as plain text.  Words of plain letters
+    go straight to the tokenizer's model, without its normaliser and splitter, if a sample shows that
+    these leave them as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         special = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
         self.special = re.compile(b"(" + b"|".join(map(re.escape, sorted(special, key=len, reverse=True))) + b")") \
             if special else None
-        # their keys start with a space, as no word does
-        self.special_ids = {b" " + t: np.array([i], "<u4").tobytes() for t, i in special.items()}
-        self.cache: dict[bytes, bytes] = dict(self.special_ids)
-        self.old: dict[bytes, bytes] = {}
+        self.special_ids = {t: np.array([i], "<u4") for t, i in special.items()}
+        self.cache, self.old = WordIds(), WordIds()
         n = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        if self._plain(SAMPLE.split()).tolist() != self._encode([SAMPLE.decode()])[0].tolist():
+            self.model = None
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         self.tokenizer.encode_special_tokens = True  # as plain text: ``ids`` finds the special ones
@@ -92,69 +201,109 @@ class WordTokenizer:
         finally:
             self.tokenizer.encode_special_tokens = False
 
-    def _unknown(self, words: set[bytes]) -> list[bytes]:
-        """The words of neither generation; those of the older one join the younger."""
-        out = []
-        for w in words:
-            ids = self.old.get(w)
-            if ids is None:
-                out.append(w)
-            else:
-                self.cache[w] = ids
-        return out
+    def _plain(self, words: list[bytes]) -> np.ndarray:
+        """The ids of words that are ``plain`` one after the other."""
+        text = b" ".join(words)
+        if self.model is None:
+            return self._encode([text.decode()])[0]
+        text = text.decode("latin-1")
+        for byte, shown in SHOWN:
+            text = text.replace(byte, shown)
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[bytes]) -> None:
-        text = {w: w.decode("utf-8", "replace") for w in words}
-        plain = [w for w, t in text.items() if t.isalpha()]
-        rest = [w for w, t in text.items() if not t.isalpha()]
-        parts = {w: SPLIT.findall(w) for w in rest if LATIN.fullmatch(w)}
-        parts = {w: own for w, own in parts.items() if len(own) > 1}
-        rest = [w for w in rest if w not in parts]
-        for w in self._unknown(set(chain.from_iterable(parts.values())).difference(self.cache, text)):
-            text[w] = w.decode()
-            (plain if text[w].isalpha() else rest).append(w)
-        for at in range(0, len(plain), 4096):
-            own = plain[at:at + 4096]
-            ids = self._encode([" ".join([text[w] for w in own])])[0]
-            ends = np.flatnonzero(self.ends[ids]) + 1  # letters only: each word ends once
-            if len(ends) != len(own):
-                rest += own
-                continue
-            flat, marks = ids.tobytes(), (4 * ends).tolist()
-            for w, a, b in zip(own, [0, *marks], marks):
-                self.cache[w] = flat[a:b]
-        for w, ids in zip(rest, self._encode([text[w] for w in rest])):
-            self.cache[w] = ids.tobytes()
-        for w, own in parts.items():
-            self.cache[w] = b"".join(map(self.cache.__getitem__, own))
-
-    def _split(self, raw: bytes) -> list[bytes]:
-        """The folded words and, with a space before, the special-token strings."""
-        if self.special is None or not self.special.search(raw):
-            return STOP.sub(rb" \g<0>", raw.translate(FOLD)).split()
-        out = []
-        for k, part in enumerate(self.special.split(raw)):
-            out += [b" " + part] if k % 2 else STOP.sub(rb" \g<0>", part.translate(FOLD)).split()
-        return out
+        """Add words to the younger generation, in their order."""
+        lengths = np.zeros(len(words), np.int64)
+        order, found = [], []  # places of words, their ids
+
+        def joined(places: list[int], encode) -> list[int]:
+            """Words of letters only, many at once; those of a run whose ends do not tell them are left."""
+            left = []
+            for k in range(0, len(places), 4096):
+                own = places[k:k + 4096]
+                ids = encode([words[i] for i in own])
+                ends = np.flatnonzero(self.ends[ids]) + 1  # letters only: each word ends once
+                if len(ends) != len(own):
+                    left += own
+                    continue
+                lengths[own] = np.diff(ends, prepend=0)
+                order.extend(own)
+                found.append(ids)
+            return left
+
+        array = pa.array(words, pa.large_binary())
+        simple = plain(array)
+        rest = np.flatnonzero(~simple).tolist() + joined(np.flatnonzero(simple).tolist(), self._plain)
+        text = {i: words[i].decode("utf-8", "replace") for i in rest}
+        letters = [i for i in rest if text[i].isalpha()]
+        rest = [i for i in rest if not text[i].isalpha()]
+        rest += joined(letters, lambda own: self._encode([b" ".join(own).decode("utf-8", "replace")])[0])
+        parts = {i: SPLIT.findall(words[i]) for i in rest if LATIN.fullmatch(words[i])}
+        parts = {i: own for i, own in parts.items() if len(own) > 1}
+        rest = [i for i in rest if i not in parts]
+        for i, ids in zip(rest, self._encode([text[i] for i in rest])):
+            lengths[i] = len(ids)
+            order.append(i)
+            found.append(ids)
+        if parts:
+            flat = pa.array(chain.from_iterable(parts.values()), pa.large_binary()).dictionary_encode()
+            at = self._known(flat.dictionary)[flat.indices.to_numpy()]
+            marks = np.cumsum([0, *map(len, parts.values())])
+            own = np.cumsum(np.concatenate([[0], self.cache.lengths[at]]))[marks]
+            lengths[list(parts)] = np.diff(own)
+            order += parts
+            found.append(self.cache.ids(at))
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        self.cache.add(array, lengths,
+                       gathered(np.concatenate(found), starts, lengths) if found else np.zeros(0, "<u4"))
+
+    def _known(self, words: pa.Array) -> np.ndarray:
+        """The places of distinct words in the younger generation, where those of the older one and new ones
+        are added."""
+        at = self.cache.find(words)
+        gaps = np.flatnonzero(at < 0)
+        before = self.old.find(words.take(gaps))
+        used, known = before[before >= 0], gaps[before >= 0]
+        if len(used):
+            at[known] = len(self.cache) + np.arange(len(used))
+            self.cache.add(words.take(known), self.old.lengths[used], self.old.ids(used))
+        gaps = gaps[before < 0]
+        if len(gaps):
+            self._learn(words.take(gaps).to_pylist())
+            at[gaps] = len(self.cache) - len(gaps) + np.arange(len(gaps))
+        return at
+
+    def _ids(self, raws: list[bytes]) -> list[np.ndarray]:
+        """The ids of texts, special-token strings as plain text."""
+        text = np.frombuffer(b" ".join([*raws, b""]).translate(FOLD), np.uint8)
+        stops = stops_apart(text)
+        marks = np.cumsum([0, *(len(r) + 1 for r in raws)])
+        marks = marks + np.searchsorted(stops, marks)
+        folded = np.insert(text, stops, 32)
+        split = pc.ascii_split_whitespace(pa.LargeStringArray.from_buffers(
+            len(raws), pa.py_buffer(marks.astype(np.int64)), pa.py_buffer(folded)))
+        words = split.values.cast(pa.large_binary()).dictionary_encode()
+        at = self._known(words.dictionary)[words.indices.to_numpy()]
+        ids = self.cache.ids(at)
+        own = np.concatenate([[0], np.cumsum(self.cache.lengths[at])])[split.offsets.to_numpy()]
+        return [ids[a:b] for a, b in zip(own, own[1:])]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.cache) > CACHE_WORDS // 2:
-            self.old, self.cache = self.cache, dict(self.special_ids)
-        cache = self.cache
-        split = [self._split(t.encode("utf-8", "replace")) for t in texts]
-        found = [list(map(cache.get, words)) for words in split]
-        gaps = [[i for i, ids in enumerate(own) if ids is None] for own in found]
-        self._learn(self._unknown({words[i] for words, own in zip(split, gaps) for i in own}))
-        for words, own, places in zip(split, found, gaps):
-            for i in places:
-                own[i] = cache[words[i]]
-        return [np.frombuffer(b"".join(own), "<u4") for own in found]
-
+            self.old, self.cache = self.cache, WordIds()
+        raws = [t.encode("utf-8", "replace") for t in texts]
+        if self.special is None or not any(map(self.special.search, raws)):
+            return self._ids(raws)
+        parts = [self.special.split(r) for r in raws]
+        plain = iter(self._ids([p for own in parts for p in own[::2]]))
+        return [np.concatenate([self.special_ids[p] if k % 2 else next(plain) for k, p in enumerate(own)])
+                for own in parts]
 
     def rest(self) -> None:
         """Give the older generation up: a worker between tasks keeps the words in use only."""
-        self.old = {}
+        self.old = WordIds()
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

@@ -151,3 +151,33 @@ def test_words_in_use_survive_a_turn_of_the_cache(monkeypatch):
         got = tok.ids([text])[0].tolist()
         assert got == fresh.tokenizer.encode(text, add_special_tokens=False).ids
     assert learned.count(b"always") == 1 and len(tok.cache) + len(tok.old) < 60
+
+
+def test_words_are_held_in_little_memory_and_plain_ones_go_straight_to_the_model(monkeypatch):
+    """150,000 words in turn are each learned once, in under 100 bytes a word; only the others pass the
+    tokenizer's normaliser and splitter."""
+    tok = packing.WordTokenizer(vocabulary())
+    learned, encoded = [], []
+    learn, encode = tok._learn, tok._encode
+    monkeypatch.setattr(tok, "_learn", lambda words: (learned.append(len(words)), learn(words)))
+    monkeypatch.setattr(tok, "_encode", lambda texts: (encoded.extend(texts), encode(texts))[1])
+    letters = "abcdefghijklmnopqrstuvwxyzßé"
+    words = ["".join(letters[i // 28**k % 28] for k in range(4)) for i in range(0, 600_000, 4)]
+    for _ in range(2):
+        for at in range(0, len(words), 10_000):
+            tok.ids([" ".join(words[at:at + 10_000])])
+    assert sum(learned) == len(tok.cache) == len(words) + 1 and not any(encoded)  # one: the empty word of ends
+    held = tok.cache
+    arrays = (held.starts, held.lengths, held.flat, held.numbers, held.places)
+    assert (sum(a.nbytes for a in arrays) + held.words.nbytes) < 100 * len(words)
+    assert [i.tolist() for i in tok.ids([*words[:50], "Été x-ray"])] == [
+        e.ids for e in tok.tokenizer.encode_batch([*words[:50], "Été x-ray"], add_special_tokens=False)]
+    assert any(encoded)
+
+
+def test_words_of_one_number_are_told_apart(monkeypatch):
+    monkeypatch.setattr(packing, "hashed", lambda words: np.zeros(len(words), np.uint64))
+    tok = packing.WordTokenizer(vocabulary())
+    for _ in range(3):
+        for text, ids in zip(ODD, tok.ids(ODD)):
+            assert ids.tolist() == tok.tokenizer.encode(text, add_special_tokens=False).ids
